@@ -108,20 +108,29 @@ def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_widt
         ["provider", "file"],
         "inner",
     )
+    idx = [idx_col(c) for c in table.column_names]
+    # Three projections on purpose: the parsed struct and the cell array are
+    # each referenced many times downstream, and Catalyst does not inline a
+    # non-trivial expression into several consumers — so each record is
+    # parsed once.  Inlined into per-column CASE branches, ``from_csv`` would
+    # run once per output column.
     parsed = rows.select(
-        "provider", "file", "line_no", "width", *[idx_col(c) for c in table.column_names],
+        "provider", "file", "line_no", *idx,
         (~F.col("bad_utf8") & (field_count("line") == F.col("width"))).alias("valid"),
         F.from_csv(F.col("line"), schema, CSV_OPTIONS).alias("_r"),
     )
-    cells = F.array(*[F.col("_r")[f"c{i}"] for i in range(max(max_width, 1))])
+    cells = parsed.select(
+        "provider", "file", "line_no", "valid", *idx,
+        F.array(*[F.col("_r")[f"c{i}"] for i in range(max(max_width, 1))]).alias("_cells"),
+    )
     out = [
         F.when(
             F.col(idx_col(c)).isNotNull(),
-            F.coalesce(F.try_element_at(cells, F.col(idx_col(c))), F.lit("")),
+            F.coalesce(F.try_element_at(F.col("_cells"), F.col(idx_col(c))), F.lit("")),
         ).alias(c)
         for c in table.column_names
     ]
-    return parsed.select("provider", "file", "line_no", "valid", *out)
+    return cells.select("provider", "file", "line_no", "valid", *out)
 
 
 def drop_malformed(parsed: DataFrame) -> DataFrame:
@@ -130,27 +139,30 @@ def drop_malformed(parsed: DataFrame) -> DataFrame:
 
 def type_columns(df: DataFrame, table: LogicalTable) -> DataFrame:
     """Typed values by affinity plus ``_rejects``: the columns whose non-empty
-    text did not fit the declared type, with that text."""
-    typed = []
-    reject_parts = []
-    for c, aff in table.columns:
-        typed.append(typed_value(F.col(c), aff).alias(c))
-        if aff != "text":
-            bad = (
-                F.col(c).isNotNull()
-                & (F.trim(F.col(c)) != "")
-                & typed_value(F.col(c), aff).isNull()
-            )
-            reject_parts.append(
-                F.when(bad, F.struct(F.lit(c).alias("column"), F.col(c).alias("text")))
-            )
+    text did not fit the declared type, with that text.
+
+    Each value is typed once; the reject check reads the typed column in a
+    second projection instead of typing the text again."""
+    numeric = [c for c, aff in table.columns if aff != "text"]
     keep = [x for x in df.columns if x not in set(table.column_names)]
+    typed = df.select(
+        *keep,
+        *[typed_value(F.col(c), aff).alias(c) for c, aff in table.columns],
+        *[F.col(c).alias(f"_raw_{c}") for c in numeric],
+    )
+    parts = [
+        F.when(
+            F.col(f"_raw_{c}").isNotNull() & (F.trim(F.col(f"_raw_{c}")) != "") & F.col(c).isNull(),
+            F.struct(F.lit(c).alias("column"), F.col(f"_raw_{c}").alias("text")),
+        )
+        for c in numeric
+    ]
     rejects = (
-        F.filter(F.array(*reject_parts), lambda x: x.isNotNull())
-        if reject_parts
+        F.filter(F.array(*parts), lambda x: x.isNotNull())
+        if parts
         else F.array().cast("array<struct<column:string,text:string>>")
     )
-    return df.select(*keep, *typed, rejects.alias("_rejects"))
+    return typed.select(*keep, *table.column_names, rejects.alias("_rejects"))
 
 
 def empty_text_frame(spark, table: LogicalTable) -> DataFrame:

@@ -2,7 +2,7 @@
 
 * Rows of the new batch with a complete key are reduced to one row per key —
   the one with the highest ordering value (file rank, line).  This is a
-  ``groupBy().agg(max_by)``: partial aggregation runs before the shuffle, so a
+  ``groupBy().agg(max(struct(order, row)))``: partial aggregation runs before the shuffle, so a
   key repeated a million times shuffles one row per map task.
 * A key with a NULL part never conflicts: such rows bypass both the reduction
   and the join and are appended (old ones kept, new ones added).  Keeping them
@@ -36,8 +36,10 @@ def last_wins(new: DataFrame, key: list[str], order_cols: list[str]) -> DataFram
     nulls = new.where(~complete_key(key))
     if not payload:
         return keyed.dropDuplicates(key).unionByName(nulls)
+    # max over (order, payload): the order struct decides; one aggregate
+    # buffer per key, combined map-side before the shuffle.
     best = keyed.groupBy(*key).agg(
-        F.max_by(F.struct(*payload), F.struct(*order_cols)).alias("_row")
+        F.max(F.struct(F.struct(*order_cols).alias("_o"), *payload)).alias("_row")
     )
     reduced = best.select(*key, *[F.col("_row")[c].alias(c) for c in payload])
     return reduced.select(*new.columns).unionByName(nulls)

@@ -19,6 +19,7 @@ committed before progress, and progress before versions.
 
 from __future__ import annotations
 
+import time
 import uuid
 from dataclasses import dataclass, field
 
@@ -57,6 +58,7 @@ class ImportResult:
     registry: Registry
     files: list = field(default_factory=list)  # per-file outcome rows
     providers: list = field(default_factory=list)  # per-provider gate rows
+    timings: dict = field(default_factory=dict)  # seconds per phase
 
     def table(self, name: str) -> DataFrame:
         lt = self.registry.tables[name]
@@ -89,6 +91,12 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     the catalogue)."""
     result = ImportResult(spark, root, registry)
     run_id = uuid.uuid4().hex[:12]
+    clock = [time.perf_counter()]
+
+    def _mark(phase: str) -> None:
+        now = time.perf_counter()
+        result.timings[phase] = round(now - clock[0], 3)
+        clock[0] = now
 
     archives_all = read_archives(spark, landing)
     if providers is not None:
@@ -102,6 +110,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     gate = control.provider_gate(changes, control.incomplete_counts(progress))
     todo = gate.where(F.col("action") != "skip").select("provider", "remote_version", "action")
     gate_rows = gate.collect()  # one row per provider
+    _mark("gate")
     result.providers = [r.asDict() for r in gate_rows]
     if not any(r["action"] != "skip" for r in gate_rows):
         return result
@@ -124,6 +133,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         "provider", "version", "archive", "file", "crc", "table", "offset"
     )
     plan_rows = plan.collect()  # one row per file to import
+    _mark("plan")
     if not plan_rows:
         return result
 
@@ -135,6 +145,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         "version"
     ).write.partitionBy("table").parquet(stage_path)
     staged = spark.read.parquet(stage_path)
+    _mark("expand")
 
     headers = staged.where(F.col("line_no") == 0).select("provider", "file", "table", "header")
     header_rows = headers.collect()  # one row per file
@@ -153,6 +164,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         p = file_plans[t].select("provider", "file", "table", "width", "n_matched", "offset")
         all_plans = p if all_plans is None else all_plans.unionByName(p)
     plan_info = all_plans.collect()  # one row per file
+    _mark("headers")
 
     # Valid rows per file past the offset; files without a matching column
     # are completed no-ops.
@@ -173,6 +185,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     )
     budget = max_rows if max_rows is not None else (1 << 62)
     quotas = file_quotas(per_file, budget).collect()  # one row per file
+    _mark("count")
 
     # Files cut by the budget: find the line of their last granted row.
     partial = [r for r in quotas if not r["file_done"] and r["quota"] > 0]
@@ -200,6 +213,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         else:
             upto, status = r["offset"], control.STATUS_OPEN
         grants.append((r["provider"], r["file"], r["table"], int(upto), status, int(r["quota"])))
+    _mark("budget")
     grants_df = spark.createDataFrame(
         grants, "provider string, file string, table string, upto long, status int, taken long"
     )
@@ -219,12 +233,18 @@ def import_landing(spark: SparkSession, landing: str, root: str,
             .join(F.broadcast(bounds), ["provider", "file"])
             .where((F.col("line_no") > F.col("offset")) & (F.col("line_no") <= F.col("upto")))
         )
-        typed = type_columns(taken, lt).persist()
+        # Typed rows are written once to the staging folder: the rejects and
+        # the upsert both read them, and the upsert's lineage starts there.
+        typed_path = f"{stage_path}_typed/table={t}"
+        type_columns(taken, lt).write.parquet(typed_path)
+        typed = spark.read.parquet(typed_path)
+        _mark(f"typed:{t}")
         rejects = typed.where(F.size("_rejects") > 0).select(
             "provider", F.lit(t).alias("table"), "file", "line_no",
             F.explode("_rejects").alias("r"),
         ).select("provider", "table", "file", "line_no", "r.column", "r.text")
         rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/run={run_id}")
+        _mark(f"rejects:{t}")
         new = typed.select(*lt.spark_schema().names, "file", "line_no")
         provs = sorted({g[0] for g in grants if g[2] == t and g[5] > 0})
         if provs:
@@ -232,8 +252,8 @@ def import_landing(spark: SparkSession, landing: str, root: str,
                 spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
                 ["file", "line_no"], manifest_rows,
             )
-        typed.unpersist()
 
+    _mark("upsert")
     if updates:
         commit_manifest(spark, root, manifest_rows, updates)
 
@@ -268,6 +288,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     )
     write_table(control.set_versions(versions, changed).coalesce(1), root, VERSIONS)
 
+    _mark("control")
     result.files = [
         {"provider": g[0], "file": g[1], "table": g[2], "last_line": g[3], "status": g[4], "rows": g[5]}
         for g in grants
