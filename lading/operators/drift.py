@@ -10,8 +10,8 @@ Per provider and table, one outcome:
 * ``file_not_in_schema`` — a feed file with no declared table;
 * ``table_without_file`` — a declared table no feed file fills.
 
-Names are compared after normalising (BOM off, trimmed, lower case, only
-letters, digits and ``_``), files by lower-cased base name.  The import itself
+Names on both sides are compared after normalising (BOM off, trimmed, lower
+case, only letters, digits and ``_``), files by lower-cased base name.  The import itself
 matches headers exactly, so ``importer_exact`` says whether the raw header
 equals the declared list as the importer compares it; ``exact_match`` rows
 with ``importer_exact = false`` match only after normalising.
@@ -42,7 +42,9 @@ def drift_report(headers: DataFrame, declared: DataFrame) -> DataFrame:
         F.filter(F.transform("header", normalise_header_name), lambda x: x != "").alias("csv_columns"),
     )
     decl = declared.select(
-        "provider", F.lower("table").alias("table"), F.col("declared").alias("db_columns")
+        "provider", F.lower("table").alias("table"),
+        F.col("declared").alias("raw_declared"),
+        F.transform("declared", normalise_header_name).alias("db_columns"),
     )
     providers = feed.select("provider").union(decl.select("provider")).distinct()
     decl = decl.join(providers, "provider", "left_semi")
@@ -66,7 +68,7 @@ def drift_report(headers: DataFrame, declared: DataFrame) -> DataFrame:
         outcome.alias("outcome"),
         F.when(both, F.array_sort(missing)).alias("missing_in_db"),
         F.when(both, F.array_sort(extra)).alias("extra_in_db"),
-        F.when(both, F.coalesce(F.col("raw_header") == F.col("db_columns"), F.lit(False))).alias(
+        F.when(both, F.coalesce(F.col("raw_header") == F.col("raw_declared"), F.lit(False))).alias(
             "importer_exact"
         ),
     )
