@@ -59,6 +59,7 @@ class ImportResult:
     files: list = field(default_factory=list)  # per-file outcome rows
     providers: list = field(default_factory=list)  # per-provider gate rows
     timings: dict = field(default_factory=dict)  # seconds per phase
+    errors: dict = field(default_factory=dict)  # table -> error of this run
 
     def table(self, name: str) -> DataFrame:
         lt = self.registry.tables[name]
@@ -221,39 +222,14 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     # Parse, project, type and upsert, one pass per logical table.
     manifest_rows = read_manifest(spark, root).collect()
     updates = []
+    failed: dict[str, str] = {}
     for t in tables:
-        lt = registry.tables[t]
-        fp = file_plans[t].join(
-            F.broadcast(grants_df.select("provider", "file", "upto")), ["provider", "file"]
-        )
-        parsed = parse_lines(staged.where(F.col("table") == t), fp, lt, widths.get(t, 1))
-        bounds = fp.select("provider", "file", "offset", "upto")
-        taken = (
-            parsed.where(F.col("valid"))
-            .join(F.broadcast(bounds), ["provider", "file"])
-            .where((F.col("line_no") > F.col("offset")) & (F.col("line_no") <= F.col("upto")))
-        )
-        # Typed rows are written once to the staging folder: the rejects and
-        # the upsert both read them, and the upsert's lineage starts there.
-        typed_path = f"{stage_path}_typed/table={t}"
-        type_columns(taken, lt).write.parquet(typed_path)
-        typed = spark.read.parquet(typed_path)
-        _mark(f"typed:{t}")
-        rejects = typed.where(F.size("_rejects") > 0).select(
-            "provider", F.lit(t).alias("table"), "file", "line_no",
-            F.explode("_rejects").alias("r"),
-        ).select("provider", "table", "file", "line_no", "r.column", "r.text")
-        rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/run={run_id}")
-        _mark(f"rejects:{t}")
-        new = typed.select(*lt.spark_schema().names, "file", "line_no")
-        provs = sorted({g[0] for g in grants if g[2] == t and g[5] > 0})
-        if provs:
-            updates += apply_upserts(
-                spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
-                ["file", "line_no"], manifest_rows,
-            )
-
-    _mark("upsert")
+        try:
+            updates += _load_table(spark, root, registry, t, staged, stage_path, run_id,
+                                   file_plans[t], grants_df, grants, widths, manifest_rows)
+        except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
+            failed[t] = f"{type(exc).__name__}: {exc}"
+        _mark(f"table:{t}")
     if updates:
         commit_manifest(spark, root, manifest_rows, updates)
 
@@ -274,6 +250,13 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     no_match = spark.createDataFrame(
         noop_rows, "Provider string, FileName string, table string, LastProcessedLine long"
     ).select("Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
+    if failed:
+        grants = [
+            (g[0], g[1], g[2], _offset_of(plan_rows, g[0], g[1]), control.STATUS_OPEN, 0)
+            if g[2] in failed else g
+            for g in grants
+        ]
+        grants_df = spark.createDataFrame(grants, grants_df.schema)
     closes = grants_df.select(
         F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
         F.col("upto").alias("LastProcessedLine"), F.col("status").alias("Status"),
@@ -289,6 +272,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     write_table(control.set_versions(versions, changed).coalesce(1), root, VERSIONS)
 
     _mark("control")
+    result.errors = failed
     result.files = [
         {"provider": g[0], "file": g[1], "table": g[2], "last_line": g[3], "status": g[4], "rows": g[5]}
         for g in grants
@@ -296,4 +280,61 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         {"provider": p, "file": f, "table": t, "last_line": o, "status": control.STATUS_DONE, "rows": 0}
         for p, f, t, o in noop_rows
     ]
+    if failed:
+        raise ImportFailed(result)
     return result
+
+
+def _offset_of(plan_rows, provider: str, file: str) -> int:
+    for r in plan_rows:
+        if r["provider"] == provider and r["file"] == file:
+            return int(r["offset"])
+    return 0
+
+
+def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan, grants_df,
+                grants, widths, manifest_rows) -> list[tuple]:
+    """Parse, type and upsert the granted rows of one logical table; returns
+    the manifest rows to commit."""
+    lt = registry.tables[t]
+    fp = file_plan.join(F.broadcast(grants_df.select("provider", "file", "upto")), ["provider", "file"])
+    parsed = parse_lines(staged.where(F.col("table") == t), fp, lt, widths.get(t, 1))
+    bounds = fp.select("provider", "file", "offset", "upto")
+    taken = (
+        parsed.where(F.col("valid"))
+        .join(F.broadcast(bounds), ["provider", "file"])
+        .where((F.col("line_no") > F.col("offset")) & (F.col("line_no") <= F.col("upto")))
+    )
+    # Typed rows are written once to the staging folder: the rejects and the
+    # upsert both read them, and the upsert's lineage starts there.
+    typed_path = f"{stage_path}_typed/table={t}"
+    type_columns(taken, lt).write.parquet(typed_path)
+    typed = spark.read.parquet(typed_path)
+    rejects = typed.where(F.size("_rejects") > 0).select(
+        "provider", F.lit(t).alias("table"), "file", "line_no", F.explode("_rejects").alias("r"),
+    ).select("provider", "table", "file", "line_no", "r.column", "r.text")
+    rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/run={run_id}")
+    new = typed.select(*lt.spark_schema().names, "file", "line_no")
+    provs = sorted({g[0] for g in grants if g[2] == t and g[5] > 0})
+    if not provs:
+        return []
+    return apply_upserts(spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
+                         ["file", "line_no"], manifest_rows)
+
+
+class ImportFailed(RuntimeError):
+    """Some tables failed; the others were committed.  ``result.errors`` maps
+    table → error; their files stay open at their old offset."""
+
+    def __init__(self, result: "ImportResult"):
+        super().__init__(f"import failed for tables: {sorted(result.errors)}")
+        self.result = result
+
+
+def import_catalogue(spark: SparkSession, catalogue_path: str, landing: str, root: str,
+                     registry: Registry = DEFAULT, max_rows: int | None = MAX_ROWS_PER_RUN) -> ImportResult:
+    """Import run for the active providers of a catalogue file."""
+    from lading.sources.catalogue import active_providers, read_catalogue
+
+    active = [r["provider"] for r in active_providers(read_catalogue(spark, catalogue_path)).collect()]
+    return import_landing(spark, landing, root, registry, max_rows, providers=active)

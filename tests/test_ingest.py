@@ -153,3 +153,30 @@ def test_status_query(spark, land, workdir):
     assert len(st) == 1 and '"FileName":"stops.txt"' in st[0]["json"] and '"Status":0' in st[0]["json"]
     with pytest.raises(UnknownProvider):
         status(spark, f"{workdir}/wh", "nope", known=["ktmb"])
+
+
+def test_failed_table_does_not_stop_siblings(spark, land, workdir, monkeypatch):
+    import lading.plans.ingest as ingest
+
+    landing = land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nA,a,1,1\n",
+                                  "agency.txt": "agency_id,agency_name\nX,x\n"})
+    real = ingest.apply_upserts
+
+    def flaky(spark_, root, table, *a, **k):
+        if table == "agency":
+            raise RuntimeError("store unavailable")
+        return real(spark_, root, table, *a, **k)
+
+    monkeypatch.setattr(ingest, "apply_upserts", flaky)
+    with pytest.raises(ingest.ImportFailed) as err:
+        run(spark, landing, workdir)
+    res = err.value.result
+    assert set(res.errors) == {"agency"}
+    assert rows(res.table("stops"), "stop_id") == [("A",)]
+    prog = {r["FileName"]: (r["Status"], r["LastProcessedLine"]) for r in res.progress().collect()}
+    assert prog == {"stops.txt": (0, 1), "agency.txt": (1, 0)}
+    monkeypatch.setattr(ingest, "apply_upserts", real)
+    again = run(spark, landing, workdir)  # unchanged version, one open file: resume
+    assert again.providers[0]["action"] == "resume"
+    assert {f["file"] for f in again.files} == {"agency.txt"}
+    assert rows(again.table("agency"), "agency_id") == [("X",)]
