@@ -95,7 +95,7 @@ def archive_expand(spark, sf_dir):
     ])
     archives = read_archives(spark, landing)
     entries = list_entries(archives).where(is_feed_entry("file"))
-    recs = expand_entries(archives, entries)
+    recs = expand_entries(entries)
     return recs.where(F.col("line_no") > 0).select("file", "line")
 
 

@@ -25,6 +25,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lading.functions.names import entry_table_name, is_feed_entry
 from lading.operators import control
@@ -36,6 +37,7 @@ from lading.operators.parse import (
     parse_lines,
     type_columns,
 )
+from lading.operators.upsert import upsert
 from lading.registry import CONTROL_TABLES, DEFAULT, Registry, registry_df
 from lading.sinks.feed_tables import (
     apply_upserts,
@@ -49,6 +51,16 @@ from lading.sources.archive import expand_entries, list_entries, read_archives
 MAX_ROWS_PER_RUN = 100_000
 PROGRESS = "control/import_progress"
 VERSIONS = "control/dataset_versions"
+STAGED = "control/staged_entries"
+STAGED_SCHEMA = T.StructType(
+    [
+        T.StructField("provider", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("crc", T.StringType()),
+        T.StructField("table", T.StringType()),
+        T.StructField("path", T.StringType()),
+    ]
+)
 
 
 @dataclass
@@ -60,6 +72,7 @@ class ImportResult:
     providers: list = field(default_factory=list)  # per-provider gate rows
     timings: dict = field(default_factory=dict)  # seconds per phase
     errors: dict = field(default_factory=dict)  # table -> error of this run
+    reused: int = 0  # files read from an earlier run's staged records
 
     def table(self, name: str) -> DataFrame:
         lt = self.registry.tables[name]
@@ -138,14 +151,30 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     if not plan_rows:
         return result
 
-    # Expand every wanted entry once, in parallel, into staged records.
-    stage_path = f"{root.rstrip('/')}/staging/run={run_id}"
+    # Staged records: entries staged by an earlier run with the same CRC
+    # (a resumed file) are read again, not decompressed again; the others are
+    # expanded once, in parallel, and recorded as staged.
     plan_df = spark.createDataFrame(plan_rows, plan.schema)
-    staged_src = expand_entries(current, plan_df.select("provider", "version", "archive", "file"))
-    staged_src.join(F.broadcast(plan_df.select("provider", "file", "table")), ["provider", "file"]).drop(
-        "version"
-    ).write.partitionBy("table").parquet(stage_path)
-    staged = spark.read.parquet(stage_path)
+    staged_ctl = read_table(spark, root, STAGED, STAGED_SCHEMA)
+    reuse = plan_df.join(
+        F.broadcast(staged_ctl), ["provider", "file", "crc", "table"], "inner"
+    ).select("provider", "file", "path").collect()  # at most one row per planned file
+    reused = {(r["provider"], r["file"]): r["path"] for r in reuse}
+    to_expand = [r for r in plan_rows if (r["provider"], r["file"]) not in reused]
+    stage_path = f"{root.rstrip('/')}/staging/run={run_id}"
+    if to_expand:
+        todo_df = spark.createDataFrame(to_expand, plan.schema)
+        staged_src = expand_entries(todo_df.select("provider", "version", "archive", "file"))
+        staged_src.join(
+            F.broadcast(todo_df.select("provider", "file", "crc", "table")), ["provider", "file"]
+        ).drop("version").write.partitionBy("table").parquet(stage_path)
+        new_ctl = todo_df.select("provider", "file", "crc", "table", F.lit(stage_path).alias("path"))
+        write_table(upsert(staged_ctl, new_ctl, ["provider", "file", "crc"]).coalesce(1), root, STAGED)
+    paths = sorted(set(reused.values()) | ({stage_path} if to_expand else set()))
+    staged = spark.read.parquet(*paths).join(
+        F.broadcast(plan_df.select("provider", "file", "crc")), ["provider", "file", "crc"], "left_semi"
+    )
+    result.reused = len(reused)
     _mark("expand")
 
     headers = staged.where(F.col("line_no") == 0).select("provider", "file", "table", "header")
@@ -167,24 +196,46 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     plan_info = all_plans.collect()  # one row per file
     _mark("headers")
 
-    # Valid rows per file past the offset; files without a matching column
-    # are completed no-ops.
+    # Rows each file offers past its offset.  An upper bound comes from the
+    # line numbers alone (one narrow column); only providers whose bound
+    # exceeds the budget need the exact count of valid rows, which reads
+    # and checks every record.
     info_df = spark.createDataFrame(plan_info, all_plans.schema)
+    usable = info_df.where(F.col("n_matched") > 0)
+    phys = (
+        staged.where(F.col("line_no") > 0)
+        .groupBy("provider", "file")
+        .agg(F.max("line_no").alias("last_line"))
+    )
+    bounds = usable.join(phys, ["provider", "file"], "left").select(
+        "provider", "file", "table", "offset",
+        F.greatest(F.coalesce("last_line", F.lit(0)), F.col("offset")).cast("long").alias("last_line"),
+    ).withColumn("bound", (F.col("last_line") - F.col("offset")).cast("long"))
+    budget = max_rows if max_rows is not None else (1 << 62)
+    bound_rows = bounds.collect()  # one row per file
+    per_provider: dict[str, int] = {}
+    for r in bound_rows:
+        per_provider[r["provider"]] = per_provider.get(r["provider"], 0) + r["bound"]
+    exact = sorted(p for p, n in per_provider.items() if n > budget)
+
     counted = staged.where(F.col("line_no") > 0).join(
-        F.broadcast(info_df.where(F.col("n_matched") > 0)), ["provider", "file", "table"]
+        F.broadcast(usable.where(F.col("provider").isin(exact))), ["provider", "file", "table"]
     )
     valid = (~F.col("bad_utf8")) & (field_count("line") == F.col("width")) & (
         F.col("line_no") > F.col("offset")
     )
-    counts = counted.groupBy("provider", "file").agg(
-        F.count_if(valid).alias("rows"), F.max("line_no").alias("last_line")
+    exact_rows = {}
+    if exact:
+        for r in counted.groupBy("provider", "file").agg(F.count_if(valid).alias("rows")).collect():
+            exact_rows[(r["provider"], r["file"])] = r["rows"]
+    per_file = spark.createDataFrame(
+        [
+            (r["provider"], r["file"], r["table"], r["offset"], r["last_line"],
+             int(exact_rows.get((r["provider"], r["file"]), 0)) if r["provider"] in exact else r["bound"])
+            for r in bound_rows
+        ],
+        "provider string, file string, table string, offset long, last_line long, rows long",
     )
-    per_file = info_df.where(F.col("n_matched") > 0).join(counts, ["provider", "file"], "left").select(
-        "provider", "file", "table", "offset",
-        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
-        F.greatest(F.coalesce("last_line", F.lit(0)), F.col("offset")).cast("long").alias("last_line"),
-    )
-    budget = max_rows if max_rows is not None else (1 << 62)
     quotas = file_quotas(per_file, budget).collect()  # one row per file
     _mark("count")
 
@@ -223,10 +274,13 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     manifest_rows = read_manifest(spark, root).collect()
     updates = []
     failed: dict[str, str] = {}
+    loaded: dict[tuple, int] = {}
     for t in tables:
         try:
-            updates += _load_table(spark, root, registry, t, staged, stage_path, run_id,
-                                   file_plans[t], grants_df, grants, widths, manifest_rows)
+            ups, counts = _load_table(spark, root, registry, t, staged, stage_path, run_id,
+                                      file_plans[t], grants_df, grants, widths, manifest_rows)
+            updates += ups
+            loaded.update(counts)
         except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
             failed[t] = f"{type(exc).__name__}: {exc}"
         _mark(f"table:{t}")
@@ -274,7 +328,8 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     _mark("control")
     result.errors = failed
     result.files = [
-        {"provider": g[0], "file": g[1], "table": g[2], "last_line": g[3], "status": g[4], "rows": g[5]}
+        {"provider": g[0], "file": g[1], "table": g[2], "last_line": g[3], "status": g[4],
+         "rows": loaded.get((g[0], g[1]), 0)}
         for g in grants
     ] + [
         {"provider": p, "file": f, "table": t, "last_line": o, "status": control.STATUS_DONE, "rows": 0}
@@ -293,9 +348,9 @@ def _offset_of(plan_rows, provider: str, file: str) -> int:
 
 
 def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan, grants_df,
-                grants, widths, manifest_rows) -> list[tuple]:
+                grants, widths, manifest_rows) -> tuple[list[tuple], dict]:
     """Parse, type and upsert the granted rows of one logical table; returns
-    the manifest rows to commit."""
+    the manifest rows to commit and the rows loaded per file."""
     lt = registry.tables[t]
     fp = file_plan.join(F.broadcast(grants_df.select("provider", "file", "upto")), ["provider", "file"])
     parsed = parse_lines(staged.where(F.col("table") == t), fp, lt, widths.get(t, 1))
@@ -314,12 +369,16 @@ def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan,
         "provider", F.lit(t).alias("table"), "file", "line_no", F.explode("_rejects").alias("r"),
     ).select("provider", "table", "file", "line_no", "r.column", "r.text")
     rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/run={run_id}")
+    counts = {
+        (r["provider"], r["file"]): r["n"]
+        for r in typed.groupBy("provider", "file").agg(F.count(F.lit(1)).alias("n")).collect()
+    }  # one row per file
     new = typed.select(*lt.spark_schema().names, "file", "line_no")
-    provs = sorted({g[0] for g in grants if g[2] == t and g[5] > 0})
+    provs = sorted({p for (p, _), n in counts.items() if n > 0})
     if not provs:
-        return []
+        return [], counts
     return apply_upserts(spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
-                         ["file", "line_no"], manifest_rows)
+                         ["file", "line_no"], manifest_rows), counts
 
 
 class ImportFailed(RuntimeError):

@@ -6,12 +6,14 @@ release lands in a new folder, never over an old one.
 
 * :func:`read_archives` — the ``binaryFile`` source, one row per archive.
 * :func:`list_entries` — one row per archive entry (name, CRC-32, size),
-  read from the ZIP's central directory; no entry is decompressed.
+  read from the ZIP's central directory; no entry is decompressed and only
+  the directory at the end of the archive is read.
 * :func:`expand_entries` — one row per CSV record of the wanted entries.
   Deflate is not splittable, so each wanted entry is expanded by one task as
   a stream of Arrow batches (memory stays bounded by the batch size, not the
-  entry size).  Records are numbered here, in file order, so no later step
-  needs a per-file sort.
+  entry size).  The task opens the archive by path and reads only its
+  member: archive bytes never travel through a shuffle.  Records are numbered
+  here, in file order, so no later step needs a per-file sort.
 * :func:`write_archives` — the reverse, used to land tables as feeds: each
   Spark partition writes its own archive.
 """
@@ -19,7 +21,6 @@ release lands in a new folder, never over an old one.
 from __future__ import annotations
 
 import csv
-import io
 import re
 import zipfile
 from typing import Iterator
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lading.sources.fs import open_output
+from lading.sources.fs import open_input, open_output
 
 ARCHIVE_SCHEMA = T.StructType(
     [
@@ -90,12 +91,10 @@ def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for b in batches:
         out = {f: [] for f in ENTRY_SCHEMA.names}
         cols = b.to_pydict()
-        for provider, version, path, content in zip(
-            cols["provider"], cols["version"], cols["path"], cols["content"]
-        ):
+        for provider, version, path in zip(cols["provider"], cols["version"], cols["path"]):
             try:
-                zf = zipfile.ZipFile(io.BytesIO(content))
-                infos = zf.infolist()
+                with open_input(path) as fh:
+                    infos = zipfile.ZipFile(fh).infolist()
             except (zipfile.BadZipFile, OSError, ValueError):
                 continue  # not an archive: nothing to list
             for info in infos:
@@ -129,9 +128,7 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def list_entries(archives: DataFrame) -> DataFrame:
     """One row per entry: ``(provider, version, archive, file, crc, size)``.
     Unreadable archives list nothing."""
-    return archives.select("provider", "version", "path", "content").mapInArrow(
-        _list_batches, ENTRY_SCHEMA
-    )
+    return archives.select("provider", "version", "path").mapInArrow(_list_batches, ENTRY_SCHEMA)
 
 
 def _is_open(record: bytes) -> bool:
@@ -178,17 +175,17 @@ def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     schema = _arrow(LINE_SCHEMA)
     for b in batches:
         cols = b.to_pydict()
-        for provider, version, file, content in zip(
-            cols["provider"], cols["version"], cols["file"], cols["content"]
+        for provider, version, archive, file in zip(
+            cols["provider"], cols["version"], cols["archive"], cols["file"]
         ):
             try:
-                zf = zipfile.ZipFile(io.BytesIO(content))
-                stream = zf.open(file)
+                fh = open_input(archive)
+                stream = zipfile.ZipFile(fh).open(file)
             except (zipfile.BadZipFile, KeyError, OSError, ValueError):
                 continue
             buf = {f: [] for f in LINE_SCHEMA.names}
             line_no = -1
-            with stream:
+            with fh, stream:
                 for rec in _records(stream):
                     if not rec:
                         continue  # blank lines are not records
@@ -214,23 +211,18 @@ def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 yield pa.RecordBatch.from_pydict(buf, schema=schema)
 
 
-def expand_entries(archives: DataFrame, wanted: DataFrame) -> DataFrame:
+def expand_entries(wanted: DataFrame) -> DataFrame:
     """Records of the wanted entries.
 
     ``wanted``: ``(provider, version, archive, file)`` — one row per entry to
-    expand, a plan-sized table.  Each wanted entry meets its archive's bytes
-    in a join and is then placed in its own shuffle partition, so entries
-    expand in parallel.  Output follows ``LINE_SCHEMA``: ``line_no`` 0 is the
-    header record (with ``header`` parsed), data records follow from 1;
-    blank lines are skipped; ``bad_utf8`` marks records that are not UTF-8.
+    expand, a plan-sized table.  Rows are spread round-robin so that every
+    entry gets its own task.  Output follows ``LINE_SCHEMA``: ``line_no`` 0
+    is the header record (with ``header`` parsed), data records follow from
+    1; blank lines are skipped; ``bad_utf8`` marks records that are not UTF-8.
     """
-    a = archives.select(F.col("path").alias("archive"), "content")
     w = wanted.select("provider", "version", "archive", "file")
     n = max(1, w.count())
-    jobs = w.join(a, "archive", "inner").repartition(n, "archive", "file")
-    return jobs.select("provider", "version", "file", "content").mapInArrow(
-        _expand_batches, LINE_SCHEMA
-    )
+    return w.repartition(n).mapInArrow(_expand_batches, LINE_SCHEMA)
 
 
 # --- landing tables as feeds ---------------------------------------------------

@@ -8,7 +8,14 @@ import os
 import pyarrow.fs as pafs
 
 
+# Hadoop spellings of object-store schemes that pyarrow knows by another name.
+_SCHEMES = {"s3a://": "s3://", "s3n://": "s3://"}
+
+
 def _resolve(path: str):
+    for hadoop, arrow in _SCHEMES.items():
+        if path.startswith(hadoop):
+            path = arrow + path[len(hadoop):]
     if "://" in path and not path.startswith("file:"):
         return pafs.FileSystem.from_uri(path)
     local = path[len("file:"):] if path.startswith("file:") else path
@@ -17,6 +24,13 @@ def _resolve(path: str):
     return pafs.LocalFileSystem(), os.path.abspath(local)
 
 
+def open_input(path: str):
+    """A seekable reader: ZIP readers jump to the central directory and to one
+    member instead of reading the whole archive."""
+    fs, p = _resolve(path)
+    return fs.open_input_file(p)
+
+
 def open_output(path: str):
     fs, p = _resolve(path)
     fs.create_dir(p.rsplit("/", 1)[0], recursive=True)

@@ -106,6 +106,7 @@ def test_budget_exact_and_short(spark, land, workdir, budget, first_status):
     assert st["stops.txt"] == first_status
     r2 = run(spark, landing, workdir, max_rows=budget)
     assert r2.rows_imported() == (0 if first_status == 0 else 1)
+    assert r2.reused == (0 if first_status == 0 else 1)  # resumed file is not expanded again
     assert rows(r2.table("stops"), "stop_id") == [("A",), ("B",), ("C",)]
 
 
