@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -174,6 +175,27 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     staged = spark.read.parquet(*paths).join(
         F.broadcast(plan_df.select("provider", "file", "crc")), ["provider", "file", "crc"], "left_semi"
     )
+    # Header records plus, per file, only the records past its offset: a
+    # plan-sized predicate that Parquet evaluates against row-group
+    # statistics (records are stored in file order), so a resumed file's
+    # finished part is skipped, not read.
+    past_offset = reduce(
+        lambda a, b: a | b,
+        [
+            (F.col("provider") == r["provider"]) & (F.col("file") == r["file"])
+            & (F.col("line_no") > r["offset"])
+            for r in plan_rows
+            if r["offset"] > 0
+        ],
+        F.lit(False),
+    )
+    resumed = {(r["provider"], r["file"]) for r in plan_rows if r["offset"] > 0}
+    if resumed:
+        fresh = ~reduce(
+            lambda a, b: a | b,
+            [(F.col("provider") == p) & (F.col("file") == f) for p, f in sorted(resumed)],
+        )
+        staged = staged.where((F.col("line_no") == 0) | fresh | past_offset)
     result.reused = len(reused)
     _mark("expand")
 
