@@ -32,16 +32,23 @@ def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
     spreads over many tasks; per-partition counts give each partition's start
     offset within the group.
     """
+    from lading.session import shared_dir
+
+    shared_dir(df.sparkSession)  # the checkpoint folder must be known
     keys = group_cols + order_cols
     parts = (
         df.repartitionByRange(num_partitions, *keys)
         if num_partitions
         else df.repartitionByRange(*keys)
     )
+    # Range bounds come from sampling, so two evaluations of the partitioning
+    # may cut differently; the counts and the rows must see the same one.
+    # A reliable checkpoint (in spark.checkpoint.dir) fixes it once.
     local = (
         parts.sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_rec", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33)))
+        .checkpoint(eager=True)
     )
     counts = local.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rec").alias("_first")
@@ -54,31 +61,41 @@ def number_rows(df: DataFrame, group_cols: list[str], order_cols: list[str],
     )
 
 
-def number_text_lines(text: DataFrame, group_col: str = "file",
-                      out: str = "line_no") -> DataFrame:
-    """Line numbers of a text source read with ``spark.read.text`` as it comes.
+def number_in_storage_order(rows: DataFrame, group_cols: list[str],
+                            out: str = "line_no") -> DataFrame:
+    """Position of each row within its group, in the order the rows are
+    stored.
 
-    ``text`` must carry ``value`` plus ``_metadata.file_path`` /
-    ``_metadata.file_block_start`` selected straight from the scan (before
-    any shuffle), and ``group_col``: the logical file the lines belong to
-    (by default the physical file).  Lines of one split are read in order by
-    one task; splits are ordered by (file path, block start) within the group.
+    ``rows`` must come straight from a file scan (filters allowed, no
+    shuffle) and carry ``_path`` and ``_block`` (``_metadata.file_path`` and
+    ``_metadata.file_block_start``); a group's rows must be stored in order
+    across its files and splits ordered by (path, block start).  A task reads
+    one split in order, so only per-split counts are shuffled: a window runs
+    over one row per (group, split).
     """
-    local = text.withColumn("_pid", F.spark_partition_id()).withColumn(
+    local = rows.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_rec", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))
     )
     split_cols = ["_path", "_block"]
-    counts = local.groupBy(group_col, *split_cols, "_pid").agg(
+    counts = local.groupBy(*group_cols, *split_cols, "_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rec").alias("_first")
     )
-    offs = _offsets(counts, [group_col], split_cols, "_off")
+    offs = _offsets(counts, group_cols, split_cols, "_off")
     return (
-        local.join(offs.drop("_n"), [group_col, *split_cols, "_pid"], "inner")
+        local.join(offs.drop("_n"), [*group_cols, *split_cols, "_pid"], "inner")
         .withColumn(out, F.col("_off") + F.col("_rec") - F.col("_first") + 1)
         .drop("_pid", "_rec", "_off", "_first")
     )
 
 
+def number_text_lines(text: DataFrame, group_col: str = "file",
+                      out: str = "line_no") -> DataFrame:
+    """Line numbers of a text source read with :func:`read_text_lines`:
+    lines of a logical file (``group_col``; by default the physical file)
+    numbered across its files and splits in (path, block start) order."""
+    return number_in_storage_order(text, [group_col], out)
+
+
 def read_text_lines(spark, path: str, group_col: Column | None = None) -> DataFrame:
     """``spark.read.text`` with the split metadata kept for numbering."""
     raw = spark.read.text(path).select(

@@ -90,7 +90,8 @@ def build_plan(headers: DataFrame, declared: DataFrame, table: LogicalTable) ->
     return plan.withColumn("n_matched", matched)
 
 
-def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_width: int) -> DataFrame:
+def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_width: int,
+                broadcast_plan: bool = True) -> DataFrame:
     """Parse the data records of ``table``'s files and project them onto the
     superset columns (text).
 
@@ -98,13 +99,15 @@ def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_widt
     superset column.  A column absent from a file's header (or not declared
     for its provider) is NULL; a present but empty cell is ``''``.
     ``max_width`` is the widest header among the plan's files; it only sizes
-    the parse schema.
+    the parse schema.  ``broadcast_plan``: the plan has one row per file;
+    callers with very many files pass False and let AQE choose.
     """
     schema = ", ".join(f"c{i} string" for i in range(max(max_width, 1)))
     plan_cols = ["provider", "file", "width"] + [idx_col(c) for c in table.column_names]
     src = lines if "bad_utf8" in lines.columns else lines.withColumn("bad_utf8", F.lit(False))
+    p = plan.where(F.col("n_matched") > 0).select(*plan_cols)
     rows = src.where(F.col("line_no") > 0).join(
-        F.broadcast(plan.where(F.col("n_matched") > 0).select(*plan_cols)),
+        F.broadcast(p) if broadcast_plan else p,
         ["provider", "file"],
         "inner",
     )

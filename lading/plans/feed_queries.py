@@ -398,7 +398,7 @@ def provider_gate(spark, sf_dir):
     changes = _nation_versions(spark, sf_dir)
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    progress = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    progress = c.join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("n_name").alias("Provider"),
         F.concat(F.lit("c"), _s("c_custkey")).alias("FileName"),
         F.when(F.col("c_acctbal") < 0, F.lit(1)).when(F.col("c_acctbal") > 9000, F.lit(None))

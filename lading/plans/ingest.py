@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lading.functions.names import entry_table_name, is_feed_entry
 from lading.operators import control
-from lading.operators.lines import file_quotas, number_rows
+from lading.operators.lines import file_quotas, number_in_storage_order
 from lading.operators.parse import (
     build_plan,
     declared_columns,
@@ -50,6 +50,11 @@ from lading.sinks.snapshots import read_table, write_table
 from lading.sources.archive import expand_entries, list_entries, read_archives
 
 MAX_ROWS_PER_RUN = 100_000
+# Plan tables (one row per file) are broadcast below this many rows; above it
+# they join like any table and AQE picks the strategy from runtime sizes.
+BROADCAST_PLAN_ROWS = 200_000
+# Files whose offset is pushed into the staged scan as a literal predicate.
+PUSHED_OFFSETS = 1_000
 PROGRESS = "control/import_progress"
 VERSIONS = "control/dataset_versions"
 STAGED = "control/staged_entries"
@@ -151,14 +156,20 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     _mark("plan")
     if not plan_rows:
         return result
+    small = len(plan_rows) <= BROADCAST_PLAN_ROWS
+
+    def plan_side(df: DataFrame) -> DataFrame:
+        """Broadcast a plan-sized side only while the plan is small."""
+        return F.broadcast(df) if small else df
 
     # Staged records: entries staged by an earlier run with the same CRC
     # (a resumed file) are read again, not decompressed again; the others are
     # expanded once, in parallel, and recorded as staged.
     plan_df = spark.createDataFrame(plan_rows, plan.schema)
     staged_ctl = read_table(spark, root, STAGED, STAGED_SCHEMA)
-    reuse = plan_df.join(
-        F.broadcast(staged_ctl), ["provider", "file", "crc", "table"], "inner"
+    reuse = staged_ctl.join(
+        plan_side(plan_df.select("provider", "file", "crc", "table")),
+        ["provider", "file", "crc", "table"], "inner",
     ).select("provider", "file", "path").collect()  # at most one row per planned file
     reused = {(r["provider"], r["file"]): r["path"] for r in reuse}
     to_expand = [r for r in plan_rows if (r["provider"], r["file"]) not in reused]
@@ -166,15 +177,20 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     if to_expand:
         todo_df = spark.createDataFrame(to_expand, plan.schema)
         staged_src = expand_entries(todo_df.select("provider", "version", "archive", "file"))
+        # No partitionBy: it would sort the records by table, and a sort that
+        # spills does not keep their file order.  Each entry lands in one
+        # file, in order; the table column's statistics prune files per table.
         staged_src.join(
-            F.broadcast(todo_df.select("provider", "file", "crc", "table")), ["provider", "file"]
-        ).drop("version").write.partitionBy("table").parquet(stage_path)
+            plan_side(todo_df.select("provider", "file", "crc", "table")), ["provider", "file"]
+        ).drop("version").write.parquet(stage_path)
         new_ctl = todo_df.select("provider", "file", "crc", "table", F.lit(stage_path).alias("path"))
         write_table(upsert(staged_ctl, new_ctl, ["provider", "file", "crc"]).coalesce(1), root, STAGED)
     paths = sorted(set(reused.values()) | ({stage_path} if to_expand else set()))
-    staged = spark.read.parquet(*paths).join(
-        F.broadcast(plan_df.select("provider", "file", "crc")), ["provider", "file", "crc"], "left_semi"
-    )
+    staged = spark.read.parquet(*paths).select(
+        "*",
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    ).join(plan_side(plan_df.select("provider", "file", "crc")), ["provider", "file", "crc"], "left_semi")
     # Header records plus, per file, only the records past its offset: a
     # plan-sized predicate that Parquet evaluates against row-group
     # statistics (records are stored in file order), so a resumed file's
@@ -190,7 +206,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         F.lit(False),
     )
     resumed = {(r["provider"], r["file"]) for r in plan_rows if r["offset"] > 0}
-    if resumed:
+    if resumed and len(resumed) <= PUSHED_OFFSETS:
         fresh = ~reduce(
             lambda a, b: a | b,
             [(F.col("provider") == p) & (F.col("file") == f) for p, f in sorted(resumed)],
@@ -200,14 +216,14 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     _mark("expand")
 
     headers = staged.where(F.col("line_no") == 0).select("provider", "file", "table", "header")
-    header_rows = headers.collect()  # one row per file
-    widths = {}
-    for r in header_rows:
-        widths[r["table"]] = max(widths.get(r["table"], 1), len(r["header"] or []))
+    widths = {
+        r["table"]: max(1, r["w"] or 0)
+        for r in headers.groupBy("table").agg(F.max(F.size("header")).alias("w")).collect()
+    }  # one row per logical table
     tables = sorted({r["table"] for r in plan_rows})
     file_plans = {
         t: build_plan(headers, declared, registry.tables[t]).join(
-            F.broadcast(plan_df.select("provider", "file", "offset")), ["provider", "file"]
+            plan_side(plan_df.select("provider", "file", "offset")), ["provider", "file"]
         )
         for t in tables
     }
@@ -241,7 +257,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     exact = sorted(p for p, n in per_provider.items() if n > budget)
 
     counted = staged.where(F.col("line_no") > 0).join(
-        F.broadcast(usable.where(F.col("provider").isin(exact))), ["provider", "file", "table"]
+        plan_side(usable.where(F.col("provider").isin(exact))), ["provider", "file", "table"]
     )
     valid = (~F.col("bad_utf8")) & (field_count("line") == F.col("width")) & (
         F.col("line_no") > F.col("offset")
@@ -269,10 +285,10 @@ def import_landing(spark: SparkSession, landing: str, root: str,
             [(r["provider"], r["file"], r["quota"]) for r in partial],
             "provider string, file string, quota long",
         )
-        prow = counted.where(valid).join(F.broadcast(pdf), ["provider", "file"]).select(
-            "provider", "file", "line_no", "quota"
+        prow = counted.where(valid).join(plan_side(pdf), ["provider", "file"]).select(
+            "provider", "file", "line_no", "quota", "_path", "_block"
         )
-        numbered = number_rows(prow, ["provider", "file"], ["line_no"], out="valid_no")
+        numbered = number_in_storage_order(prow, ["provider", "file"], out="valid_no")
         for r in numbered.where(F.col("valid_no") == F.col("quota")).select(
             "provider", "file", "line_no"
         ).collect():
@@ -300,7 +316,8 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     for t in tables:
         try:
             ups, counts = _load_table(spark, root, registry, t, staged, stage_path, run_id,
-                                      file_plans[t], grants_df, grants, widths, manifest_rows)
+                                      file_plans[t], grants_df, grants, widths, manifest_rows,
+                                      small)
             updates += ups
             loaded.update(counts)
         except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
@@ -370,16 +387,20 @@ def _offset_of(plan_rows, provider: str, file: str) -> int:
 
 
 def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan, grants_df,
-                grants, widths, manifest_rows) -> tuple[list[tuple], dict]:
+                grants, widths, manifest_rows, small) -> tuple[list[tuple], dict]:
     """Parse, type and upsert the granted rows of one logical table; returns
     the manifest rows to commit and the rows loaded per file."""
     lt = registry.tables[t]
-    fp = file_plan.join(F.broadcast(grants_df.select("provider", "file", "upto")), ["provider", "file"])
-    parsed = parse_lines(staged.where(F.col("table") == t), fp, lt, widths.get(t, 1))
+    def plan_side(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if small else df
+
+    fp = file_plan.join(plan_side(grants_df.select("provider", "file", "upto")), ["provider", "file"])
+    parsed = parse_lines(staged.where(F.col("table") == t), fp, lt, widths.get(t, 1),
+                         broadcast_plan=small)
     bounds = fp.select("provider", "file", "offset", "upto")
     taken = (
         parsed.where(F.col("valid"))
-        .join(F.broadcast(bounds), ["provider", "file"])
+        .join(plan_side(bounds), ["provider", "file"])
         .where((F.col("line_no") > F.col("offset")) & (F.col("line_no") <= F.col("upto")))
     )
     # Typed rows are written once to the staging folder: the rejects and the

@@ -221,7 +221,10 @@ def expand_entries(wanted: DataFrame) -> DataFrame:
     1; blank lines are skipped; ``bad_utf8`` marks records that are not UTF-8.
     """
     w = wanted.select("provider", "version", "archive", "file")
-    n = max(1, w.count())
+    # One task per entry, up to a few waves of the cluster's cores; beyond
+    # that, tasks take several entries one after the other.
+    cap = max(1, w.sparkSession.sparkContext.defaultParallelism * 8)
+    n = max(1, min(w.count(), cap))
     return w.repartition(n).mapInArrow(_expand_batches, LINE_SCHEMA)
 
 
