@@ -139,8 +139,12 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         F.broadcast(todo.withColumnRenamed("remote_version", "version")), ["provider", "version"]
     )
     declared = declared_columns(registry_df(spark, registry))
+    # The listing reads only central directories; it is kept for the plan
+    # and for telling readable archives from broken ones.
+    listing = list_entries(current).persist()
+    readable = {r["provider"] for r in listing.select("provider").distinct().collect()}
     entries = (
-        list_entries(current)
+        listing
         .where(is_feed_entry("file"))
         .withColumn("table", entry_table_name("file"))
         .where(~F.col("table").isin(*CONTROL_TABLES))
@@ -153,8 +157,16 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         "provider", "version", "archive", "file", "crc", "table", "offset"
     )
     plan_rows = plan.collect()  # one row per file to import
+    listing.unpersist()
     _mark("plan")
+    # A new version is recorded once its archive could be read, even when no
+    # file in it changed; an unreadable archive is retried next run.
+    changed = todo.where(
+        (F.col("action") == "import") & F.col("provider").isin(sorted(readable))
+    ).select(F.col("provider").alias("Provider"), F.col("remote_version").alias("ETag"))
     if not plan_rows:
+        if any(r["action"] == "import" and r["provider"] in readable for r in gate_rows):
+            write_table(control.set_versions(versions, changed).coalesce(1), root, VERSIONS)
         return result
     small = len(plan_rows) <= BROADCAST_PLAN_ROWS
 
@@ -359,9 +371,6 @@ def import_landing(spark: SparkSession, landing: str, root: str,
 
     # Versions last: a crash before this line makes the next run redo the
     # import instead of skipping it.
-    changed = todo.where(F.col("action") == "import").select(
-        F.col("provider").alias("Provider"), F.col("remote_version").alias("ETag")
-    )
     write_table(control.set_versions(versions, changed).coalesce(1), root, VERSIONS)
 
     _mark("control")

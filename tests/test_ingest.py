@@ -181,3 +181,28 @@ def test_failed_table_does_not_stop_siblings(spark, land, workdir, monkeypatch):
     assert again.providers[0]["action"] == "resume"
     assert {f["file"] for f in again.files} == {"agency.txt"}
     assert rows(again.table("agency"), "agency_id") == [("X",)]
+
+
+def test_new_version_without_changed_files_is_recorded(spark, land, workdir):
+    files = {"stops.txt": STOPS_HDR + "\nA,a,1,1\n"}
+    landing = land("ktmb", "e1", files)
+    run(spark, landing, workdir)
+    land("ktmb", "e2", files)  # same content, same CRC
+    r2 = run(spark, landing, workdir)
+    assert r2.providers[0]["action"] == "import" and r2.files == []
+    assert [r["ETag"] for r in r2.versions().collect()] == ["e2"]
+    r3 = run(spark, landing, workdir)
+    assert r3.providers[0]["action"] == "skip"
+
+
+def test_unreadable_archive_is_retried(spark, land, workdir):
+    landing = land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nA,a,1,1\n"})
+    run(spark, landing, workdir)
+    import os
+    bad = f"{landing}/provider=ktmb/version=e2/feed.zip"
+    os.makedirs(os.path.dirname(bad.replace("file:", "")), exist_ok=True)
+    with open(bad.replace("file:", ""), "wb") as fh:
+        fh.write(b"not a zip")
+    r2 = run(spark, landing, workdir)
+    assert r2.providers[0]["action"] == "import"
+    assert [r["ETag"] for r in r2.versions().collect()] == ["e1"]
