@@ -24,7 +24,7 @@ import uuid
 from functools import reduce
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,6 +93,26 @@ class ImportResult:
     def rows_imported(self) -> int:
         return sum(r["rows"] for r in self.files)
 
+    def run_log(self) -> DataFrame:
+        """Rows and last line per file, totals per provider, and whether a
+        file's table failed — the run log as a table (one row per file)."""
+        rows = [
+            (f["provider"], f["file"], f["rows"], f["last_line"], f["table"] in self.errors)
+            for f in self.files
+        ]
+        df = self.spark.createDataFrame(
+            rows, "provider string, file string, n long, line_no long, error boolean"
+        )
+        # One input row per file carrying its count: sum instead of count.
+        per_file = df.groupBy("provider", "file").agg(
+            F.sum("n").alias("rows"), F.max("line_no").alias("last_line"),
+            F.bool_or("error").alias("file_error"),
+        )
+        w = Window.partitionBy("provider")
+        return per_file.withColumn("provider_rows", F.sum("rows").over(w)).withColumn(
+            "provider_error", F.bool_or("file_error").over(w)
+        )
+
 
 def _newest_versions(archives: DataFrame) -> DataFrame:
     """Per provider, the version folder holding the newest archive."""

@@ -173,6 +173,8 @@ def test_failed_table_does_not_stop_siblings(spark, land, workdir, monkeypatch):
         run(spark, landing, workdir)
     res = err.value.result
     assert set(res.errors) == {"agency"}
+    log = {r["file"]: (r["rows"], r["file_error"], r["provider_error"]) for r in res.run_log().collect()}
+    assert log == {"stops.txt": (1, False, True), "agency.txt": (0, True, True)}
     assert rows(res.table("stops"), "stop_id") == [("A",)]
     prog = {r["FileName"]: (r["Status"], r["LastProcessedLine"]) for r in res.progress().collect()}
     assert prog == {"stops.txt": (0, 1), "agency.txt": (1, 0)}
