@@ -349,7 +349,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         try:
             ups, counts = _load_table(spark, root, registry, t, staged, stage_path, run_id,
                                       file_plans[t], grants_df, grants, widths, manifest_rows,
-                                      small)
+                                      small, result.timings)
             updates += ups
             loaded.update(counts)
         except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
@@ -416,9 +416,17 @@ def _offset_of(plan_rows, provider: str, file: str) -> int:
 
 
 def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan, grants_df,
-                grants, widths, manifest_rows, small) -> tuple[list[tuple], dict]:
+                grants, widths, manifest_rows, small, timings=None) -> tuple[list[tuple], dict]:
     """Parse, type and upsert the granted rows of one logical table; returns
     the manifest rows to commit and the rows loaded per file."""
+    clock = [time.perf_counter()]
+
+    def step(name: str) -> None:
+        if timings is not None:
+            now = time.perf_counter()
+            timings[f"{t}:{name}"] = round(now - clock[0], 3)
+            clock[0] = now
+
     lt = registry.tables[t]
     def plan_side(df: DataFrame) -> DataFrame:
         return F.broadcast(df) if small else df
@@ -437,20 +445,25 @@ def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan,
     typed_path = f"{stage_path}_typed/table={t}"
     type_columns(taken, lt).write.parquet(typed_path)
     typed = spark.read.parquet(typed_path)
+    step("parse_type_write")
     rejects = typed.where(F.size("_rejects") > 0).select(
         "provider", F.lit(t).alias("table"), "file", "line_no", F.explode("_rejects").alias("r"),
     ).select("provider", "table", "file", "line_no", "r.column", "r.text")
     rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/run={run_id}")
+    step("rejects")
     counts = {
         (r["provider"], r["file"]): r["n"]
         for r in typed.groupBy("provider", "file").agg(F.count(F.lit(1)).alias("n")).collect()
     }  # one row per file
+    step("counts")
     new = typed.select(*lt.spark_schema().names, "file", "line_no")
     provs = sorted({p for (p, _), n in counts.items() if n > 0})
     if not provs:
         return [], counts
-    return apply_upserts(spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
-                         ["file", "line_no"], manifest_rows), counts
+    ups = apply_upserts(spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
+                        ["file", "line_no"], manifest_rows)
+    step("upsert_write")
+    return ups, counts
 
 
 class ImportFailed(RuntimeError):
