@@ -218,32 +218,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         new_ctl = todo_df.select("provider", "file", "crc", "table", F.lit(stage_path).alias("path"))
         write_table(upsert(staged_ctl, new_ctl, ["provider", "file", "crc"]).coalesce(1), root, STAGED)
     paths = sorted(set(reused.values()) | ({stage_path} if to_expand else set()))
-    staged = spark.read.parquet(*paths).select(
-        "*",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    ).join(plan_side(plan_df.select("provider", "file", "crc")), ["provider", "file", "crc"], "left_semi")
-    # Header records plus, per file, only the records past its offset: a
-    # plan-sized predicate that Parquet evaluates against row-group
-    # statistics (records are stored in file order), so a resumed file's
-    # finished part is skipped, not read.
-    past_offset = reduce(
-        lambda a, b: a | b,
-        [
-            (F.col("provider") == r["provider"]) & (F.col("file") == r["file"])
-            & (F.col("line_no") > r["offset"])
-            for r in plan_rows
-            if r["offset"] > 0
-        ],
-        F.lit(False),
-    )
-    resumed = {(r["provider"], r["file"]) for r in plan_rows if r["offset"] > 0}
-    if resumed and len(resumed) <= PUSHED_OFFSETS:
-        fresh = ~reduce(
-            lambda a, b: a | b,
-            [(F.col("provider") == p) & (F.col("file") == f) for p, f in sorted(resumed)],
-        )
-        staged = staged.where((F.col("line_no") == 0) | fresh | past_offset)
+    staged = staged_records(spark, paths, plan_df, plan_rows, plan_side)
     result.reused = len(reused)
     _mark("expand")
 
@@ -408,6 +383,40 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     return result
 
 
+def staged_records(spark: SparkSession, paths: list[str], plan_df: DataFrame, plan_rows,
+                   plan_side) -> DataFrame:
+    """The staged records of the planned files, with their split metadata.
+
+    Header records plus, per file, only the records past its offset: a
+    plan-sized predicate that Parquet evaluates against row-group statistics
+    (records are stored in file order), so a resumed file's finished part is
+    skipped, not read.  Beyond ``PUSHED_OFFSETS`` resumed files the offset
+    is applied after the join instead.
+    """
+    staged = spark.read.parquet(*paths).select(
+        "*",
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+    )
+    resumed = sorted({(r["provider"], r["file"], r["offset"]) for r in plan_rows if r["offset"] > 0})
+    if resumed and len(resumed) <= PUSHED_OFFSETS:
+        past_offset = reduce(
+            lambda a, b: a | b,
+            [
+                (F.col("provider") == p) & (F.col("file") == f) & (F.col("line_no") > o)
+                for p, f, o in resumed
+            ],
+        )
+        fresh = ~reduce(
+            lambda a, b: a | b,
+            [(F.col("provider") == p) & (F.col("file") == f) for p, f, _ in resumed],
+        )
+        staged = staged.where((F.col("line_no") == 0) | fresh | past_offset)
+    return staged.join(
+        plan_side(plan_df.select("provider", "file", "crc")), ["provider", "file", "crc"], "left_semi"
+    )
+
+
 def _offset_of(plan_rows, provider: str, file: str) -> int:
     for r in plan_rows:
         if r["provider"] == provider and r["file"] == file:
