@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from lading.functions.names import entry_table_name, is_feed_entry
 from lading.operators import control
-from lading.operators.lines import file_quotas, number_in_storage_order
+from lading.operators.lines import file_quotas, number_in_storage_order, number_rows
 from lading.operators.parse import (
     build_plan,
     declared_columns,
@@ -295,7 +295,13 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         prow = counted.where(valid).join(plan_side(pdf), ["provider", "file"]).select(
             "provider", "file", "line_no", "quota", "_path", "_block"
         )
-        numbered = number_in_storage_order(prow, ["provider", "file"], out="valid_no")
+        # Storage order holds only while no join shuffled the records, i.e.
+        # while the plan sides are broadcast; otherwise sort by line.
+        numbered = (
+            number_in_storage_order(prow, ["provider", "file"], out="valid_no")
+            if small
+            else number_rows(prow.drop("_path", "_block"), ["provider", "file"], ["line_no"], out="valid_no")
+        )
         for r in numbered.where(F.col("valid_no") == F.col("quota")).select(
             "provider", "file", "line_no"
         ).collect():

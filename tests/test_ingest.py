@@ -208,3 +208,19 @@ def test_unreadable_archive_is_retried(spark, land, workdir):
     r2 = run(spark, landing, workdir)
     assert r2.providers[0]["action"] == "import"
     assert [r["ETag"] for r in r2.versions().collect()] == ["e1"]
+
+
+def test_budget_cut_without_broadcast_plans(spark, land, workdir, monkeypatch):
+    """With plan tables too large to broadcast, the cut line is found by
+    sorting instead of storage order; results are the same."""
+    import lading.plans.ingest as ingest
+
+    monkeypatch.setattr(ingest, "BROADCAST_PLAN_ROWS", 0)
+    body = STOPS_HDR + "\n" + "".join(f"S{i},n{i},1,1\n" for i in range(30)) + "bad\n" + "S99,x,1,1\n"
+    landing = land("ktmb", "e1", {"stops.txt": body})
+    r1 = run(spark, landing, workdir, max_rows=25)
+    assert r1.rows_imported() == 25
+    assert [r["LastProcessedLine"] for r in r1.progress().collect()] == [25]
+    r2 = run(spark, landing, workdir, max_rows=25)
+    assert r2.rows_imported() == 6
+    assert r2.table("stops").count() == 31
