@@ -170,11 +170,18 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         .where(~F.col("table").isin(*CONTROL_TABLES))
         .join(F.broadcast(declared.where(F.size("declared") > 0)), ["provider", "table"], "inner")
     )
+    # The stored fingerprint is the entry's CRC plus a hash of the columns
+    # declared for its table: a file whose content is unchanged is still
+    # imported again when its declared schema changed.
+    entries = entries.withColumn("raw_crc", F.col("crc")).withColumn(
+        "crc",
+        F.concat("raw_crc", F.lit(":"), F.substring(F.md5(F.concat_ws(",", "declared")), 1, 8)),
+    )
     states = control.resume_state(entries, progress)
     # A provider resumed without a version change whose open files are all
     # gone from the current archive has nothing to do.
     plan = states.where(F.col("action") != "skip").select(
-        "provider", "version", "archive", "file", "crc", "table", "offset"
+        "provider", "version", "archive", "file", "crc", "raw_crc", "table", "offset"
     )
     plan_rows = plan.collect()  # one row per file to import
     listing.unpersist()
@@ -200,7 +207,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     plan_df = spark.createDataFrame(plan_rows, plan.schema)
     staged_ctl = read_table(spark, root, STAGED, STAGED_SCHEMA)
     reuse = staged_ctl.join(
-        plan_side(plan_df.select("provider", "file", "crc", "table")),
+        plan_side(plan_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table")),
         ["provider", "file", "crc", "table"], "inner",
     ).select("provider", "file", "path").collect()  # at most one row per planned file
     reused = {(r["provider"], r["file"]): r["path"] for r in reuse}
@@ -213,9 +220,12 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         # spills does not keep their file order.  Each entry lands in one
         # file, in order; the table column's statistics prune files per table.
         staged_src.join(
-            plan_side(todo_df.select("provider", "file", "crc", "table")), ["provider", "file"]
+            plan_side(todo_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table")),
+            ["provider", "file"],
         ).drop("version").write.parquet(stage_path)
-        new_ctl = todo_df.select("provider", "file", "crc", "table", F.lit(stage_path).alias("path"))
+        new_ctl = todo_df.select(
+            "provider", "file", F.col("raw_crc").alias("crc"), "table", F.lit(stage_path).alias("path")
+        )
         write_table(upsert(staged_ctl, new_ctl, ["provider", "file", "crc"]).coalesce(1), root, STAGED)
     paths = sorted(set(reused.values()) | ({stage_path} if to_expand else set()))
     staged = staged_records(spark, paths, plan_df, plan_rows, plan_side)
@@ -419,7 +429,9 @@ def staged_records(spark: SparkSession, paths: list[str], plan_df: DataFrame, pl
         )
         staged = staged.where((F.col("line_no") == 0) | fresh | past_offset)
     return staged.join(
-        plan_side(plan_df.select("provider", "file", "crc")), ["provider", "file", "crc"], "left_semi"
+        plan_side(plan_df.select("provider", "file", F.col("raw_crc").alias("crc"))),
+        ["provider", "file", "crc"],
+        "left_semi",
     )
 
 

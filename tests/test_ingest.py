@@ -224,3 +224,24 @@ def test_budget_cut_without_broadcast_plans(spark, land, workdir, monkeypatch):
     r2 = run(spark, landing, workdir, max_rows=25)
     assert r2.rows_imported() == 6
     assert r2.table("stops").count() == 31
+
+
+def test_widened_schema_reimports_unchanged_file(spark, land, workdir):
+    from lading.registry import build_registry, LOGICAL_TABLES_TEXT
+
+    two = build_registry(LOGICAL_TABLES_TEXT, "[ktmb]\nstops: stop_id stop_name")
+    three = build_registry(LOGICAL_TABLES_TEXT, "[ktmb]\nstops: stop_id stop_name stop_lat")
+    files = {"stops.txt": STOPS_HDR + "\nA,a,1.5,2\n"}
+    landing = land("ktmb", "e1", files)
+    r1 = run(spark, landing, workdir, registry=two)
+    assert rows(r1.table("stops"), "stop_id", "stop_lat") == [("A", None)]
+    land("ktmb", "e2", files)  # new version, same file, same CRC
+    r2 = run(spark, landing, workdir, registry=two)
+    assert r2.files == []  # same schema: skipped
+    land("ktmb", "e3", files)
+    r3 = run(spark, landing, workdir, registry=three)
+    assert {f["file"] for f in r3.files} == {"stops.txt"}
+    assert rows(r3.table("stops"), "stop_id", "stop_lat") == [("A", 1.5)]
+    assert r3.reused == 1  # records are the same: staged ones are read again
+    crc = r3.progress().collect()[0]["CRC"]
+    assert len(crc) == 17 and crc[8] == ":"
