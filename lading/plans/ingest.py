@@ -123,12 +123,16 @@ def _newest_versions(archives: DataFrame) -> DataFrame:
 
 def import_landing(spark: SparkSession, landing: str, root: str,
                    registry: Registry = DEFAULT, max_rows: int | None = MAX_ROWS_PER_RUN,
-                   providers: list[str] | None = None) -> ImportResult:
+                   providers: list[str] | None = None, keyless: str = "append") -> ImportResult:
     """Import the newest feed version of every provider below ``landing``
     into the tables under ``root``.  ``max_rows`` caps the valid rows per
     provider and run (``None``: no cap); the next run continues where this
     one stopped.  ``providers``: restrict to these (e.g. the active ones of
-    the catalogue)."""
+    the catalogue).  ``keyless``: ``append`` (a re-imported file of a keyless
+    table adds its rows again) or ``replace_file`` (its earlier rows are
+    replaced)."""
+    if keyless not in ("append", "replace_file"):
+        raise ValueError(f"keyless must be 'append' or 'replace_file', not {keyless!r}")
     result = ImportResult(spark, root, registry)
     run_id = uuid.uuid4().hex[:12]
     clock = [time.perf_counter()]
@@ -340,7 +344,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         try:
             ups, counts = _load_table(spark, root, registry, t, staged, stage_path, run_id,
                                       file_plans[t], grants_df, grants, widths, manifest_rows,
-                                      small, result.timings)
+                                      small, result.timings, keyless)
             updates += ups
             loaded.update(counts)
         except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
@@ -443,7 +447,8 @@ def _offset_of(plan_rows, provider: str, file: str) -> int:
 
 
 def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan, grants_df,
-                grants, widths, manifest_rows, small, timings=None) -> tuple[list[tuple], dict]:
+                grants, widths, manifest_rows, small, timings=None,
+                keyless: str = "append") -> tuple[list[tuple], dict]:
     """Parse, type and upsert the granted rows of one logical table; returns
     the manifest rows to commit and the rows loaded per file."""
     clock = [time.perf_counter()]
@@ -483,12 +488,20 @@ def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan,
         for r in typed.groupBy("provider", "file").agg(F.count(F.lit(1)).alias("n")).collect()
     }  # one row per file
     step("counts")
-    new = typed.select(*lt.spark_schema().names, "file", "line_no")
+    new = typed.withColumn("_source_file", F.col("file")).select(
+        *lt.spark_schema().names, "file", "line_no"
+    )
     provs = sorted({p for (p, _), n in counts.items() if n > 0})
     if not provs:
         return [], counts
+    replace = None
+    if keyless == "replace_file":
+        keyless_provs = set(registry.keyless_providers(t)) if lt.key else set(provs)
+        files = sorted({(p, f) for (p, f), n in counts.items() if n > 0 and p in keyless_provs})
+        if files:
+            replace = spark.createDataFrame(files, "provider string, _source_file string")
     ups = apply_upserts(spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
-                        ["file", "line_no"], manifest_rows)
+                        ["file", "line_no"], manifest_rows, replace_files=replace)
     step("upsert_write")
     return ups, counts
 

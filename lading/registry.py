@@ -121,8 +121,12 @@ class LogicalTable:
         return [c for c, _ in self.columns]
 
     def spark_schema(self, with_provider: bool = True) -> T.StructType:
+        """Stored schema: provider, the superset columns, and the feed file a
+        row came from (``_source_file``)."""
         fields = [T.StructField("provider", T.StringType())] if with_provider else []
         fields += [T.StructField(c, SPARK_TYPES[a]) for c, a in self.columns]
+        if with_provider:
+            fields.append(T.StructField("_source_file", T.StringType()))
         return T.StructType(fields)
 
 
@@ -132,6 +136,9 @@ class Registry:
     # (provider, table) -> (declared columns in order, keyed?)
     declared: dict[tuple[str, str], tuple[tuple[str, ...], bool]]
 
+    def keyless_providers(self, table: str) -> list[str]:
+        return sorted(p for (p, t), (_, keyed) in self.declared.items() if t == table and not keyed)
+
     def providers(self) -> list[str]:
         return sorted({p for p, _ in self.declared})
 

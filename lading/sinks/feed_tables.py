@@ -56,11 +56,18 @@ def read_feed_table(spark: SparkSession, root: str, table: str, schema: T.Struct
 
 def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructType,
                   new: DataFrame, providers: list[str], key: list[str],
-                  order_cols: list[str], manifest_rows) -> list[tuple]:
+                  order_cols: list[str], manifest_rows,
+                  replace_files: DataFrame | None = None) -> list[tuple]:
     """Upsert ``new`` into the given providers' rows of ``table`` and write
-    them as a new version.  Returns the manifest rows to commit."""
+    them as a new version.  Returns the manifest rows to commit.
+
+    ``replace_files`` (``provider, _source_file``; one row per file): old rows
+    loaded from these files are dropped first — the keyless-table option that
+    replaces a re-imported file instead of appending it again."""
     cols = schema.names
     old = read_feed_table(spark, root, table, schema, providers, manifest_rows)
+    if replace_files is not None:
+        old = old.join(F.broadcast(replace_files), ["provider", "_source_file"], "left_anti")
     # The provider is part of every key: providers never conflict.
     merged = upsert(old, new, ["provider", *key] if key else [],
                     order_cols=order_cols, keep_cols=cols)

@@ -245,3 +245,12 @@ def test_widened_schema_reimports_unchanged_file(spark, land, workdir):
     assert r3.reused == 1  # records are the same: staged ones are read again
     crc = r3.progress().collect()[0]["CRC"]
     assert len(crc) == 17 and crc[8] == ":"
+
+
+def test_keyless_replace_file_option(spark, land, workdir):
+    hdr = "leg_group_id,from_area_id,to_area_id,fare_product_id\n"
+    landing = land("mybas-johor", "e1", {"fare_leg_rules.txt": hdr + "g,a,b,f\ng2,a,b,f\n"})
+    run(spark, landing, workdir, keyless="replace_file")
+    land("mybas-johor", "e2", {"fare_leg_rules.txt": hdr + "g,a,b,f\n "})
+    res = run(spark, landing, workdir, keyless="replace_file")
+    assert rows(res.table("fare_leg_rules"), "leg_group_id", "_source_file") == [("g", "fare_leg_rules.txt")]
