@@ -55,6 +55,8 @@ MAX_ROWS_PER_RUN = 100_000
 BROADCAST_PLAN_ROWS = 200_000
 # Files whose offset is pushed into the staged scan as a literal predicate.
 PUSHED_OFFSETS = 1_000
+_INFO_COLS = ("provider", "file", "table", "width", "n_matched", "offset")
+_INFO_SCHEMA = "provider string, file string, table string, width int, n_matched int, offset long"
 PROGRESS = "control/import_progress"
 VERSIONS = "control/dataset_versions"
 STAGED = "control/staged_entries"
@@ -242,24 +244,24 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         for r in headers.groupBy("table").agg(F.max(F.size("header")).alias("w")).collect()
     }  # one row per logical table
     tables = sorted({r["table"] for r in plan_rows})
-    file_plans = {
-        t: build_plan(headers, declared, registry.tables[t]).join(
-            plan_side(plan_df.select("provider", "file", "offset")), ["provider", "file"]
-        )
-        for t in tables
-    }
-    all_plans = None
+    # Per table, the file plan (header positions per file) is computed once
+    # and kept as a local relation: later joins broadcast it without
+    # re-running the header scan.
+    offsets_df = plan_side(plan_df.select("provider", "file", "offset"))
+    file_plans = {}
+    plan_info = []
     for t in tables:
-        p = file_plans[t].select("provider", "file", "table", "width", "n_matched", "offset")
-        all_plans = p if all_plans is None else all_plans.unionByName(p)
-    plan_info = all_plans.collect()  # one row per file
+        fp = build_plan(headers, declared, registry.tables[t]).join(offsets_df, ["provider", "file"])
+        fp_rows = fp.collect()  # one row per file of this table
+        file_plans[t] = spark.createDataFrame(fp_rows, fp.schema)
+        plan_info += [{k: r[k] for k in _INFO_COLS} for r in fp_rows]
     _mark("headers")
 
     # Rows each file offers past its offset.  An upper bound comes from the
     # line numbers alone (one narrow column); only providers whose bound
     # exceeds the budget need the exact count of valid rows, which reads
     # and checks every record.
-    info_df = spark.createDataFrame(plan_info, all_plans.schema)
+    info_df = spark.createDataFrame([tuple(r[k] for k in _INFO_COLS) for r in plan_info], _INFO_SCHEMA)
     usable = info_df.where(F.col("n_matched") > 0)
     phys = (
         staged.where(F.col("line_no") > 0)
@@ -381,7 +383,14 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
         F.col("upto").alias("LastProcessedLine"), F.col("status").alias("Status"),
     ).unionByName(no_match)
-    new_progress = control.close_progress(control.open_progress(progress, opened), closes)
+    # Every planned file is opened and closed in this run, so open-then-close
+    # is one upsert of the final rows (a close never meets a missing row).
+    final = opened.drop("LastProcessedLine").join(closes, ["Provider", "FileName"]).select(
+        "Provider", "FileName", "CRC", F.col("LastProcessedLine").cast("long"),
+        control.checked_status("Status").alias("Status"),
+        F.current_timestamp().alias("UpdatedAt"),
+    )
+    new_progress = upsert(progress.select(*control.PROGRESS_SCHEMA.names), final, control.PROGRESS_KEY)
     write_table(new_progress.coalesce(1), root, PROGRESS)
 
     # Versions last: a crash before this line makes the next run redo the
