@@ -35,9 +35,9 @@ CSV_OPTIONS = {
 }
 
 # A quoted field: starts right after a delimiter (or at the line start),
-# doubled quotes inside.  Removing these leaves only delimiters that separate
-# fields.
-_QUOTED_FIELD = r'(^|,)"(?:[^"]|"")*"'
+# doubled quotes inside, taken greedily (possessive, like a streaming CSV
+# reader).  Removing these leaves only delimiters that separate fields.
+_QUOTED_FIELD = r'(^|,)"(?:[^"]|"")*+"'
 
 
 def field_count(line) -> Column:

@@ -25,6 +25,7 @@ import re
 import zipfile
 from typing import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +71,19 @@ LINE_SCHEMA = T.StructType(
 # cut after this many bytes so that an unclosed quote cannot swallow a file.
 MAX_RECORD_BYTES = 1 << 20
 BATCH_ROWS = 65536
-
-_CLOSED_QUOTED = re.compile(rb'(^|,)"(?:[^"]|"")*"')
-_OPEN_QUOTE = re.compile(rb'(^|,)"')
+CHUNK_BYTES = 1 << 22
+
+# A field: quoted (doubled quotes inside, taken greedily and never given
+# back, as a streaming CSV reader does) and then anything up to the next
+# comma, or unquoted (not starting with a quote).  A record is closed when
+# it is a comma-separated list of such fields; otherwise a quoted field is
+# still open and the next physical line belongs to it.
+_FIELD = rb'(?:"(?:[^"]|"")*+"[^,]*|(?:[^,"][^,]*)?)'
+_CLOSED_RECORD = re.compile(_FIELD + rb"(?:," + _FIELD + rb")*")
+# The same for single physical lines of a block: finds a line that is not a
+# closed record, i.e. one that opens a multi-line record.
+_LINE_FIELD = rb'(?:"(?:[^"\n]|"")*+"[^,\n]*|(?:[^,"\n][^,\n]*)?)'
+_OPEN_LINE = re.compile(rb"(?m)^(?!" + _LINE_FIELD + rb"(?:," + _LINE_FIELD + rb")*$)")
 _BOM = b"\xef\xbb\xbf"
 
 
@@ -133,15 +144,19 @@ def list_entries(archives: DataFrame) -> DataFrame:
 
 def _is_open(record: bytes) -> bool:
     """True when the record ends inside a quoted field."""
-    if b'"' not in record:
-        return False
-    rest = _CLOSED_QUOTED.sub(rb"\1", record)
-    return _OPEN_QUOTE.search(rest) is not None
+    return b'"' in record and _CLOSED_RECORD.fullmatch(record) is None
+
 
+def _record_blocks(stream, chunk: int = CHUNK_BYTES) -> Iterator[tuple]:
+    """CSV records of a byte stream, one block of input at a time.
 
-def _records(stream, chunk: int = 1 << 22) -> Iterator[bytes]:
-    """CSV records of a byte stream: physical lines, CR stripped, joined while
-    a quoted field is open (up to ``MAX_RECORD_BYTES``)."""
+    Yields ``(body, None)`` for a block without quotes and without an open
+    record — its records are simply its lines, so the caller can decode and
+    split the whole block at once — or ``(None, records)`` otherwise, where
+    physical lines were joined while a quoted field was open (a record is cut
+    at ``MAX_RECORD_BYTES``).  CR before LF is dropped; a leading UTF-8 BOM
+    is dropped.
+    """
     tail = b""
     pending = None
     first = True
@@ -151,28 +166,104 @@ def _records(stream, chunk: int = 1 << 22) -> Iterator[bytes]:
             first = False
             if block.startswith(_BOM):
                 block = block[len(_BOM):]
-        if not block:
-            parts = [tail] if tail else []
+        eof = not block
+        data = tail + block
+        if eof:
+            body, tail = data, b""
         else:
-            parts = (tail + block).split(b"\n")
-            tail = parts.pop()
-        for raw in parts:
-            if raw.endswith(b"\r"):
-                raw = raw[:-1]
-            rec = raw if pending is None else pending + b"\n" + raw
-            if _is_open(rec) and len(rec) < MAX_RECORD_BYTES:
-                pending = rec
+            cut = data.rfind(b"\n")
+            if cut < 0:
+                tail = data
                 continue
-            pending = None
-            yield rec
-        if not block:
-            break
-    if pending is not None:
-        yield pending
+            body, tail = data[:cut], data[cut + 1:]
+        if eof and not body:
+            if pending is not None:
+                yield None, [pending]
+            return
+        if b"\r" in body:
+            body = body.replace(b"\r\n", b"\n")
+            if body.endswith(b"\r"):
+                body = body[:-1]
+        if pending is None and (b'"' not in body or _OPEN_LINE.search(body) is None):
+            yield body, None
+        else:
+            recs = []
+            for raw in body.split(b"\n"):
+                rec = raw if pending is None else pending + b"\n" + raw
+                if _is_open(rec) and len(rec) < MAX_RECORD_BYTES:
+                    pending = rec
+                    continue
+                pending = None
+                recs.append(rec)
+            yield None, recs
+        if eof:
+            if pending is not None:
+                yield None, [pending]
+            return
+
+
+def _records(stream, chunk: int = CHUNK_BYTES) -> Iterator[bytes]:
+    """CSV records of a byte stream (see :func:`_record_blocks`)."""
+    for body, recs in _record_blocks(stream, chunk):
+        yield from (body.split(b"\n") if body is not None else recs)
+
+
+def _decode(body, recs) -> tuple[list[str], list[bool] | None]:
+    """Text of the records and, if any record is not UTF-8, a flag each."""
+    if body is not None:
+        try:
+            return body.decode("utf-8").split("\n"), None
+        except UnicodeDecodeError:
+            recs = body.split(b"\n")
+    try:
+        return [r.decode("utf-8") for r in recs], None
+    except UnicodeDecodeError:
+        texts, bad = [], []
+        for r in recs:
+            try:
+                texts.append(r.decode("utf-8"))
+                bad.append(False)
+            except UnicodeDecodeError:
+                texts.append(r.decode("utf-8", errors="replace"))
+                bad.append(True)
+        return texts, bad
 
 
-def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _entry_batches(stream, provider, version, file, chunk: int = CHUNK_BYTES):
+    """Arrow batches of one entry's records, numbered from 0 (the header)."""
     schema = _arrow(LINE_SCHEMA)
+    next_no = 0
+    for body, recs in _record_blocks(stream, chunk):
+        texts, bad = _decode(body, recs)
+        if "" in texts:  # blank lines are not records
+            keep = [i for i, t in enumerate(texts) if t]
+            texts = [texts[i] for i in keep]
+            bad = [bad[i] for i in keep] if bad is not None else None
+        for lo in range(0, len(texts), BATCH_ROWS):
+            part = texts[lo:lo + BATCH_ROWS]
+            n = len(part)
+            flags = bad[lo:lo + BATCH_ROWS] if bad is not None else None
+            headers = pa.nulls(n, pa.list_(pa.string()))
+            if next_no == 0:
+                first_bad = flags[0] if flags is not None else False
+                hdr = [] if first_bad else next(csv.reader([part[0]]), [])
+                headers = pa.array([hdr] + [None] * (n - 1), pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([provider] * n, pa.string()),
+                    pa.array([version] * n, pa.string()),
+                    pa.array([file] * n, pa.string()),
+                    pa.array(np.arange(next_no, next_no + n, dtype=np.int64)),
+                    pa.array(part, pa.string()),
+                    pa.array(flags if flags is not None else np.zeros(n, dtype=bool), pa.bool_()),
+                    headers,
+                ],
+                schema=schema,
+            )
+            next_no += n
+
+
+def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         cols = b.to_pydict()
         for provider, version, archive, file in zip(
@@ -183,32 +274,8 @@ def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 stream = zipfile.ZipFile(fh).open(file)
             except (zipfile.BadZipFile, KeyError, OSError, ValueError):
                 continue
-            buf = {f: [] for f in LINE_SCHEMA.names}
-            line_no = -1
             with fh, stream:
-                for rec in _records(stream):
-                    if not rec:
-                        continue  # blank lines are not records
-                    line_no += 1
-                    try:
-                        text, bad = rec.decode("utf-8"), False
-                    except UnicodeDecodeError:
-                        text, bad = rec.decode("utf-8", errors="replace"), True
-                    header = None
-                    if line_no == 0:
-                        header = next(csv.reader([text]), []) if not bad else []
-                    buf["provider"].append(provider)
-                    buf["version"].append(version)
-                    buf["file"].append(file)
-                    buf["line_no"].append(line_no)
-                    buf["line"].append(text)
-                    buf["bad_utf8"].append(bad)
-                    buf["header"].append(header)
-                    if len(buf["line_no"]) >= BATCH_ROWS:
-                        yield pa.RecordBatch.from_pydict(buf, schema=schema)
-                        buf = {f: [] for f in LINE_SCHEMA.names}
-            if buf["line_no"]:
-                yield pa.RecordBatch.from_pydict(buf, schema=schema)
+                yield from _entry_batches(stream, provider, version, file)
 
 
 def expand_entries(wanted: DataFrame) -> DataFrame:
