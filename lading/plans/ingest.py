@@ -239,10 +239,6 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     _mark("expand")
 
     headers = staged.where(F.col("line_no") == 0).select("provider", "file", "table", "header")
-    widths = {
-        r["table"]: max(1, r["w"] or 0)
-        for r in headers.groupBy("table").agg(F.max(F.size("header")).alias("w")).collect()
-    }  # one row per logical table
     tables = sorted({r["table"] for r in plan_rows})
     # Per table, the file plan (header positions per file) is computed once
     # and kept as a local relation: later joins broadcast it without
@@ -250,10 +246,12 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     offsets_df = plan_side(plan_df.select("provider", "file", "offset"))
     file_plans = {}
     plan_info = []
+    widths: dict[str, int] = {}
     for t in tables:
         fp = build_plan(headers, declared, registry.tables[t]).join(offsets_df, ["provider", "file"])
         fp_rows = fp.collect()  # one row per file of this table
         file_plans[t] = spark.createDataFrame(fp_rows, fp.schema)
+        widths[t] = max([1] + [r["width"] for r in fp_rows if r["width"] is not None])
         plan_info += [{k: r[k] for k in _INFO_COLS} for r in fp_rows]
     _mark("headers")
 
@@ -510,7 +508,8 @@ def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan,
         if files:
             replace = spark.createDataFrame(files, "provider string, _source_file string")
     ups = apply_upserts(spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
-                        ["file", "line_no"], manifest_rows, replace_files=replace)
+                        ["file", "line_no"], manifest_rows, replace_files=replace,
+                        broadcast_replace=small)
     step("upsert_write")
     return ups, counts
 

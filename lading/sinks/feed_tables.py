@@ -57,7 +57,8 @@ def read_feed_table(spark: SparkSession, root: str, table: str, schema: T.Struct
 def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructType,
                   new: DataFrame, providers: list[str], key: list[str],
                   order_cols: list[str], manifest_rows,
-                  replace_files: DataFrame | None = None) -> list[tuple]:
+                  replace_files: DataFrame | None = None,
+                  broadcast_replace: bool = True) -> list[tuple]:
     """Upsert ``new`` into the given providers' rows of ``table`` and write
     them as a new version.  Returns the manifest rows to commit.
 
@@ -67,7 +68,8 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
     cols = schema.names
     old = read_feed_table(spark, root, table, schema, providers, manifest_rows)
     if replace_files is not None:
-        old = old.join(F.broadcast(replace_files), ["provider", "_source_file"], "left_anti")
+        side = F.broadcast(replace_files) if broadcast_replace else replace_files
+        old = old.join(side, ["provider", "_source_file"], "left_anti")
     # The provider is part of every key: providers never conflict.
     merged = upsert(old, new, ["provider", *key] if key else [],
                     order_cols=order_cols, keep_cols=cols)
