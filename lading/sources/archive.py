@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lading.sources.fs import open_input, open_output
+from lading.sources.fs import move, open_input, open_output
 
 ARCHIVE_SCHEMA = T.StructType(
     [
@@ -301,16 +301,21 @@ def _zip_writer(landing: str, version: str, entry: str, header: str, prefix: str
     from pyspark import TaskContext
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pid = TaskContext.get().partitionId()
+        ctx = TaskContext.get()
+        pid = ctx.partitionId()
         provider = f"{prefix}{pid}"
         path = f"{landing.rstrip('/')}/provider={provider}/version={version}/{entry}.zip"
+        # Each attempt writes its own file and moves it into place when
+        # complete: a lost or speculative attempt never leaves a half archive
+        # under the name readers look for.
+        tmp = f"{path}.attempt-{ctx.attemptNumber()}-{ctx.taskAttemptId()}"
         rows = 0
         out = None
         zf = None
         member = None
         for b in batches:
             if out is None:
-                out = open_output(path)
+                out = open_output(tmp)
                 zf = zipfile.ZipFile(out, "w", compression=zipfile.ZIP_DEFLATED)
                 member = zf.open(f"{entry}.txt", "w", force_zip64=True)
                 member.write(header.encode("utf-8") + b"\n")
@@ -322,6 +327,7 @@ def _zip_writer(landing: str, version: str, entry: str, header: str, prefix: str
             member.close()
             zf.close()
             out.close()
+            move(tmp, path)
             yield pa.RecordBatch.from_pydict(
                 {"provider": [provider], "archive": [path], "rows": [rows]},
                 schema=pa.schema([("provider", pa.string()), ("archive", pa.string()), ("rows", pa.int64())]),

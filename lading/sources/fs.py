@@ -50,3 +50,10 @@ def list_dirs(path: str) -> list[str]:
 def exists(path: str) -> bool:
     fs, p = _resolve(path)
     return fs.get_file_info(p).type != pafs.FileType.NotFound
+
+
+def move(src: str, dst: str) -> None:
+    """Replace ``dst`` by ``src`` (a rename where the store has one)."""
+    fs, s = _resolve(src)
+    _, d = _resolve(dst)
+    fs.move(s, d)
