@@ -18,7 +18,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lading.functions.affinity import typed_value
 from lading.registry import LogicalTable
@@ -166,13 +165,3 @@ def type_columns(df: DataFrame, table: LogicalTable) -> DataFrame:
         else F.array().cast("array<struct<column:string,text:string>>")
     )
     return typed.select(*keep, *table.column_names, rejects.alias("_rejects"))
-
-
-def empty_text_frame(spark, table: LogicalTable) -> DataFrame:
-    fields = [
-        T.StructField("provider", T.StringType()),
-        T.StructField("file", T.StringType()),
-        T.StructField("line_no", T.LongType()),
-        T.StructField("valid", T.BooleanType()),
-    ] + [T.StructField(c, T.StringType()) for c in table.column_names]
-    return spark.createDataFrame([], T.StructType(fields))

@@ -3,7 +3,6 @@ scratch folder taken from ``spark.checkpoint.dir``."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -38,14 +37,13 @@ def shared_dir(spark: SparkSession) -> str:
     (tests, a laptop) do we create one and register it, so that later
     ``checkpoint()`` calls and our staged tables land in the same place.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        # Only sessions without the setting (tests, a laptop) get here; a
+        # cluster names shared storage.  spark.checkpoint.dir is a core
+        # setting that cannot change at run time, so the context is told.
         d = tempfile.mkdtemp(prefix="lading-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif spark.sparkContext.getCheckpointDir() is None:
+    if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
@@ -53,15 +51,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared scratch folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def to_local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def exists(path: str) -> bool:
-    return os.path.exists(to_local_path(path))
