@@ -61,3 +61,13 @@ def test_names(spark):
     assert r["d"] == 0
     assert parse_status_path("/ktmb/status") == "ktmb"
     assert parse_status_path("/") is None
+
+
+def test_status_json_keeps_null_fields(spark):
+    from lading.operators.control import PROGRESS_SCHEMA
+    from lading.plans.status import provider_status
+
+    prog = spark.createDataFrame([("p", "a.txt", "c", None, None, None)], PROGRESS_SCHEMA)
+    js = provider_status(prog, "p").first()["json"]
+    assert js == ('{"Provider":"p","FileName":"a.txt","CRC":"c","LastProcessedLine":null,'
+                  '"Status":null,"UpdatedAt":null}')
