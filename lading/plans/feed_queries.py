@@ -610,18 +610,37 @@ def stream_available_now(spark, sf_dir):
     )
 
 
-def feed_import(spark, sf_dir):
-    from lading.plans.ingest import import_landing
-
+def _customer_feeds(spark, sf_dir):
+    """``customer`` landed as feed archives (one per partition) and a
+    registry declaring them."""
     landing = scratch_path(spark, "feeds")
     cols = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
     c = table(spark, sf_dir, "customer")
     written = write_archives(c.select(_csv(*cols).alias("line")), landing, "v1", "customer",
                              ",".join(cols), "cust-").collect()  # one row per archive
-    root = scratch_path(spark, "warehouse")
     reg = build_registry(
         "customer: c_custkey I, c_name T, c_nationkey I, c_acctbal R, c_mktsegment T | c_custkey",
         "\n".join(f"[{w['provider']}]\ncustomer: {' '.join(cols)}" for w in written),
     )
+    return landing, reg, cols
+
+
+def stream_feed_import(spark, sf_dir):
+    """The periodic import as an availableNow stream over the landing folder:
+    the pass sees the new archives and imports their providers (no row cap
+    here; capped passes and their resume are covered by the tests)."""
+    from lading.streaming.feed_stream import import_stream
+
+    landing, reg, cols = _customer_feeds(spark, sf_dir)
+    root = scratch_path(spark, "warehouse")
+    results = import_stream(spark, landing, root, registry=reg, max_rows=None)
+    return results[-1].table("customer").select(*cols)
+
+
+def feed_import(spark, sf_dir):
+    from lading.plans.ingest import import_landing
+
+    landing, reg, cols = _customer_feeds(spark, sf_dir)
+    root = scratch_path(spark, "warehouse")
     result = import_landing(spark, landing, root, registry=reg)
     return result.table("customer").select(*cols)

@@ -286,6 +286,9 @@ FROM s""",
     "stream_available_now": """
 SELECT user_id, event_type, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) = 1""",
+    "stream_feed_import": """
+SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
+FROM customer""",
     "feed_import": """
 SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
 FROM customer""",

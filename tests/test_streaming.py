@@ -17,3 +17,21 @@ def test_available_now_twice(spark, workdir):
     out3 = upsert_stream(spark, landing + "/*", df.schema, root, "t", ["k"], ["ord"])
     assert sorted((r["k"], r["v"]) for r in out3.collect()) == [(1, "a2"), (2, "b")]
     assert len(_versions(root, "t")) == n + 1
+
+
+def test_import_stream_passes(spark, land, workdir):
+    from lading.streaming.feed_stream import import_stream
+
+    hdr = "stop_id,stop_name,stop_lat,stop_lon\n"
+    landing = land("ktmb", "e1", {"stops.txt": hdr + "A,a,1,1\nB,b,1,1\nC,c,1,1\n"})
+    root = f"{workdir}/wh"
+    r1 = import_stream(spark, landing, root, max_rows=2)  # new archive, capped; then resume pass
+    assert sum(r.rows_imported() for r in r1) == 3
+    assert r1[-1].table("stops").count() == 3
+    r2 = import_stream(spark, landing, root, max_rows=2)  # nothing new, nothing open
+    assert r2 == []
+    land("ktmb", "e2", {"stops.txt": hdr + "A,a2,1,1\n"})
+    r3 = import_stream(spark, landing, root, max_rows=2)
+    assert sum(r.rows_imported() for r in r3) == 1
+    assert sorted((x["stop_id"], x["stop_name"]) for x in r3[-1].table("stops").collect()) == [
+        ("A", "a2"), ("B", "b"), ("C", "c")]
