@@ -46,14 +46,17 @@ def last_wins(new: DataFrame, key: list[str], order_cols: list[str]) -> DataFram
 
 
 def upsert(old: DataFrame, new: DataFrame, key: list[str],
-           order_cols: list[str] | None = None, keep_cols: list[str] | None = None) -> DataFrame:
+           order_cols: list[str] | None = None, keep_cols: list[str] | None = None,
+           new_is_unique: bool = False) -> DataFrame:
     """``old`` with ``new`` applied.  ``new`` may carry ordering columns
     (``order_cols``) that are not part of the table; they are dropped after
-    the reduction.  Output columns: ``old``'s, in its order."""
+    the reduction.  ``new_is_unique``: the caller guarantees one new row per
+    key (e.g. one control row per planned file), so the reduction is
+    skipped.  Output columns: ``old``'s, in its order."""
     cols = keep_cols or old.columns
     if not key:
         return old.select(*cols).unionByName(new.select(*cols))
-    reduced = last_wins(new, key, order_cols or []).select(*cols)
+    reduced = (new if new_is_unique else last_wins(new, key, order_cols or [])).select(*cols)
     old_c = old.select(*cols)
     old_null = old_c.where(~complete_key(key))
     old_keyed = old_c.where(complete_key(key)).join(

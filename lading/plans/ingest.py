@@ -191,6 +191,15 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     )
     plan_rows = plan.collect()  # one row per file to import
     listing.unpersist()
+    seen: dict[tuple, str] = {}
+    for r in plan_rows:
+        k = (r["provider"], r["file"])
+        if k in seen:
+            raise ValueError(
+                f"{r['provider']}: {r['file']} is in two archives of version {r['version']} "
+                f"({seen[k]}, {r['archive']}); one file name per provider version"
+            )
+        seen[k] = r["archive"]
     _mark("plan")
     # A new version is recorded once its archive could be read, even when no
     # file in it changed; an unreadable archive is retried next run.
@@ -232,7 +241,10 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         new_ctl = todo_df.select(
             "provider", "file", F.col("raw_crc").alias("crc"), "table", F.lit(stage_path).alias("path")
         )
-        write_table(upsert(staged_ctl, new_ctl, ["provider", "file", "crc"]).coalesce(1), root, STAGED)
+        write_table(
+            upsert(staged_ctl, new_ctl, ["provider", "file", "crc"], new_is_unique=True).coalesce(1),
+            root, STAGED,
+        )
     paths = sorted(set(reused.values()) | ({stage_path} if to_expand else set()))
     staged = staged_records(spark, paths, plan_df, plan_rows, plan_side)
     result.reused = len(reused)
@@ -388,7 +400,8 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         control.checked_status("Status").alias("Status"),
         F.current_timestamp().alias("UpdatedAt"),
     )
-    new_progress = upsert(progress.select(*control.PROGRESS_SCHEMA.names), final, control.PROGRESS_KEY)
+    new_progress = upsert(progress.select(*control.PROGRESS_SCHEMA.names), final, control.PROGRESS_KEY,
+                          new_is_unique=True)  # one row per planned file
     write_table(new_progress.coalesce(1), root, PROGRESS)
 
     # Versions last: a crash before this line makes the next run redo the

@@ -254,3 +254,32 @@ def test_keyless_replace_file_option(spark, land, workdir):
     land("mybas-johor", "e2", {"fare_leg_rules.txt": hdr + "g,a,b,f\n "})
     res = run(spark, landing, workdir, keyless="replace_file")
     assert rows(res.table("fare_leg_rules"), "leg_group_id", "_source_file") == [("g", "fare_leg_rules.txt")]
+
+
+def test_archive_writer_leaves_only_complete_archives(spark, workdir):
+    import glob
+    import zipfile
+
+    from lading.sources.archive import write_archives
+
+    landing = f"{workdir}/landed"
+    lines = spark.range(0, 1000, numPartitions=3).selectExpr("cast(id as string) AS line")
+    written = write_archives(lines, landing, "v1", "t", "id", "p").collect()
+    assert sum(w["rows"] for w in written) == 1000
+    local = landing.replace("file:", "")
+    files = sorted(glob.glob(f"{local}/**/*", recursive=True))
+    assert not [f for f in files if ".attempt-" in f]
+    zips = [f for f in files if f.endswith(".zip")]
+    assert len(zips) == len(written)
+    total = 0
+    for z in zips:
+        with zipfile.ZipFile(z) as zf:
+            total += len(zf.read("t.txt").decode().splitlines()) - 1
+    assert total == 1000
+
+
+def test_same_file_in_two_archives_of_a_version_fails(spark, land, workdir):
+    landing = land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nA,a,1,1\n"}, name="one.zip")
+    land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nB,b,1,1\n"}, name="two.zip")
+    with pytest.raises(ValueError, match="two archives"):
+        run(spark, landing, workdir)
