@@ -51,3 +51,46 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared scratch folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers.
+
+    Functions run by ``mapInArrow`` are pickled by reference, so executors
+    must be able to import ``lading``.  The package is zipped into the shared
+    scratch folder and added with ``addPyFile`` once per application — the
+    usual way to ship Python code to a cluster; harmless where the package
+    is installed already.
+    """
+    import hashlib
+    import io
+    import os
+    import zipfile
+
+    import lading
+    from lading.sources.fs import exists, open_output
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(lading.__file__))
+    base = os.path.dirname(pkg)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, dirnames, files in os.walk(pkg):
+            dirnames[:] = sorted(d for d in dirnames if d != "__pycache__")
+            for f in sorted(files):
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    with open(full, "rb") as fh:
+                        zf.writestr(os.path.relpath(full, base), fh.read())
+    data = buf.getvalue()
+    path = f"{shared_dir(spark)}/pyfiles/lading-{hashlib.sha1(data).hexdigest()[:16]}.zip"
+    if not exists(path):
+        with open_output(path) as out:
+            out.write(data)
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)

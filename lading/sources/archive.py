@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lading.session import ship_package
 from lading.sources.fs import move, open_input, open_output
 
 ARCHIVE_SCHEMA = T.StructType(
@@ -139,6 +140,7 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def list_entries(archives: DataFrame) -> DataFrame:
     """One row per entry: ``(provider, version, archive, file, crc, size)``.
     Unreadable archives list nothing."""
+    ship_package(archives.sparkSession)
     return archives.select("provider", "version", "path").mapInArrow(_list_batches, ENTRY_SCHEMA)
 
 
@@ -288,6 +290,7 @@ def expand_entries(wanted: DataFrame) -> DataFrame:
     1; blank lines are skipped; ``bad_utf8`` marks records that are not UTF-8.
     """
     w = wanted.select("provider", "version", "archive", "file")
+    ship_package(w.sparkSession)
     # One task per entry, up to a few waves of the cluster's cores; beyond
     # that, tasks take several entries one after the other.
     cap = max(1, w.sparkSession.sparkContext.defaultParallelism * 8)
@@ -343,6 +346,7 @@ def write_archives(lines: DataFrame, landing: str, version: str, entry: str,
     ``<entry>.txt`` with ``header`` first.  Returns ``(provider, archive,
     rows)`` once the write action runs; call ``.collect()`` or ``.count()``
     on it — the result has one row per partition."""
+    ship_package(lines.sparkSession)
     return lines.mapInArrow(
         _zip_writer(landing, version, entry, header, provider_prefix),
         "provider string, archive string, rows long",
