@@ -17,7 +17,14 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.decontaminate import digest, find_contamination
+
+    return digest(find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
+
+
 QUERIES = {
+    "op9_decontamination": op9_decontamination,
     "op7_token_counts": op7_token_counts,
 }
 
