@@ -23,7 +23,16 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")))
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.language_id import fit, held_out, identify
+
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs, ~held_out())
+    return identify(docs, model, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
+    "op3_language_id": op3_language_id,
     "op9_decontamination": op9_decontamination,
     "op7_token_counts": op7_token_counts,
 }
