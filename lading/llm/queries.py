@@ -31,7 +31,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.ngram_join import ngram_join
+
+    return ngram_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op3_language_id": op3_language_id,
     "op9_decontamination": op9_decontamination,
     "op7_token_counts": op7_token_counts,
