@@ -37,7 +37,14 @@ def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.embedding_dedup import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op3_language_id": op3_language_id,
     "op9_decontamination": op9_decontamination,
