@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lading.llm import chat_format
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -43,7 +45,19 @@ def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.chat_format import digest, format_chats
+
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
+    return digest(format_chats(chats.unionByName(control)))
+
+
 QUERIES = {
+    "op1_chat_formatting": op1_chat_formatting,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
     "op3_language_id": op3_language_id,
@@ -51,4 +65,6 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_chat_formatting": chat_format.ORACLE,
+}
