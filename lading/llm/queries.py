@@ -56,7 +56,14 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(format_chats(chats.unionByName(control)))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.secret_scan import digest, scan
+
+    return digest(scan(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
+    "op5_secret_scan": op5_secret_scan,
     "op1_chat_formatting": op1_chat_formatting,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op8_ngram_jaccard_join": op8_ngram_jaccard_join,
