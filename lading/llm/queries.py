@@ -62,7 +62,14 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.packing import pack_documents
+
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op5_secret_scan": op5_secret_scan,
     "op1_chat_formatting": op1_chat_formatting,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
