@@ -68,7 +68,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.html_text import extract_text
+
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
+    "op4_html_extraction": op4_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op5_secret_scan": op5_secret_scan,
     "op1_chat_formatting": op1_chat_formatting,
