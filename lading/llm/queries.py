@@ -74,7 +74,14 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.suffix_dedup import digest, remove_repeats
+
+    return digest(remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
+    "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op4_html_extraction": op4_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op5_secret_scan": op5_secret_scan,
