@@ -8,8 +8,8 @@ their places; runs along a diagonal give the longest match.  A window longer
 than ``WINDOW`` words is a run of windows, so no depth is lost.
 
 The benchmark is the stated query set.  It travels to the tasks in blocks of
-at most ``BLOCK_BYTES`` of text, one broadcast a block; results of several
-blocks are merged per document.
+at most ``BLOCK_BYTES`` of text, one broadcast a block; results of later blocks
+join those of earlier ones row by row.
 
 Words are maximal runs of bytes outside ``[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``
 after lower-casing A-Z.  An item of fewer words than a window is one window;
@@ -21,7 +21,6 @@ ignored, and empty tables give no rows or no hits.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lading.llm import bytetext as B
+from lading.llm.columns import fresh
 from lading.session import ship_package
 
 WINDOW = 13
@@ -171,99 +171,100 @@ def _rows(data: np.ndarray, offsets: np.ndarray, q: Queries) -> list[dict]:
 
 _LONGEST = pa.struct([("words", pa.int64()), ("start", pa.int64()), ("item", pa.string()), ("item_start", pa.int64())])
 _HITS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-_SCHEMA = "n_words long, hits array<struct<start:long,end:long>>, items array<string>, longest struct<words:long,start:long,item:string,item_start:long>"
+_FOUND = {"n_words": "long", "hits": "array<struct<start:long,end:long>>", "items": "array<string>",
+          "longest": "struct<words:long,start:long,item:string,item_start:long>"}
 
 
-def _search_block(rows: DataFrame, block: list[tuple[str, str]], kind: str) -> DataFrame:
+def _joined(old: dict, new: dict) -> dict:
+    """Results of one text from two blocks."""
+    runs: list[dict] = []
+    for h in sorted(old["hits"] + new["hits"], key=lambda h: h["start"]):
+        if runs and h["start"] <= runs[-1]["end"]:
+            runs[-1]["end"] = max(runs[-1]["end"], h["end"])
+        else:
+            runs.append(dict(h))
+    longest = max((x["longest"] for x in (old, new) if x["longest"]), key=lambda x: (x["words"], -x["start"]), default=None)
+    return {"n_words": new["n_words"], "hits": runs, "items": sorted({*old["items"], *new["items"]}), "longest": longest}
+
+
+def _search_block(rows: DataFrame, block: list[tuple[str, str]], text: str, names: dict[str, str], again: bool) -> DataFrame:
+    """``rows`` with the results columns (``names``: result to column);
+    ``again``: they hold results of earlier blocks, which are joined."""
     shared = rows.sparkSession.sparkContext.broadcast(block)
+    own = list(names.values())
+    carried = [c for c in rows.columns if c not in own]
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         q = Queries(shared.value)
         for b in batches:
-            for i, j, data, offsets in B.byte_slices(b.column(1)):
+            for i, j, data, offsets in B.byte_slices(b.column(text)):
                 found = _rows(data, offsets, q)
                 B.release(len(data))
+                if again:
+                    old = b.slice(i, j - i).select(own).to_pylist()
+                    found = [_joined({k: o[c] for k, c in names.items()}, f) for o, f in zip(old, found, strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    b.column(0).slice(i, j - i),
-                    b.column(2).slice(i, j - i),
+                    *[b.column(c).slice(i, j - i) for c in carried],
                     pa.array([r["n_words"] for r in found], pa.int64()),
                     pa.array([r["hits"] for r in found], _HITS),
                     pa.array([r["items"] for r in found], pa.list_(pa.string())),
                     pa.array([r["longest"] for r in found], _LONGEST)],
-                    names=["id", "row_hash", "n_words", "hits", "items", "longest"])
-
-    return rows.mapInArrow(search, f"id {kind}, row_hash long, {_SCHEMA}")
-
-
-def _merged(blocks: list[DataFrame]) -> DataFrame:
-    """One row per document from the results of several blocks."""
-    n = len(blocks)
-    both = blocks[0]
-    for b in blocks[1:]:
-        both = both.unionByName(b)
-    runs = F.aggregate(
-        F.array_sort(F.flatten(F.collect_list("hits"))),
-        F.expr("cast(array() as array<struct<start:long,end:long>>)"),
-        lambda acc, h: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= h["start"]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-                F.element_at(acc, -1)["start"].alias("start"),
-                F.greatest(F.element_at(acc, -1)["end"], h["end"]).alias("end")))),
-        ).otherwise(F.concat(acc, F.array(h))))
-    out = both.groupBy("id", "row_hash").agg(
-        F.first("n_words").alias("n_words"), runs.alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-        F.max_by("longest", F.col("longest.words")).alias("longest"),
-        (F.count(F.lit(1)) / n).cast("int").alias("copies"))
-    return out.withColumn("copies", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies")
-
-
-def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                       item_col: str = "item_id", item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Search the benchmark in every document.
-
-    Returns per document: the id, n_words, n_hit (words inside an occurrence
-    of a window), n_items and items (item ids found, as sorted strings), hits
-    (maximal runs of hit words, end exclusive), longest (words, place and item
-    of the longest verbatim match), contaminated (at least a twentieth of the
-    words is hit).
-    """
-    spark = docs.sparkSession
-    ship_package(spark)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.withColumn("row_hash", F.lit(0).cast("long"))
-    kind = rows.schema["id"].dataType.simpleString()
-    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("k"),
-                             F.coalesce(F.col(item_text_col).cast("string"), F.lit("")).alias("t"))
-    blocks: list[list[tuple[str, str]]] = [[]]
+                    names=[*carried, *own])
+
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried] + [f"`{c}` {_FOUND[k]}" for k, c in names.items()]
+    return rows.mapInArrow(search, ", ".join(kinds))
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
+    """The benchmark in blocks of about ``block_bytes``; one at least."""
+    block: list[tuple[str, str]] = []
     size = 0
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("k"),
+                             F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"))
     for r in items.toLocalIterator():
         if size > block_bytes:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((r["k"], r["t"]))
+            yield block
+            block, size = [], 0
+        block.append((r["k"], r["t"]))
         size += len(r["t"])
-    if len(blocks) > 1:
-        rows = rows.withColumn("row_hash", F.xxhash64("text"))
-        found = _merged([_search_block(rows, b, kind) for b in blocks])
-    else:
-        found = _search_block(rows, blocks[0], kind)
-    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda acc, h: acc + h["end"] - h["start"])
-    found = found.withColumn("n_hit", n_hit)
-    return found.select(
-        F.col("id").alias(id_col), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items", "hits", "longest",
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+    yield block
+
+
+def search(docs: DataFrame, benchmark: DataFrame, *, keep: list[str], text_col: str = "text", item_col: str = "item_id",
+           item_text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, dict[str, str]]:
+    """The columns ``keep`` of docs and the results; also returns the names of
+    the result columns: n_words, hits (maximal runs of hit words, end
+    exclusive), items (item ids found, as sorted strings), longest (words,
+    place and item of the longest verbatim match), and n_hit, contaminated."""
+    ship_package(docs.sparkSession)
+    names = {k: fresh(docs, k) for k in _FOUND}
+    text = text_col if text_col in keep else fresh(docs, "whole_text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(f"`{text_col}`").cast("string").alias(text)]))
+    for n, block in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
+        rows = _search_block(rows, block, text, names, n > 0)
+    n_hit, contaminated = fresh(docs, "n_hit"), fresh(docs, "contaminated")
+    hit = F.aggregate(names["hits"], F.lit(0).cast("long"), lambda acc, h: acc + h["end"] - h["start"])
+    rows = rows.withColumn(n_hit, hit).withColumn(contaminated, (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(names["n_words"])))
+    return rows.select(*[F.col(f"`{c}`") for c in keep], *names.values(), n_hit, contaminated), names | {"n_hit": n_hit, "contaminated": contaminated}
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
+    """One row per document: the id, n_words, hits, items, longest, n_hit,
+    contaminated (at least a twentieth of the words is hit)."""
+    found, names = search(docs, benchmark, keep=[id_col], **options)
+    return found.select(id_col, *[F.col(c).alias(k) for k, c in names.items()])
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """``docs`` without its contaminated rows, in one pass over the texts."""
+    found, names = search(docs, benchmark, keep=docs.columns, **options)
+    return found.where(~F.col(names["contaminated"])).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The contract's columns."""
     return found.select(
-        id_col, "n_words", "n_hit", "n_items",
+        id_col, "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
         "contaminated", F.col("longest.words").alias("longest_words"), F.col("longest.start").alias("longest_start"),
         F.col("longest.item").alias("longest_item"))
-
-
-def item_digest(items: list[str]) -> str:
-    """What ``digest`` gives for a list of item ids."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

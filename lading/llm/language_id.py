@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lading.llm.columns import fresh
 from lading.session import shared_dir, ship_package
 
 UND = "und"
@@ -302,17 +303,18 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", pred_col:
     clashing ones by default)."""
     ship_package(docs.sparkSession)
     keep = [c for c in docs.columns if c not in (pred_col, score_col)] if keep is None else keep
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(text_col).cast("string").alias("_text"))
+    text = text_col if text_col in keep else fresh(docs, "whole_text")
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], *([] if text in keep else [F.col(f"`{text_col}`").cast("string").alias(text)]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            labels, score = shared.value.predict(b.column(b.num_columns - 1))
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(labels, pa.string()), pa.array(score)],
-                                             names=[*b.schema.names[:-1], pred_col, score_col])
+            labels, score = shared.value.predict(b.column(text))
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in keep], pa.array(labels, pa.string()), pa.array(score)],
+                                             names=[*keep, pred_col, score_col])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    return rows.mapInArrow(predict, f"{kinds}, `{pred_col}` string, `{score_col}` double")
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep]
+    return rows.mapInArrow(predict, ", ".join([*kinds, f"`{pred_col}` string", f"`{score_col}` double"]))
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -2,11 +2,12 @@
 
 1. Every text becomes the sorted array of its distinct n-gram hashes (64 bit).
    Documents with equal sets are one class from here on.
-2. Classes that share a MinHash band fall into one cluster.  With ``ROWS`` rows
-   and ``BANDS`` bands a pair at the threshold 0.85 shares no band with a
-   chance of 1e-9, one above it with less; clusters only say where to compare.
+2. Classes that share a MinHash band fall into one cluster.  With ``ROWS`` rows a
+   band there are as many bands as a pair at the threshold needs to share one
+   but for a chance of ``MISS`` (less above it); clusters only say where to
+   compare.
 3. A cluster is cut into tiles by set size: two sets can only link if the
-   smaller has at least 85 % of the larger's elements, so a tile meets tiles of
+   smaller has the threshold's share of the larger's elements, so a tile meets tiles of
    its own and of the next size band.  A large band is split into tiles of
    ``TILE`` classes; every pair of tiles is a task group of its own.
 4. In a pair of tiles, hashed parity bitmaps are compared first: elements in
@@ -38,9 +39,10 @@ from lading.llm import bytetext as B
 from lading.llm.graph import components, written
 from lading.session import ship_package
 
-N = 4
-PERCENT = 85
-ROWS, BANDS = 6, 44
+N = 5
+PERCENT = 80
+#: MinHash rows a band, and the chance that a pair at the threshold shares no band.
+ROWS, MISS = 6, 1e-9
 TILE = 128
 #: Parity bitmaps have as many bits as the largest set of a tile pair, within these.
 BITS = (256, 1 << 16)
@@ -69,7 +71,7 @@ def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> Iterator[np.nda
         elif e > s:
             whole = B.mix64(np.array([e - s], _U))
             for k in range(e - s):
-                whole = whole + words[s + k] * keys[k]
+                whole = whole + words[s + k: s + k + 1] * keys[k]
             yield B.mix64(whole)
         else:
             yield np.zeros(0, _U)
@@ -172,7 +174,7 @@ def tile_links(sets: list[np.ndarray], side: np.ndarray, percent: int, one_tile:
     size, side, maps = size[order], side[order], maps[order]
     sets = [sets[k] for k in order]
     for i in range(len(sets) - 1):
-        # sizes rise: those that 85 % of their size still reaches
+        # sizes rise: those whose share of elements this set still reaches
         end = int(np.searchsorted(size, size[i] * 100 // percent, "right"))
         js = np.arange(i + 1, end)
         if not one_tile:
@@ -214,12 +216,13 @@ def _link_tiles(table: pa.Table, percent: int) -> pa.Table:
 # --- the join ----------------------------------------------------------------
 
 def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
-               rows: int = ROWS, bands: int = BANDS, tile: int = TILE) -> DataFrame:
+               rows: int = ROWS, miss: float = MISS, tile: int = TILE) -> DataFrame:
     """One row per input row: the id, n_shingles, n_links (other rows linked
     directly), component_id (smallest id reachable by links, itself
     included)."""
     spark = docs.sparkSession
     ship_package(spark)
+    bands = math.ceil(math.log(miss) / math.log1p(-(percent / 100) ** rows))
     sets = written(set_tables(docs, id_col, text_col, n, rows, bands), "ngram-sets")
     linked = sets.where("id is not null and n > 0")
     classes = written(linked.groupBy("k1", "k2").agg(

@@ -36,7 +36,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lading.llm.ngram_join import ngram_join
 
-    return ngram_join(_table(spark, sf_dir, "documents"))
+    return ngram_join(_table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
 def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lading.llm.columns import fresh
+
 KINDS = ["assign", "access", "hex", "part", "endpoint"]
 SCOPE = 400
 MARK = "[SECRET]"
@@ -121,15 +123,16 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "secret_sp
     base = F.array_sort(F.concat(*base_spans(text).values()))
     has = text.contains("AKIA")
     plain = docs.where(~has).withColumn(spans_col, base)
-    keys = {"_k1": F.xxhash64(text), "_k2": F.xxhash64(F.lit(5), text)}
+    k1, k2, extra = (fresh(docs, c) for c in ("text_k1", "text_k2", "linked_spans"))
+    keys = {k1: F.xxhash64(text), k2: F.xxhash64(F.lit(5), text)}
     some = docs.where(has)
     kinds = base_spans(text) | {"part": find(text, _PART, "part"), "endpoint": find(text, _ENDPOINT, "endpoint")}
-    parts = (some.select(*[k.alias(n[1:]) for n, k in keys.items()], F.concat(*kinds.values()).alias("spans"))
+    parts = (some.select(keys[k1].alias("k1"), keys[k2].alias("k2"), F.concat(*kinds.values()).alias("spans"))
              .select("k1", "k2", F.explode("spans").alias("span")).distinct())
-    added = (_linked(parts, scope).groupBy("k1", "k2").agg(F.collect_list("span").alias("_added"))
-             .withColumnsRenamed({"k1": "_k1", "k2": "_k2"}))
-    full = (some.withColumns(keys).join(added, ["_k1", "_k2"], "left")
-            .withColumn(spans_col, F.array_sort(F.concat(base, F.coalesce("_added", F.expr(_NONE))))))
+    added = (_linked(parts, scope).groupBy("k1", "k2").agg(F.collect_list("span").alias(extra))
+             .withColumnsRenamed({"k1": k1, "k2": k2}))
+    full = (some.withColumns(keys).join(added, [k1, k2], "left")
+            .withColumn(spans_col, F.array_sort(F.concat(base, F.coalesce(extra, F.expr(_NONE))))))
     return plain.unionByName(full.select(plain.columns))
 
 
