@@ -220,6 +220,8 @@ class Model:
         cum = np.concatenate([[0], np.cumsum(lengths)])
         labels: list[str] = []
         score = np.zeros(len(texts))
+        if not self.languages:
+            return [UND] * len(texts), score
         i = 0
         while i < len(texts):
             j = max(i + 1, int(np.searchsorted(cum, cum[i] + SLICE_BYTES, "right")) - 1)
@@ -228,25 +230,21 @@ class Model:
             offsets = np.asarray(words.offsets, np.int64)
             coded = words.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
             vocab = coded.dictionary.to_pylist()
-            block = max(1_000, BLOCK_SUMS // max(1, len(self.languages)))
+            block = max(1_000, BLOCK_SUMS // len(self.languages))
             logs = np.concatenate([np.zeros((len(self.languages), 0))] + [
                 _forward(vocab[k: k + block], pieces, self.table, self.unknown) for k in range(0, len(vocab), block)], axis=1)
             index = np.asarray(coded.indices) if len(coded) else np.zeros(0, np.int64)
             letters = np.array([len(w) for w in vocab], np.int64)
             starts = offsets - offsets[0]
             n = np.diff(np.concatenate([[0], np.cumsum(letters[index])])[starts]) if vocab else np.zeros(j - i, np.int64)
-            total = np.stack([np.diff(np.concatenate([[0.0], np.cumsum(row[index])])[starts]) for row in logs]) if vocab and len(logs) else np.zeros((len(self.languages), j - i))
+            total = np.stack([np.diff(np.concatenate([[0.0], np.cumsum(row[index])])[starts]) for row in logs]) if vocab else np.zeros((len(self.languages), j - i))
             has = np.asarray(pc.match_substring_regex(part, r"\p{L}"))
-            if len(self.languages):
-                best = total + np.asarray(self.priors)[:, None]
-                pick = best.argmax(axis=0)
-                x = (total - total.max(axis=0)) * np.minimum(1.0, TEMPER / np.maximum(n, 1)) + np.asarray(self.priors)[:, None]
-                p = np.exp(x - x.max(axis=0))
-                p /= p.sum(axis=0)
-                score[i:j] = np.where(has, p[pick, np.arange(j - i)], 0.0)
-                labels += [self.languages[k] if h else UND for k, h in zip(pick.tolist(), has.tolist(), strict=True)]
-            else:
-                labels += [UND] * (j - i)
+            pick = (total + np.asarray(self.priors)[:, None]).argmax(axis=0)
+            x = (total - total.max(axis=0)) * np.minimum(1.0, TEMPER / np.maximum(n, 1)) + np.asarray(self.priors)[:, None]
+            p = np.exp(x - x.max(axis=0))
+            p /= p.sum(axis=0)
+            score[i:j] = np.where(has, p[pick, np.arange(j - i)], 0.0)
+            labels += [self.languages[k] if h else UND for k, h in zip(pick.tolist(), has.tolist(), strict=True)]
             i = j
         return labels, score
 
