@@ -15,7 +15,7 @@ import pyarrow as pa
 
 _U = np.uint64
 #: Text handled at once inside a task; bounds the arrays made from it.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def byte_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -72,9 +72,9 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> t
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64 output bits."""
     x = x ^ (x >> _U(30))
-    x = x * _U(0xBF58476D1CE4E5B9)
+    x *= _U(0xBF58476D1CE4E5B9)
     x ^= x >> _U(27)
-    x = x * _U(0x94D049BB133111EB)
+    x *= _U(0x94D049BB133111EB)
     x ^= x >> _U(31)
     return x
 
@@ -101,12 +101,21 @@ def _byte_values(fold: np.ndarray) -> np.ndarray:
     return rng.integers(0, 1 << 64, 256, dtype=_U)[fold]
 
 
+def running_hash(data: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums of the polynomial hash, and the powers that undo a place:
+    ``(total[end] - total[start]) * down[start]`` depends on the bytes alone."""
+    up, down = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, _U)
+    value = _byte_values(fold)[data]
+    value *= up[: len(data)]
+    np.cumsum(value, out=total[1:])
+    return total, down
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray) -> np.ndarray:
     """64-bit hash of data[start:end] per span after folding bytes by the
     table ``fold``; equal contents hash alike in every task."""
-    up, down = _powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, _U)
-    np.cumsum(_byte_values(fold)[data] * up[: len(data)], out=total[1:])
+    total, down = running_hash(data, fold)
     h = (total[ends] - total[starts]) * down[starts]
     return mix64(h + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
 

@@ -11,14 +11,15 @@ input, overlapping ones included, and never cross documents.
 2. Records with equal anchor and equal bytes are repeats of the earliest as a
    whole.  They are reduced within each slice of text before the shuffle.
 3. Anchors that remain with several contexts (edges of passages, edits in near
-   copies) go to shards by anchor.  A shard concatenates its records, parsed
+   copies) go to shards by anchor.  A shard drops blocks of windows whose common
+   bytes no other record has, concatenates the rest of its records, parsed
    into phrases at byte pairs chosen by a hash, builds the suffix array of the
    phrase ranks by suffix grouping (``suffix_groups``), and compares neighbours
    byte by byte.  The windows that begin ``a`` bytes before a phrase are equal
    where their suffixes share LENGTH - a bytes and the ``a`` bytes before
    agree; all but the earliest of them go.
-4. Anchors with very many contexts (found by a count over the whole corpus,
-   kept to the ``HEAVY`` most frequent) would make one large shard.  Their
+4. Anchors with very many contexts (found by a count over the whole corpus)
+   would make one large shard.  Their
    records are dealt over salts, and their windows are compared whole, by a
    128-bit hash, reduced within each slice before the shuffle.
 
@@ -44,12 +45,18 @@ from lading.session import ship_package
 
 LENGTH = 100
 GRAM = 24
-#: Anchors that are treated as frequent: at most so many, each with at least
-#: LEAST_CONTEXTS contexts.
-HEAVY, LEAST_CONTEXTS = 100_000, 256
+#: An anchor is frequent if its contexts number at least the square root of all
+#: records over ROOT_PART: neither the largest shard nor the list of frequent
+#: anchors then grows faster than that root.  The list is cut at HEAVY.
+ROOT_PART, HEAVY = 9, 1_000_000
 SALTS = 64
+#: Bytes of text hashed at once (its arrays fit a core's cache), and bytes of
+#: text whose records are reduced together before a shuffle.
+SLICE_BYTES, GROUP_BYTES = 1 << 17, 8 << 20
 #: Bytes of records that a shard's suffix array is built over at once.
 SHARD_BYTES = 2 << 20
+#: Windows a block, when a shard looks for what may repeat.
+BLOCK = 8
 #: A byte pair begins a phrase if its hash falls into one of PHRASE.
 PHRASE = 10
 
@@ -57,6 +64,7 @@ _U = np.uint64
 _AS_IS = np.arange(256, dtype=np.uint8)
 _TIE, _START = 47, 7  # bits of a packed place: tie, start, windows after the first
 _LAST = (1 << 63) - 1
+_HIGH = _U(0xFFFFFFFF00000000)
 
 
 def _second_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -66,6 +74,13 @@ def _second_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 # --- records -----------------------------------------------------------------
 
+def _gram_hashes(total: np.ndarray, down: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` bytes at every place."""
+    g = total[gram:] - total[:-gram]
+    g *= down[: len(g)]
+    return B.mix64(g)
+
+
 def records(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     """Records of a slice: text, first window, windows after it, anchor hash
     and hash of the bytes its windows cover."""
@@ -73,26 +88,32 @@ def records(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tu
     if n < length:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty, empty.astype(_U), empty.astype(_U)
-    at = np.arange(n - gram + 1)
-    g = B.span_hashes(data, at, at + gram, _AS_IS)
-    bits = _U(max(1, int(n).bit_length()))
-    low = (_U(1) << bits) - _U(1)
-    best = (g & ~low) | at.astype(_U)
+    total, down = B.running_hash(data, _AS_IS)
+    g = _gram_hashes(total, down, gram)
+    # 32 bits of the hash above the place: the least is the leftmost least
+    best = g & _HIGH
+    best |= np.arange(len(g), dtype=_U)
     width, span = 1, length - gram + 1
     while 2 * width <= span:
         best = np.minimum(best[:-width], best[width:])
         width *= 2
     if width < span:
         best = np.minimum(best[: len(best) - (span - width)], best[span - width:])
-    anchor = (best & low).astype(np.int64)
-    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(anchor)]
-    inside = np.arange(len(anchor)) + length <= offsets[text + 1]
-    new = inside.copy()
-    new[1:] &= (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])
-    first = np.flatnonzero(new)
-    stops = np.append(np.flatnonzero(new | ~inside), len(anchor))
+    change = np.ones(len(best), bool)
+    np.not_equal(best[1:], best[:-1], out=change[1:])
+    # windows may not cross texts: cut runs there
+    edges = offsets[1:-1]
+    cross = np.zeros(len(best) + 1, np.int32)
+    np.add.at(cross, np.maximum(edges - length + 1, 0).clip(max=len(best)), 1)
+    np.add.at(cross, edges.clip(max=len(best)), -1)
+    inside = np.cumsum(cross[:-1]) == 0
+    change[edges[edges < len(best)]] = True
+    first = np.flatnonzero(change & inside)
+    stops = np.append(np.flatnonzero(change | ~inside), len(best))
     last = stops[np.searchsorted(stops, first, "right")] - 1
-    return text[first], first, last - first, g[anchor[first]], B.span_hashes(data, first, last + length, _AS_IS)
+    text = np.searchsorted(offsets, first, "right") - 1
+    cover = B.mix64((total[last + length] - total[first]) * down[first] + (last - first).astype(_U))
+    return text, first, last - first, g[(best[first] & ~_HIGH).astype(np.int64)], cover
 
 
 def merge_spans(start: np.ndarray, end: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -111,12 +132,23 @@ def merge_spans(start: np.ndarray, end: np.ndarray, owner: np.ndarray) -> tuple[
     return start[new], reach[stops], owner[new]
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(ids, ties, bytes, offsets) of each slice of (id, tie, text) rows."""
-    ids, ties = np.asarray(batch.column(0)), np.asarray(batch.column(1))
-    for i, j, data, offsets in B.byte_slices(batch.column(2)):
-        yield ids[i:j], ties[i:j], data, offsets
-        B.release(len(data))
+def _record_groups(batches: Iterator[pa.RecordBatch], length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Records of (id, tie, text) rows, of about GROUP_BYTES of text at a
+    time: id, tie, start in the text, windows after it, anchor, cover."""
+    held: list[tuple[np.ndarray, ...]] = []
+    size = 0
+    for b in batches:
+        ids, ties = np.asarray(b.column(0)), np.asarray(b.column(1))
+        for i, j, data, offsets in B.byte_slices(b.column(2), SLICE_BYTES):
+            text, first, more, g, cover = records(data, offsets, length, gram)
+            held.append((ids[i:j][text], ties[i:j][text], first - offsets[text], more, g, cover))
+            size += len(data)
+            B.release(len(data))
+            if size >= GROUP_BYTES:
+                yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
+                held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
 def _earliest(key: tuple[np.ndarray, ...], ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,45 +183,38 @@ def _span_frame(ids, ties, start, end) -> pa.RecordBatch:
     return _frame(spread, np.full(len(ids), -2), end.astype(np.int64), ids, _place(ties, start, np.zeros(len(ids), np.int64)))
 
 
-def _local_spans(ids, ties, text, start, end) -> pa.RecordBatch:
-    s, e, owner = merge_spans(start, end, text)
-    return _span_frame(ids[owner], ties[owner], s, e)
-
-
 def _record_rows(heavy: np.ndarray, length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for ids, ties, data, offsets in _slices(b):
-                text, first, more, g, ctx = records(data, offsets, length, gram)
-                if len(text) == 0:
-                    continue
-                start = first - offsets[text]
-                place = _place(ties[text], start, more)
-                keep, repeat = _earliest((g, ctx), ids[text], place)
-                salt = np.full(len(g), -1)
-                if len(heavy):
-                    at = np.minimum(np.searchsorted(heavy, g), len(heavy) - 1)
-                    salt = np.where(heavy[at] == g, (ctx % _U(SALTS)).astype(np.int64), -1)
-                yield _frame(g[keep], salt[keep], ctx[keep], ids[text][keep], place[keep])
-                if len(repeat):
-                    yield _local_spans(ids, ties, text[repeat], start[repeat], start[repeat] + more[repeat] + length)
+        for ids, ties, start, more, g, cover in _record_groups(batches, length, gram):
+            place = _place(ties, start, more)
+            keep, repeat = _earliest((g, cover), ids, place)
+            salt = np.full(len(g), -1)
+            if len(heavy):
+                at = np.minimum(np.searchsorted(heavy, g), len(heavy) - 1)
+                salt = np.where(heavy[at] == g, (cover % _U(SALTS)).astype(np.int64), -1)
+            yield _frame(g[keep], salt[keep], cover[keep], ids[keep], place[keep])
+            if len(repeat):
+                text = np.unique(np.stack([ids[repeat], ties[repeat]]), axis=1, return_inverse=True)
+                s, e, owner = merge_spans(start[repeat], start[repeat] + more[repeat] + length, text[1].ravel())
+                yield _span_frame(text[0][0][owner], text[0][1][owner], s, e)
 
     return run
 
 
 def _local_counts(length: int, gram: int):
-    """Anchors with several contexts in one slice, and how many."""
+    """Anchors with several contexts in one group of texts, and how many; and
+    the number of records (whole)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for _, _, data, offsets in _slices(b):
-                _, _, _, g, ctx = records(data, offsets, length, gram)
-                order = np.lexsort((ctx, g))
-                g, ctx = g[order], ctx[order]
-                new = np.ones(len(g), bool)
-                new[1:] = (g[1:] != g[:-1]) | (ctx[1:] != ctx[:-1])
-                anchors, n = np.unique(g[new], return_counts=True)
-                several = n > 1
-                yield pa.RecordBatch.from_arrays([pa.array(anchors[several].view(np.int64)), pa.array(n[several])], names=["g", "n"])
+        for _, _, _, _, g, cover in _record_groups(batches, length, gram):
+            order = np.lexsort((cover, g))
+            g, cover = g[order], cover[order]
+            new = np.ones(len(g), bool)
+            new[1:] = (g[1:] != g[:-1]) | (cover[1:] != cover[:-1])
+            anchors, n = np.unique(g[new], return_counts=True)
+            anchors, n = anchors[n > 1], n[n > 1]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.append(anchors.view(np.int64), 0)), pa.array(np.append(n, len(g))),
+                pa.array(np.append(np.zeros(len(n), bool), True))], names=["g", "n", "whole"])
 
     return run
 
@@ -271,6 +296,32 @@ def shard_repeats(data: np.ndarray, offsets: np.ndarray, order_key: np.ndarray,
     return np.concatenate(gone) if gone else np.zeros(0, np.int64)
 
 
+def live_pieces(data: np.ndarray, offsets: np.ndarray, more: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Parts of records that may hold repeated windows: record, first window
+    and last window of each.  Windows of a record are taken in blocks of BLOCK
+    by their distance from the anchor; if the bytes that all windows of a block
+    share occur in no other record, none of its windows does."""
+    g = _gram_hashes(*B.running_hash(data, _AS_IS), gram) & _HIGH
+    g |= np.arange(len(g), dtype=_U)
+    base = offsets[:-1]
+    ends = np.stack([base + more, base + length - gram + 1], axis=1).ravel()  # the grams that all its windows hold
+    anchor = (np.minimum.reduceat(np.append(g, _U(_LAST)), ends)[::2] & ~_HIGH).astype(np.int64) - base
+    low, high = (anchor - more) // BLOCK, anchor // BLOCK  # blocks of the last and the first window
+    n = high - low + 1
+    record = np.repeat(np.arange(len(more)), n)
+    block = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    core = base[record] + anchor[record] - block * BLOCK
+    key = B.span_hashes(data, core, core + length - BLOCK + 1, _AS_IS) + block.astype(_U) * _U(0xA24BAED4963EE407)
+    _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+    live = count[which] > 1
+    record, block = record[live], block[live]
+    first = np.maximum(anchor[record] - block * BLOCK - BLOCK + 1, 0)
+    last = np.minimum(anchor[record] - block * BLOCK, more[record])
+    # blocks of a record come with falling windows; neighbours make one piece
+    start, end, owner = merge_spans(first, last + 1, record)
+    return owner, start, end - 1
+
+
 def _not_first(key: tuple[np.ndarray, ...], order: np.ndarray, place: np.ndarray) -> np.ndarray:
     """Indices of rows that are not the first of their key."""
     by = np.lexsort((place, order, *key[::-1]))
@@ -291,7 +342,7 @@ def _spans(ids, ties, start, end) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x, np.int64)) for x in (ids, ties, start, end)], names=["id", "tie", "start", "end"])
 
 
-def _shard_spans(rows: pa.Table, length: int) -> pa.RecordBatch:
+def _shard_spans(rows: pa.Table, length: int, gram: int) -> pa.RecordBatch:
     """Removed spans of a shard's records (id, pos, bytes)."""
     ids, pos = rows["id"].to_numpy(), rows["pos"].to_numpy()
     order = np.lexsort((pos, ids))
@@ -299,14 +350,19 @@ def _shard_spans(rows: pa.Table, length: int) -> pa.RecordBatch:
     new[1:] = (ids[order][1:] != ids[order][:-1]) | (pos[order][1:] != pos[order][:-1])
     order = order[new]  # rows that repeat an id and a text are one
     rows = rows.take(pa.array(order))
-    ids, (ties, start, _) = ids[order], _unpack(pos[order])
+    ids, (ties, start, more) = ids[order], _unpack(pos[order])
     column = rows["bytes"].combine_chunks().cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]: offsets[-1]]
     offsets = offsets - offsets[0]
-    gone = shard_repeats(data, offsets, np.arange(len(ids)), length)
-    record = np.searchsorted(offsets, gone, "right") - 1
-    s = gone - offsets[record] + start[record]
+    record, first, last = live_pieces(data, offsets, more, length, gram)
+    size = last - first + length
+    at = np.cumsum(size) - size
+    piece = data[np.repeat(offsets[record] + first - at, size) + np.arange(size.sum())]
+    gone = shard_repeats(piece, np.append(at, size.sum()), record, length) if len(record) else at
+    which = np.searchsorted(at, gone, "right") - 1
+    record = record[which]
+    s = gone - at[which] + first[which] + start[record]
     s, e, record = merge_spans(s, s + length, record)
     return _spans(ids[record], ties[record], s, e)
 
@@ -323,7 +379,7 @@ def _by_anchor(table: pa.Table, stop: int) -> Iterator[pa.Table]:
         done = k
 
 
-def _shards(length: int):
+def _shards(length: int, gram: int):
     """Rows sorted by anchor, cut into shards between anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -336,13 +392,13 @@ def _shards(length: int):
                 g = table["g"].to_numpy()
                 whole = int(np.searchsorted(g, g[-1], "left"))  # the last anchor may go on
                 for piece in _by_anchor(table, whole):
-                    yield _shard_spans(piece, length)
+                    yield _shard_spans(piece, length, gram)
                 held = [table.slice(whole)]
                 size = int(_lengths(held[0]["bytes"]).sum())
         if held:
             table = pa.concat_tables(held).combine_chunks()
             for piece in _by_anchor(table, table.num_rows):
-                yield _shard_spans(piece, length)
+                yield _shard_spans(piece, length, gram)
 
     return run
 
@@ -408,8 +464,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     end (bytes), overlapping ones not yet merged."""
     spark = texts.sparkSession
     some = texts.where(F.octet_length("text") >= length)
-    counts = some.mapInArrow(_local_counts(length, gram), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    top = counts.where(F.col("n") >= LEAST_CONTEXTS).orderBy(F.desc("n"), "g").limit(HEAVY).toPandas()
+    counts = written(some.mapInArrow(_local_counts(length, gram), "g long, n long, whole boolean")
+                     .groupBy("g", "whole").agg(F.sum("n").alias("n")), "repeat-anchors")
+    least = max(2.0, ((counts.where("whole").agg(F.sum("n")).first()[0] or 0) ** 0.5) / ROOT_PART)
+    top = counts.where(~F.col("whole") & (F.col("n") >= least)).orderBy(F.desc("n"), "g").limit(HEAVY).toPandas()
     heavy = np.sort(top["g"].to_numpy(np.int64).view(_U))
     rows = some.mapInArrow(_record_rows(heavy, length, gram), _ROW)
 
@@ -426,7 +484,7 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     regions = written(some.join(wanted, ["id", "tie"]).select("id", "text", "wanted").mapInArrow(
         lambda batches: _cut_regions(batches, length), "g long, id long, pos long, bytes binary, salt int"), "repeat-regions")
     by_suffix = (regions.where("salt < 0").select("g", "id", "pos", "bytes").repartition("g").sortWithinPartitions("g")
-                 .mapInArrow(_shards(length), _SPANS))
+                 .mapInArrow(_shards(length, gram), _SPANS))
     windows = regions.where("salt >= 0").mapInArrow(_window_rows(length), _ROW)
     windows = windows.withColumn("again", F.rank().over(same) > 1).where("again or salt = -2")
     return spans.unionByName(by_suffix).unionByName(_removed(windows, length))
