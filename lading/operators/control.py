@@ -191,12 +191,13 @@ def rollback_points(batches: DataFrame, group_cols: list[str]) -> DataFrame:
 # --- metrics ----------------------------------------------------------------
 
 def run_metrics(rows: DataFrame, provider_col: str = "provider", file_col: str = "file",
-                line_col: str = "line_no", error_col: str = "error") -> DataFrame:
+                line_col: str = "line_no", error_col: str = "error",
+                count_col: str | None = None) -> DataFrame:
     """Per file: rows, last line, any error; per provider: total rows and any
     error (error of a file does not stop its siblings, but fails the
-    provider)."""
+    provider).  ``count_col``: the rows an input row stands for (default 1)."""
     per_file = rows.groupBy(provider_col, file_col).agg(
-        F.count(F.lit(1)).alias("rows"),
+        (F.count(F.lit(1)) if count_col is None else F.sum(count_col)).alias("rows"),
         F.max(line_col).alias("last_line"),
         F.bool_or(F.coalesce(F.col(error_col), F.lit(False))).alias("file_error"),
     )

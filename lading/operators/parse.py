@@ -33,10 +33,17 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-# A quoted field: starts right after a delimiter (or at the line start),
+# A quoted field: starts right after a delimiter (or at the record start),
 # doubled quotes inside, taken greedily (possessive, like a streaming CSV
-# reader).  Removing these leaves only delimiters that separate fields.
-_QUOTED_FIELD = r'(^|,)"(?:[^"]|"")*+"'
+# reader); left open, it takes the rest of the record.  Removing these leaves
+# only delimiters that separate fields.
+_QUOTED_FIELD = r'(\A|,)"[^"]*+(?:""[^"]*+)*+"?'
+# Records whose fields ``from_csv`` would not give as they are: text after a
+# closing quote, a quote left open, line ends inside quotes.
+_ODD_RECORD = r'(?:\A|,)"[^"]*+(?:""[^"]*+)*+(?:"[^,]|\z)|[\r\n]'
+# One field with the comma before it: quoted text and what follows, or plain.
+_ONE_FIELD = r',("[^"]*+(?:""[^"]*+)*+(?:"[^,]*+|\z)|[^,]*+)'
+_QUOTED_VALUE = r'(?s)\A"((?:[^"]|"")*+)"?(.*)\z'
 
 
 def field_count(line) -> Column:
@@ -46,6 +53,21 @@ def field_count(line) -> Column:
     return F.length(stripped) - F.length(F.replace(stripped, F.lit(","), F.lit(""))) + 1
 
 
+def split_fields(line: Column) -> Column:
+    """Field texts of one record, by the rules of a streaming CSV reader: the
+    text after a closing quote continues the field, bytes inside quotes stay."""
+    fields = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_ONE_FIELD), F.lit(1))
+    return F.transform(fields, lambda f: F.when(
+        f.startswith('"'),
+        F.concat(F.replace(F.regexp_extract(f, _QUOTED_VALUE, 1), F.lit('""'), F.lit('"')),
+                 F.regexp_extract(f, _QUOTED_VALUE, 2)),
+    ).otherwise(f))
+
+
+def odd_record(line: Column) -> Column:
+    return line.contains('"') & line.rlike(_ODD_RECORD)
+
+
 def idx_col(column: str) -> str:
     return f"_idx_{column}"
 
@@ -90,7 +112,7 @@ def build_plan(headers: DataFrame, declared: DataFrame, table: LogicalTable) ->
 
 
 def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_width: int,
-                broadcast_plan: bool = True) -> DataFrame:
+                broadcast_plan: bool = False) -> DataFrame:
     """Parse the data records of ``table``'s files and project them onto the
     superset columns (text).
 
@@ -98,8 +120,9 @@ def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_widt
     superset column.  A column absent from a file's header (or not declared
     for its provider) is NULL; a present but empty cell is ``''``.
     ``max_width`` is the widest header among the plan's files; it only sizes
-    the parse schema.  ``broadcast_plan``: the plan has one row per file;
-    callers with very many files pass False and let AQE choose.
+    the parse schema.  The plan has one row per file; its join is left to the
+    optimizer, which knows its size, unless the caller has checked it and asks
+    to ``broadcast_plan``.
     """
     schema = ", ".join(f"c{i} string" for i in range(max(max_width, 1)))
     plan_cols = ["provider", "file", "width"] + [idx_col(c) for c in table.column_names]
@@ -120,10 +143,11 @@ def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_widt
         "provider", "file", "line_no", *idx,
         (~F.col("bad_utf8") & (field_count("line") == F.col("width"))).alias("valid"),
         F.from_csv(F.col("line"), schema, CSV_OPTIONS).alias("_r"),
+        F.when(odd_record(F.col("line")), split_fields(F.col("line"))).alias("_odd"),
     )
     cells = parsed.select(
         "provider", "file", "line_no", "valid", *idx,
-        F.array(*[F.col("_r")[f"c{i}"] for i in range(max(max_width, 1))]).alias("_cells"),
+        F.coalesce("_odd", F.array(*[F.col("_r")[f"c{i}"] for i in range(max(max_width, 1))])).alias("_cells"),
     )
     out = [
         F.when(

@@ -642,5 +642,5 @@ def feed_import(spark, sf_dir):
 
     landing, reg, cols = _customer_feeds(spark, sf_dir)
     root = scratch_path(spark, "warehouse")
-    result = import_landing(spark, landing, root, registry=reg)
+    result = import_landing(spark, landing, root, registry=reg, max_rows=None)
     return result.table("customer").select(*cols)

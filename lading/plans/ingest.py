@@ -5,23 +5,28 @@
   landing/provider=P/version=V/*.zip
     binaryFile ─ newest version per provider ─ gate (version, open files)
     └ list entries ─ entry filter ─ ⋈ registry ─ ⟕ progress ─► plan (one row per file)
-  plan ⋈ archive bytes ─ expand (one task per entry) ─► staged records (Parquet, by table)
-  staged ⋈ plan ─ from_csv ─ drop malformed ─ offset ─ budget ─ project ─ type ─┬► upsert per table
+  progress: every planned file opened (status 1)
+  plan ─ expand (entries dealt to tasks by size) ─► staged records (Parquet)
+         └ per entry: header, last record or error
+  staged ⋈ plan ─ from_csv ─ drop malformed ─ offset ─ budget ─ project ─ type ─┬► upsert (touched buckets)
                                                                              └► rejects
-  then: manifest → import_progress → dataset_versions
+  per table: manifest + closed progress rows in one commit
+  last: dataset_versions + run log
 
 Everything that is per row runs in executors.  The driver only handles
-plan-sized tables: providers, files, tables (tens to thousands of rows).
-A failed run leaves the previous state readable; rerunning repeats work (the
-upsert is idempotent for keyed tables) but never loses it, because data is
-committed before progress, and progress before versions.
+plan-sized tables: providers, files, tables.  A file whose entry cannot be read
+stays open at its old offset while its siblings load; so do the files of a
+table that failed.  The run then ends with :class:`ImportFailed`.  Killing a
+run leaves the last committed state; the next run redoes what was not
+committed, and nothing is loaded twice because a table's data and its progress
+become current together.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from functools import reduce
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,7 +35,7 @@ from pyspark.sql import types as T
 
 from lading.functions.names import entry_table_name, is_feed_entry
 from lading.operators import control
-from lading.operators.lines import file_quotas, number_in_storage_order, number_rows
+from lading.operators.lines import file_quotas
 from lading.operators.parse import (
     build_plan,
     declared_columns,
@@ -41,24 +46,36 @@ from lading.operators.parse import (
 from lading.operators.upsert import upsert
 from lading.registry import CONTROL_TABLES, DEFAULT, Registry, registry_df
 from lading.sinks.feed_tables import (
+    MANIFEST,
     apply_upserts,
-    commit_manifest,
+    changed_manifest,
     read_feed_table,
     read_manifest,
 )
-from lading.sinks.snapshots import read_table, write_table
-from lading.sources.archive import expand_entries, list_entries, read_archives
+from lading.sinks.snapshots import read_table, write_table, write_tables
+from lading.sources.archive import END_LINE, ERROR_LINE, expand_entries, list_entries, read_archives
 
 MAX_ROWS_PER_RUN = 100_000
-# Plan tables (one row per file) are broadcast below this many rows; above it
-# they join like any table and AQE picks the strategy from runtime sizes.
-BROADCAST_PLAN_ROWS = 200_000
-# Files whose offset is pushed into the staged scan as a literal predicate.
-PUSHED_OFFSETS = 1_000
+# Lines per block when a capped file's valid rows are counted.
+COUNT_BLOCK = 4096
+# Tables loaded at the same time.
+TABLE_THREADS = 4
 _INFO_COLS = ("provider", "file", "table", "width", "n_matched", "offset")
 _INFO_SCHEMA = "provider string, file string, table string, width int, n_matched int, offset long"
 PROGRESS = "control/import_progress"
 VERSIONS = "control/dataset_versions"
+RUN_LOG = "control/run_log"
+RUN_LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("run", T.StringType()),
+        T.StructField("provider", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("last_line", T.LongType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("ended_at", T.TimestampType()),
+    ]
+)
 STAGED = "control/staged_entries"
 STAGED_SCHEMA = T.StructType(
     [
@@ -80,6 +97,7 @@ class ImportResult:
     providers: list = field(default_factory=list)  # per-provider gate rows
     timings: dict = field(default_factory=dict)  # seconds per phase
     errors: dict = field(default_factory=dict)  # table -> error of this run
+    file_errors: dict = field(default_factory=dict)  # (provider, file) -> error of this run
     reused: int = 0  # files read from an earlier run's staged records
 
     def table(self, name: str) -> DataFrame:
@@ -95,25 +113,15 @@ class ImportResult:
     def rows_imported(self) -> int:
         return sum(r["rows"] for r in self.files)
 
+    def error_of(self, f: dict) -> str | None:
+        return self.file_errors.get((f["provider"], f["file"])) or self.errors.get(f["table"])
+
     def run_log(self) -> DataFrame:
         """Rows and last line per file, totals per provider, and whether a
-        file's table failed — the run log as a table (one row per file)."""
-        rows = [
-            (f["provider"], f["file"], f["rows"], f["last_line"], f["table"] in self.errors)
-            for f in self.files
-        ]
-        df = self.spark.createDataFrame(
-            rows, "provider string, file string, n long, line_no long, error boolean"
-        )
-        # One input row per file carrying its count: sum instead of count.
-        per_file = df.groupBy("provider", "file").agg(
-            F.sum("n").alias("rows"), F.max("line_no").alias("last_line"),
-            F.bool_or("error").alias("file_error"),
-        )
-        w = Window.partitionBy("provider")
-        return per_file.withColumn("provider_rows", F.sum("rows").over(w)).withColumn(
-            "provider_error", F.bool_or("file_error").over(w)
-        )
+        file or its table failed — the run log as a table (one row per file)."""
+        rows = [(f["provider"], f["file"], f["rows"], f["last_line"], self.error_of(f) is not None) for f in self.files]
+        df = self.spark.createDataFrame(rows, "provider string, file string, n long, line_no long, error boolean")
+        return control.run_metrics(df, count_col="n")
 
 
 def _newest_versions(archives: DataFrame) -> DataFrame:
@@ -161,9 +169,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     if not any(r["action"] != "skip" for r in gate_rows):
         return result
 
-    current = archives_all.join(
-        F.broadcast(todo.withColumnRenamed("remote_version", "version")), ["provider", "version"]
-    )
+    current = archives_all.join(todo.withColumnRenamed("remote_version", "version"), ["provider", "version"])
     declared = declared_columns(registry_df(spark, registry))
     # The listing reads only central directories; it is kept for the plan
     # and for telling readable archives from broken ones.
@@ -183,79 +189,99 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         "crc",
         F.concat("raw_crc", F.lit(":"), F.substring(F.md5(F.concat_ws(",", "declared")), 1, 8)),
     )
-    states = control.resume_state(entries, progress)
-    # A provider resumed without a version change whose open files are all
-    # gone from the current archive has nothing to do.
-    plan = states.where(F.col("action") != "skip").select(
-        "provider", "version", "archive", "file", "crc", "raw_crc", "table", "offset"
+    plan = control.resume_state(entries, progress).where(F.col("action") != "skip").select(
+        "provider", "version", "archive", "file", "size", "crc", "raw_crc", "table", "offset"
     )
     plan_rows = plan.collect()  # one row per file to import
-    listing.unpersist()
-    seen: dict[tuple, str] = {}
+    # Open files that the provider's current archive no longer has cannot be
+    # resumed: they are closed where they stand.
+    vanished = (
+        progress.where(F.col("Status") != control.STATUS_DONE)
+        .join(todo.select(F.col("provider").alias("Provider")).where(F.col("provider").isin(sorted(readable))), "Provider", "left_semi")
+        .join(listing.select(F.col("provider").alias("Provider"), F.col("file").alias("FileName")), control.PROGRESS_KEY, "left_anti")
+        .select("Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
+    )
+    # A file name in two archives of a version is an error of that file.
+    seen: dict[tuple, list] = {}
     for r in plan_rows:
-        k = (r["provider"], r["file"])
-        if k in seen:
-            raise ValueError(
-                f"{r['provider']}: {r['file']} is in two archives of version {r['version']} "
-                f"({seen[k]}, {r['archive']}); one file name per provider version"
-            )
-        seen[k] = r["archive"]
+        seen.setdefault((r["provider"], r["file"]), []).append(r)
+    file_errors = {
+        k: f"in two archives of version {rs[0]['version']}: {rs[0]['archive']}, {rs[1]['archive']}; one file name per provider version"
+        for k, rs in seen.items() if len(rs) > 1
+    }
+    plan_rows = [rs[0] for rs in seen.values()]
     _mark("plan")
     # A new version is recorded once its archive could be read, even when no
     # file in it changed; an unreadable archive is retried next run.
     changed = todo.where(
         (F.col("action") == "import") & F.col("provider").isin(sorted(readable))
     ).select(F.col("provider").alias("Provider"), F.col("remote_version").alias("ETag"))
+    plan_df = spark.createDataFrame(plan_rows, plan.schema)
+    # Progress is open (status 1) before any record is read.
+    progress = control.open_progress(control.close_progress(progress.select(*control.PROGRESS_SCHEMA.names), vanished), plan_df.select(
+        F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
+        F.col("crc").alias("CRC"), F.col("offset").alias("LastProcessedLine")))
     if not plan_rows:
-        if any(r["action"] == "import" and r["provider"] in readable for r in gate_rows):
-            write_table(control.set_versions(versions, changed).coalesce(1), root, VERSIONS)
+        write_tables({PROGRESS: compact(progress), VERSIONS: compact(control.set_versions(versions, changed))}, root)
+        listing.unpersist()
         return result
-    small = len(plan_rows) <= BROADCAST_PLAN_ROWS
-
-    def plan_side(df: DataFrame) -> DataFrame:
-        """Broadcast a plan-sized side only while the plan is small."""
-        return F.broadcast(df) if small else df
+    write_table(compact(progress), root, PROGRESS)
+    listing.unpersist()
+    progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
+    _mark("open")
 
     # Staged records: entries staged by an earlier run with the same CRC
     # (a resumed file) are read again, not decompressed again; the others are
-    # expanded once, in parallel, and recorded as staged.
-    plan_df = spark.createDataFrame(plan_rows, plan.schema)
+    # expanded once, in parallel, and recorded as staged if read to their end.
+    good_rows = [r for r in plan_rows if (r["provider"], r["file"]) not in file_errors]
+    good_df = spark.createDataFrame(good_rows, plan.schema)
     staged_ctl = read_table(spark, root, STAGED, STAGED_SCHEMA)
     reuse = staged_ctl.join(
-        plan_side(plan_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table")),
+        good_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table"),
         ["provider", "file", "crc", "table"], "inner",
     ).select("provider", "file", "path").collect()  # at most one row per planned file
     reused = {(r["provider"], r["file"]): r["path"] for r in reuse}
-    to_expand = [r for r in plan_rows if (r["provider"], r["file"]) not in reused]
+    to_expand = [r for r in good_rows if (r["provider"], r["file"]) not in reused]
     stage_path = f"{root.rstrip('/')}/staging/run={run_id}"
+    todo_df = spark.createDataFrame(to_expand, plan.schema)
     if to_expand:
-        todo_df = spark.createDataFrame(to_expand, plan.schema)
-        staged_src = expand_entries(todo_df.select("provider", "version", "archive", "file"))
         # No partitionBy: it would sort the records by table, and a sort that
         # spills does not keep their file order.  Each entry lands in one
         # file, in order; the table column's statistics prune files per table.
-        staged_src.join(
-            plan_side(todo_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table")),
+        expand_entries(todo_df.select("provider", "version", "archive", "file", "size")).join(
+            todo_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table"),
             ["provider", "file"],
         ).drop("version").write.parquet(stage_path)
-        new_ctl = todo_df.select(
-            "provider", "file", F.col("raw_crc").alias("crc"), "table", F.lit(stage_path).alias("path")
-        )
-        write_table(
-            upsert(staged_ctl, new_ctl, ["provider", "file", "crc"], new_is_unique=True).coalesce(1),
-            root, STAGED,
-        )
     paths = sorted(set(reused.values()) | ({stage_path} if to_expand else set()))
-    staged = staged_records(spark, paths, plan_df, plan_rows, plan_side)
     result.reused = len(reused)
+    if paths:
+        staged = staged_records(spark, paths, good_df, good_rows)
+        # One scan for the outcome of every file: header, last record, error.
+        outcome = staged.where(F.col("line_no") <= 0).select(
+            "provider", "file", "table", "line_no", "line", "header", "error").collect()  # three rows a file at most
+    else:
+        staged, outcome = None, []
+    file_errors |= {(r["provider"], r["file"]): r["error"] for r in outcome if r["line_no"] == ERROR_LINE}
+    last_lines = {(r["provider"], r["file"]): int(r["line"]) for r in outcome if r["line_no"] == END_LINE}
+    for r in good_rows:
+        k = (r["provider"], r["file"])
+        if k not in file_errors and k not in last_lines:
+            file_errors[k] = "its staged records have no end"
+    if to_expand:
+        read = [r for r in to_expand if (r["provider"], r["file"]) not in file_errors]
+        new_ctl = spark.createDataFrame(read, plan.schema).select(
+            "provider", "file", F.col("raw_crc").alias("crc"), "table", F.lit(stage_path).alias("path"))
+        write_table(compact(upsert(staged_ctl, new_ctl, ["provider", "file", "crc"], new_is_unique=True)), root, STAGED)
     _mark("expand")
 
-    headers = staged.where(F.col("line_no") == 0).select("provider", "file", "table", "header")
-    tables = sorted({r["table"] for r in plan_rows})
-    # Per table, the file plan (header positions per file) is computed once
-    # and kept as a local relation: later joins broadcast it without
-    # re-running the header scan.
-    offsets_df = plan_side(plan_df.select("provider", "file", "offset"))
+    usable_rows = [r for r in good_rows if (r["provider"], r["file"]) not in file_errors]
+    tables = sorted({r["table"] for r in usable_rows})
+    headers = spark.createDataFrame(
+        [(r["provider"], r["file"], r["table"], r["header"]) for r in outcome
+         if r["line_no"] == 0 and (r["provider"], r["file"]) not in file_errors],
+        "provider string, file string, table string, header array<string>")
+    # Per table, the file plan: header positions per file.
+    offsets_df = plan_df.select("provider", "file", "offset")
     file_plans = {}
     plan_info = []
     widths: dict[str, int] = {}
@@ -267,272 +293,214 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         plan_info += [{k: r[k] for k in _INFO_COLS} for r in fp_rows]
     _mark("headers")
 
-    # Rows each file offers past its offset.  An upper bound comes from the
-    # line numbers alone (one narrow column); only providers whose bound
-    # exceeds the budget need the exact count of valid rows, which reads
-    # and checks every record.
-    info_df = spark.createDataFrame([tuple(r[k] for k in _INFO_COLS) for r in plan_info], _INFO_SCHEMA)
-    usable = info_df.where(F.col("n_matched") > 0)
-    phys = (
-        staged.where(F.col("line_no") > 0)
-        .groupBy("provider", "file")
-        .agg(F.max("line_no").alias("last_line"))
-    )
-    bounds = usable.join(phys, ["provider", "file"], "left").select(
-        "provider", "file", "table", "offset",
-        F.greatest(F.coalesce("last_line", F.lit(0)), F.col("offset")).cast("long").alias("last_line"),
-    ).withColumn("bound", (F.col("last_line") - F.col("offset")).cast("long"))
-    budget = max_rows if max_rows is not None else (1 << 62)
-    bound_rows = bounds.collect()  # one row per file
-    per_provider: dict[str, int] = {}
-    for r in bound_rows:
-        per_provider[r["provider"]] = per_provider.get(r["provider"], 0) + r["bound"]
-    exact = sorted(p for p, n in per_provider.items() if n > budget)
-
-    counted = staged.where(F.col("line_no") > 0).join(
-        plan_side(usable.where(F.col("provider").isin(exact))), ["provider", "file", "table"]
-    )
-    valid = (~F.col("bad_utf8")) & (field_count("line") == F.col("width")) & (
-        F.col("line_no") > F.col("offset")
-    )
-    exact_rows = {}
-    if exact:
-        for r in counted.groupBy("provider", "file").agg(F.count_if(valid).alias("rows")).collect():
-            exact_rows[(r["provider"], r["file"])] = r["rows"]
-    per_file = spark.createDataFrame(
-        [
-            (r["provider"], r["file"], r["table"], r["offset"], r["last_line"],
-             int(exact_rows.get((r["provider"], r["file"]), 0)) if r["provider"] in exact else r["bound"])
-            for r in bound_rows
-        ],
-        "provider string, file string, table string, offset long, last_line long, rows long",
-    )
-    quotas = file_quotas(per_file, budget).collect()  # one row per file
-    _mark("count")
-
-    # Files cut by the budget: find the line of their last granted row.
-    partial = [r for r in quotas if not r["file_done"] and r["quota"] > 0]
-    cut = {}
-    if partial:
-        pdf = spark.createDataFrame(
-            [(r["provider"], r["file"], r["quota"]) for r in partial],
-            "provider string, file string, quota long",
-        )
-        prow = counted.where(valid).join(plan_side(pdf), ["provider", "file"]).select(
-            "provider", "file", "line_no", "quota", "_path", "_block"
-        )
-        # Storage order holds only while no join shuffled the records, i.e.
-        # while the plan sides are broadcast; otherwise sort by line.
-        numbered = (
-            number_in_storage_order(prow, ["provider", "file"], out="valid_no")
-            if small
-            else number_rows(prow.drop("_path", "_block"), ["provider", "file"], ["line_no"], out="valid_no")
-        )
-        for r in numbered.where(F.col("valid_no") == F.col("quota")).select(
-            "provider", "file", "line_no"
-        ).collect():
-            cut[(r["provider"], r["file"])] = r["line_no"]
-    grants = []
-    for r in quotas:
-        k = (r["provider"], r["file"])
-        if r["file_done"]:
-            upto, status = r["last_line"], control.STATUS_DONE
-        elif r["quota"] > 0:
-            upto, status = cut[k], control.STATUS_OPEN
-        else:
-            upto, status = r["offset"], control.STATUS_OPEN
-        grants.append((r["provider"], r["file"], r["table"], int(upto), status, int(r["quota"])))
-    _mark("budget")
+    grants = _grants(spark, staged, plan_info, last_lines, max_rows, f"{stage_path}_blocks")
     grants_df = spark.createDataFrame(
-        grants, "provider string, file string, table string, upto long, status int, taken long"
-    )
+        grants, "provider string, file string, table string, offset long, upto long, status int, taken long")
+    _mark("budget")
 
-    # Parse, project, type and upsert, one pass per logical table.
+    # Parse, project, type and upsert, one pass per logical table, several at
+    # a time; each table's data and progress become current in one commit.
     manifest_rows = read_manifest(spark, root).collect()
-    updates = []
     failed: dict[str, str] = {}
     loaded: dict[tuple, int] = {}
-    for t in tables:
-        try:
-            ups, counts = _load_table(spark, root, registry, t, staged, stage_path, run_id,
-                                      file_plans[t], grants_df, grants, widths, manifest_rows,
-                                      small, result.timings, keyless)
-            updates += ups
-            loaded.update(counts)
-        except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
-            failed[t] = f"{type(exc).__name__}: {exc}"
-        _mark(f"table:{t}")
-    if updates:
-        commit_manifest(spark, root, manifest_rows, updates)
-
-    # Progress: every planned file is opened and closed in this run.
-    opened = plan_df.select(
-        F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
-        F.col("crc").alias("CRC"), F.col("offset").alias("LastProcessedLine"),
-    )
     # Files without a matching column, and files without even a header
     # line, are completed no-ops.
-    with_header = {(r["provider"], r["file"]) for r in plan_info}
-    empty = [
-        (r["provider"], r["file"], r["table"], r["offset"])
-        for r in plan_rows if (r["provider"], r["file"]) not in with_header
-    ]
-    noop_rows = [(r["provider"], r["file"], r["table"], r["offset"]) for r in plan_info if r["n_matched"] == 0]
-    noop_rows += empty
-    no_match = spark.createDataFrame(
-        noop_rows, "Provider string, FileName string, table string, LastProcessedLine long"
-    ).select("Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
-    if failed:
-        grants = [
-            (g[0], g[1], g[2], _offset_of(plan_rows, g[0], g[1]), control.STATUS_OPEN, 0)
-            if g[2] in failed else g
-            for g in grants
-        ]
-        grants_df = spark.createDataFrame(grants, grants_df.schema)
-    closes = grants_df.select(
-        F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
-        F.col("upto").alias("LastProcessedLine"), F.col("status").alias("Status"),
-    ).unionByName(no_match)
-    # Every planned file is opened and closed in this run, so open-then-close
-    # is one upsert of the final rows (a close never meets a missing row).
-    final = opened.drop("LastProcessedLine").join(closes, ["Provider", "FileName"]).select(
-        "Provider", "FileName", "CRC", F.col("LastProcessedLine").cast("long"),
-        control.checked_status("Status").alias("Status"),
-        F.current_timestamp().alias("UpdatedAt"),
-    )
-    new_progress = upsert(progress.select(*control.PROGRESS_SCHEMA.names), final, control.PROGRESS_KEY,
-                          new_is_unique=True)  # one row per planned file
-    write_table(new_progress.coalesce(1), root, PROGRESS)
-
-    # Versions last: a crash before this line makes the next run redo the
-    # import instead of skipping it.
-    write_table(control.set_versions(versions, changed).coalesce(1), root, VERSIONS)
-
-    _mark("control")
-    result.errors = failed
+    matched = {(r["provider"], r["file"]) for r in plan_info if r["n_matched"] > 0}
+    noop_rows = [(r["provider"], r["file"], r["table"], int(r["offset"])) for r in usable_rows
+                 if (r["provider"], r["file"]) not in matched]
+
+    def closes(granted: DataFrame) -> DataFrame:
+        ends = control.rollback_points(granted.select(
+            F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
+            F.col("upto").alias("last_line"), (F.col("upto") - F.col("offset")).alias("size"),
+            F.lit(False).alias("failed")), control.PROGRESS_KEY)
+        capped = granted.where(F.col("status") == control.STATUS_OPEN).select(
+            F.col("provider").alias("Provider"), F.col("file").alias("FileName"), F.lit(control.STATUS_OPEN).alias("_open"))
+        return ends.join(capped, control.PROGRESS_KEY, "left").withColumn(
+            "Status", F.coalesce("_open", "Status")).drop("_open")
+
+    with ThreadPoolExecutor(TABLE_THREADS) as pool:
+        jobs = {
+            pool.submit(_load_table, spark, root, registry, t, staged, stage_path, run_id, file_plans[t],
+                        grants_df, widths, manifest_rows, result.timings, keyless): t
+            for t in tables if any(i["table"] == t and i["n_matched"] > 0 for i in plan_info)
+        }
+        for job in as_completed(jobs):
+            t = jobs[job]
+            try:
+                providers_of, updates, counts = job.result()
+                manifest_rows, manifest = changed_manifest(spark, manifest_rows, t, providers_of, updates)
+                closed = control.close_progress(progress, closes(grants_df.where(F.col("table") == t)))
+                write_tables({MANIFEST: compact(manifest), PROGRESS: compact(closed)}, root)
+                progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
+                loaded.update(counts)
+            except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
+                failed[t] = f"{type(exc).__name__}: {exc}"
+            _mark(f"table:{t}")
+
+    result.errors, result.file_errors = failed, file_errors
     result.files = [
-        {"provider": g[0], "file": g[1], "table": g[2], "last_line": g[3], "status": g[4],
+        {"provider": g[0], "file": g[1], "table": g[2],
+         "last_line": g[3] if g[2] in failed else g[4],
+         "status": control.STATUS_OPEN if g[2] in failed else g[5],
          "rows": loaded.get((g[0], g[1]), 0)}
         for g in grants
     ] + [
         {"provider": p, "file": f, "table": t, "last_line": o, "status": control.STATUS_DONE, "rows": 0}
         for p, f, t, o in noop_rows
+    ] + [
+        {"provider": r["provider"], "file": r["file"], "table": r["table"], "last_line": int(r["offset"]),
+         "status": control.STATUS_OPEN, "rows": 0}
+        for r in plan_rows if (r["provider"], r["file"]) in file_errors
     ]
-    if failed:
+    # Versions last: a crash before this line makes the next run redo the
+    # import instead of skipping it.
+    done = spark.createDataFrame(noop_rows, "Provider string, FileName string, table string, LastProcessedLine long").select(
+        "Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
+    log = spark.createDataFrame(
+        [(run_id, f["provider"], f["file"], f["rows"], f["last_line"], result.error_of(f)) for f in result.files],
+        "run string, provider string, file string, rows long, last_line long, error string",
+    ).withColumn("ended_at", F.current_timestamp())
+    write_tables({
+        PROGRESS: compact(control.close_progress(progress, done)),
+        VERSIONS: compact(control.set_versions(versions, changed)),
+        RUN_LOG: compact(read_table(spark, root, RUN_LOG, RUN_LOG_SCHEMA).unionByName(log)),
+    }, root)
+    _mark("control")
+    if failed or file_errors:
         raise ImportFailed(result)
     return result
 
 
-def staged_records(spark: SparkSession, paths: list[str], plan_df: DataFrame, plan_rows,
-                   plan_side) -> DataFrame:
-    """The staged records of the planned files, with their split metadata.
+def compact(df: DataFrame) -> DataFrame:
+    """A control table in as few files as its size asks for."""
+    return df.hint("rebalance")
 
-    Header records plus, per file, only the records past its offset: a
-    plan-sized predicate that Parquet evaluates against row-group statistics
-    (records are stored in file order), so a resumed file's finished part is
-    skipped, not read.  Beyond ``PUSHED_OFFSETS`` resumed files the offset
-    is applied after the join instead.
-    """
-    staged = spark.read.parquet(*paths).select(
-        "*",
-        F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
-    resumed = sorted({(r["provider"], r["file"], r["offset"]) for r in plan_rows if r["offset"] > 0})
-    if resumed and len(resumed) <= PUSHED_OFFSETS:
-        past_offset = reduce(
-            lambda a, b: a | b,
-            [
-                (F.col("provider") == p) & (F.col("file") == f) & (F.col("line_no") > o)
-                for p, f, o in resumed
-            ],
-        )
-        fresh = ~reduce(
-            lambda a, b: a | b,
-            [(F.col("provider") == p) & (F.col("file") == f) for p, f, _ in resumed],
-        )
-        staged = staged.where((F.col("line_no") == 0) | fresh | past_offset)
-    return staged.join(
-        plan_side(plan_df.select("provider", "file", F.col("raw_crc").alias("crc"))),
-        ["provider", "file", "crc"],
-        "left_semi",
-    )
 
+def _grants(spark: SparkSession, staged: DataFrame, plan_info: list[dict], last_lines: dict,
+            max_rows: int | None, blocks_path: str) -> list[tuple]:
+    """How far each file may go: (provider, file, table, offset, upto, status,
+    rows).  An upper bound comes from the record numbers alone; only providers
+    whose bound exceeds the budget need their valid rows counted."""
+    files = [r for r in plan_info if r["n_matched"] > 0]
+    budget = max_rows if max_rows is not None else (1 << 62)
+    last = {(r["provider"], r["file"]): max(last_lines[r["provider"], r["file"]], r["offset"]) for r in files}
+    bound: dict[str, int] = {}
+    for r in files:
+        bound[r["provider"]] = bound.get(r["provider"], 0) + last[r["provider"], r["file"]] - r["offset"]
+    exact = sorted(p for p, n in bound.items() if n > budget)
+    rows = {k: last[k] - r["offset"] for r in files for k in [(r["provider"], r["file"])]}
+    counted = blocks = None
+    if exact:
+        info = spark.createDataFrame([tuple(r[k] for k in _INFO_COLS) for r in files if r["provider"] in exact], _INFO_SCHEMA)
+        counted = staged.join(info, ["provider", "file", "table"]).where(
+            (F.col("line_no") > F.col("offset")) & ~F.col("bad_utf8") & (field_count("line") == F.col("width"))
+        ).select("provider", "file", "line_no", F.floor(F.col("line_no") / COUNT_BLOCK).alias("block"))
+        counted.groupBy("provider", "file", "block").agg(F.count(F.lit(1)).alias("n")).write.parquet(blocks_path)
+        blocks = spark.read.parquet(blocks_path)
+        rows |= {k: 0 for k in rows if k[0] in exact}
+        rows |= {(r["provider"], r["file"]): r["n"] for r in blocks.groupBy("provider", "file").agg(F.sum("n").alias("n")).collect()}
+    offered = spark.createDataFrame([(p, f, n) for (p, f), n in rows.items()], "provider string, file string, rows long")
+    quotas = {(r["provider"], r["file"]): r for r in file_quotas(offered, budget).collect()}  # one row per file
+    partial = [(*k, r["quota"]) for k, r in quotas.items() if not r["file_done"] and r["quota"] > 0]
+    cut = {}
+    if partial:  # at most one file a provider: the line of its last granted row
+        quota = spark.createDataFrame(partial, "provider string, file string, quota long")
+        before = Window.partitionBy("provider", "file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        at = (blocks.join(quota, ["provider", "file"])
+              .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+              .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
+              .select("provider", "file", "block", (F.col("quota") - F.col("before")).alias("nth")))
+        nth = F.row_number().over(Window.partitionBy("provider", "file").orderBy("line_no"))
+        found = counted.join(at, ["provider", "file", "block"]).withColumn("k", nth).where(F.col("k") == F.col("nth"))
+        cut = {(r["provider"], r["file"]): r["line_no"] for r in found.select("provider", "file", "line_no").collect()}
+    out = []
+    for r in files:
+        k = (r["provider"], r["file"])
+        q = quotas[k]
+        if q["file_done"]:
+            upto, status = last[k], control.STATUS_DONE
+        elif q["quota"] > 0:
+            upto, status = cut[k], control.STATUS_OPEN
+        else:
+            upto, status = r["offset"], control.STATUS_OPEN
+        out.append((*k, r["table"], int(r["offset"]), int(upto), status, int(q["quota"])))
+    return out
 
-def _offset_of(plan_rows, provider: str, file: str) -> int:
-    for r in plan_rows:
-        if r["provider"] == provider and r["file"] == file:
-            return int(r["offset"])
-    return 0
+
+def staged_records(spark: SparkSession, paths: list[str], plan_df: DataFrame, plan_rows) -> DataFrame:
+    """The staged records of the planned files.
+
+    Records at or before the least offset of the run are not read: records are
+    stored in file order, so Parquet skips them by row-group statistics.  Each
+    file's own offset is applied where its rows are taken.
+    """
+    staged = spark.read.parquet(*paths)
+    least = min((int(r["offset"]) for r in plan_rows), default=0)
+    if least > 0:
+        staged = staged.where((F.col("line_no") <= 0) | (F.col("line_no") > least))
+    return staged.join(
+        plan_df.select("provider", "file", F.col("raw_crc").alias("crc")), ["provider", "file", "crc"], "left_semi")
 
 
 def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan, grants_df,
-                grants, widths, manifest_rows, small, timings=None,
-                keyless: str = "append") -> tuple[list[tuple], dict]:
+                widths, manifest_rows, timings, keyless: str = "append") -> tuple[list[str], list[dict], dict]:
     """Parse, type and upsert the granted rows of one logical table; returns
-    the manifest rows to commit and the rows loaded per file."""
+    the providers changed, their manifest rows and the rows loaded per file."""
     clock = [time.perf_counter()]
 
     def step(name: str) -> None:
-        if timings is not None:
-            now = time.perf_counter()
-            timings[f"{t}:{name}"] = round(now - clock[0], 3)
-            clock[0] = now
+        now = time.perf_counter()
+        timings[f"{t}:{name}"] = round(now - clock[0], 3)
+        clock[0] = now
 
     lt = registry.tables[t]
-    def plan_side(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df
-
-    fp = file_plan.join(plan_side(grants_df.select("provider", "file", "upto")), ["provider", "file"])
-    parsed = parse_lines(staged.where(F.col("table") == t), fp, lt, widths.get(t, 1),
-                         broadcast_plan=small)
-    bounds = fp.select("provider", "file", "offset", "upto")
-    taken = (
-        parsed.where(F.col("valid"))
-        .join(plan_side(bounds), ["provider", "file"])
-        .where((F.col("line_no") > F.col("offset")) & (F.col("line_no") <= F.col("upto")))
-    )
-    # Typed rows are written once to the staging folder: the rejects and the
-    # upsert both read them, and the upsert's lineage starts there.
+    fp = file_plan.join(grants_df.where(F.col("table") == t).select("provider", "file", "upto"), ["provider", "file"])
+    bounds = fp.select("provider", "file", "upto", F.col("offset").alias("_from"))
+    records = staged.where((F.col("table") == t) & (F.col("line_no") > 0)).join(bounds, ["provider", "file"]).where(
+        (F.col("line_no") > F.col("_from")) & (F.col("line_no") <= F.col("upto"))).drop("_from", "upto")
+    taken = parse_lines(records, fp, lt, widths.get(t, 1)).where("valid")
+    # Typed rows are written once to the staging folder; the upsert's lineage
+    # starts there.
     typed_path = f"{stage_path}_typed/table={t}"
     type_columns(taken, lt).write.parquet(typed_path)
     typed = spark.read.parquet(typed_path)
     step("parse_type_write")
-    rejects = typed.where(F.size("_rejects") > 0).select(
-        "provider", F.lit(t).alias("table"), "file", "line_no", F.explode("_rejects").alias("r"),
-    ).select("provider", "table", "file", "line_no", "r.column", "r.text")
-    rejects.write.mode("append").parquet(f"{root.rstrip('/')}/rejects/run={run_id}")
-    step("rejects")
-    counts = {
-        (r["provider"], r["file"]): r["n"]
-        for r in typed.groupBy("provider", "file").agg(F.count(F.lit(1)).alias("n")).collect()
-    }  # one row per file
-    step("counts")
-    new = typed.withColumn("_source_file", F.col("file")).select(
-        *lt.spark_schema().names, "file", "line_no"
-    )
-    provs = sorted({p for (p, _), n in counts.items() if n > 0})
-    if not provs:
-        return [], counts
+    per_file = typed.groupBy("provider", "file").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.size("_rejects") > 0).alias("rejected")).collect()  # one row per file
+    counts = {(r["provider"], r["file"]): r["n"] for r in per_file}
+    if any(r["rejected"] for r in per_file):
+        typed.where(F.size("_rejects") > 0).select(
+            "provider", F.lit(t).alias("table"), "file", "line_no", F.explode("_rejects").alias("r"),
+        ).select("provider", "table", "file", "line_no", "r.column", "r.text").write.parquet(
+            f"{root.rstrip('/')}/rejects/run={run_id}/part={t}")
+    step("counts_rejects")
+    new_rows: dict[str, int] = {}
+    for (p, _), n in counts.items():
+        new_rows[p] = new_rows.get(p, 0) + n
+    if not new_rows:
+        return [], [], counts
+    new = typed.withColumn("_source_file", F.col("file")).select(*lt.spark_schema().names, "file", "line_no")
+    loose = [p for p in registry.keyless_providers(t) if p in new_rows] if lt.key else sorted(new_rows)
     replace = None
-    if keyless == "replace_file":
-        keyless_provs = set(registry.keyless_providers(t)) if lt.key else set(provs)
-        files = sorted({(p, f) for (p, f), n in counts.items() if n > 0 and p in keyless_provs})
-        if files:
-            replace = spark.createDataFrame(files, "provider string, _source_file string")
-    ups = apply_upserts(spark, root, t, lt.spark_schema(), new, provs, list(lt.key),
-                        ["file", "line_no"], manifest_rows, replace_files=replace,
-                        broadcast_replace=small)
+    files = sorted((p, f) for p, f in counts if p in loose)
+    if keyless == "replace_file" and files:
+        replace = spark.createDataFrame(files, "provider string, _source_file string")
+    updates = apply_upserts(spark, root, t, lt.spark_schema(), new, new_rows, list(lt.key),
+                            ["file", "line_no"], manifest_rows, keyless=loose, replace_files=replace)
     step("upsert_write")
-    return ups, counts
+    return sorted(new_rows), updates, counts
 
 
 class ImportFailed(RuntimeError):
-    """Some tables failed; the others were committed.  ``result.errors`` maps
-    table → error; their files stay open at their old offset."""
+    """Some files or tables failed; the others were committed.
+    ``result.errors`` maps table → error, ``result.file_errors`` (provider,
+    file) → error; the files concerned stay open at their old offset."""
 
     def __init__(self, result: "ImportResult"):
-        super().__init__(f"import failed for tables: {sorted(result.errors)}")
+        what = [f"{t}: {e}" for t, e in sorted(result.errors.items())]
+        what += [f"{p}/{f}: {e}" for (p, f), e in sorted(result.file_errors.items())]
+        super().__init__("import failed for " + "; ".join(what))
         self.result = result
 
 

@@ -1,89 +1,154 @@
-"""Feed tables: one logical table holds every provider's rows; each provider's
-rows live in the snapshot folder the manifest names for it.
-
-``<root>/tables/<table>/v=<n>/_p=<provider>/*.parquet`` — a run writes one
-new version folder per logical table holding only the providers it changed;
-providers it did not touch keep their folder.  The manifest
-``(table, provider, version)`` is a small control table (one row per table and
-provider) written after the data: until it is written, readers see the
-previous state.
+"""Feed tables: one logical table holds every provider's rows.
+
+Rows with a complete key live in hash buckets per provider; a run rewrites
+only the buckets that its new rows fall into.  Rows that never conflict (NULL
+in the key, or a provider that declares the table without a key) are only
+added: each run writes them to a part of its own (bucket ``LOOSE``).
+
+``<root>/tables/<table>/v=<n>/_p=<provider hash>/_b=<bucket>/*.parquet`` —
+a run writes one new version folder per table, holding only what it changed.
+The manifest names, per table, provider and bucket, the version that holds it
+(several for ``LOOSE``).  It is committed together with the progress rows, so
+readers see the state before the run or after it.
+
+The number of buckets follows the provider's rows (``BUCKET_ROWS`` each, a
+power of two); when a provider has outgrown it fourfold, the run that finds
+out rewrites the provider once with more.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lading.operators.upsert import upsert
-from lading.sinks.snapshots import _versions, read_table, write_table
+from lading.operators.upsert import complete_key, upsert
+from lading.sinks.snapshots import next_version, read_table
 
 MANIFEST = "control/manifest"
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType()),
         T.StructField("provider", T.StringType()),
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("buckets", T.IntegerType()),
         T.StructField("version", T.IntegerType()),
+        T.StructField("rows", T.LongType()),
     ]
 )
+LOOSE = -1
+BUCKET_ROWS = 1_000_000
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, MANIFEST, MANIFEST_SCHEMA)
 
 
-def _paths(manifest_rows, root: str, table: str) -> list[str]:
-    return [
-        f"{root.rstrip('/')}/tables/{table}/v={r['version']:08d}/_p={r['provider']}"
-        for r in manifest_rows
-        if r["table"] == table
-    ]
+def _folder(provider: str) -> str:
+    """Folder name of a provider: safe whatever the provider is called."""
+    return hashlib.md5(provider.encode("utf-8")).hexdigest()[:16]
+
+
+def _paths(rows, root: str, table: str) -> list[str]:
+    return sorted({
+        f"{root.rstrip('/')}/tables/{table}/v={r['version']:08d}/_p={_folder(r['provider'])}/_b={r['bucket']}"
+        for r in rows if r["table"] == table
+    })
+
+
+def _read(spark: SparkSession, root: str, table: str, schema: T.StructType, rows) -> DataFrame:
+    paths = _paths(rows, root, table)
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_feed_table(spark: SparkSession, root: str, table: str, schema: T.StructType,
                     providers: list[str] | None = None, manifest_rows=None) -> DataFrame:
     """Current rows of ``table`` (optionally only some providers).  The
-    manifest is a control table of one row per (table, provider)."""
+    manifest is a control table of one row per (table, provider, bucket)."""
     if manifest_rows is None:
-        m = read_manifest(spark, root).where(F.col("table") == table)
-        manifest_rows = m.collect()
-    rows = [r for r in manifest_rows if providers is None or r["provider"] in providers]
-    paths = _paths(rows, root, table)
-    if not paths:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*paths)
+        manifest_rows = read_manifest(spark, root).where(F.col("table") == table).collect()
+    return _read(spark, root, table, schema,
+                 [r for r in manifest_rows if providers is None or r["provider"] in providers])
+
+
+def bucket_count(rows: int) -> int:
+    """Buckets for so many rows: a power of two."""
+    return 1 << max(0, -(-rows // BUCKET_ROWS) - 1).bit_length()
 
 
 def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructType,
-                  new: DataFrame, providers: list[str], key: list[str],
-                  order_cols: list[str], manifest_rows,
-                  replace_files: DataFrame | None = None,
-                  broadcast_replace: bool = True) -> list[tuple]:
-    """Upsert ``new`` into the given providers' rows of ``table`` and write
-    them as a new version.  Returns the manifest rows to commit.
-
-    ``replace_files`` (``provider, _source_file``; one row per file): old rows
-    loaded from these files are dropped first — the keyless-table option that
-    replaces a re-imported file instead of appending it again."""
+                  new: DataFrame, new_rows: dict[str, int], key: list[str],
+                  order_cols: list[str], manifest_rows, keyless: list[str] = (),
+                  replace_files: DataFrame | None = None) -> list[dict]:
+    """Upsert ``new`` into ``table`` and write the changed parts as a new
+    version.  ``new_rows``: rows per provider in ``new``; ``keyless``:
+    providers that declare the table without a key.  Returns the manifest rows
+    of these providers after the change, to be committed.
+
+    ``replace_files`` (``provider, _source_file``): loose rows loaded from
+    these files are dropped first — the keyless-table option that replaces a
+    re-imported file instead of appending it again."""
     cols = schema.names
-    old = read_feed_table(spark, root, table, schema, providers, manifest_rows)
-    if replace_files is not None:
-        side = F.broadcast(replace_files) if broadcast_replace else replace_files
-        old = old.join(side, ["provider", "_source_file"], "left_anti")
+    providers = sorted(new_rows)
+    own = [r for r in manifest_rows if r["table"] == table and r["provider"] in new_rows]
+    have: dict[str, int] = {}
+    buckets: dict[str, int] = {}
+    for r in own:
+        if r["bucket"] != LOOSE:
+            have[r["provider"]] = have.get(r["provider"], 0) + r["rows"]
+            buckets[r["provider"]] = r["buckets"]
+    regrown = set()
+    for p in providers:
+        want = bucket_count(have.get(p, 0) + new_rows[p])
+        if p not in buckets or want >= 4 * buckets[p]:
+            if p in buckets:
+                regrown.add(p)
+            buckets[p] = want
+    # One row per provider: the join's side is as small as the run's plan.
+    counts = spark.createDataFrame([(p, buckets[p]) for p in providers], "provider string, _n int")
+    conflicts = complete_key(key) & ~F.col("provider").isin(list(keyless)) if key else F.lit(False)
+
+    def placed(df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*key), F.col("_n")).cast("int") if key else F.lit(LOOSE)
+        return df.join(counts, "provider").withColumn(
+            "_b", F.when(conflicts, bucket).otherwise(F.lit(LOOSE))).drop("_n")
+
+    new_b = placed(new)
+    touched = {(r["provider"], r["_b"]) for r in new_b.select("provider", "_b").distinct().collect()}
+    rewrite = [r for r in own if r["bucket"] != LOOSE and (r["provider"] in regrown or (r["provider"], r["bucket"]) in touched)]
+    replaced = [r for r in own if replace_files is not None and r["bucket"] == LOOSE]
+    keyed_new = new_b.where(F.col("_b") != LOOSE).drop("_b")
     # The provider is part of every key: providers never conflict.
-    merged = upsert(old, new, ["provider", *key] if key else [],
-                    order_cols=order_cols, keep_cols=cols)
-    existing = _versions(f"{root.rstrip('/')}/tables", table)
-    version = (existing[-1] + 1) if existing else 1
+    merged = upsert(_read(spark, root, table, schema, rewrite), keyed_new, ["provider", *key],
+                    order_cols=order_cols, keep_cols=cols) if key else keyed_new.select(*cols)
+    loose = new_b.where(F.col("_b") == LOOSE).select(*cols)
+    if replaced:
+        kept = _read(spark, root, table, schema, replaced).join(replace_files, ["provider", "_source_file"], "left_anti")
+        loose = kept.select(*cols).unionByName(loose)
+    out = placed(merged).unionByName(loose.withColumn("_b", F.lit(LOOSE)))
+    version = next_version(f"{root.rstrip('/')}/tables", table)
     path = f"{root.rstrip('/')}/tables/{table}/v={version:08d}"
-    merged.withColumn("_p", F.col("provider")).write.partitionBy("_p").parquet(path)
-    return [(table, p, version) for p in providers]
+    folder = F.substring(F.md5(F.encode("provider", "utf-8")), 1, 16)
+    # REBALANCE gathers each bucket's rows into few files and lets AQE split large buckets.
+    out.withColumn("_p", folder).hint("rebalance", "_p", "_b").write.partitionBy("_p", "_b").parquet(path)
+    written = spark.read.parquet(path).groupBy("provider", "_b").agg(F.count(F.lit(1)).alias("rows")).collect()
+    gone = {(r["provider"], r["bucket"], r["version"]) for r in [*rewrite, *replaced]}
+    keep = [r.asDict() if hasattr(r, "asDict") else r for r in own]
+    keep = [r | {"buckets": buckets[r["provider"]]} for r in keep if (r["provider"], r["bucket"], r["version"]) not in gone]
+    return keep + [
+        {"table": table, "provider": r["provider"], "bucket": r["_b"], "buckets": buckets[r["provider"]],
+         "version": version, "rows": r["rows"]}
+        for r in written
+    ]
 
 
-def commit_manifest(spark: SparkSession, root: str, manifest_rows, updates: list[tuple]) -> None:
-    """Replace the manifest rows of the updated (table, provider) pairs."""
-    current = {(r["table"], r["provider"]): r["version"] for r in manifest_rows}
-    for t, p, v in updates:
-        current[(t, p)] = v
-    rows = [(t, p, v) for (t, p), v in sorted(current.items())]
-    write_table(spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1), root, MANIFEST)
+def changed_manifest(spark: SparkSession, manifest_rows, table: str, providers, updates: list[dict]):
+    """The manifest with the rows of a table's providers replaced: as rows,
+    and as the table to commit."""
+    rows = [r.asDict() if hasattr(r, "asDict") else r for r in manifest_rows]
+    rows = [r for r in rows if not (r["table"] == table and r["provider"] in providers)] + list(updates)
+    rows.sort(key=lambda r: (r["table"], r["provider"], r["bucket"], r["version"]))
+    names = MANIFEST_SCHEMA.names
+    return rows, spark.createDataFrame([tuple(r[c] for c in names) for r in rows], MANIFEST_SCHEMA)

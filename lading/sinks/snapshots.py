@@ -1,32 +1,62 @@
 """Versioned table folders: every write goes to a new folder, readers take
-the newest complete one.
+the one the newest commit names.
 
-``<root>/<name>/v=<n>/`` — a folder is complete once Spark's committer has
-written ``_SUCCESS`` into it, so a reader never sees half a write and a job
-never overwrites the folder it reads.  Old versions stay until removed by
-retention outside this module.
+``<root>/<name>/v=<n>/`` holds a version of a table; ``<root>/_commits/c=<n>``
+is a small JSON file naming the current version of every table.  Several
+tables written by :func:`write_tables` become current in one commit: the file
+is written aside and moved into place.  A job never overwrites a folder, and a
+folder left half-written by a killed job is passed over: the next version is
+numbered past all folders that exist.  One writer at a time per root.
+
+Old versions stay until :func:`vacuum` removes them.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from lading.sources.fs import exists, list_dirs
+from lading.sources.fs import exists, list_dirs, list_files, move, open_input, open_output, remove_dir
+
+_COMMITS = "_commits"
+
+
+def _numbered(root: str, name: str) -> list[int]:
+    """Numbers of all version folders of a table, complete or not."""
+    return sorted(int(d[2:]) for d in list_dirs(f"{root.rstrip('/')}/{name}") if d.startswith("v=") and d[2:].isdigit())
 
 
 def _versions(root: str, name: str) -> list[int]:
+    """Numbers of the complete version folders."""
     base = f"{root.rstrip('/')}/{name}"
-    out = []
-    for d in list_dirs(base):
-        if d.startswith("v=") and d[2:].isdigit() and exists(f"{base}/{d}/_SUCCESS"):
-            out.append(int(d[2:]))
-    return sorted(out)
+    return [n for n in _numbered(root, name) if exists(f"{base}/v={n:08d}/_SUCCESS")]
+
+
+def next_version(root: str, name: str) -> int:
+    have = _numbered(root, name)
+    return have[-1] + 1 if have else 1
+
+
+def _commit_numbers(root: str) -> list[int]:
+    names = list_files(f"{root.rstrip('/')}/{_COMMITS}")
+    return sorted(int(n[2:]) for n in names if n.startswith("c=") and n[2:].isdigit())
+
+
+def _committed(root: str, number: int | None = None) -> dict[str, int]:
+    """Table versions named by a commit (the newest by default)."""
+    have = _commit_numbers(root)
+    if not have:
+        return {}
+    with open_input(f"{root.rstrip('/')}/{_COMMITS}/c={number or have[-1]:08d}") as fh:
+        return json.loads(fh.read())
 
 
 def current_path(root: str, name: str) -> str | None:
-    v = _versions(root, name)
-    return f"{root.rstrip('/')}/{name}/v={v[-1]:08d}" if v else None
+    v = _committed(root).get(name)
+    return f"{root.rstrip('/')}/{name}/v={v:08d}" if v else None
 
 
 def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
@@ -36,9 +66,37 @@ def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType)
     return spark.read.schema(schema).parquet(p)
 
 
+def write_tables(tables: dict[str, DataFrame], root: str) -> None:
+    """Write new versions of several tables and commit them together."""
+    versions = {}
+    for name, df in tables.items():
+        versions[name] = next_version(root, name)
+        df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}/v={versions[name]:08d}")
+    have = _commit_numbers(root)
+    path = f"{root.rstrip('/')}/{_COMMITS}/c={(have[-1] if have else 0) + 1:08d}"
+    aside = f"{root.rstrip('/')}/{_COMMITS}/writing-{uuid.uuid4().hex}"
+    with open_output(aside) as out:
+        out.write(json.dumps(_committed(root) | versions, sort_keys=True).encode("utf-8"))
+    move(aside, path)
+
+
 def write_table(df: DataFrame, root: str, name: str) -> str:
-    v = _versions(root, name)
-    nxt = (v[-1] + 1) if v else 1
-    path = f"{root.rstrip('/')}/{name}/v={nxt:08d}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+    """Write a new version of one table; returns its folder."""
+    write_tables({name: df}, root)
+    return current_path(root, name)
+
+
+def vacuum(root: str, keep: int = 2) -> list[str]:
+    """Remove version folders that none of the newest ``keep`` commits names.
+    Returns the folders removed.  No other job may write meanwhile."""
+    numbers = _commit_numbers(root)[-max(1, keep):]
+    named = [_committed(root, n) for n in numbers]
+    removed = []
+    for name in sorted({k for c in named for k in c}):
+        wanted = {c.get(name) for c in named}
+        for n in _numbered(root, name):
+            if n not in wanted:
+                path = f"{root.rstrip('/')}/{name}/v={n:08d}"
+                remove_dir(path)
+                removed.append(path)
+    return removed

@@ -10,19 +10,22 @@ release lands in a new folder, never over an old one.
   the directory at the end of the archive is read.
 * :func:`expand_entries` — one row per CSV record of the wanted entries.
   Deflate is not splittable, so each wanted entry is expanded by one task as
-  a stream of Arrow batches (memory stays bounded by the batch size, not the
-  entry size).  The task opens the archive by path and reads only its
-  member: archive bytes never travel through a shuffle.  Records are numbered
-  here, in file order, so no later step needs a per-file sort.
+  a stream of Arrow batches (memory is bounded by the batch size and the
+  longest record, not the entry size).  The task opens the archive by path and
+  reads only its member: archive bytes never travel through a shuffle.  Records
+  are numbered here, in file order, so no later step needs a per-file sort.
+  An entry that cannot be read to its end (broken archive or member, wrong
+  CRC-32, storage fault) ends with one error row; its siblings go on.
 * :func:`write_archives` — the reverse, used to land tables as feeds: each
   Spark partition writes its own archive.
 """
 
 from __future__ import annotations
 
-import csv
+import heapq
 import re
 import zipfile
+import zlib
 from typing import Iterator
 
 import numpy as np
@@ -65,27 +68,31 @@ LINE_SCHEMA = T.StructType(
         T.StructField("line", T.StringType()),
         T.StructField("bad_utf8", T.BooleanType()),
         T.StructField("header", T.ArrayType(T.StringType())),
+        T.StructField("error", T.StringType()),
     ]
 )
+#: ``line_no`` of the row that reports an entry's failure, and of the row that
+#: ends an entry read to its end (``line`` holds the last record's number).
+ERROR_LINE, END_LINE = -1, -2
 
-# A record may span physical lines only inside a quoted field; a record is
-# cut after this many bytes so that an unclosed quote cannot swallow a file.
-MAX_RECORD_BYTES = 1 << 20
 BATCH_ROWS = 65536
 CHUNK_BYTES = 1 << 22
 
-# A field: quoted (doubled quotes inside, taken greedily and never given
-# back, as a streaming CSV reader does) and then anything up to the next
-# comma, or unquoted (not starting with a quote).  A record is closed when
-# it is a comma-separated list of such fields; otherwise a quoted field is
-# still open and the next physical line belongs to it.
-_FIELD = rb'(?:"(?:[^"]|"")*+"[^,]*|(?:[^,"][^,]*)?)'
-_CLOSED_RECORD = re.compile(_FIELD + rb"(?:," + _FIELD + rb")*")
-# The same for single physical lines of a block: finds a line that is not a
-# closed record, i.e. one that opens a multi-line record.
-_LINE_FIELD = rb'(?:"(?:[^"\n]|"")*+"[^,\n]*|(?:[^,"\n][^,\n]*)?)'
-_OPEN_LINE = re.compile(rb"(?m)^(?!" + _LINE_FIELD + rb"(?:," + _LINE_FIELD + rb")*$)")
+# The records of a CSV reader: CR, LF and CRLF end a record outside quotes; a
+# field is quoted if it starts with a quote; doubled quotes stand for one;
+# bytes inside quotes stay as they are; text after the closing quote continues
+# the field.  Possessive repeats: every byte is looked at once.
+_REST = rb"[^,\r\n]*+"
+_QUOTED = rb'"[^"]*+(?:""[^"]*+)*+"' + _REST
+_FIELD = rb"(?:" + _QUOTED + rb'|(?!")' + _REST + rb")"
+_RECORD = re.compile(rb"(" + _FIELD + rb"(?:," + _FIELD + rb")*+)(?:\r\n|\r|\n)")
+# Finds a physical line that is not a whole record, i.e. a quote left open.
+_LINE_FIELD = rb'(?:"[^"\r\n]*+(?:""[^"\r\n]*+)*+"' + _REST + rb'|(?!")' + _REST + rb")"
+_OPEN_LINE = re.compile(rb"(?:\A|(?<=[\r\n]))(?!" + _LINE_FIELD + rb"(?:," + _LINE_FIELD + rb")*+(?:[\r\n]|\Z))")
 _BOM = b"\xef\xbb\xbf"
+# What reading an archive member can raise for data or storage that is broken.
+_READ_ERRORS = (zipfile.BadZipFile, zipfile.LargeZipFile, KeyError, OSError, EOFError, ValueError,
+                NotImplementedError, RuntimeError, zlib.error)
 
 
 def read_archives(spark: SparkSession, landing: str) -> DataFrame:
@@ -144,63 +151,43 @@ def list_entries(archives: DataFrame) -> DataFrame:
     return archives.select("provider", "version", "path").mapInArrow(_list_batches, ENTRY_SCHEMA)
 
 
-def _is_open(record: bytes) -> bool:
-    """True when the record ends inside a quoted field."""
-    return b'"' in record and _CLOSED_RECORD.fullmatch(record) is None
-
-
 def _record_blocks(stream, chunk: int = CHUNK_BYTES) -> Iterator[tuple]:
     """CSV records of a byte stream, one block of input at a time.
 
-    Yields ``(body, None)`` for a block without quotes and without an open
-    record — its records are simply its lines, so the caller can decode and
-    split the whole block at once — or ``(None, records)`` otherwise, where
-    physical lines were joined while a quoted field was open (a record is cut
-    at ``MAX_RECORD_BYTES``).  CR before LF is dropped; a leading UTF-8 BOM
-    is dropped.
+    Yields ``(body, None)`` for a block in which every physical line is a
+    record (lines end with LF there), so the caller can decode and split it at
+    once, or ``(None, records)`` otherwise.  While a quote stays open the next
+    read is as long as what is held, so a record of any length costs time in
+    proportion to it.  A quote that is never closed makes the rest of the
+    stream one record.  A leading UTF-8 BOM is dropped.
     """
-    tail = b""
-    pending = None
-    first = True
+    data = stream.read(chunk)
+    data = data.removeprefix(_BOM)
     while True:
-        block = stream.read(chunk)
-        if first:
-            first = False
-            if block.startswith(_BOM):
-                block = block[len(_BOM):]
-        eof = not block
-        data = tail + block
-        if eof:
-            body, tail = data, b""
-        else:
-            cut = data.rfind(b"\n")
-            if cut < 0:
-                tail = data
-                continue
-            body, tail = data[:cut], data[cut + 1:]
-        if eof and not body:
-            if pending is not None:
-                yield None, [pending]
+        block = stream.read(max(chunk, len(data)))
+        cut = max(data.rfind(b"\n"), data.rfind(b"\r"))
+        if not block and not data:
             return
-        if b"\r" in body:
-            body = body.replace(b"\r\n", b"\n")
-            if body.endswith(b"\r"):
-                body = body[:-1]
-        if pending is None and (b'"' not in body or _OPEN_LINE.search(body) is None):
+        body, rest = (data, b"") if not block else (data[:cut], data[cut + 1:])
+        if (not block or cut >= 0) and (b'"' not in body or _OPEN_LINE.search(body) is None):
+            if b"\r" in body:
+                body = body.replace(b"\r\n", b"\n").replace(b"\r", b"\n")
             yield body, None
+            data = rest + block
         else:
-            recs = []
-            for raw in body.split(b"\n"):
-                rec = raw if pending is None else pending + b"\n" + raw
-                if _is_open(rec) and len(rec) < MAX_RECORD_BYTES:
-                    pending = rec
-                    continue
-                pending = None
-                recs.append(rec)
-            yield None, recs
-        if eof:
-            if pending is not None:
-                yield None, [pending]
+            recs, at = [], 0
+            # a CR that ends what is held may be half of a CRLF
+            end = len(data) - (1 if block and data.endswith(b"\r") else 0)
+            while (m := _RECORD.match(data, at, end)) is not None:
+                recs.append(m[1])
+                at = m.end()
+            if not block and at < len(data):
+                recs.append(data[at:])
+                at = len(data)
+            if recs:
+                yield None, recs
+            data = data[at:] + block
+        if not block:
             return
 
 
@@ -248,7 +235,7 @@ def _entry_batches(stream, provider, version, file, chunk: int = CHUNK_BYTES):
             headers = pa.nulls(n, pa.list_(pa.string()))
             if next_no == 0:
                 first_bad = flags[0] if flags is not None else False
-                hdr = [] if first_bad else next(csv.reader([part[0]]), [])
+                hdr = [] if first_bad else split_record(part[0])
                 headers = pa.array([hdr] + [None] * (n - 1), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
                 [
@@ -259,10 +246,32 @@ def _entry_batches(stream, provider, version, file, chunk: int = CHUNK_BYTES):
                     pa.array(part, pa.string()),
                     pa.array(flags if flags is not None else np.zeros(n, dtype=bool), pa.bool_()),
                     headers,
+                    pa.nulls(n, pa.string()),
                 ],
                 schema=schema,
             )
             next_no += n
+    yield _outcome_batch(provider, version, file, END_LINE, str(max(next_no - 1, 0)), None)
+
+
+def split_record(record: str) -> list[str]:
+    """Fields of one record (the rules above)."""
+    out = []
+    for m in _SPLIT.finditer("," + record):
+        quoted, rest, plain = m.groups()
+        out.append(plain if quoted is None else quoted.replace('""', '"') + (rest or ""))
+    return out
+
+
+# One field with its leading comma; an open quote takes the rest.
+_SPLIT = re.compile(r',(?:"([^"]*+(?:""[^"]*+)*+)(?:"([^,]*+)|\Z)|([^,]*+))')
+
+
+def _outcome_batch(provider, version, file, line_no: int, line: str | None, error: str | None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pylist(
+        [{"provider": provider, "version": version, "file": file, "line_no": line_no,
+          "line": line, "bad_utf8": False, "header": None, "error": error}],
+        schema=_arrow(LINE_SCHEMA))
 
 
 def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,30 +281,47 @@ def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             cols["provider"], cols["version"], cols["archive"], cols["file"]
         ):
             try:
-                fh = open_input(archive)
-                stream = zipfile.ZipFile(fh).open(file)
-            except (zipfile.BadZipFile, KeyError, OSError, ValueError):
-                continue
-            with fh, stream:
-                yield from _entry_batches(stream, provider, version, file)
+                # ZipExtFile checks the member's CRC-32 when it reaches its end.
+                with open_input(archive) as fh, zipfile.ZipFile(fh).open(file) as stream:
+                    yield from _entry_batches(stream, provider, version, file)
+            except _READ_ERRORS as exc:
+                yield _outcome_batch(provider, version, file, ERROR_LINE, None, f"{type(exc).__name__}: {exc}")
+
+
+def _bins(sizes: list[int], n: int) -> list[int]:
+    """Bin of each entry: the largest first, each into the lightest bin."""
+    heap = [(0, k) for k in range(n)]
+    out = [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        load, k = heapq.heappop(heap)
+        out[i] = k
+        heapq.heappush(heap, (load + max(1, sizes[i]), k))
+    return out
 
 
 def expand_entries(wanted: DataFrame) -> DataFrame:
     """Records of the wanted entries.
 
-    ``wanted``: ``(provider, version, archive, file)`` — one row per entry to
-    expand, a plan-sized table.  Rows are spread round-robin so that every
-    entry gets its own task.  Output follows ``LINE_SCHEMA``: ``line_no`` 0
+    ``wanted``: ``(provider, version, archive, file[, size])`` — one row per
+    entry to expand, a plan-sized table.  Entries are dealt to tasks by size,
+    the largest first; there are as many tasks as entries, up to a few waves of
+    the cluster's cores.  Output follows ``LINE_SCHEMA``: ``line_no`` 0
     is the header record (with ``header`` parsed), data records follow from
     1; blank lines are skipped; ``bad_utf8`` marks records that are not UTF-8.
+    Each entry has one row more: ``END_LINE`` with the number of its last
+    record, or ``ERROR_LINE`` with an ``error`` if it could not be read to the
+    end.
     """
-    w = wanted.select("provider", "version", "archive", "file")
-    ship_package(w.sparkSession)
-    # One task per entry, up to a few waves of the cluster's cores; beyond
-    # that, tasks take several entries one after the other.
-    cap = max(1, w.sparkSession.sparkContext.defaultParallelism * 8)
-    n = max(1, min(w.count(), cap))
-    return w.repartition(n).mapInArrow(_expand_batches, LINE_SCHEMA)
+    spark = wanted.sparkSession
+    ship_package(spark)
+    names = ["provider", "version", "archive", "file"]
+    size = F.coalesce(F.col("size"), F.lit(0)) if "size" in wanted.columns else F.lit(0)
+    rows = wanted.select(*names, size.cast("long").alias("size")).collect()  # one row per entry
+    cap = max(1, spark.sparkContext.defaultParallelism * 8)
+    n = max(1, min(len(rows), cap))
+    dealt = [(*[r[c] for c in names], k) for r, k in zip(rows, _bins([r["size"] for r in rows], n))]
+    w = spark.createDataFrame(dealt, ", ".join(f"{c} string" for c in names) + ", bin int")
+    return w.repartitionByRange(n, "bin").select(*names).mapInArrow(_expand_batches, LINE_SCHEMA)
 
 
 # --- landing tables as feeds ---------------------------------------------------

@@ -47,6 +47,20 @@ def list_dirs(path: str) -> list[str]:
     return sorted(i.base_name for i in fs.get_file_info(sel) if i.type == pafs.FileType.Directory)
 
 
+def list_files(path: str) -> list[str]:
+    """Names of the files in ``path`` (empty if it does not exist)."""
+    fs, p = _resolve(path)
+    if fs.get_file_info(p).type == pafs.FileType.NotFound:
+        return []
+    sel = pafs.FileSelector(p, recursive=False)
+    return sorted(i.base_name for i in fs.get_file_info(sel) if i.type == pafs.FileType.File)
+
+
+def remove_dir(path: str) -> None:
+    fs, p = _resolve(path)
+    fs.delete_dir(p)
+
+
 def exists(path: str) -> bool:
     fs, p = _resolve(path)
     return fs.get_file_info(p).type != pafs.FileType.NotFound

@@ -4,7 +4,8 @@ folder: ``readStream`` on the archives (``binaryFile``, content never read),
 
 Each pass takes the archives that landed since the last pass (the stream's
 checkpoint remembers which) and runs an import for their providers; then
-providers whose files the row cap left open are resumed.  A pass over an
+providers that had no new archive and whose files an earlier pass left open
+are resumed.  A pass over an
 unchanged landing folder with nothing open does nothing.  A micro-batch
 replayed after a failure is harmless: the import skips versions and files it
 already recorded.
@@ -51,12 +52,14 @@ def import_stream(spark: SparkSession, landing: str, root: str, registry: Regist
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
 
-    # Files left open by the row cap (or by a failed table) resume without a
-    # new archive.
+    # Files left open by an earlier pass resume without a new archive; the cap
+    # holds once per provider and pass.
+    ran = {r["provider"] for done in results for r in done.providers}
     progress = read_table(spark, root, PROGRESS, PROGRESS_SCHEMA)
     open_providers = sorted(
         r["Provider"]
         for r in progress.where(F.col("Status") != STATUS_DONE).select("Provider").distinct().collect()
+        if r["Provider"] not in ran
     )  # one row per provider
     if open_providers:
         results.append(import_landing(spark, landing, root, registry, max_rows,

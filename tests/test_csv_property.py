@@ -11,7 +11,7 @@ from lading.operators.parse import build_plan, declared_columns, field_count, pa
 from lading.registry import build_registry, registry_df
 from lading.sources.archive import _records
 
-CELL = st.text(alphabet=st.sampled_from(list('ab ,"\\x') + ["é", "\n"]), max_size=6)
+CELL = st.text(alphabet=st.sampled_from(list('ab ,"\\x') + ["é", "\n", "\r"]), max_size=6)
 ROW = st.lists(CELL, min_size=3, max_size=3)
 
 REG = build_registry("t: a T, b T, c T | a", "[p]\nt: a b c")
@@ -40,6 +40,57 @@ def test_fields_round_trip(spark, rows):
         assert got[n] == (True, r), (n, lines[n - 1], got[n])
 
 
+def reference_records(text: str) -> list[list[str]]:
+    """A character-by-character reader with the rules of a streaming CSV
+    parser: CR, LF and CRLF end records, a quote opens a field only at its
+    start, text after the closing quote continues the field."""
+    out, row, field, state, quoted = [], [], "", "start", False
+    k = 0
+    while k <= len(text):
+        c = text[k] if k < len(text) else None
+        if state == "quoted":
+            if c is None:
+                out.append([*row, field])
+                return out
+            if c == '"' and text[k + 1: k + 2] == '"':
+                field += '"'
+                k += 1
+            elif c == '"':
+                state = "field"
+            else:
+                field += c
+        elif c in ("\r", "\n", None):
+            if row or field or quoted:
+                out.append([*row, field])
+            row, field, state, quoted = [], "", "start", False
+        elif c == ",":
+            row, field, state = [*row, field], "", "start"
+        elif c == '"' and state == "start":
+            state, quoted = "quoted", True
+        else:
+            field, state = field + c, "field"
+        k += 1
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet='ab,"\r\n', max_size=40), st.sampled_from([1, 2, 3, 7, 100]))
+def test_records_and_fields_match_a_plain_reader(text, chunk):
+    from lading.sources.archive import split_record
+
+    got = [split_record(r.decode()) for r in _records(io.BytesIO(text.encode()), chunk) if r]
+    assert got == reference_records(text)
+
+
+def test_record_scan_is_linear():
+    import time
+
+    for text in (b'h,i\nx,"stray\n' + b"1,2,3,4,5,6\n" * 430_000, b'h\n"' + b"y\r\n" * 1_500_000 + b'"\nz\n'):
+        began = time.perf_counter()
+        assert len([r for r in _records(io.BytesIO(text)) if r]) in (2, 3)
+        assert time.perf_counter() - began < 5
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(ROW, min_size=1, max_size=20), st.sampled_from(["\n", "\r\n"]))
 def test_expander_records_round_trip(rows, eol):

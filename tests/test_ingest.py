@@ -210,12 +210,12 @@ def test_unreadable_archive_is_retried(spark, land, workdir):
     assert [r["ETag"] for r in r2.versions().collect()] == ["e1"]
 
 
-def test_budget_cut_without_broadcast_plans(spark, land, workdir, monkeypatch):
-    """With plan tables too large to broadcast, the cut line is found by
-    sorting instead of storage order; results are the same."""
+def test_budget_cut_inside_and_between_count_blocks(spark, land, workdir, monkeypatch):
+    """The last granted line is found inside its block of lines, wherever the
+    malformed lines and the block edges are."""
     import lading.plans.ingest as ingest
 
-    monkeypatch.setattr(ingest, "BROADCAST_PLAN_ROWS", 0)
+    monkeypatch.setattr(ingest, "COUNT_BLOCK", 7)
     body = STOPS_HDR + "\n" + "".join(f"S{i},n{i},1,1\n" for i in range(30)) + "bad\n" + "S99,x,1,1\n"
     landing = land("ktmb", "e1", {"stops.txt": body})
     r1 = run(spark, landing, workdir, max_rows=25)
@@ -278,8 +278,190 @@ def test_archive_writer_leaves_only_complete_archives(spark, workdir):
     assert total == 1000
 
 
-def test_same_file_in_two_archives_of_a_version_fails(spark, land, workdir):
-    landing = land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nA,a,1,1\n"}, name="one.zip")
+def test_same_file_in_two_archives_of_a_version_fails_that_file(spark, land, workdir):
+    from lading.plans.ingest import ImportFailed
+
+    landing = land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nA,a,1,1\n", "agency.txt": "agency_id,agency_name\nX,x\n"}, name="one.zip")
     land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nB,b,1,1\n"}, name="two.zip")
-    with pytest.raises(ValueError, match="two archives"):
+    with pytest.raises(ImportFailed, match="two archives") as err:
+        run(spark, landing, workdir)
+    res = err.value.result
+    assert set(res.file_errors) == {("ktmb", "stops.txt")}
+    assert rows(res.table("agency"), "agency_id") == [("X",)]
+    assert res.table("stops").count() == 0
+
+
+def break_member(path: str, name: str, where: str) -> None:
+    """Damage one member: its local header, or a byte of its body."""
+    import zipfile
+
+    path = path.replace("file:", "")
+    with zipfile.ZipFile(path) as zf:
+        info = zf.getinfo(name)
+    with open(path, "r+b") as fh:
+        fh.seek(info.header_offset + (0 if where == "header" else 30 + len(name) + 2))
+        fh.write(b"\xff\xff\xff")
+
+
+@pytest.mark.parametrize("where", ["header", "body"])
+def test_broken_member_leaves_siblings_and_its_old_offset(spark, land, workdir, where):
+    from lading.plans.ingest import ImportFailed
+
+    body = STOPS_HDR + "\n" + "".join(f"S{i},n{i},1,1\n" for i in range(500))
+    landing = land("ktmb", "e1", {"stops.txt": body, "agency.txt": "agency_id,agency_name\nX,x\n"})
+    land("mybas-johor", "e1", {"stops.txt": "stop_id,stop_name\nM,m\n"})
+    break_member(f"{landing}/provider=ktmb/version=e1/feed.zip", "stops.txt", where)
+    with pytest.raises(ImportFailed) as err:
+        run(spark, landing, workdir)
+    res = err.value.result
+    assert set(res.file_errors) == {("ktmb", "stops.txt")} and res.errors == {}
+    assert rows(res.table("agency"), "agency_id") == [("X",)]
+    assert rows(res.table("stops"), "provider", "stop_id") == [("mybas-johor", "M")]
+    prog = {(r["Provider"], r["FileName"]): (r["Status"], r["LastProcessedLine"]) for r in res.progress().collect()}
+    assert prog["ktmb", "stops.txt"] == (1, 0) and prog["ktmb", "agency.txt"] == (0, 1)
+    log = {r["file"]: r["file_error"] for r in res.run_log().where("provider = 'ktmb'").collect()}
+    assert log == {"stops.txt": True, "agency.txt": False}
+    # once the archive is whole again, the open file is resumed
+    land("ktmb", "e1", {"stops.txt": body, "agency.txt": "agency_id,agency_name\nX,x\n"})
+    again = run(spark, landing, workdir)
+    assert {f["file"] for f in again.files} == {"stops.txt"} and again.table("stops").count() == 501
+
+
+def test_half_written_folders_are_passed_over(spark, land, workdir):
+    import os
+
+    landing = land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nA,a,1,1\n"})
+    run(spark, landing, workdir)
+    local = f"{workdir}/wh".replace("file:", "")
+    for name in ("tables/stops", "control/import_progress", "control/manifest", "control/dataset_versions", "control/staged_entries"):
+        have = sorted(d for d in os.listdir(f"{local}/{name}") if d.startswith("v="))
+        os.makedirs(f"{local}/{name}/v={int(have[-1][2:]) + 1:08d}/_temporary")
+    land("ktmb", "e2", {"stops.txt": STOPS_HDR + "\nB,b,2,2\n"})
+    res = run(spark, landing, workdir)
+    assert rows(res.table("stops"), "stop_id") == [("A",), ("B",)]
+
+
+def test_crash_between_table_and_versions_does_not_double_keyless_rows(spark, land, workdir, monkeypatch):
+    import lading.plans.ingest as ingest
+
+    hdr = "leg_group_id,from_area_id,to_area_id,fare_product_id\n"
+    landing = land("mybas-johor", "e1", {"fare_leg_rules.txt": hdr + "g,a,b,f\n"})
+    real = ingest.write_tables
+
+    def dying(tables, root):
+        if ingest.VERSIONS in tables:
+            raise RuntimeError("driver lost")
+        return real(tables, root)
+
+    monkeypatch.setattr(ingest, "write_tables", dying)
+    with pytest.raises(RuntimeError, match="driver lost"):
         run(spark, landing, workdir)
+    monkeypatch.setattr(ingest, "write_tables", real)
+    res = run(spark, landing, workdir)
+    assert res.table("fare_leg_rules").count() == 1
+
+
+def test_progress_is_open_while_a_table_loads(spark, land, workdir, monkeypatch):
+    import lading.plans.ingest as ingest
+
+    landing = land("ktmb", "e1", {"stops.txt": STOPS_HDR + "\nA,a,1,1\n"})
+    real, seen = ingest.apply_upserts, []
+
+    def spying(spark_, root, *a, **k):
+        seen.extend((r["FileName"], r["Status"]) for r in status(spark_, root, "ktmb").collect())
+        return real(spark_, root, *a, **k)
+
+    monkeypatch.setattr(ingest, "apply_upserts", spying)
+    res = run(spark, landing, workdir)
+    assert seen == [("stops.txt", 1)]
+    assert [(r["FileName"], r["Status"]) for r in res.progress().collect()] == [("stops.txt", 0)]
+    assert spark.read.parquet(f"{workdir}/wh/control/run_log").count() >= 1
+
+
+def test_vanished_open_files_are_closed(spark, land, workdir):
+    body = STOPS_HDR + "\nA,a,1,1\nB,b,1,1\n"
+    landing = land("ktmb", "e1", {"stops.txt": body})
+    run(spark, landing, workdir, max_rows=1)
+    land("ktmb", "e2", {"agency.txt": "agency_id,agency_name\nX,x\n"})
+    r2 = run(spark, landing, workdir)
+    assert {r["FileName"]: r["Status"] for r in r2.progress().collect()} == {"stops.txt": 0, "agency.txt": 0}
+    assert run(spark, landing, workdir).providers[0]["action"] == "skip"
+
+
+def test_untouched_buckets_keep_their_files(spark, land, workdir, monkeypatch):
+    import lading.sinks.feed_tables as feed_tables
+    from lading.sinks.feed_tables import read_manifest
+
+    monkeypatch.setattr(feed_tables, "BUCKET_ROWS", 10)
+    body = STOPS_HDR + "\n" + "".join(f"S{i},n{i},1,1\n" for i in range(100))
+    landing = land("ktmb", "e1", {"stops.txt": body})
+    run(spark, landing, workdir)
+    before = {r["bucket"]: r["version"] for r in read_manifest(spark, f"{workdir}/wh").collect()}
+    assert {r["buckets"] for r in read_manifest(spark, f"{workdir}/wh").collect()} == {16}
+    land("ktmb", "e2", {"stops.txt": STOPS_HDR + "\nS5,new,1,1\n"})
+    res = run(spark, landing, workdir)
+    after = {r["bucket"]: r["version"] for r in read_manifest(spark, f"{workdir}/wh").collect()}
+    assert sum(before[b] != after[b] for b in before) == 1
+    t = {r["stop_id"]: r["stop_name"] for r in res.table("stops").collect()}
+    assert len(t) == 100 and t["S5"] == "new" and t["S6"] == "n6"
+    # far more rows than the buckets were meant for: the provider is dealt anew
+    land("ktmb", "e3", {"stops.txt": STOPS_HDR + "\n" + "".join(f"S{i},m{i},1,1\n" for i in range(900))})
+    res = run(spark, landing, workdir)
+    assert res.table("stops").count() == 900
+    assert {r["buckets"] for r in read_manifest(spark, f"{workdir}/wh").collect()} == {128}
+
+
+def test_provider_names_with_special_characters(spark, workdir):
+    import os
+
+    from conftest import make_zip
+    from lading.registry import build_registry
+
+    reg = build_registry("t: k T, v T | k", "[a:b%c]\nt: k v")
+    make_zip(f"{workdir}/landing/provider=a%3Ab%25c/version=e1/feed.zip".replace("file:", ""), {"t.txt": "k,v\n1,x\n"})
+    res = run(spark, f"{workdir}/landing", workdir, registry=reg)
+    assert rows(res.table("t"), "provider", "k", "v") == [("a:b%c", "1", "x")]
+    assert os.path.isdir(f"{workdir}/wh/tables/t".replace("file:", ""))
+
+
+def test_keyless_provider_that_declares_the_key_column_appends(spark, land, workdir):
+    from lading.registry import build_registry
+
+    reg = build_registry("t: k T, v T | k", "[p]\nt (keyless): k v\n\n[q]\nt: k v")
+    landing = land("p", "e1", {"t.txt": "k,v\n1,x\n1,y\n"})
+    land("q", "e1", {"t.txt": "k,v\n1,x\n1,y\n"})
+    res = run(spark, landing, workdir, registry=reg)
+    assert rows(res.table("t"), "provider", "k", "v") == [("p", "1", "x"), ("p", "1", "y"), ("q", "1", "y")]
+
+
+def test_csv_quote_rules_end_to_end(spark, land, workdir):
+    body = STOPS_HDR + '\rA,"x\r\ny",1,1\rB,"q"uote,1,1\r\nC,"a ""b"" c"d"e,1,1\n' + 'D,' + '"' + "long " * 300_000 + '\n",1,1\nE,"open,1,1\n'
+    landing = land("ktmb", "e1", {"stops.txt": body})
+    res = run(spark, landing, workdir, max_rows=None)
+    t = {r["stop_id"]: r["stop_name"] for r in res.table("stops").collect()}
+    assert set(t) == {"A", "B", "C", "D"}
+    assert (t["A"], t["B"], t["C"]) == ("x\r\ny", "quote", 'a "b" cd"e')
+    assert len(t["D"]) == 1_500_001
+
+
+def test_more_rows_than_the_default_cap(spark, workdir):
+    from lading.plans import feed_queries as Q
+    from lading.plans.ingest import MAX_ROWS_PER_RUN
+
+    n = MAX_ROWS_PER_RUN + 20_000
+    src = spark.range(0, n, numPartitions=1).selectExpr(
+        "id AS c_custkey", "concat('c', id) AS c_name", "id % 25 AS c_nationkey", "cast(id AS double) AS c_acctbal", "'M' AS c_mktsegment")
+    src.coalesce(1).write.parquet(f"{workdir}/sf/customer.parquet")
+    out = Q.feed_import(spark, f"{workdir}/sf")
+    assert out.count() == n and out.select("c_custkey").distinct().count() == n
+
+
+def test_vacuum_keeps_what_commits_name(spark, workdir):
+    from lading.sinks.snapshots import _versions, read_table, vacuum, write_table
+
+    df = spark.range(3).toDF("n")
+    for k in range(4):
+        write_table(df.where(f"n >= {k}"), workdir, "t")
+    vacuum(workdir, keep=2)
+    assert _versions(workdir, "t") == [3, 4]
+    assert read_table(spark, workdir, "t", df.schema).count() == 0

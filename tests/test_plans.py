@@ -58,7 +58,7 @@ def test_resume_offset_is_pushed_to_the_scan(spark, land, workdir):
     ctl = read_table(spark, root, STAGED, STAGED_SCHEMA).collect()
     plan_rows = [{"provider": "ktmb", "file": "stops.txt", "offset": 20}]
     plan_df = spark.createDataFrame([("ktmb", "stops.txt", ctl[0]["crc"])], "provider string, file string, raw_crc string")
-    df = staged_records(spark, [ctl[0]["path"]], plan_df, plan_rows, F.broadcast)
+    df = staged_records(spark, [ctl[0]["path"]], plan_df, plan_rows)
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
         p = executed(df)
