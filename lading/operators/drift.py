@@ -19,10 +19,11 @@ with ``importer_exact = false`` match only after normalising.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lading.functions.names import last_segment, normalise_header_name
+from lading.sources.archive import entry_headers, list_entries, read_archives
 
 
 def report_entry(name) -> "F.Column":
@@ -30,6 +31,17 @@ def report_entry(name) -> "F.Column":
     return n.endswith(".txt") & ~n.startswith("__MACOSX") & ~last_segment(n).startswith("._")
 
 
+def drift_from_landing(spark: SparkSession, landing: str, declared: DataFrame) -> DataFrame:
+    """The report over the newest feed version of every provider below
+    ``landing``; headers are read from the archives.  A file that cannot be
+    read counts as one without a header."""
+    archives = read_archives(spark, landing)
+    newest = archives.groupBy("provider").agg(
+        F.max_by("version", F.struct("modificationTime", "version")).alias("version"))
+    entries = list_entries(archives.join(newest, ["provider", "version"])).where(report_entry("file"))
+    return drift_report(entry_headers(entries).select("provider", "file", "header"), declared)
+
+
 def drift_report(headers: DataFrame, declared: DataFrame) -> DataFrame:
     """``headers(provider, file, header array<string>)`` — one row per feed
     file (header NULL or empty when the file has no header line);

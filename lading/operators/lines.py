@@ -73,18 +73,21 @@ def number_in_storage_order(rows: DataFrame, group_cols: list[str],
     one split in order, so only per-split counts are shuffled: a window runs
     over one row per (group, split).
     """
+    # Part files are ordered by the number in their name (part-100000 comes
+    # after part-99999), other files by name.
+    rows = rows.withColumn("_part", F.expr(r"try_cast(regexp_extract(_path, 'part-([0-9]+)[^/]*$', 1) as bigint)"))
     local = rows.withColumn("_pid", F.spark_partition_id()).withColumn(
         "_rec", F.monotonically_increasing_id().bitwiseAND(F.lit(_LOW33))
     )
-    split_cols = ["_path", "_block"]
+    split_cols = ["_part", "_path", "_block"]
     counts = local.groupBy(*group_cols, *split_cols, "_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rec").alias("_first")
     )
     offs = _offsets(counts, group_cols, split_cols, "_off")
     return (
-        local.join(offs.drop("_n"), [*group_cols, *split_cols, "_pid"], "inner")
+        local.join(offs.drop("_n", "_part"), [*group_cols, "_path", "_block", "_pid"], "inner")
         .withColumn(out, F.col("_off") + F.col("_rec") - F.col("_first") + 1)
-        .drop("_pid", "_rec", "_off", "_first")
+        .drop("_pid", "_rec", "_off", "_first", "_part")
     )
 
 
@@ -115,8 +118,8 @@ def batch_number(row_no, size: int = 500) -> Column:
 def after_offset(df: DataFrame, offsets: DataFrame, keys: list[str],
                  line_col: str = "line_no", offset_col: str = "offset") -> DataFrame:
     """Rows past the resume offset of their file.  ``offsets`` is the per-file
-    plan (one row per file), broadcast; files without a row are not read."""
-    return df.join(F.broadcast(offsets.select(*keys, offset_col)), keys, "inner").where(
+    plan (one row per file); files without a row are not read."""
+    return df.join(offsets.select(*keys, offset_col), keys, "inner").where(
         F.col(line_col) > F.col(offset_col)
     )
 

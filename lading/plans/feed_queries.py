@@ -20,7 +20,7 @@ from lading.functions.names import (
     path_segments,
 )
 from lading.operators import control, lines as L
-from lading.operators.drift import drift_report
+from lading.operators.drift import drift_from_landing
 from lading.operators.parse import (
     build_plan,
     declared_columns,
@@ -139,6 +139,59 @@ def entry_crc32(spark, sf_dir):
     return d.select("doc_id", crc32_hex(F.col("text")).alias("crc"))
 
 
+def entry_crc_check(spark, sf_dir):
+    """CRC-32 of every landed entry, computed from its rebuilt content, against
+    the one its archive states."""
+    landing = scratch_path(spark, "landing")
+    specs = [("nation", ["n_nationkey", "n_name", "n_regionkey"], "nat"), ("region", ["r_regionkey", "r_name"], "reg")]
+    _land_tables(spark, sf_dir, landing, specs)
+    entries = list_entries(read_archives(spark, landing))
+    lines = expand_entries(entries).where(F.col("line_no") >= 0)
+    content = lines.groupBy("provider", "file").agg(
+        F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("r")).select(
+        "provider", "file", (F.size("r") - 1).alias("records"),
+        crc32_hex(F.concat(F.array_join(F.col("r.line"), "\n"), F.lit("\n"))).alias("computed"))
+    return entries.join(content, ["provider", "file"], "left").groupBy("file").agg(
+        F.sum("records").alias("records"),
+        F.bool_and(F.coalesce(F.col("computed") == F.col("crc"), F.lit(False))).alias("crc_matches"))
+
+
+def import_isolates_failures(spark, sf_dir):
+    """Healthy feeds of ``nation`` beside a feed of ``region`` whose member is
+    damaged: the healthy rows load, the damaged file stays open."""
+    from lading.plans.ingest import ImportFailed, import_landing
+    from lading.sources.fs import open_input, open_output
+
+    landing = scratch_path(spark, "landing")
+    cols = ["n_nationkey", "n_name", "n_regionkey"]
+    good = write_archives(table(spark, sf_dir, "nation").select(_csv(*cols).alias("line")), landing, "v1", "nation",
+                          ",".join(cols), "nat").collect()  # one row per archive
+    whole = scratch_path(spark, "whole")
+    source = write_archives(table(spark, sf_dir, "region").select(_csv("r_regionkey", "r_name").alias("line")), whole, "v1",
+                            "region", "r_regionkey,r_name", "reg").collect()
+    for w in source:
+        with open_input(w["archive"]) as fh:
+            data = bytearray(fh.read())
+        at = 30 + int.from_bytes(data[26:28], "little") + int.from_bytes(data[28:30], "little")  # the first member's body
+        data[at: at + 4] = b"\xff" * 4
+        with open_output(f"{landing}/provider={w['provider']}/version=v1/region.zip") as out:
+            out.write(bytes(data))
+    reg = build_registry(
+        "nation: n_nationkey I, n_name T, n_regionkey I | n_nationkey\nregion: r_regionkey I, r_name T | r_regionkey",
+        "\n".join([f"[{w['provider']}]\nnation: {' '.join(cols)}" for w in good]
+                  + [f"[{w['provider']}]\nregion: r_regionkey r_name" for w in source]))
+    root = scratch_path(spark, "warehouse")
+    try:
+        result = import_landing(spark, landing, root, registry=reg, max_rows=None)
+    except ImportFailed as exc:
+        result = exc.result
+    progress = result.progress().select(F.col("Provider").alias("provider"), F.col("FileName").alias("file"), F.col("Status").alias("status"))
+    rows = result.table("nation").join(progress, "provider").select("n_nationkey", F.col("n_name").alias("name"), "status")
+    rest = progress.where(F.col("file") == "region.txt").join(result.table("region"), "provider", "left").select(
+        F.col("r_regionkey").alias("n_nationkey"), F.coalesce("r_name", "file").alias("name"), "status").distinct()
+    return rows.unionByName(rest)
+
+
 # --- parse and project -------------------------------------------------------
 
 ORDERS_REG = build_registry(
@@ -203,6 +256,26 @@ CUSTOMER_REG = build_registry(
 CUSTOMER_T = CUSTOMER_REG.tables["customer"]
 
 
+QUOTE_T = build_registry("q: k I, a T, b T | k", "[tpch]\nq: k a b")
+
+
+def csv_quote_rules(spark, sf_dir):
+    """Text after a closing quote continues the field; bytes inside quotes stay
+    as they are, line ends too; a quote inside a plain field is a character."""
+    o = table(spark, sf_dir, "orders")
+    v = F.col("o_orderkey") % 4
+    a = (F.when(v == 0, F.concat(F.lit('"'), "o_orderpriority", F.lit('"tail"'), "o_orderstatus"))
+         .when(v == 1, F.concat(F.lit('"a,'), "o_orderstatus", F.lit('\r\n""'), "o_orderpriority", F.lit('"')))
+         .when(v == 2, F.concat("o_orderstatus", F.lit('"x"')))
+         .otherwise(F.lit('""')))
+    lines = o.select(F.lit("tpch").alias("provider"), F.lit("q.txt").alias("file"), (F.col("o_orderkey") + 1).alias("line_no"),
+                     F.concat_ws(",", _s("o_orderkey"), a, _s("o_custkey")).alias("line"))
+    plan = build_plan(_headers(spark, [("tpch", "q.txt", "q", ["k", "a", "b"])]),
+                      declared_columns(registry_df(spark, QUOTE_T)), QUOTE_T.tables["q"])
+    out = drop_malformed(parse_lines(lines, plan, QUOTE_T.tables["q"], 3))
+    return out.select(F.col("k").cast("bigint").alias("o_orderkey"), "a", F.col("b").cast("bigint").alias("o_custkey"))
+
+
 def csv_empty_is_string(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
     seg = (
@@ -276,16 +349,10 @@ def numeric_affinity(spark, sf_dir):
         .otherwise(F.lit(""))
     )
     texts = p.select("p_partkey", size_text.alias("size"), price_text.alias("price"))
-    typed = type_columns(texts, PART_T)
-    return texts.join(typed.select("p_partkey", F.col("size").alias("size_value"),
-                                   F.col("price").alias("price_value"), "_rejects"), "p_partkey").select(
-        "p_partkey", F.col("size").alias("size_text"), "size_value",
-        F.col("price").alias("price_text"), "price_value",
-        F.size("_rejects").alias("n_rejects"),
-    )
-
-
-ORDER_JSON = "array<struct<o_orderkey:string,o_custkey:string,o_orderstatus:string,o_orderpriority:string>>"
+    kept = texts.withColumns({"size_text": F.col("size"), "price_text": F.col("price")})
+    return type_columns(kept, PART_T).select(
+        "p_partkey", "size_text", F.col("size").alias("size_value"),
+        "price_text", F.col("price").alias("price_value"), F.size("_rejects").alias("n_rejects"))
 
 
 def json_batch_explode(spark, sf_dir):
@@ -296,13 +363,15 @@ def json_batch_explode(spark, sf_dir):
         .groupBy("batch_no")
         .agg(F.to_json(F.collect_list(rec)).alias("payload"))
     )
-    rows = batches.select("batch_no", F.explode(F.from_json("payload", ORDER_JSON)).alias("r"))
+    # Each object of the batch stays JSON text; its fields are extracted by path.
+    rows = batches.select("batch_no", F.explode(F.from_json("payload", "array<string>")).alias("r"))
+    field = lambda name: F.get_json_object("r", f"$.{name}")
     return rows.select(
         "batch_no",
-        F.get_json_object(F.to_json("r"), "$.o_orderkey").cast("bigint").alias("o_orderkey"),
-        F.col("r.o_custkey").cast("bigint").alias("o_custkey"),
-        F.col("r.o_orderstatus").alias("o_orderstatus"),
-        F.col("r.o_orderpriority").alias("o_orderpriority"),
+        field("o_orderkey").cast("bigint").alias("o_orderkey"),
+        field("o_custkey").cast("bigint").alias("o_custkey"),
+        field("o_orderstatus").alias("o_orderstatus"),
+        field("o_orderpriority").alias("o_orderpriority"),
     )
 
 
@@ -566,15 +635,21 @@ DRIFT_FEEDS = ["customer", "orders", "part", "supplier", "region", "nation"]
 
 
 def schema_drift_report(spark, sf_dir):
-    rows = []
+    """Two providers land every table as a feed archive; the headers of the
+    report come from the archives."""
+    landing = scratch_path(spark, "drift-landing")
     for name in DRIFT_FEEDS:
-        cols = table(spark, sf_dir, name).columns
-        if name == "customer":
-            cols = ["﻿ C_CustKey "] + cols[1:]
-        rows.append(("tpch", f"feed/{name}.txt", cols))
-    headers = spark.createDataFrame(rows, "provider string, file string, header array<string>")
-    declared = spark.createDataFrame(DRIFT_DECLARED, "provider string, table string, declared array<string>")
-    r = drift_report(headers, declared)
+        df = table(spark, sf_dir, name)
+        cols = df.columns
+        header = ["\ufeff C_CustKey ", *cols[1:]] if name == "customer" else cols
+        keyed = df.select(F.pmod(F.col(cols[0]), F.lit(2)).alias("half"), _csv(*cols).alias("line"))
+        # One archive per half: range bounds 0 | 1 give two partitions.
+        write_archives(keyed.repartitionByRange(2, "half").select("line"), landing, "v1", name,
+                       ",".join(header), "tpch").collect()
+    declared = spark.createDataFrame(
+        [(p, t, c) for p in ("tpch0", "tpch1") for _, t, c in DRIFT_DECLARED],
+        "provider string, table string, declared array<string>")
+    r = drift_from_landing(spark, landing, declared)
     return r.select(
         "provider", "table", "file", "outcome",
         F.array_join("missing_in_db", ",").alias("missing_in_db"),

@@ -259,8 +259,8 @@ j AS (
          list_filter(h.cols, lambda x: NOT list_contains(d.dcols, x)) AS miss,
          list_filter(d.dcols, lambda x: NOT list_contains(h.cols, x)) AS extra
   FROM hdr h FULL OUTER JOIN decl d ON h.t = d.t)
-SELECT 'tpch' AS provider, tbl AS "table",
-       CASE WHEN ht IS NOT NULL THEN 'feed/' || ht || '.txt' END AS file,
+SELECT provider, tbl AS "table",
+       CASE WHEN ht IS NOT NULL THEN ht || '.txt' END AS file,
        CASE WHEN dcols IS NULL THEN 'file_not_in_schema'
             WHEN ht IS NULL THEN 'table_without_file'
             WHEN cols = dcols THEN 'exact_match'
@@ -275,7 +275,22 @@ SELECT 'tpch' AS provider, tbl AS "table",
        -- the customer feed header is written with a BOM, spaces and capitals
        CASE WHEN ht IS NOT NULL AND dcols IS NOT NULL
             THEN (ht <> 'customer' AND cols = dcols) END AS importer_exact
-FROM j""",
+FROM j CROSS JOIN (VALUES ('tpch0'), ('tpch1')) p(provider)""",
+    "entry_crc_check": """
+SELECT 'nation.txt' AS file, count(*) AS records, count(*) > 0 AS crc_matches FROM nation
+UNION ALL SELECT 'region.txt', count(*), count(*) > 0 FROM region""",
+    "import_isolates_failures": """
+SELECT n_nationkey, n_name AS name, 0 AS status FROM nation
+UNION ALL SELECT NULL, 'region.txt', 1""",
+    "csv_quote_rules": """
+SELECT o_orderkey,
+       CASE o_orderkey % 4
+            WHEN 0 THEN o_orderpriority || 'tail"' || o_orderstatus
+            WHEN 1 THEN 'a,' || o_orderstatus || chr(13) || chr(10) || '"' || o_orderpriority
+            WHEN 2 THEN o_orderstatus || '"x"'
+            ELSE '' END AS a,
+       o_custkey
+FROM orders""",
     "scalar_names": """
 WITH p AS (SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1) AS path FROM pages),
 s AS (SELECT page_id, path, string_split(trim(path, '/'), '/') AS seg FROM p)

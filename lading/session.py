@@ -42,6 +42,9 @@ def shared_dir(spark: SparkSession) -> str:
         # Only sessions without the setting (tests, a laptop) get here; a
         # cluster names shared storage.  spark.checkpoint.dir is a core
         # setting that cannot change at run time, so the context is told.
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="lading-ckpt-")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)

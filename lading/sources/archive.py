@@ -324,6 +324,40 @@ def expand_entries(wanted: DataFrame) -> DataFrame:
     return w.repartitionByRange(n, "bin").select(*names).mapInArrow(_expand_batches, LINE_SCHEMA)
 
 
+HEADER_SCHEMA = T.StructType(
+    [
+        T.StructField("provider", T.StringType()),
+        T.StructField("version", T.StringType()),
+        T.StructField("file", T.StringType()),
+        T.StructField("header", T.ArrayType(T.StringType())),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
+
+def _header_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        out = []
+        for r in b.to_pylist():
+            header, error = None, None
+            try:
+                with open_input(r["archive"]) as fh, zipfile.ZipFile(fh).open(r["file"]) as stream:
+                    first = next((x for x in _records(stream, 1 << 16) if x), None)
+                header = None if first is None else split_record(first.decode("utf-8"))
+            except _READ_ERRORS as exc:
+                error = f"{type(exc).__name__}: {exc}"
+            out.append({"provider": r["provider"], "version": r["version"], "file": r["file"], "header": header, "error": error})
+        yield pa.RecordBatch.from_pylist(out, schema=_arrow(HEADER_SCHEMA))
+
+
+def entry_headers(wanted: DataFrame) -> DataFrame:
+    """First record of each wanted entry ``(provider, version, archive,
+    file)``, split into names; only the entry's first block is decompressed.
+    ``header`` is NULL for an empty entry, or with an ``error``."""
+    ship_package(wanted.sparkSession)
+    return wanted.select("provider", "version", "archive", "file").mapInArrow(_header_batches, HEADER_SCHEMA)
+
+
 # --- landing tables as feeds ---------------------------------------------------
 
 def _zip_writer(landing: str, version: str, entry: str, header: str, prefix: str):

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lading.sources.fs import open_input
+
 CATALOGUE_SCHEMA = T.StructType(
     [
         T.StructField("name", T.StringType(), False),
@@ -36,8 +38,8 @@ def catalogue_rows(entries: list[dict]) -> list[tuple]:
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    with open(path, "rb") as fh:
-        doc = tomllib.load(fh)
+    with open_input(path) as fh:
+        doc = tomllib.loads(fh.read().decode("utf-8"))
     return spark.createDataFrame(catalogue_rows(doc.get("providers", [])), CATALOGUE_SCHEMA)
 
 
