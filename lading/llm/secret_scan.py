@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lading.llm.columns import fresh
+from lading.llm.graph import written
 
 KINDS = ["assign", "access", "hex", "part", "endpoint"]
 SCOPE = 400
@@ -129,6 +130,7 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "secret_sp
     kinds = base_spans(text) | {"part": find(text, _PART, "part"), "endpoint": find(text, _ENDPOINT, "endpoint")}
     parts = (some.select(keys[k1].alias("k1"), keys[k2].alias("k2"), F.concat(*kinds.values()).alias("spans"))
              .select("k1", "k2", F.explode("spans").alias("span")).distinct())
+    parts = written(parts, "secret-parts")  # read by each side of the joins
     added = (_linked(parts, scope).groupBy("k1", "k2").agg(F.collect_list("span").alias(extra))
              .withColumnsRenamed({"k1": k1, "k2": k2}))
     full = (some.withColumns(keys).join(added, [k1, k2], "left")
