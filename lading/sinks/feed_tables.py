@@ -51,26 +51,30 @@ def _folder(provider: str) -> str:
     return hashlib.md5(provider.encode("utf-8")).hexdigest()[:16]
 
 
-def _paths(rows, root: str, table: str) -> list[str]:
+def _paths(rows, root: str, table: str, base: str = "tables") -> list[str]:
     return sorted({
-        f"{root.rstrip('/')}/tables/{table}/v={r['version']:08d}/_p={_folder(r['provider'])}/_b={r['bucket']}"
+        f"{_home(root, base)}/{table}/v={r['version']:08d}/_p={_folder(r['provider'])}/_b={r['bucket']}"
         for r in rows if r["table"] == table
     })
 
 
-def _read(spark: SparkSession, root: str, table: str, schema: T.StructType, rows) -> DataFrame:
-    paths = _paths(rows, root, table)
+def _home(root: str, base: str) -> str:
+    return f"{root.rstrip('/')}/{base}".rstrip("/")
+
+
+def _read(spark: SparkSession, root: str, table: str, schema: T.StructType, rows, base: str = "tables") -> DataFrame:
+    paths = _paths(rows, root, table, base)
     return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def read_feed_table(spark: SparkSession, root: str, table: str, schema: T.StructType,
-                    providers: list[str] | None = None, manifest_rows=None) -> DataFrame:
+                    providers: list[str] | None = None, manifest_rows=None, base: str = "tables") -> DataFrame:
     """Current rows of ``table`` (optionally only some providers).  The
     manifest is a control table of one row per (table, provider, bucket)."""
     if manifest_rows is None:
         manifest_rows = read_manifest(spark, root).where(F.col("table") == table).collect()
     return _read(spark, root, table, schema,
-                 [r for r in manifest_rows if providers is None or r["provider"] in providers])
+                 [r for r in manifest_rows if providers is None or r["provider"] in providers], base)
 
 
 def bucket_count(rows: int) -> int:
@@ -81,7 +85,7 @@ def bucket_count(rows: int) -> int:
 def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructType,
                   new: DataFrame, new_rows: dict[str, int], key: list[str],
                   order_cols: list[str], manifest_rows, keyless: list[str] = (),
-                  replace_files: DataFrame | None = None) -> list[dict]:
+                  replace_files: DataFrame | None = None, merge=upsert, base: str = "tables") -> list[dict]:
     """Upsert ``new`` into ``table`` and write the changed parts as a new
     version.  ``new_rows``: rows per provider in ``new``; ``keyless``:
     providers that declare the table without a key.  Returns the manifest rows
@@ -89,7 +93,8 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
 
     ``replace_files`` (``provider, _source_file``): loose rows loaded from
     these files are dropped first — the keyless-table option that replaces a
-    re-imported file instead of appending it again."""
+    re-imported file instead of appending it again.  ``merge``: the upsert to
+    use (:func:`lading.operators.upsert.upsert` or one of its kind)."""
     cols = schema.names
     providers = sorted(new_rows)
     own = [r for r in manifest_rows if r["table"] == table and r["provider"] in new_rows]
@@ -121,15 +126,15 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
     replaced = [r for r in own if replace_files is not None and r["bucket"] == LOOSE]
     keyed_new = new_b.where(F.col("_b") != LOOSE).drop("_b")
     # The provider is part of every key: providers never conflict.
-    merged = upsert(_read(spark, root, table, schema, rewrite), keyed_new, ["provider", *key],
-                    order_cols=order_cols, keep_cols=cols) if key else keyed_new.select(*cols)
+    merged = merge(_read(spark, root, table, schema, rewrite, base), keyed_new, ["provider", *key],
+                   order_cols=order_cols, keep_cols=cols) if key else keyed_new.select(*cols)
     loose = new_b.where(F.col("_b") == LOOSE).select(*cols)
     if replaced:
-        kept = _read(spark, root, table, schema, replaced).join(replace_files, ["provider", "_source_file"], "left_anti")
+        kept = _read(spark, root, table, schema, replaced, base).join(replace_files, ["provider", "_source_file"], "left_anti")
         loose = kept.select(*cols).unionByName(loose)
     out = placed(merged).unionByName(loose.withColumn("_b", F.lit(LOOSE)))
-    version = next_version(f"{root.rstrip('/')}/tables", table)
-    path = f"{root.rstrip('/')}/tables/{table}/v={version:08d}"
+    version = next_version(_home(root, base), table)
+    path = f"{_home(root, base)}/{table}/v={version:08d}"
     folder = F.substring(F.md5(F.encode("provider", "utf-8")), 1, 16)
     # REBALANCE gathers each bucket's rows into few files and lets AQE split large buckets.
     out.withColumn("_p", folder).hint("rebalance", "_p", "_b").write.partitionBy("_p", "_b").parquet(path)

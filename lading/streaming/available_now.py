@@ -5,28 +5,49 @@ each micro-batch into a snapshot table and stops.  A second run over an
 unchanged folder processes nothing.
 
 Files may be taken in any order, so the row with the highest ordering value
-wins, whether it is already in the table or arrives later."""
+wins, whether it is already in the table or arrives later.  The table is kept
+in hash buckets of its key: a micro-batch is reduced to one row per key and
+rewrites only the buckets it falls into."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lading.operators.upsert import upsert_latest
+from lading.operators.upsert import last_wins, upsert_latest
+from lading.sinks.feed_tables import MANIFEST_SCHEMA, apply_upserts, changed_manifest, read_feed_table
 from lading.sinks.snapshots import read_table, write_table
 
+_ALL = "all"  # the one provider of a table that knows none
+
+
+def _stored(schema: T.StructType) -> T.StructType:
+    return T.StructType([T.StructField("provider", T.StringType()), *schema.fields])
+
+
+def read_upserted(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """Current rows of a table kept by :func:`upsert_batches`."""
+    rows = read_table(spark, root, f"{name}/manifest", MANIFEST_SCHEMA).collect()  # one row per bucket
+    return read_feed_table(spark, root, name, _stored(schema), manifest_rows=rows, base="").select(*schema.names)
+
 
 def upsert_batches(root: str, name: str, schema: T.StructType, key: list[str],
                    order_cols: list[str]):
     """``foreachBatch`` function: apply a micro-batch to the table
-    ``<root>/<name>`` and commit a new snapshot."""
-    cols = [f.name for f in schema.fields]
+    ``<root>/<name>`` and commit it."""
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        old = read_table(spark, root, name, schema)
-        new = upsert_latest(old, batch.select(*cols), key, order_cols, keep_cols=cols)
-        write_table(new, root, name)
+        rows = read_table(spark, root, f"{name}/manifest", MANIFEST_SCHEMA).collect()
+        new = last_wins(batch.select(*schema.names), key, order_cols).withColumn("provider", F.lit(_ALL)).persist()
+        count = new.count()
+        if count:
+            updates = apply_upserts(spark, root, name, _stored(schema), new, {_ALL: count}, key, order_cols, rows,
+                                    merge=upsert_latest, base="")
+            _, manifest = changed_manifest(spark, rows, name, [_ALL], updates)
+            write_table(manifest.hint("rebalance"), root, f"{name}/manifest")
+        new.unpersist()
 
     return apply
 
@@ -50,4 +71,4 @@ def upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, root:
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return read_table(spark, root, name, schema)
+    return read_upserted(spark, root, name, schema)
