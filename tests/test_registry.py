@@ -27,14 +27,42 @@ def test_registry_rows(spark):
     assert r.where("provider = 'rapid-bus-mrtfeeder' AND table = 'agency' AND key_ordinal IS NOT NULL").count() == 0
 
 
-def test_golden_drift_50_exact_matches(spark):
-    """Headers equal to the declared lists: every table matches exactly."""
-    rows = [(p, f"{t}.txt", list(cols)) for (p, t), (cols, _) in DEFAULT.declared.items()]
-    headers = spark.createDataFrame(rows, "provider string, file string, header array<string>")
-    rep = drift_report(headers, declared_columns(registry_df(spark, DEFAULT)))
+def listed_headers() -> dict:
+    """(provider, table) → columns, as FIXTURES.md lists the feeds' headers."""
+    import os
+    import re
+
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "FIXTURES.md")
+    out, provider = {}, None
+    for line in open(path, encoding="utf-8").read().split("### 1.2 By provider")[1].splitlines():
+        if m := re.match(r"#### `([^`]+)`", line):
+            provider = m[1]
+        elif line.startswith(("## ", "### ")):
+            break
+        elif provider and (m := re.match(r"\| `([^`]+)` \| ([^|]+) \|", line)):
+            out[provider, m[1]] = [c.split()[0] for c in m[2].split(", ")]
+    return out
+
+
+def test_golden_drift_50_exact_matches(spark, land):
+    """Feeds with the listed headers, landed as archives: every table matches
+    exactly, and a changed header shows."""
+    from lading.operators.drift import drift_from_landing
+
+    headers = listed_headers()
+    assert len(headers) == 50
+    for provider in {p for p, _ in headers}:
+        root = land(provider, "e1", {f"{t}.txt": ",".join(h) + "\r\n1,2\r\n" for (p, t), h in headers.items() if p == provider})
+    declared = declared_columns(registry_df(spark, DEFAULT))
+    rep = drift_from_landing(spark, root, declared)
     out = rep.groupBy("outcome").count().collect()
     assert {r["outcome"]: r["count"] for r in out} == {"exact_match": 50}
     assert rep.where(~F.col("importer_exact")).count() == 0
+    land("ktmb", "e2", {"stops.txt": "stop_id,stop_name,stop_lat,new\n", "empty.txt": "", "agency.txt": '\ufeff"agency_id",\n'})
+    changed = {r["table"]: r for r in drift_from_landing(spark, root, declared).where("provider = 'ktmb'").collect()}
+    assert changed["stops"]["outcome"] == "missing_and_extra" and changed["stops"]["missing_in_db"] == ["new"]
+    assert changed["empty"]["outcome"] == "file_not_in_schema"
+    assert changed["trips"]["outcome"] == "table_without_file"
 
 
 def test_drift_six_outcomes(spark):
