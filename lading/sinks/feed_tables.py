@@ -87,7 +87,8 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
                   order_cols: list[str], manifest_rows, keyless: list[str] = (),
                   replace_files: DataFrame | None = None, merge=upsert, base: str = "tables") -> list[dict]:
     """Upsert ``new`` into ``table`` and write the changed parts as a new
-    version.  ``new_rows``: rows per provider in ``new``; ``keyless``:
+    version.  ``new_rows``: rows per provider in ``new`` (0 if not counted and
+    the provider is known already); ``keyless``:
     providers that declare the table without a key.  Returns the manifest rows
     of these providers after the change, to be committed.
 
@@ -121,7 +122,10 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
             "_b", F.when(conflicts, bucket).otherwise(F.lit(LOOSE))).drop("_n")
 
     new_b = placed(new)
-    touched = {(r["provider"], r["_b"]) for r in new_b.select("provider", "_b").distinct().collect()}
+    if all(buckets[p] == 1 for p in providers):
+        touched = {(p, 0) for p in providers}
+    else:
+        touched = {(r["provider"], r["_b"]) for r in new_b.select("provider", "_b").distinct().collect()}
     rewrite = [r for r in own if r["bucket"] != LOOSE and (r["provider"] in regrown or (r["provider"], r["bucket"]) in touched)]
     replaced = [r for r in own if replace_files is not None and r["bucket"] == LOOSE]
     keyed_new = new_b.where(F.col("_b") != LOOSE).drop("_b")

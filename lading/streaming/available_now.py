@@ -40,14 +40,14 @@ def upsert_batches(root: str, name: str, schema: T.StructType, key: list[str],
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         rows = read_table(spark, root, f"{name}/manifest", MANIFEST_SCHEMA).collect()
-        new = last_wins(batch.select(*schema.names), key, order_cols).withColumn("provider", F.lit(_ALL)).persist()
-        count = new.count()
-        if count:
+        new = last_wins(batch.select(*schema.names), key, order_cols).withColumn("provider", F.lit(_ALL))
+        # The first batch decides the number of buckets; later the manifest knows the table's size.
+        count = 0 if rows else batch.count()
+        if rows or count:
             updates = apply_upserts(spark, root, name, _stored(schema), new, {_ALL: count}, key, order_cols, rows,
                                     merge=upsert_latest, base="")
             _, manifest = changed_manifest(spark, rows, name, [_ALL], updates)
             write_table(manifest.hint("rebalance"), root, f"{name}/manifest")
-        new.unpersist()
 
     return apply
 
