@@ -40,9 +40,9 @@ SAMPLE_ROWS = 1_000
 #: Passes of expectation maximisation.
 EM_ROUNDS = 2
 #: Bytes of text scored at once in a task.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 6 << 20
 #: Words times languages whose sums are held at once.
-BLOCK_SUMS = 200_000
+BLOCK_SUMS = 100_000
 #: Longer letter runs (scripts without spaces) are scored in parts of this size.
 RUN_LETTERS = 250
 #: Evidence weight: log-likelihood ratios are scaled to this many letters.
@@ -78,7 +78,7 @@ class Pieces:
             for c in t:
                 x = (x * int(_MULT) + ord(c)) & 0xFFFFFFFFFFFFFFFF
             h[k] = x
-        bits = 22
+        bits = 20
         self.shift = np.uint64(64 - bits)
         self.keys = np.zeros(1 << bits, np.uint64)
         self.slot = np.full(1 << bits, -1, np.int32)
