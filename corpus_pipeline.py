@@ -31,7 +31,7 @@ from lading.llm.ngram_join import ngram_join
 from lading.llm.packing import pack_documents
 from lading.llm.secret_scan import redact, scan
 
-LEAST_SCORE = 0.5
+LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
