@@ -83,6 +83,12 @@ def declared_columns(registry: DataFrame) -> DataFrame:
     )
 
 
+def registered_entries(entries: DataFrame, declared: DataFrame, keys: list[str]) -> DataFrame:
+    """Entries whose table is declared with at least one column, with that
+    declaration (fixed size, not growing with the data: broadcast)."""
+    return entries.join(F.broadcast(declared.where(F.size("declared") > 0)), keys, "inner")
+
+
 def build_plan(headers: DataFrame, declared: DataFrame, table: LogicalTable) -> DataFrame:
     """Per file of ``table``: header width, and for every superset column of
     the logical table the 1-based position of the first header equal to it

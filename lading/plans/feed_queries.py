@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lading.functions.json_rows import json_rows
 from lading.functions.names import (
     binding_name,
     crc32_hex,
@@ -26,6 +27,7 @@ from lading.operators.parse import (
     declared_columns,
     drop_malformed,
     parse_lines,
+    registered_entries,
     type_columns,
 )
 from lading.operators.upsert import last_wins, upsert
@@ -128,8 +130,7 @@ def entry_registry_join(spark, sf_dir):
         [("click", ["x", "y"]), ("view", ["x"]), ("signup", [])],
         "table_name string, declared array<string>",
     )
-    usable = declared.where(F.size("declared") > 0)
-    return entries.join(F.broadcast(usable), "table_name", "inner").select(
+    return registered_entries(entries, declared, ["table_name"]).select(
         "event_id", "file", "table_name", F.size("declared").alias("n_columns")
     )
 
@@ -177,7 +178,7 @@ def import_isolates_failures(spark, sf_dir):
         with open_output(f"{landing}/provider={w['provider']}/version=v1/region.zip") as out:
             out.write(bytes(data))
     reg = build_registry(
-        "nation: n_nationkey I, n_name T, n_regionkey I | n_nationkey\nregion: r_regionkey I, r_name T | r_regionkey",
+        "nation: n_nationkey integer, n_name text, n_regionkey integer | n_nationkey\nregion: r_regionkey integer, r_name text | r_regionkey",
         "\n".join([f"[{w['provider']}]\nnation: {' '.join(cols)}" for w in good]
                   + [f"[{w['provider']}]\nregion: r_regionkey r_name" for w in source]))
     root = scratch_path(spark, "warehouse")
@@ -195,7 +196,7 @@ def import_isolates_failures(spark, sf_dir):
 # --- parse and project -------------------------------------------------------
 
 ORDERS_REG = build_registry(
-    "orders: o_orderkey I, o_custkey I, o_orderstatus T, o_totalprice R, o_orderpriority T | o_orderkey",
+    "orders: o_orderkey integer, o_custkey integer, o_orderstatus text, o_totalprice real, o_orderpriority text | o_orderkey",
     "[tpch]\norders: o_orderkey o_custkey o_orderstatus o_totalprice o_orderpriority",
 )
 ORDERS_T = ORDERS_REG.tables["orders"]
@@ -250,13 +251,13 @@ def csv_drop_malformed(spark, sf_dir):
 
 
 CUSTOMER_REG = build_registry(
-    "customer: c_custkey I, c_name T, c_mktsegment T, c_nationkey I | c_custkey",
+    "customer: c_custkey integer, c_name text, c_mktsegment text, c_nationkey integer | c_custkey",
     "[tpch]\ncustomer: c_custkey c_name c_mktsegment c_nationkey",
 )
 CUSTOMER_T = CUSTOMER_REG.tables["customer"]
 
 
-QUOTE_T = build_registry("q: k I, a T, b T | k", "[tpch]\nq: k a b")
+QUOTE_T = build_registry("q: k integer, a text, b text | k", "[tpch]\nq: k a b")
 
 
 def csv_quote_rules(spark, sf_dir):
@@ -296,7 +297,7 @@ def csv_empty_is_string(spark, sf_dir):
 
 
 REGION_REG = build_registry(
-    "region: r_regionkey I, r_name T | r_regionkey", "[tpch]\nregion: r_regionkey r_name"
+    "region: r_regionkey integer, r_name text | r_regionkey", "[tpch]\nregion: r_regionkey r_name"
 )
 REGION_T = REGION_REG.tables["region"]
 
@@ -316,11 +317,12 @@ def no_match_skip(spark, sf_dir):
     loaded = drop_malformed(parse_lines(lines, plan, REGION_T, 2)).groupBy("provider", "file").agg(
         F.count(F.lit(1)).alias("rows_loaded")
     )
-    return plan.join(loaded, ["provider", "file"], "left").select(
-        "file", "n_matched",
-        F.lit(control.STATUS_DONE).alias("status"),
-        F.coalesce("rows_loaded", F.lit(0)).cast("long").alias("rows_loaded"),
-    )
+    done = plan.join(loaded, ["provider", "file"], "left").withColumn(
+        "rows_loaded", F.coalesce("rows_loaded", F.lit(0)).cast("long"))
+    # A file without a matching column takes no rows and ends where it began.
+    ends = control.rollback_points(done.select(
+        "file", F.col("rows_loaded").alias("last_line"), F.col("rows_loaded").alias("size"), F.lit(False).alias("failed")), ["file"])
+    return done.join(ends, "file").select("file", "n_matched", F.col("Status").alias("status"), "rows_loaded")
 
 
 PART_T = LogicalTable("part_text", (("size", "integer"), ("price", "real")), ("p_partkey",))
@@ -363,16 +365,8 @@ def json_batch_explode(spark, sf_dir):
         .groupBy("batch_no")
         .agg(F.to_json(F.collect_list(rec)).alias("payload"))
     )
-    # Each object of the batch stays JSON text; its fields are extracted by path.
-    rows = batches.select("batch_no", F.explode(F.from_json("payload", "array<string>")).alias("r"))
-    field = lambda name: F.get_json_object("r", f"$.{name}")
-    return rows.select(
-        "batch_no",
-        field("o_orderkey").cast("bigint").alias("o_orderkey"),
-        field("o_custkey").cast("bigint").alias("o_custkey"),
-        field("o_orderstatus").alias("o_orderstatus"),
-        field("o_orderpriority").alias("o_orderpriority"),
-    )
+    return json_rows(batches, "payload", {
+        "o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_orderpriority": "string"})
 
 
 # --- positions, batches, offsets, budget -------------------------------------
@@ -694,7 +688,7 @@ def _customer_feeds(spark, sf_dir):
     written = write_archives(c.select(_csv(*cols).alias("line")), landing, "v1", "customer",
                              ",".join(cols), "cust-").collect()  # one row per archive
     reg = build_registry(
-        "customer: c_custkey I, c_name T, c_nationkey I, c_acctbal R, c_mktsegment T | c_custkey",
+        "customer: c_custkey integer, c_name text, c_nationkey integer, c_acctbal real, c_mktsegment text | c_custkey",
         "\n".join(f"[{w['provider']}]\ncustomer: {' '.join(cols)}" for w in written),
     )
     return landing, reg, cols

@@ -41,6 +41,7 @@ from lading.operators.parse import (
     declared_columns,
     field_count,
     parse_lines,
+    registered_entries,
     type_columns,
 )
 from lading.operators.upsert import upsert
@@ -175,13 +176,12 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     # and for telling readable archives from broken ones.
     listing = list_entries(current).persist()
     readable = {r["provider"] for r in listing.select("provider").distinct().collect()}
-    entries = (
+    entries = registered_entries(
         listing
         .where(is_feed_entry("file"))
         .withColumn("table", entry_table_name("file"))
-        .where(~F.col("table").isin(*CONTROL_TABLES))
-        .join(F.broadcast(declared.where(F.size("declared") > 0)), ["provider", "table"], "inner")
-    )
+        .where(~F.col("table").isin(*CONTROL_TABLES)),
+        declared, ["provider", "table"])
     # The stored fingerprint is the entry's CRC plus a hash of the columns
     # declared for its table: a file whose content is unchanged is still
     # imported again when its declared schema changed.

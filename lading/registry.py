@@ -15,25 +15,25 @@ from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — must equal the declared feed schemas for correct results.
-# Logical tables: column name and type code (T text, V varchar(20), I integer,
-# R real, B boolean), in superset order; then the key ("-" = keyless).
+# Logical tables: column name and declared type, in superset order; then the
+# key ("-" = keyless).
 # ---------------------------------------------------------------------------
 LOGICAL_TABLES_TEXT = """
-trips: route_id T, service_id T, trip_id V, trip_headsign T, direction_id I, block_id T, shape_id T, wheelchair_accessible I | trip_id
-calendar: service_id T, monday B, tuesday B, wednesday B, thursday B, friday B, saturday B, sunday B, start_date I, end_date I | service_id, start_date, end_date
-routes: route_id T, agency_id T, route_short_name T, route_long_name T, route_desc T, route_type I, route_url T, route_color T, route_text_color T, category T, status T | route_id
-shapes: shape_id T, shape_pt_lat R, shape_pt_lon R, shape_pt_sequence I, shape_dist_traveled R | shape_id, shape_pt_sequence
-stops: stop_id T, stop_code T, stop_name T, stop_desc T, stop_lat R, stop_lon R, zone_id T, stop_url T, location_type I, parent_station T, category T, route_id T, geometry T, isOKU I, status T, search T | stop_id
-stop_times: trip_id T, arrival_time T, departure_time T, stop_id T, stop_sequence I, stop_headsign T, shape_dist_traveled R, pickup_type I, drop_off_type I, route_id T, direction_id I | trip_id, stop_sequence
-agency: agency_id T, agency_name T, agency_url T, agency_timezone T, agency_phone T, agency_lang T | agency_id
-areas: area_id T, area_name T | area_id
-fare_leg_rules: leg_group_id T, from_area_id T, to_area_id T, fare_product_id T | -
-fare_media: fare_media_id T, fare_media_name T, fare_media_type I | fare_media_id
-fare_products: fare_product_id T, fare_product_name T, amount R, currency T, fare_media_id T, rider_category_id T | fare_product_id
-rider_categories: rider_category_id T, rider_category_name T, is_default_fare_category I | rider_category_id
-stop_areas: area_id T, stop_id T | area_id, stop_id
-calendar_dates: service_id T, date I, exception_type I | service_id, date
-frequencies: trip_id T, start_time T, end_time T, headway_secs I, exact_times I | trip_id, start_time
+trips: route_id text, service_id text, trip_id varchar(20), trip_headsign text, direction_id integer, block_id text, shape_id text, wheelchair_accessible integer | trip_id
+calendar: service_id text, monday boolean, tuesday boolean, wednesday boolean, thursday boolean, friday boolean, saturday boolean, sunday boolean, start_date integer, end_date integer | service_id, start_date, end_date
+routes: route_id text, agency_id text, route_short_name text, route_long_name text, route_desc text, route_type integer, route_url text, route_color text, route_text_color text, category text, status text | route_id
+shapes: shape_id text, shape_pt_lat real, shape_pt_lon real, shape_pt_sequence integer, shape_dist_traveled real | shape_id, shape_pt_sequence
+stops: stop_id text, stop_code text, stop_name text, stop_desc text, stop_lat real, stop_lon real, zone_id text, stop_url text, location_type integer, parent_station text, category text, route_id text, geometry text, isOKU integer, status text, search text | stop_id
+stop_times: trip_id text, arrival_time text, departure_time text, stop_id text, stop_sequence integer, stop_headsign text, shape_dist_traveled real, pickup_type integer, drop_off_type integer, route_id text, direction_id integer | trip_id, stop_sequence
+agency: agency_id text, agency_name text, agency_url text, agency_timezone text, agency_phone text, agency_lang text | agency_id
+areas: area_id text, area_name text | area_id
+fare_leg_rules: leg_group_id text, from_area_id text, to_area_id text, fare_product_id text | -
+fare_media: fare_media_id text, fare_media_name text, fare_media_type integer | fare_media_id
+fare_products: fare_product_id text, fare_product_name text, amount real, currency text, fare_media_id text, rider_category_id text | fare_product_id
+rider_categories: rider_category_id text, rider_category_name text, is_default_fare_category integer | rider_category_id
+stop_areas: area_id text, stop_id text | area_id, stop_id
+calendar_dates: service_id text, date integer, exception_type integer | service_id, date
+frequencies: trip_id text, start_time text, end_time text, headway_secs integer, exact_times integer | trip_id, start_time
 """
 
 # FIXED VALUES — per provider and table, the declared columns in declared order.
@@ -106,7 +106,8 @@ agency: agency_name agency_url agency_timezone agency_phone agency_lang agency_i
 # that name.
 CONTROL_TABLES = ("import_progress", "dataset_versions")
 
-TYPE_CODES = {"T": "text", "V": "text", "I": "integer", "R": "real", "B": "integer"}
+# Declared type -> affinity of the stored value.
+AFFINITIES = {"text": "text", "varchar(20)": "text", "integer": "integer", "real": "real", "boolean": "integer"}
 SPARK_TYPES = {"text": T.StringType(), "integer": T.LongType(), "real": T.DoubleType()}
 
 
@@ -172,7 +173,7 @@ def _parse_logical(text: str) -> dict[str, LogicalTable]:
         name, rest = line.split(":", 1)
         cols_text, key_text = rest.split("|")
         cols = tuple(
-            (c.split()[0], TYPE_CODES[c.split()[1]]) for c in cols_text.split(",")
+            (c.split()[0], AFFINITIES[c.split()[1]]) for c in cols_text.split(",")
         )
         key = () if key_text.strip() == "-" else tuple(k.strip() for k in key_text.split(","))
         out[name.strip()] = LogicalTable(name.strip(), cols, key)

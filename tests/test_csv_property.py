@@ -14,7 +14,7 @@ from lading.sources.archive import _records
 CELL = st.text(alphabet=st.sampled_from(list('ab ,"\\x') + ["é", "\n", "\r"]), max_size=6)
 ROW = st.lists(CELL, min_size=3, max_size=3)
 
-REG = build_registry("t: a T, b T, c T | a", "[p]\nt: a b c")
+REG = build_registry("t: a text, b text, c text | a", "[p]\nt: a b c")
 
 
 def render(row):

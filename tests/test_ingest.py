@@ -417,7 +417,7 @@ def test_provider_names_with_special_characters(spark, workdir):
     from conftest import make_zip
     from lading.registry import build_registry
 
-    reg = build_registry("t: k T, v T | k", "[a:b%c]\nt: k v")
+    reg = build_registry("t: k text, v text | k", "[a:b%c]\nt: k v")
     make_zip(f"{workdir}/landing/provider=a%3Ab%25c/version=e1/feed.zip".replace("file:", ""), {"t.txt": "k,v\n1,x\n"})
     res = run(spark, f"{workdir}/landing", workdir, registry=reg)
     assert rows(res.table("t"), "provider", "k", "v") == [("a:b%c", "1", "x")]
@@ -427,7 +427,7 @@ def test_provider_names_with_special_characters(spark, workdir):
 def test_keyless_provider_that_declares_the_key_column_appends(spark, land, workdir):
     from lading.registry import build_registry
 
-    reg = build_registry("t: k T, v T | k", "[p]\nt (keyless): k v\n\n[q]\nt: k v")
+    reg = build_registry("t: k text, v text | k", "[p]\nt (keyless): k v\n\n[q]\nt: k v")
     landing = land("p", "e1", {"t.txt": "k,v\n1,x\n1,y\n"})
     land("q", "e1", {"t.txt": "k,v\n1,x\n1,y\n"})
     res = run(spark, landing, workdir, registry=reg)
