@@ -1,7 +1,5 @@
-import io
 import os
 import sys
-import tempfile
 import zipfile
 
 import pytest

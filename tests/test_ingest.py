@@ -1,7 +1,6 @@
 """End-to-end import runs over hand-made archives (FIXTURES.md §3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from lading.plans.ingest import import_landing
 from lading.plans.status import UnknownProvider, status
@@ -414,7 +413,7 @@ def test_untouched_buckets_keep_their_files(spark, land, workdir, monkeypatch):
 def test_provider_names_with_special_characters(spark, workdir):
     import os
 
-    from conftest import make_zip
+    from tests.conftest import make_zip
     from lading.registry import build_registry
 
     reg = build_registry("t: k text, v text | k", "[a:b%c]\nt: k v")
