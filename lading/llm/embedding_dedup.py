@@ -69,16 +69,17 @@ class Hasher:
         self.projections, self.tables, self.width = projections, tables, width
         self.known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-    def keys(self, unit: np.ndarray) -> np.ndarray:
-        """One 64-bit key per vector and table."""
+    def keys(self, unit: np.ndarray, tables: int | None = None) -> np.ndarray:
+        """One 64-bit key per vector and table (the first ``tables``)."""
+        tables = self.tables if tables is None else tables
         dim, n = unit.shape[1], self.projections * self.tables
         if dim not in self.known:
             rng = np.random.default_rng([95, dim])
             self.known[dim] = np.rint(rng.standard_normal((dim, n)) * 2.0**16), np.floor(rng.random(n) * self.width * 2.0**36)
-        directions, offset = self.known[dim]
+        directions, offset = (x[..., : tables * self.projections] for x in self.known[dim])
         step = np.floor((np.rint(unit * 2.0**20) @ directions + offset) / (self.width * 2.0**36)).astype(np.int64).view(_U)
-        step = step.reshape(len(unit), self.tables, self.projections)
-        key = np.broadcast_to((np.arange(self.tables).astype(_U) * _U(0xA24BAED4963EE407) + _U(dim)), step.shape[:2])
+        step = step.reshape(len(unit), tables, self.projections)
+        key = np.broadcast_to((np.arange(tables).astype(_U) * _U(0xA24BAED4963EE407) + _U(dim)), step.shape[:2])
         for k in range(self.projections):
             key = mix64(key + step[:, :, k])
         return key
@@ -111,7 +112,7 @@ def _link_tiles(group: pa.Table, hasher: Hasher, threshold: float) -> pa.Table:
         i, j = i[i < j], j[i < j]
     if len(i) and table:  # met in an earlier table: counted there
         used = np.unique(np.concatenate([i, j]))
-        keys = hasher.keys(unit[used])[:, :table]
+        keys = hasher.keys(unit[used], table)
         a, b = keys[np.searchsorted(used, i)], keys[np.searchsorted(used, j)]
         first = ~(a == b).any(axis=1)
         i, j = i[first], j[first]
@@ -160,7 +161,10 @@ def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str
     keys = (classes.select("rep", "vector").mapInArrow(hash_batches, "rep long, keys array<long>")
             .select("rep", F.posexplode("keys").alias("t", "bucket")))
     keys = written(keys, "vector-buckets")
-    sizes = keys.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    # A bucket with the members of one in an earlier table adds nothing.
+    members = [F.bit_xor(F.xxhash64(F.lit(k), "rep")).alias(f"s{k}") for k in (1, 2)]
+    sizes = keys.groupBy("t", "bucket").agg(F.count(F.lit(1)).alias("m"), *members).where("m > 1")
+    sizes = sizes.groupBy("m", "s1", "s2").agg(F.min(F.struct("t", "bucket")).alias("at")).select("at.*", "m")
     shared = keys.join(sizes.select("t", "bucket", F.ceil(F.col("m") / tile).cast("long").alias("tiles")), ["t", "bucket"])
     own = F.pmod(F.xxhash64("rep"), F.col("tiles"))
     pairs = F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda s: F.struct(
