@@ -321,7 +321,7 @@ def expand_entries(wanted: DataFrame) -> DataFrame:
     n = max(1, min(len(rows), cap))
     dealt = [(*[r[c] for c in names], k) for r, k in zip(rows, _bins([r["size"] for r in rows], n))]
     w = spark.createDataFrame(dealt, ", ".join(f"{c} string" for c in names) + ", bin int")
-    return w.repartitionByRange(n, "bin").select(*names).mapInArrow(_expand_batches, LINE_SCHEMA)
+    return w.repartitionById(n, F.col("bin")).select(*names).mapInArrow(_expand_batches, LINE_SCHEMA)
 
 
 HEADER_SCHEMA = T.StructType(

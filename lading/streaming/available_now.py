@@ -6,8 +6,8 @@ unchanged folder processes nothing.
 
 Files may be taken in any order, so the row with the highest ordering value
 wins, whether it is already in the table or arrives later.  The table is kept
-in hash buckets of its key: a micro-batch is reduced to one row per key and
-rewrites only the buckets it falls into."""
+in hash buckets of its key: a micro-batch rewrites only the buckets it falls
+into."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lading.operators.upsert import last_wins, upsert_latest
+from lading.operators.upsert import upsert_latest
 from lading.sinks.feed_tables import MANIFEST_SCHEMA, apply_upserts, changed_manifest, read_feed_table
 from lading.sinks.snapshots import read_table, write_table
 
@@ -40,7 +40,7 @@ def upsert_batches(root: str, name: str, schema: T.StructType, key: list[str],
     def apply(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         rows = read_table(spark, root, f"{name}/manifest", MANIFEST_SCHEMA).collect()
-        new = last_wins(batch.select(*schema.names), key, order_cols).withColumn("provider", F.lit(_ALL))
+        new = batch.select(F.lit(_ALL).alias("provider"), *schema.names)
         # The first batch decides the number of buckets; later the manifest knows the table's size.
         count = 0 if rows else batch.count()
         if rows or count:
