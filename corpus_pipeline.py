@@ -12,7 +12,8 @@ stage as Parquet into the shared folder and rereads it.
 3. decontamination: drops documents with a twentieth or more of their words in
    verbatim benchmark passages.
 4. secrets: replaces every secret in the texts; ``n_chars`` follows.
-5. packing: assigns all that is left to sequences of several lengths.
+5. packing: assigns all that is left to sequences of several lengths, measured
+   in tokens of a public vocabulary.
 
 Null texts have no language and go in stage 1.  An empty table gives an empty
 result.
@@ -28,7 +29,7 @@ from lading.llm.decontaminate import decontaminate
 from lading.llm.graph import written
 from lading.llm.language_id import UND, fit, identify
 from lading.llm.ngram_join import ngram_join
-from lading.llm.packing import pack_documents
+from lading.llm.packing import pack_by_tokens
 from lading.llm.secret_scan import redact, scan
 
 LEAST_SCORE = 0.3
@@ -61,7 +62,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs)
+    return pack_by_tokens(docs)
 
 
 STAGES = [

@@ -15,6 +15,9 @@ permitted length that holds its contents.
 Null and empty texts have no tokens: one row with part 0 and no bin.  Rows with
 a null or repeated id are separate documents; ties go by id and part.  Extra
 columns are ignored; an empty table gives no rows.
+
+``pack_documents`` takes the lengths it is given; ``pack_by_tokens`` counts
+them with a public tokenizer first, so that no bin exceeds its capacity.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lading.llm.graph import written
+from lading.llm.token_counts import count_tokens
 from lading.session import ship_package
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
@@ -131,3 +136,12 @@ def pack_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     empty = sized.where("all <= 0").select("id", zero.alias("part"), zero.alias("start"), zero.alias("n_tokens"),
                                            none.alias("bin_id"), none.alias("bin_offset"), none.alias("bin_capacity"))
     return packed.unionByName(empty).withColumnRenamed("id", id_col)
+
+
+def pack_by_tokens(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                   vocabulary: str = "word_bpe_49k.json", **options) -> DataFrame:
+    """``pack_documents`` over the tokens that ``vocabulary`` gives each text.
+    Starts and lengths count those tokens, so long texts are cut between two of
+    them.  Texts are encoded once: the counts are a written table."""
+    counted = written(count_tokens(docs, id_col=id_col, text_col=text_col, vocabulary=vocabulary).select(id_col, "n_tokens"), "packing-tokens")
+    return pack_documents(counted, id_col=id_col, length=F.col("n_tokens"), **options)

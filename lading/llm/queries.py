@@ -63,9 +63,9 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lading.llm.packing import pack_documents
+    from lading.llm.packing import pack_by_tokens
 
-    return pack_documents(_table(spark, sf_dir, "documents"))
+    return pack_by_tokens(_table(spark, sf_dir, "documents"))
 
 
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,8 +2,13 @@ import random
 from collections import defaultdict
 
 import pytest
+from tokenizers import Tokenizer
 
+import corpus_pipeline as P
 from lading.llm.packing import CAPACITIES, pack, pack_documents
+from lading.llm.queries import QUERIES
+from lading.llm.token_counts import vocabulary_path
+from tests_llm_prose import SF_SMALL
 
 
 def check(lengths, costs):
@@ -65,3 +70,19 @@ def test_documents(spark):
 
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("packing", [QUERIES["op6_best_fit_packing"], lambda spark, sf: P.packing(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)])
+def test_registered_packings_hold_real_tokens(spark, packing):
+    tok = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    need = {r.doc_id: len(tok.encode(r.text or "", add_special_tokens=False)) for r in docs}
+    assert len(need) == len(docs)
+    have, bins, size = defaultdict(int), defaultdict(int), {}
+    for r in packing(spark, SF_SMALL).collect():
+        assert r.start == 8192 * r.part
+        have[r.doc_id] += r.n_tokens
+        bins[r.bin_id] += r.n_tokens
+        size[r.bin_id] = r.bin_capacity
+    assert have == need
+    assert all(size[b] is None or n <= size[b] for b, n in bins.items())
