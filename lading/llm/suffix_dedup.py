@@ -25,7 +25,8 @@ input, overlapping ones included, and never cross documents.
 
 Null and empty texts have no bytes.  Rows that repeat an id and a text are one
 document and get one result; other rows that share an id, or have none, are
-documents in the order of a hash of their text (rows without an id come last).
+documents in the order of a 64-bit hash of their text (rows without an id come
+last).  The hash is a key column of its own beside the id.
 Extra columns are ignored; an empty table gives no rows.
 """
 
@@ -62,7 +63,7 @@ PHRASE = 10
 
 _U = np.uint64
 _AS_IS = np.arange(256, dtype=np.uint8)
-_TIE, _START = 47, 7  # bits of a packed place: tie, start, windows after the first
+_START = 7  # bits of a packed place below the start: windows after the first
 _LAST = (1 << 63) - 1
 _HIGH = _U(0xFFFFFFFF00000000)
 
@@ -151,48 +152,48 @@ def _record_groups(batches: Iterator[pa.RecordBatch], length: int, gram: int) ->
         yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
 
-def _earliest(key: tuple[np.ndarray, ...], ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _earliest(key: tuple[np.ndarray, ...], ids: np.ndarray, ties: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows that are the earliest with their key, and rows that are not.  A
-    row that repeats the earliest's id and place is neither."""
-    order = np.lexsort((place, ids, *key[::-1]))
+    row that repeats the earliest's id, tie and place is neither."""
+    order = np.lexsort((place, ties, ids, *key[::-1]))
     same = np.ones(max(0, len(order) - 1), bool)
     for k in key:
         same &= k[order][1:] == k[order][:-1]
     head = np.concatenate([[True], ~same])[: len(order)]
     lead = np.maximum.accumulate(np.where(head, np.arange(len(order)), 0))
-    again = (ids[order] == ids[order][lead]) & (place[order] == place[order][lead])
+    again = (ids[order] == ids[order][lead]) & (ties[order] == ties[order][lead]) & (place[order] == place[order][lead])
     return order[head], order[~again]
 
 
-def _place(ties: np.ndarray, start: np.ndarray, more: np.ndarray) -> np.ndarray:
-    return (ties << _TIE) | (start << _START) | more
+def _place(start: np.ndarray, more: np.ndarray) -> np.ndarray:
+    return (start << _START) | more
 
 
-_ROW = "g long, salt int, ctx long, id long, pos long"
+_ROW = "g long, salt int, ctx long, id long, tie long, pos long"
 
 
-def _frame(g, salt, ctx, ids, pos) -> pa.RecordBatch:
+def _frame(g, salt, ctx, ids, ties, pos) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(x)) for x in (
-        np.asarray(g).view(np.int64), np.asarray(salt, np.int32), np.asarray(ctx).view(np.int64), ids, pos)],
-        names=["g", "salt", "ctx", "id", "pos"])
+        np.asarray(g).view(np.int64), np.asarray(salt, np.int32), np.asarray(ctx).view(np.int64), ids, ties, pos)],
+        names=["g", "salt", "ctx", "id", "tie", "pos"])
 
 
 def _span_frame(ids, ties, start, end) -> pa.RecordBatch:
     """Removed spans among the rows: salt -2, ctx holds the end."""
-    spread = B.mix64((ids.astype(_U) << _U(20)) ^ start.astype(_U))
-    return _frame(spread, np.full(len(ids), -2), end.astype(np.int64), ids, _place(ties, start, np.zeros(len(ids), np.int64)))
+    spread = B.mix64((ids.astype(_U) << _U(20)) ^ ties.astype(_U) ^ start.astype(_U))
+    return _frame(spread, np.full(len(ids), -2), end.astype(np.int64), ids, ties, _place(start, np.zeros(len(ids), np.int64)))
 
 
 def _record_rows(heavy: np.ndarray, length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, ties, start, more, g, cover in _record_groups(batches, length, gram):
-            place = _place(ties, start, more)
-            keep, repeat = _earliest((g, cover), ids, place)
+            place = _place(start, more)
+            keep, repeat = _earliest((g, cover), ids, ties, place)
             salt = np.full(len(g), -1)
             if len(heavy):
                 at = np.minimum(np.searchsorted(heavy, g), len(heavy) - 1)
                 salt = np.where(heavy[at] == g, (cover % _U(SALTS)).astype(np.int64), -1)
-            yield _frame(g[keep], salt[keep], cover[keep], ids[keep], place[keep])
+            yield _frame(g[keep], salt[keep], cover[keep], ids[keep], ties[keep], place[keep])
             if len(repeat):
                 text = np.unique(np.stack([ids[repeat], ties[repeat]]), axis=1, return_inverse=True)
                 s, e, owner = merge_spans(start[repeat], start[repeat] + more[repeat] + length, text[1].ravel())
@@ -331,8 +332,8 @@ def _not_first(key: tuple[np.ndarray, ...], order: np.ndarray, place: np.ndarray
     return by[1:][same]
 
 
-def _unpack(pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return pos >> _TIE, (pos >> _START) & ((1 << (_TIE - _START)) - 1), pos & ((1 << _START) - 1)
+def _unpack(pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return pos >> _START, pos & ((1 << _START) - 1)
 
 
 _SPANS = "id long, tie long, start long, end long"
@@ -343,14 +344,14 @@ def _spans(ids, ties, start, end) -> pa.RecordBatch:
 
 
 def _shard_spans(rows: pa.Table, length: int, gram: int) -> pa.RecordBatch:
-    """Removed spans of a shard's records (id, pos, bytes)."""
-    ids, pos = rows["id"].to_numpy(), rows["pos"].to_numpy()
-    order = np.lexsort((pos, ids))
+    """Removed spans of a shard's records (id, tie, pos, bytes)."""
+    ids, ties, pos = rows["id"].to_numpy(), rows["tie"].to_numpy(), rows["pos"].to_numpy()
+    order = np.lexsort((pos, ties, ids))
     new = np.ones(len(order), bool)
-    new[1:] = (ids[order][1:] != ids[order][:-1]) | (pos[order][1:] != pos[order][:-1])
+    new[1:] = (ids[order][1:] != ids[order][:-1]) | (ties[order][1:] != ties[order][:-1]) | (pos[order][1:] != pos[order][:-1])
     order = order[new]  # rows that repeat an id and a text are one
     rows = rows.take(pa.array(order))
-    ids, (ties, start, more) = ids[order], _unpack(pos[order])
+    ids, ties, (start, more) = ids[order], ties[order], _unpack(pos[order])
     column = rows["bytes"].combine_chunks().cast(pa.large_binary())
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8)[offsets[0]: offsets[-1]]
@@ -386,7 +387,7 @@ def _shards(length: int, gram: int):
         size = 0
         for b in batches:
             held.append(pa.Table.from_batches([b]))
-            size += b.column(3).nbytes
+            size += b.column(4).nbytes
             if size >= SHARD_BYTES:
                 table = pa.concat_tables(held).combine_chunks()
                 g = table["g"].to_numpy()
@@ -410,21 +411,22 @@ def _lengths(column) -> np.ndarray:
 
 
 def _cut_regions(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
-    """Bytes of the wanted records of each text (id, text, wanted)."""
+    """Bytes of the wanted records of each text (id, tie, text, wanted)."""
     for b in batches:
-        ids = b.column(0).to_pylist()
-        g, salt, out_id, out_pos, raw = [], [], [], [], []
+        ids, ties = b.column(0).to_pylist(), b.column(1).to_pylist()
+        g, salt, out_id, out_tie, out_pos, raw = [], [], [], [], [], []
         for k, i in enumerate(ids):
-            text = b.column(1)[k].as_py().encode("utf-8")
-            for w in b.column(2)[k].as_py():
-                start = (w["pos"] >> _START) & ((1 << (_TIE - _START)) - 1)
+            text = b.column(2)[k].as_py().encode("utf-8")
+            for w in b.column(3)[k].as_py():
+                start = w["pos"] >> _START
                 g.append(w["g"])
                 salt.append(w["salt"])
                 out_id.append(i)
+                out_tie.append(ties[k])
                 out_pos.append(w["pos"])
                 raw.append(text[start: start + (w["pos"] & 127) + length])
-        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_pos, pa.int64()),
-                                          pa.array(raw, pa.binary()), pa.array(salt, pa.int32())], names=["g", "id", "pos", "bytes", "salt"])
+        yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_tie, pa.int64()), pa.array(out_pos, pa.int64()),
+                                          pa.array(raw, pa.binary()), pa.array(salt, pa.int32())], names=["g", "id", "tie", "pos", "bytes", "salt"])
 
 
 def _window_rows(length: int):
@@ -433,7 +435,7 @@ def _window_rows(length: int):
         for b in batches:
             for k in range(0, b.num_rows, 16_384):
                 some = pa.Table.from_batches([b.slice(k, 16_384)]).combine_chunks()
-                ids, (ties, start, more) = some["id"].to_numpy(), _unpack(some["pos"].to_numpy())
+                ids, ties, (start, more) = some["id"].to_numpy(), some["tie"].to_numpy(), _unpack(some["pos"].to_numpy())
                 size = _lengths(some["bytes"])
                 offsets = np.cumsum(size) - size
                 data = np.frombuffer(b"".join(some["bytes"].to_pylist()), np.uint8)
@@ -442,9 +444,9 @@ def _window_rows(length: int):
                 at = offsets[record] + step
                 one, two = B.span_hashes(data, at, at + length, _AS_IS), _second_hash(data, at, at + length)
                 s = start[record] + step
-                place = _place(ties[record], s, np.zeros(len(s), np.int64))
-                keep, repeat = _earliest((one, two), ids[record], place)
-                yield _frame(one[keep], np.full(len(keep), -1), two[keep], ids[record][keep], place[keep])
+                place = _place(s, np.zeros(len(s), np.int64))
+                keep, repeat = _earliest((one, two), ids[record], ties[record], place)
+                yield _frame(one[keep], np.full(len(keep), -1), two[keep], ids[record][keep], ties[record][keep], place[keep])
                 if len(repeat):
                     rs, re, owner = merge_spans(s[repeat], s[repeat] + length, record[repeat])
                     yield _span_frame(ids[owner], ties[owner], rs, re)
@@ -454,9 +456,9 @@ def _window_rows(length: int):
 
 def _removed(df: DataFrame, length: int) -> DataFrame:
     """Spans of rows marked as repeats (pos, or ctx as the end for spans)."""
-    start = F.shiftright("pos", _START).bitwiseAND(F.lit((1 << (_TIE - _START)) - 1))
+    start = F.shiftright("pos", _START)
     end = F.when(F.col("salt") == -2, F.col("ctx")).otherwise(start + F.col("pos").bitwiseAND(F.lit(127)) + length)
-    return df.select("id", F.shiftright("pos", _TIE).alias("tie"), start.alias("start"), end.alias("end"))
+    return df.select("id", "tie", start.alias("start"), end.alias("end"))
 
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -471,19 +473,19 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     heavy = np.sort(top["g"].to_numpy(np.int64).view(_U))
     rows = some.mapInArrow(_record_rows(heavy, length, gram), _ROW)
 
-    same = Window.partitionBy("g", "salt", "ctx").orderBy("id", "pos")
+    same = Window.partitionBy("g", "salt", "ctx").orderBy("id", "tie", "pos")
     anchor = Window.partitionBy("g", "salt")
     judged = rows.withColumns({
         "again": (F.col("salt") != -2) & (F.rank().over(same) > 1),
         "several": (F.min("ctx").over(anchor) != F.max("ctx").over(anchor)) | (F.col("salt") >= 0)})
-    judged = written(judged.where("again or several or salt = -2").select("g", "salt", "ctx", "id", "pos", "again"), "repeat-records")
+    judged = written(judged.where("again or several or salt = -2").select("g", "salt", "ctx", "id", "tie", "pos", "again"), "repeat-records")
     spans = _removed(judged.where("again or salt = -2"), length)
 
-    wanted = (judged.where("not again and salt > -2").groupBy("id", F.shiftright("pos", _TIE).alias("tie"))
+    wanted = (judged.where("not again and salt > -2").groupBy("id", "tie")
               .agg(F.collect_list(F.struct("g", "salt", "pos")).alias("wanted")))
-    regions = written(some.join(wanted, ["id", "tie"]).select("id", "text", "wanted").mapInArrow(
-        lambda batches: _cut_regions(batches, length), "g long, id long, pos long, bytes binary, salt int"), "repeat-regions")
-    by_suffix = (regions.where("salt < 0").select("g", "id", "pos", "bytes").repartition("g").sortWithinPartitions("g")
+    regions = written(some.join(wanted, ["id", "tie"]).select("id", "tie", "text", "wanted").mapInArrow(
+        lambda batches: _cut_regions(batches, length), "g long, id long, tie long, pos long, bytes binary, salt int"), "repeat-regions")
+    by_suffix = (regions.where("salt < 0").select("g", "id", "tie", "pos", "bytes").repartition("g").sortWithinPartitions("g")
                  .mapInArrow(_shards(length, gram), _SPANS))
     windows = regions.where("salt >= 0").mapInArrow(_window_rows(length), _ROW)
     windows = windows.withColumn("again", F.rank().over(same) > 1).where("again or salt = -2")
@@ -521,7 +523,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         raise ValueError("needs 8 <= gram <= length < 128")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).alias("own"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("id"),
-                       F.xxhash64(text).bitwiseAND(F.lit(0x7FFF)).alias("tie"), text.alias("text"))
+                       F.xxhash64(text).alias("tie"), text.alias("text"))
     spans = repeated_spans(rows.select("id", "tie", "text"), length, gram)
     per_text = spans.groupBy("id", "tie").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     kind = rows.schema["own"].dataType.simpleString()

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lading.llm import suffix_dedup as S
 from lading.llm.suffix_groups import suffix_array
@@ -71,5 +72,16 @@ def test_repeated_and_missing_ids(spark, documents):
     assert removed == sorted([("1", n, 0), ("1", n, 0), ("1", m, 0), ("2", m, m), ("None", n, n), ("None", 0, 0)])
 
 
+@pytest.mark.parametrize("own", [None, 7])
+def test_thousands_of_texts_without_an_id_of_their_own(spark, documents, own):
+    passages = [prose(5000 + k, 30) for k in range(40)]
+    texts = [prose(k, 12) + (passages[k % 40] if k % 3 == 0 else "") + prose(9000 + k, 12) for k in range(4000)]
+    docs = documents([(own, t) for t in texts]).select("doc_id", "text")
+    order = {r.text: r.h for r in docs.select("text", F.xxhash64("text").alias("h")).collect()}
+    want = sorted(brute([(order[t], t) for t in texts], 100).values())
+    got = S.digest(S.remove_repeats(docs)).collect()
+    assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
 def test_empty_table(documents):
     assert S.remove_repeats(documents([])).collect() == []
