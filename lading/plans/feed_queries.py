@@ -706,9 +706,11 @@ def stream_feed_import(spark, sf_dir):
 
 
 def feed_import(spark, sf_dir):
-    from lading.plans.ingest import import_landing
+    from lading.plans.ingest import ImportFailed, import_landing
 
     landing, reg, cols = _customer_feeds(spark, sf_dir)
     root = scratch_path(spark, "warehouse")
     result = import_landing(spark, landing, root, registry=reg, max_rows=None)
+    if result.file_errors:
+        raise ImportFailed(result)
     return result.table("customer").select(*cols)

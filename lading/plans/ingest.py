@@ -16,7 +16,10 @@
 Everything that is per row runs in executors.  The driver only handles
 plan-sized tables: providers, files, tables.  A file whose entry cannot be read
 stays open at its old offset while its siblings load; so do the files of a
-table that failed.  The run then ends with :class:`ImportFailed`.  Killing a
+table that failed.  While an archive of a version cannot be read, the version is
+not recorded and open files that may be in it stay open.  The run then ends with
+:class:`ImportFailed` (if all it met were versions without a readable archive and
+there is nothing to import, it returns with ``file_errors`` set).  Killing a
 run leaves the last committed state; the next run redoes what was not
 committed, and nothing is loaded twice because a table's data and its progress
 become current together.
@@ -174,8 +177,12 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     declared = declared_columns(registry_df(spark, registry))
     # The listing reads only central directories; it is kept for the plan
     # and for telling readable archives from broken ones.
-    listing = list_entries(current).persist()
-    readable = {r["provider"] for r in listing.select("provider").distinct().collect()}
+    listed = list_entries(current).persist()
+    unread = listed.where(F.col("error").isNotNull()).select("provider", "archive", "error").collect()  # one row per archive
+    listing = listed.where(F.col("error").isNull())
+    with_files = {r["provider"] for r in listing.select("provider").distinct().collect()}
+    unread_providers = {r["provider"] for r in unread}
+    readable = with_files - unread_providers
     entries = registered_entries(
         listing
         .where(is_feed_entry("file"))
@@ -193,14 +200,17 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         "provider", "version", "archive", "file", "size", "crc", "raw_crc", "table", "offset"
     )
     plan_rows = plan.collect()  # one row per file to import
-    # Open files that the provider's current archive no longer has cannot be
-    # resumed: they are closed where they stand.
-    vanished = (
+    # Open files that the provider's current archives no longer have cannot be
+    # resumed: they are closed where they stand, unless an archive is unread.
+    unlisted = (
         progress.where(F.col("Status") != control.STATUS_DONE)
-        .join(todo.select(F.col("provider").alias("Provider")).where(F.col("provider").isin(sorted(readable))), "Provider", "left_semi")
+        .join(todo.select(F.col("provider").alias("Provider")), "Provider", "left_semi")
         .join(listing.select(F.col("provider").alias("Provider"), F.col("file").alias("FileName")), control.PROGRESS_KEY, "left_anti")
-        .select("Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
     )
+    vanished = unlisted.where(F.col("Provider").isin(sorted(readable))).select(
+        "Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
+    kept_open = unlisted.where(F.col("Provider").isin(sorted(unread_providers))).select(
+        "Provider", "FileName", "LastProcessedLine").collect() if unread else []  # one row per open file
     # A file name in two archives of a version is an error of that file.
     seen: dict[tuple, list] = {}
     for r in plan_rows:
@@ -210,9 +220,14 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         for k, rs in seen.items() if len(rs) > 1
     }
     plan_rows = [rs[0] for rs in seen.values()]
+    unread_errors = {(r["provider"], r["archive"]): f"the archive cannot be read: {r['error']}" for r in unread}
+    unread_errors |= {(r["Provider"], r["FileName"]): "not listed, and an archive of its provider cannot be read" for r in kept_open}
+    lines_of = {(r["Provider"], r["FileName"]): int(r["LastProcessedLine"]) for r in kept_open}
+    unread_files = [{"provider": p, "file": f, "table": None, "last_line": lines_of.get((p, f), 0),
+                     "status": control.STATUS_OPEN, "rows": 0} for p, f in unread_errors]
     _mark("plan")
-    # A new version is recorded once its archive could be read, even when no
-    # file in it changed; an unreadable archive is retried next run.
+    # A new version is recorded once all its archives could be read, even when
+    # no file in them changed; with an unreadable one it is retried next run.
     changed = todo.where(
         (F.col("action") == "import") & F.col("provider").isin(sorted(readable))
     ).select(F.col("provider").alias("Provider"), F.col("remote_version").alias("ETag"))
@@ -223,10 +238,13 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         F.col("crc").alias("CRC"), F.col("offset").alias("LastProcessedLine")))
     if not plan_rows:
         write_tables({PROGRESS: compact(progress), VERSIONS: compact(control.set_versions(versions, changed))}, root)
-        listing.unpersist()
+        listed.unpersist()
+        result.file_errors, result.files = unread_errors, unread_files
+        if kept_open or with_files & unread_providers:
+            raise ImportFailed(result)
         return result
     write_table(compact(progress), root, PROGRESS)
-    listing.unpersist()
+    listed.unpersist()
     progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
     _mark("open")
 
@@ -338,7 +356,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
                 failed[t] = f"{type(exc).__name__}: {exc}"
             _mark(f"table:{t}")
 
-    result.errors, result.file_errors = failed, file_errors
+    result.errors, result.file_errors = failed, file_errors | unread_errors
     result.files = [
         {"provider": g[0], "file": g[1], "table": g[2],
          "last_line": g[3] if g[2] in failed else g[4],
@@ -352,7 +370,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         {"provider": r["provider"], "file": r["file"], "table": r["table"], "last_line": int(r["offset"]),
          "status": control.STATUS_OPEN, "rows": 0}
         for r in plan_rows if (r["provider"], r["file"]) in file_errors
-    ]
+    ] + unread_files
     # Versions last: a crash before this line makes the next run redo the
     # import instead of skipping it.
     done = spark.createDataFrame(noop_rows, "Provider string, FileName string, table string, LastProcessedLine long").select(
@@ -367,7 +385,7 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         RUN_LOG: compact(read_table(spark, root, RUN_LOG, RUN_LOG_SCHEMA).unionByName(log)),
     }, root)
     _mark("control")
-    if failed or file_errors:
+    if result.errors or result.file_errors:
         raise ImportFailed(result)
     return result
 

@@ -56,6 +56,7 @@ ENTRY_SCHEMA = T.StructType(
         T.StructField("file", T.StringType()),
         T.StructField("crc", T.StringType()),
         T.StructField("size", T.LongType()),
+        T.StructField("error", T.StringType()),
     ]
 )
 
@@ -114,11 +115,14 @@ def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             try:
                 with open_input(path) as fh:
                     infos = zipfile.ZipFile(fh).infolist()
-            except (zipfile.BadZipFile, OSError, ValueError):
-                continue  # not an archive: nothing to list
+            except _READ_ERRORS as exc:
+                for name, value in zip(ENTRY_SCHEMA.names, (provider, version, path, None, None, None, f"{type(exc).__name__}: {exc}")):
+                    out[name].append(value)
+                continue
             for info in infos:
                 if info.is_dir():
                     continue
+                out["error"].append(None)
                 out["provider"].append(provider)
                 out["version"].append(version)
                 out["archive"].append(path)
@@ -145,8 +149,9 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 
 
 def list_entries(archives: DataFrame) -> DataFrame:
-    """One row per entry: ``(provider, version, archive, file, crc, size)``.
-    Unreadable archives list nothing."""
+    """One row per entry: ``(provider, version, archive, file, crc, size,
+    error)``.  An archive that cannot be read (not an archive, storage fault)
+    gives one row without a file, with the ``error``."""
     ship_package(archives.sparkSession)
     return archives.select("provider", "version", "path").mapInArrow(_list_batches, ENTRY_SCHEMA)
 

@@ -17,7 +17,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from lading.operators.control import PROGRESS_SCHEMA, STATUS_DONE
-from lading.plans.ingest import MAX_ROWS_PER_RUN, PROGRESS, ImportResult, import_landing
+from lading.plans.ingest import MAX_ROWS_PER_RUN, PROGRESS, ImportFailed, ImportResult, import_landing
 from lading.registry import DEFAULT, Registry
 from lading.sinks.snapshots import read_table
 from lading.sources.archive import ARCHIVE_SCHEMA
@@ -34,6 +34,8 @@ def import_stream(spark: SparkSession, landing: str, root: str, registry: Regist
         if providers:  # one row per provider with a new archive
             results.append(import_landing(spark, landing, root, registry, max_rows,
                                           providers=providers, keyless=keyless))
+            if results[-1].file_errors:  # an archive is unread: the batch is not done
+                raise ImportFailed(results[-1])
 
     arrivals = (
         spark.readStream.format("binaryFile")

@@ -290,6 +290,39 @@ def test_same_file_in_two_archives_of_a_version_fails_that_file(spark, land, wor
     assert res.table("stops").count() == 0
 
 
+def test_one_unreadable_archive_of_several_keeps_the_version_open(spark, land, workdir):
+    from lading.plans.ingest import ImportFailed
+    from lading.streaming.feed_stream import import_stream
+
+    stops, agency = STOPS_HDR + "\nA,a,1,1\nB,b,1,1\n", "agency_id,agency_name\nX,x\n"
+    landing = land("ktmb", "e1", {"stops.txt": stops}, name="one.zip")
+    land("ktmb", "e1", {"agency.txt": agency}, name="two.zip")
+    run(spark, landing, workdir, max_rows=2)  # agency and the first stop; stops.txt stays open
+    broken = f"{landing}/provider=ktmb/version=e1/one.zip".replace("file:", "")
+    with open(broken, "wb") as fh:
+        fh.write(b"not a zip")
+    with pytest.raises(ImportFailed) as err:
+        run(spark, landing, workdir)
+    res = err.value.result
+    assert {f.rsplit("/")[-1] for _, f in res.file_errors} == {"one.zip", "stops.txt"}
+    assert {r["FileName"]: (r["Status"], r["LastProcessedLine"]) for r in res.progress().collect()} == {"stops.txt": (1, 1), "agency.txt": (0, 1)}
+    # a new version with a broken archive: what can be read loads, the version is not stored
+    land("ktmb", "e2", {"agency.txt": agency + "Y,y\n"}, name="two.zip")
+    with open(broken.replace("e1", "e2"), "wb") as fh:
+        fh.write(b"not a zip")
+    with pytest.raises(ImportFailed) as err:
+        run(spark, landing, workdir)
+    assert rows(err.value.result.table("agency"), "agency_id") == [("X",), ("Y",)]
+    assert [r["ETag"] for r in err.value.result.versions().collect()] == ["e1"]
+    with pytest.raises(Exception, match="cannot be read"):
+        import_stream(spark, landing, f"{workdir}/wh")
+    land("ktmb", "e2", {"stops.txt": stops}, name="one.zip")
+    done = run(spark, landing, workdir)
+    assert rows(done.table("stops"), "stop_id") == [("A",), ("B",)]
+    assert [r["ETag"] for r in done.versions().collect()] == ["e2"]
+    assert all(r["Status"] == 0 for r in done.progress().collect())
+
+
 def break_member(path: str, name: str, where: str) -> None:
     """Damage one member: its local header, or a byte of its body."""
     import zipfile
