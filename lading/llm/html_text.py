@@ -4,8 +4,10 @@ A tokenizer and a tree builder with implied tags turn a page into a tree
 (omitted end tags of paragraphs, list items, definition lists, options and
 table parts; omitted rows around cells).  Visibility rules drop what a browser
 does not show: head, scripts, styles, templates, comments, ``hidden``,
-``display:none``, ``visibility:hidden`` and hidden inputs.  The renderer emits
-all other text: block elements are set apart by line breaks or blank lines,
+``display:none``, ``visibility:hidden``, hidden inputs, and inside ``svg`` and
+``math`` what is not drawn (titles, descriptions, definitions, metadata,
+annotations).  Formulas and labels are inline text.  The renderer emits all
+other text: block elements are set apart by line breaks or blank lines,
 list items carry their marks and indentation, ``pre`` keeps its white space,
 and cells of a table are aligned in columns.
 
@@ -35,7 +37,10 @@ MAX_SPAN = 50
 # Fixed sets of the HTML grammar.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style xmp iframe noembed noframes noscript textarea title".split())
-_UNSEEN = frozenset("head script style template noscript iframe noembed noframes title datalist object svg math canvas audio video".split())
+_UNSEEN = frozenset("head script style template noscript iframe noembed noframes title datalist object canvas audio video".split())
+_FOREIGN = frozenset({"svg", "math"})
+#: Not drawn inside svg or math.
+_FOREIGN_UNSEEN = frozenset("desc defs metadata symbol annotation annotation-xml".split())
 _BLANK_LINE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl table pre figure hr article section form fieldset".split())
 _BLOCK = _BLANK_LINE | frozenset("html body div li dt dd tr td th thead tbody tfoot caption header footer nav main aside address details summary center dir menu figcaption option optgroup select legend hgroup search".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -56,14 +61,16 @@ _OPEN = re.compile(r"""<([a-zA-Z][^\s/>]*+)((?:"[^"]*+"|'[^']*+'|[^>"'])*+)>""")
 _ATTR = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACE = re.compile(r"[ \t\n\f\r]+")
 _HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_UNQUOTED_END = re.compile(r"""=\s*[^\s"'>]+$""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in _RAW}
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "hidden")
+    __slots__ = ("tag", "attrs", "children", "hidden", "foreign")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs, self.children = tag, attrs, []
+        self.foreign = tag in _FOREIGN
         self.hidden = (tag in _UNSEEN or "hidden" in attrs and attrs["hidden"].lower() != "until-found"
                        or "style" in attrs and _HIDES.search(attrs["style"]) is not None)
 
@@ -106,6 +113,8 @@ class Tree:
                     gt = end if gt < 0 else gt
                     name, _, attrs = page[lt + 1: gt].partition(" ")
                     name, at = name.lower(), gt + 1
+                if self.stack[-1].foreign and self._open_foreign(name, attrs):
+                    continue
                 self._open(name, attrs)
                 if name in _RAW:
                     m = _RAW_END[name].search(page, at)
@@ -171,12 +180,33 @@ class Tree:
         else:
             self.extra.append(node.tag)
 
+    def _open_foreign(self, tag: str, attr_text: str) -> bool:
+        """Opens an element inside svg or math; False leaves it to the rules of
+        HTML (raw text, and blocks, which end foreign content)."""
+        closed = attr_text.endswith("/") and not _UNQUOTED_END.search(attr_text)
+        if not closed and (tag in _RAW or tag in _BLOCK or tag in _VOID):
+            return False
+        if not closed:
+            attrs = _attributes(attr_text)
+            node = Node(tag, attrs)
+            node.foreign = tag != "foreignobject"
+            node.hidden = (node.hidden or tag in _FOREIGN_UNSEEN or attrs.get("display") == "none"
+                           or attrs.get("visibility") in ("hidden", "collapse"))
+            if self.extra and not node.hidden:
+                self.extra.append(tag)
+            elif self.extra:
+                self.stack[-1].children.append(node)
+                self.stack.append(node)
+            else:
+                self._push(node)
+        return True
+
     def _open(self, tag: str, attr_text: str) -> None:
         attrs = _attributes(attr_text) if attr_text.strip(" /\t\n") else {}
         if self.extra and tag not in _VOID:
             if tag in _BLOCK:
                 self.stack[-1].children.append(Node("#break", {}))
-            if tag in _RAW or tag in _UNSEEN:
+            if tag in _RAW or tag in _UNSEEN or tag in _FOREIGN:
                 node = Node(tag, attrs)
                 self.stack[-1].children.append(node)
                 self.stack.append(node)
@@ -187,7 +217,7 @@ class Tree:
         node = Node(tag, attrs)
         if tag in _VOID:
             self.stack[-1].children.append(node)
-        elif tag in _BLOCK or tag in _RAW or tag in _UNSEEN or node.hidden or tag in ("q", "button", "summary"):
+        elif tag in _BLOCK or tag in _RAW or tag in _UNSEEN or tag in _FOREIGN or node.hidden or tag in ("q", "button", "summary"):
             self._push(node)
         # other inline elements change nothing in the text and need no node
 
@@ -392,6 +422,10 @@ def _render(node: Node, w: Writer) -> None:
         outer, w.indent = w.indent, w.indent + "  "
         _children(node, w)
         w.indent = outer
+    elif tag == "text" and node.foreign:  # labels stand apart
+        w.space = True
+        _children(node, w)
+        w.space = True
     elif tag == "q":
         w.text('"')
         w.space = False

@@ -23,6 +23,10 @@ CASES = {
     "<p>a<table><tr><td>c</table>b": "a\n\nc\n\nb",
     "<textarea><b>t</textarea>": "<b>t",
     "</p></div>ok<p": "ok",
+    "so <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation encoding=t>x=2 tex</annotation></semantics></math> holds": "so x=2 holds",
+    "a <svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><g><text x=1>North</text><text>South</text></g></svg> b": "a North South b",
+    "<svg><defs/><title/><path d='M0 0'/><text>L</text><g display=none><g></g><text>no</text></g></svg><p>after": "L\n\nafter",
+    "<svg><foreignObject><div>in</div></foreignObject></svg><svg/>out": "in\nout",
     "": "",
 }
 
