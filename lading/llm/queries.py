@@ -80,7 +80,34 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.hard_negatives import build_index, mine_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return mine_negatives(build_index(vectors), F.col("id") % 50 == 0)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.conversation_repair import audit_conversations, damage, digest
+
+    chats = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    damaged = damage(chats)
+    return digest(damaged, audit_conversations(damaged, ids=chats))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lading.llm.toxicity import fit, held_out, score_toxicity
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit(docs, _table(spark, sf_dir, "labels"), ~held_out())
+    return score_toxicity(docs, model, keep=["doc_id"]).select("doc_id", held_out().alias("held_out"), "score", "predicted", "passages")
+
+
 QUERIES = {
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_toxicity": op13_toxicity,
     "op10_suffix_array_dedup": op10_suffix_array_dedup,
     "op4_html_extraction": op4_html_extraction,
     "op6_best_fit_packing": op6_best_fit_packing,
@@ -93,6 +120,31 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
 }
 
+#: Exact integer products by a nested loop over the anchors.
+HARD_NEGATIVES_SQL = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, b.vec_id AS other_id, b.label AS label,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM (SELECT * FROM r WHERE vec_id % 50 = 0) a JOIN r b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+), n AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.other_id AS negative_id, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.own
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+"""
+
 ORACLE = {
     "op1_chat_formatting": chat_format.ORACLE,
+    "op11_hard_negatives": HARD_NEGATIVES_SQL,
 }
