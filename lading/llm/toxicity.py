@@ -241,17 +241,13 @@ def _learned(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, tex
     return rows.join(F.broadcast(drawn), "id").select("text", "toxic"), sizes
 
 
-def _log_odds(counts, n_clean: int, n_toxic: int, prior: float, least_z: float) -> np.ndarray:
-    """Score by place from the documents of each class that hold it."""
-    table = np.zeros(1 << BITS, np.float32)
-    clean, toxic = counts["clean"].to_numpy(float), counts["toxic"].to_numpy(float)
-    alpha = prior * (clean + toxic) / (n_clean + n_toxic)
-    odds = [np.log((y + alpha) / np.maximum(n + prior - y - alpha, alpha)) for y, n in ((toxic, n_toxic), (clean, n_clean))]
-    delta = odds[0] - odds[1]
-    z = delta / np.sqrt(1 / (toxic + alpha) + 1 / (clean + alpha))
-    keep = np.abs(z) >= least_z
-    table[counts["place"].to_numpy()[keep]] = delta[keep]
-    return table
+def _log_odds(counts: DataFrame, n_clean: int, n_toxic: int, prior: float, least_z: float) -> DataFrame:
+    """Places whose log-odds are far enough from zero, from the documents of
+    each class that hold them: place, delta."""
+    alpha = (F.col("clean") + F.col("toxic")) * (prior / (n_clean + n_toxic))
+    odds = [F.log((F.col(c) + alpha) / F.greatest(n + prior - F.col(c) - alpha, alpha)) for c, n in (("toxic", n_toxic), ("clean", n_clean))]
+    spread = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
+    return counts.select("place", (odds[0] - odds[1]).alias("delta"), spread.alias("spread")).where(F.abs("delta") >= least_z * F.col("spread")).select("place", "delta")
 
 
 def _scale(values: np.ndarray, weights: np.ndarray) -> float:
@@ -297,16 +293,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, id_col: str = "doc
     rows, sizes = _learned(docs, labels, learn, id_col, text_col, label_col, sample_rows)
     rows = written(rows, "toxicity-sample")  # bounded by sample_rows
     known = sum(sizes.values())
-    empty = np.zeros(1 << BITS, np.float32)
     if not known:
-        return Model(empty, 0.0)
+        return Model(np.zeros(1 << BITS, np.float32), 0.0)
     rate = (sizes.get(1, 0) + 0.5) / (known + 1.0)
-    counts = (rows.mapInArrow(_count_units, "place long, clean long, toxic long")
-              .groupBy("place").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toPandas())
     found = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    table = np.zeros(1 << BITS, np.float32)
     if not (found.get(0) and found.get(1)):
-        return Model(empty, rate)
-    model = Model(_log_odds(counts, found[0], found[1], prior, least_z), rate, drift)
+        return Model(table, rate)
+    counts = (rows.mapInArrow(_count_units, "place long, clean long, toxic long")
+              .groupBy("place").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
+    scored = _log_odds(counts, found[0], found[1], prior, least_z).toPandas()
+    table[scored["place"].to_numpy()] = scored["delta"].to_numpy()
+    model = Model(table, rate, drift)
 
     # Token scores of clean rows, and each row's tokens and best segment.
     shared = spark.sparkContext.broadcast(model)
