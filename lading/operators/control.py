@@ -39,6 +39,19 @@ VERSIONS_SCHEMA = T.StructType(
 VERSIONS_KEY = ["Provider"]
 
 
+#: What a run could not read or load and is to be retried.
+FAILURES_SCHEMA = T.StructType(
+    [
+        T.StructField("provider", T.StringType()),
+        T.StructField("item", T.StringType()),
+        T.StructField("error", T.StringType()),
+        T.StructField("attempts", T.LongType()),
+        T.StructField("first_failed_at", T.TimestampType()),
+        T.StructField("last_failed_at", T.TimestampType()),
+    ]
+)
+
+
 def checked_status(col) -> "F.Column":
     """Status written to the progress table: 0 or 1, anything else fails."""
     c = F.col(col) if isinstance(col, str) else col
@@ -188,6 +201,21 @@ def rollback_points(batches: DataFrame, group_cols: list[str]) -> DataFrame:
     )
 
 
+def record_failures(ledger: DataFrame, ran: DataFrame, failed: DataFrame) -> DataFrame:
+    """The failure ledger after a run.  ``ran(provider)``: the providers it
+    worked on; ``failed(provider, item, error)``: what failed in it.  Their
+    items that failed again count one attempt more and keep the time of the
+    first; their other items are settled and go; rows of other providers stay."""
+    now = failed.groupBy("provider", "item").agg(F.max("error").alias("error"))
+    before = ledger.select("provider", "item", "attempts", "first_failed_at")
+    again = now.join(before, ["provider", "item"], "left").select(
+        "provider", "item", "error", (F.coalesce("attempts", F.lit(0)) + 1).cast("long").alias("attempts"),
+        F.coalesce("first_failed_at", F.current_timestamp()).alias("first_failed_at"),
+        F.current_timestamp().alias("last_failed_at"))
+    others = ledger.join(ran.select("provider").distinct(), "provider", "left_anti")
+    return others.select(*FAILURES_SCHEMA.names).unionByName(again)
+
+
 # --- metrics ----------------------------------------------------------------
 
 def run_metrics(rows: DataFrame, provider_col: str = "provider", file_col: str = "file",

@@ -130,18 +130,37 @@ def file_quotas(file_counts: DataFrame, budget: int, provider_col: str = "provid
 
     ``file_counts``: one row per file with the rows it has to offer.  Adds
     ``taken_before`` (rows granted to earlier files), ``quota`` (rows this file
-    may take) and ``file_done`` (the file is taken to its end).  The window
-    runs over the file list only.
+    may take) and ``file_done`` (the file is taken to its end).
     """
-    w = Window.partitionBy(provider_col).orderBy(file_col).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    before = F.coalesce(F.sum(rows_col).over(w), F.lit(0))
+    before = rows_before(file_counts, [provider_col], [file_col], rows_col, "_before")
     return (
-        file_counts.withColumn("taken_before", F.least(before, F.lit(budget)).cast("long"))
+        before.withColumn("taken_before", F.least("_before", F.lit(budget)).cast("long"))
         .withColumn(
             "quota",
             F.least(F.col(rows_col), F.greatest(F.lit(budget) - F.col("taken_before"), F.lit(0))).cast("long"),
         )
         .withColumn("file_done", F.col("quota") >= F.col(rows_col))
+        .drop("_before")
+    )
+
+
+def rows_before(counts: DataFrame, group_cols: list[str], order_cols: list[str], rows_col: str, out: str) -> DataFrame:
+    """Sum of ``rows_col`` over the earlier rows of the group, in two levels: rows
+    are range-partitioned, so a group (a provider with a million files) spreads
+    over tasks; sums per partition give each partition's start, and only the
+    rows of one partition and group are summed in order."""
+    from lading.session import shared_dir
+
+    shared_dir(counts.sparkSession)  # the checkpoint folder must be known
+    keys = group_cols + order_cols
+    # Range bounds come from sampling: fixed once, by a reliable checkpoint.
+    local = counts.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id()).checkpoint(eager=True)
+    sums = local.groupBy("_pid", *group_cols).agg(F.sum(rows_col).alias("_n"))
+    starts = _offsets(sums, group_cols, ["_pid"], "_start").select("_pid", *group_cols, "_start")
+    inside = Window.partitionBy("_pid", *group_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        local.withColumn("_inside", F.coalesce(F.sum(rows_col).over(inside), F.lit(0)))
+        .join(starts, ["_pid", *group_cols], "inner")
+        .withColumn(out, F.col("_start") + F.col("_inside"))
+        .drop("_pid", "_start", "_inside")
     )

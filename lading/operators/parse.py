@@ -118,7 +118,7 @@ def build_plan(headers: DataFrame, declared: DataFrame, table: LogicalTable) ->
 
 
 def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_width: int,
-                broadcast_plan: bool = False) -> DataFrame:
+                broadcast_plan: bool = False, bounded: bool = False) -> DataFrame:
     """Parse the data records of ``table``'s files and project them onto the
     superset columns (text).
 
@@ -128,32 +128,43 @@ def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_widt
     ``max_width`` is the widest header among the plan's files; it only sizes
     the parse schema.  The plan has one row per file; its join is left to the
     optimizer, which knows its size, unless the caller has checked it and asks
-    to ``broadcast_plan``.
+    to ``broadcast_plan``.  ``bounded``: the plan also names the entry's ``crc``
+    and the lines to take (after ``offset``, up to ``upto``), so that one join
+    selects and parses.
+
+    Records that the expander has looked at carry ``n_fields`` and ``odd``;
+    for others both follow from the text.  A record without a quote is split at
+    its commas, ``from_csv`` is for those with quoted fields, and only odd ones
+    need the full rules.
     """
     schema = ", ".join(f"c{i} string" for i in range(max(max_width, 1)))
-    plan_cols = ["provider", "file", "width"] + [idx_col(c) for c in table.column_names]
+    keys = ["provider", "file", *(["crc"] if bounded else [])]
+    plan_cols = [*keys, "width"] + [idx_col(c) for c in table.column_names]
     src = lines if "bad_utf8" in lines.columns else lines.withColumn("bad_utf8", F.lit(False))
-    p = plan.where(F.col("n_matched") > 0).select(*plan_cols)
-    rows = src.where(F.col("line_no") > 0).join(
-        F.broadcast(p) if broadcast_plan else p,
-        ["provider", "file"],
-        "inner",
-    )
+    p = plan.where(F.col("n_matched") > 0).select(*plan_cols, *([F.col("offset").alias("_from"), "upto"] if bounded else []))
+    rows = src.where(F.col("line_no") > 0).join(F.broadcast(p) if broadcast_plan else p, keys, "inner")
+    if bounded:
+        rows = rows.where((F.col("line_no") > F.col("_from")) & (F.col("line_no") <= F.col("upto")))
     idx = [idx_col(c) for c in table.column_names]
+    line = F.col("line")
+    fields, odd = field_count(line), odd_record(line)
+    if "n_fields" in lines.columns:
+        fields, odd = F.coalesce("n_fields", fields), F.coalesce("odd", odd)
     # Three projections on purpose: the parsed struct and the cell array are
     # each referenced many times downstream, and Catalyst does not inline a
     # non-trivial expression into several consumers — so each record is
     # parsed once.  Inlined into per-column CASE branches, ``from_csv`` would
     # run once per output column.
+    quoted = line.contains('"')
     parsed = rows.select(
         "provider", "file", "line_no", *idx,
-        (~F.col("bad_utf8") & (field_count("line") == F.col("width"))).alias("valid"),
-        F.from_csv(F.col("line"), schema, CSV_OPTIONS).alias("_r"),
-        F.when(odd_record(F.col("line")), split_fields(F.col("line"))).alias("_odd"),
+        (~F.col("bad_utf8") & (fields == F.col("width"))).alias("valid"),
+        F.when(quoted, F.from_csv(line, schema, CSV_OPTIONS)).alias("_r"),
+        F.when(odd, split_fields(line)).when(~quoted, F.split(line, ",", -1)).alias("_plain"),
     )
     cells = parsed.select(
         "provider", "file", "line_no", "valid", *idx,
-        F.coalesce("_odd", F.array(*[F.col("_r")[f"c{i}"] for i in range(max(max_width, 1))])).alias("_cells"),
+        F.coalesce("_plain", F.array(*[F.col("_r")[f"c{i}"] for i in range(max(max_width, 1))])).alias("_cells"),
     )
     out = [
         F.when(

@@ -13,13 +13,20 @@
   per table: manifest + closed progress rows in one commit
   last: dataset_versions + run log
 
-Everything that is per row runs in executors.  The driver only handles
-plan-sized tables: providers, files, tables.  A file whose entry cannot be read
-stays open at its old offset while its siblings load; so do the files of a
-table that failed.  While an archive of a version cannot be read, the version is
-not recorded and open files that may be in it stay open.  The run then ends with
-:class:`ImportFailed` (if all it met were versions without a readable archive and
-there is nothing to import, it returns with ``file_errors`` set).  Killing a
+Everything that is per row or per file runs in executors: the file plan, the
+outcome of each entry, header positions, grants and counts are tables of the
+run (one row per file, written to the shared folder), joined where needed.  The
+driver sees providers, tables, buckets and the few entries large enough to be
+dealt to tasks one by one.
+
+A file whose entry cannot be read stays open at its old offset while its
+siblings load; so do the files of a table that failed.  While an archive of a
+version cannot be read, the version is not recorded and open files that may be
+in it stay open.  Every failed file and unread archive is kept in the failure
+ledger (``control/failures``), with its error and how often it was tried, until
+a run gets past it.  The run then ends with :class:`ImportFailed` (if all it met
+were versions without a readable archive and there is nothing to import, it
+returns with ``file_errors`` set).  Killing a
 run leaves the last committed state; the next run redoes what was not
 committed, and nothing is loaded twice because a table's data and its progress
 become current together.
@@ -31,8 +38,9 @@ import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -57,18 +65,22 @@ from lading.sinks.feed_tables import (
     read_manifest,
 )
 from lading.sinks.snapshots import read_table, write_table, write_tables
-from lading.sources.archive import END_LINE, ERROR_LINE, expand_entries, list_entries, read_archives
+from lading.session import scratch_path
+from lading.sources.archive import END_LINE, ERROR_LINE, LINE_SCHEMA, expand_entries, list_entries, read_archives
 
 MAX_ROWS_PER_RUN = 100_000
 # Lines per block when a capped file's valid rows are counted.
 COUNT_BLOCK = 4096
+# Failed files named in an error message; all of them are in the ledger.
+SHOWN_ERRORS = 20
 # Tables loaded at the same time.
 TABLE_THREADS = 4
-_INFO_COLS = ("provider", "file", "table", "width", "n_matched", "offset")
-_INFO_SCHEMA = "provider string, file string, table string, width int, n_matched int, offset long"
+_INFO_SCHEMA = "provider string, file string, crc string, table string, width int, n_matched int, offset long, last long"
+_OUTCOME = "provider string, file string, table string, last_line long, status int, rows long, error string, table_error string"
 PROGRESS = "control/import_progress"
 VERSIONS = "control/dataset_versions"
 RUN_LOG = "control/run_log"
+FAILURES = "control/failures"
 RUN_LOG_SCHEMA = T.StructType(
     [
         T.StructField("run", T.StringType()),
@@ -97,11 +109,10 @@ class ImportResult:
     spark: SparkSession
     root: str
     registry: Registry
-    files: list = field(default_factory=list)  # per-file outcome rows
+    outcomes: DataFrame | None = None  # one row per file of the run and unread archive (``_OUTCOME``)
     providers: list = field(default_factory=list)  # per-provider gate rows
     timings: dict = field(default_factory=dict)  # seconds per phase
     errors: dict = field(default_factory=dict)  # table -> error of this run
-    file_errors: dict = field(default_factory=dict)  # (provider, file) -> error of this run
     reused: int = 0  # files read from an earlier run's staged records
 
     def table(self, name: str) -> DataFrame:
@@ -114,18 +125,43 @@ class ImportResult:
     def versions(self) -> DataFrame:
         return read_table(self.spark, self.root, VERSIONS, control.VERSIONS_SCHEMA)
 
+    def failures(self) -> DataFrame:
+        """The failure ledger: what is still to be retried."""
+        return read_table(self.spark, self.root, FAILURES, control.FAILURES_SCHEMA)
+
+    def file_table(self) -> DataFrame:
+        return self.outcomes if self.outcomes is not None else self.spark.createDataFrame([], _OUTCOME)
+
+    @cached_property
+    def files(self) -> list[dict]:
+        """The outcome of every file, for callers that want them as a list."""
+        return [r.asDict() for r in self.file_table().drop("error", "table_error").collect()]
+
+    @cached_property
+    def file_errors(self) -> dict:
+        """(provider, file) -> error, of files and archives that failed themselves."""
+        return {(r["provider"], r["file"]): r["error"] for r in self.file_table().where(F.col("error").isNotNull()).collect()}
+
     def rows_imported(self) -> int:
-        return sum(r["rows"] for r in self.files)
+        return self.file_table().agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
 
-    def error_of(self, f: dict) -> str | None:
-        return self.file_errors.get((f["provider"], f["file"])) or self.errors.get(f["table"])
+    def failed(self) -> bool:
+        bad = F.col("error").isNotNull() | F.col("table_error").isNotNull()
+        return bool(self.errors) or not self.file_table().where(bad).isEmpty()
 
     def run_log(self) -> DataFrame:
         """Rows and last line per file, totals per provider, and whether a
         file or its table failed — the run log as a table (one row per file)."""
-        rows = [(f["provider"], f["file"], f["rows"], f["last_line"], self.error_of(f) is not None) for f in self.files]
-        df = self.spark.createDataFrame(rows, "provider string, file string, n long, line_no long, error boolean")
-        return control.run_metrics(df, count_col="n")
+        rows = self.file_table().select(
+            "provider", "file", F.col("rows").alias("n"), F.col("last_line").alias("line_no"),
+            F.coalesce("error", "table_error").isNotNull().alias("error"))
+        return control.run_metrics(rows, count_col="n")
+
+
+def _kept(df: DataFrame, path: str) -> DataFrame:
+    """A table of the run, written once and read again."""
+    compact(df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _newest_versions(archives: DataFrame) -> DataFrame:
@@ -173,15 +209,17 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     if not any(r["action"] != "skip" for r in gate_rows):
         return result
 
+    own = scratch_path(spark, f"import-{run_id}")  # tables of this run
     current = archives_all.join(todo.withColumnRenamed("remote_version", "version"), ["provider", "version"])
     declared = declared_columns(registry_df(spark, registry))
     # The listing reads only central directories; it is kept for the plan
     # and for telling readable archives from broken ones.
-    listed = list_entries(current).persist()
-    unread = listed.where(F.col("error").isNotNull()).select("provider", "archive", "error").collect()  # one row per archive
+    listed = _kept(list_entries(current), f"{own}/listing")
+    unread = listed.where(F.col("error").isNotNull())
     listing = listed.where(F.col("error").isNull())
-    with_files = {r["provider"] for r in listing.select("provider").distinct().collect()}
-    unread_providers = {r["provider"] for r in unread}
+    found = listed.groupBy("provider").agg(F.count_if(F.col("error").isNull()).alias("files"), F.count("error").alias("unread")).collect()  # one row per provider
+    with_files = {r["provider"] for r in found if r["files"]}
+    unread_providers = {r["provider"] for r in found if r["unread"]}
     readable = with_files - unread_providers
     entries = registered_entries(
         listing
@@ -196,10 +234,15 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         "crc",
         F.concat("raw_crc", F.lit(":"), F.substring(F.md5(F.concat_ws(",", "declared")), 1, 8)),
     )
-    plan = control.resume_state(entries, progress).where(F.col("action") != "skip").select(
-        "provider", "version", "archive", "file", "size", "crc", "raw_crc", "table", "offset"
-    )
-    plan_rows = plan.collect()  # one row per file to import
+    # One row per file to import.  A file name in two archives of a version is
+    # an error of that file.
+    place = ("archive", "version", "size", "crc", "raw_crc", "table", "offset")
+    plan = _kept(
+        control.resume_state(entries, progress).where(F.col("action") != "skip")
+        .groupBy("provider", "file").agg(F.min(F.struct(*place)).alias("p"), F.count(F.lit(1)).alias("n"), F.max("archive").alias("other"))
+        .select("provider", "file", "p.*", F.when(F.col("n") > 1, F.concat(
+            F.lit("in two archives of version "), "p.version", F.lit(": "), "p.archive", F.lit(", "), "other",
+            F.lit("; one file name per provider version"))).alias("error")), f"{own}/plan")
     # Open files that the provider's current archives no longer have cannot be
     # resumed: they are closed where they stand, unless an archive is unread.
     unlisted = (
@@ -209,123 +252,100 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     )
     vanished = unlisted.where(F.col("Provider").isin(sorted(readable))).select(
         "Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
-    kept_open = unlisted.where(F.col("Provider").isin(sorted(unread_providers))).select(
-        "Provider", "FileName", "LastProcessedLine").collect() if unread else []  # one row per open file
-    # A file name in two archives of a version is an error of that file.
-    seen: dict[tuple, list] = {}
-    for r in plan_rows:
-        seen.setdefault((r["provider"], r["file"]), []).append(r)
-    file_errors = {
-        k: f"in two archives of version {rs[0]['version']}: {rs[0]['archive']}, {rs[1]['archive']}; one file name per provider version"
-        for k, rs in seen.items() if len(rs) > 1
-    }
-    plan_rows = [rs[0] for rs in seen.values()]
-    unread_errors = {(r["provider"], r["archive"]): f"the archive cannot be read: {r['error']}" for r in unread}
-    unread_errors |= {(r["Provider"], r["FileName"]): "not listed, and an archive of its provider cannot be read" for r in kept_open}
-    lines_of = {(r["Provider"], r["FileName"]): int(r["LastProcessedLine"]) for r in kept_open}
-    unread_files = [{"provider": p, "file": f, "table": None, "last_line": lines_of.get((p, f), 0),
-                     "status": control.STATUS_OPEN, "rows": 0} for p, f in unread_errors]
+    none = spark.createDataFrame([], _OUTCOME)
+    lost, blocked = none, False
+    if unread_providers:
+        broken = unread.select("provider", F.col("archive").alias("file"), F.lit(0).alias("last_line"),
+                               F.concat(F.lit("the archive cannot be read: "), "error").alias("error"))
+        waiting = unlisted.where(F.col("Provider").isin(sorted(unread_providers))).select(
+            F.col("Provider").alias("provider"), F.col("FileName").alias("file"), F.col("LastProcessedLine").alias("last_line"),
+            F.lit("not listed, and an archive of its provider cannot be read").alias("error"))
+        lost = _kept(_outcome(broken.unionByName(waiting), F.lit(None), F.lit(control.STATUS_OPEN)), f"{own}/lost")
+        blocked = bool(with_files & unread_providers) or not waiting.isEmpty()
+    n_plan = plan.count()
     _mark("plan")
     # A new version is recorded once all its archives could be read, even when
     # no file in them changed; with an unreadable one it is retried next run.
     changed = todo.where(
         (F.col("action") == "import") & F.col("provider").isin(sorted(readable))
     ).select(F.col("provider").alias("Provider"), F.col("remote_version").alias("ETag"))
-    plan_df = spark.createDataFrame(plan_rows, plan.schema)
+    ran = todo.select("provider")
+    ledger = read_table(spark, root, FAILURES, control.FAILURES_SCHEMA)
     # Progress is open (status 1) before any record is read.
-    progress = control.open_progress(control.close_progress(progress.select(*control.PROGRESS_SCHEMA.names), vanished), plan_df.select(
+    progress = control.open_progress(control.close_progress(progress.select(*control.PROGRESS_SCHEMA.names), vanished), plan.select(
         F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
         F.col("crc").alias("CRC"), F.col("offset").alias("LastProcessedLine")))
-    if not plan_rows:
-        write_tables({PROGRESS: compact(progress), VERSIONS: compact(control.set_versions(versions, changed))}, root)
-        listed.unpersist()
-        result.file_errors, result.files = unread_errors, unread_files
-        if kept_open or with_files & unread_providers:
+    if not n_plan:
+        write_tables({PROGRESS: compact(progress), VERSIONS: compact(control.set_versions(versions, changed)),
+                      FAILURES: compact(_ledger(ledger, ran, lost))}, root)
+        result.outcomes = lost
+        if blocked:
             raise ImportFailed(result)
         return result
     write_table(compact(progress), root, PROGRESS)
-    listed.unpersist()
     progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
     _mark("open")
 
     # Staged records: entries staged by an earlier run with the same CRC
     # (a resumed file) are read again, not decompressed again; the others are
     # expanded once, in parallel, and recorded as staged if read to their end.
-    good_rows = [r for r in plan_rows if (r["provider"], r["file"]) not in file_errors]
-    good_df = spark.createDataFrame(good_rows, plan.schema)
+    good = plan.where(F.col("error").isNull()).drop("error")
     staged_ctl = read_table(spark, root, STAGED, STAGED_SCHEMA)
-    reuse = staged_ctl.join(
-        good_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table"),
-        ["provider", "file", "crc", "table"], "inner",
-    ).select("provider", "file", "path").collect()  # at most one row per planned file
-    reused = {(r["provider"], r["file"]): r["path"] for r in reuse}
-    to_expand = [r for r in good_rows if (r["provider"], r["file"]) not in reused]
+    reuse = _kept(staged_ctl.join(
+        good.select("provider", "file", F.col("raw_crc").alias("crc"), "table"),
+        ["provider", "file", "crc", "table"], "left_semi").select("provider", "file", "path"), f"{own}/reuse")
+    old_paths = {r["path"]: r["n"] for r in reuse.groupBy("path").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per earlier run
+    result.reused = sum(old_paths.values())
+    to_expand = good.join(reuse, ["provider", "file"], "left_anti")
+    n_good, least = good.agg(F.count(F.lit(1)), F.min("offset")).first()
     stage_path = f"{root.rstrip('/')}/staging/run={run_id}"
-    todo_df = spark.createDataFrame(to_expand, plan.schema)
-    if to_expand:
+    if n_good > result.reused:
         # No partitionBy: it would sort the records by table, and a sort that
         # spills does not keep their file order.  Each entry lands in one
         # file, in order; the table column's statistics prune files per table.
-        expand_entries(todo_df.select("provider", "version", "archive", "file", "size")).join(
-            todo_df.select("provider", "file", F.col("raw_crc").alias("crc"), "table"),
-            ["provider", "file"],
-        ).drop("version").write.parquet(stage_path)
-    paths = sorted(set(reused.values()) | ({stage_path} if to_expand else set()))
-    result.reused = len(reused)
-    if paths:
-        staged = staged_records(spark, paths, good_df, good_rows)
-        # One scan for the outcome of every file: header, last record, error.
-        outcome = staged.where(F.col("line_no") <= 0).select(
-            "provider", "file", "table", "line_no", "line", "header", "error").collect()  # three rows a file at most
-    else:
-        staged, outcome = None, []
-    file_errors |= {(r["provider"], r["file"]): r["error"] for r in outcome if r["line_no"] == ERROR_LINE}
-    last_lines = {(r["provider"], r["file"]): int(r["line"]) for r in outcome if r["line_no"] == END_LINE}
-    for r in good_rows:
-        k = (r["provider"], r["file"])
-        if k not in file_errors and k not in last_lines:
-            file_errors[k] = "its staged records have no end"
-    if to_expand:
-        read = [r for r in to_expand if (r["provider"], r["file"]) not in file_errors]
-        new_ctl = spark.createDataFrame(read, plan.schema).select(
+        expand_entries(to_expand.select("provider", "version", "archive", "file", "size", F.col("raw_crc").alias("crc"), "table"),
+                       carry=("crc", "table")).drop("version").write.parquet(stage_path)
+        old_paths[stage_path] = 0
+    records = staged_scan(spark, sorted(old_paths), least or 0) if old_paths else spark.createDataFrame([], STAGED_RECORD)
+    # One scan for the outcome of every file: header, last record, error.
+    line_no = F.col("line_no")
+    ended = records.where(line_no <= 0).groupBy("provider", "file", "crc").agg(
+        F.max(F.when(line_no == 0, F.col("header"))).alias("header"),
+        F.max(F.when(line_no == END_LINE, F.col("line").cast("long"))).alias("last"),
+        F.max(F.when(line_no == ERROR_LINE, F.col("error"))).alias("read_error")).withColumnRenamed("crc", "raw_crc")
+    opened = _kept(
+        plan.join(ended, ["provider", "file", "raw_crc"], "left")
+        .withColumn("error", F.coalesce("error", "read_error", F.when(F.col("last").isNull(), F.lit("its staged records have no end"))))
+        .drop("read_error", "version", "archive", "size"), f"{own}/opened")
+    usable = opened.where(F.col("error").isNull())
+    if stage_path in old_paths:
+        new_ctl = usable.join(reuse, ["provider", "file"], "left_anti").select(
             "provider", "file", F.col("raw_crc").alias("crc"), "table", F.lit(stage_path).alias("path"))
         write_table(compact(upsert(staged_ctl, new_ctl, ["provider", "file", "crc"], new_is_unique=True)), root, STAGED)
     _mark("expand")
 
-    usable_rows = [r for r in good_rows if (r["provider"], r["file"]) not in file_errors]
-    tables = sorted({r["table"] for r in usable_rows})
-    headers = spark.createDataFrame(
-        [(r["provider"], r["file"], r["table"], r["header"]) for r in outcome
-         if r["line_no"] == 0 and (r["provider"], r["file"]) not in file_errors],
-        "provider string, file string, table string, header array<string>")
     # Per table, the file plan: header positions per file.
-    offsets_df = plan_df.select("provider", "file", "offset")
-    file_plans = {}
-    plan_info = []
-    widths: dict[str, int] = {}
-    for t in tables:
-        fp = build_plan(headers, declared, registry.tables[t]).join(offsets_df, ["provider", "file"])
-        fp_rows = fp.collect()  # one row per file of this table
-        file_plans[t] = spark.createDataFrame(fp_rows, fp.schema)
-        widths[t] = max([1] + [r["width"] for r in fp_rows if r["width"] is not None])
-        plan_info += [{k: r[k] for k in _INFO_COLS} for r in fp_rows]
+    tables = sorted(r["table"] for r in usable.select("table").distinct().collect())  # one row per table
+    ends = usable.select("provider", "file", F.col("raw_crc").alias("crc"), "offset", F.greatest("last", "offset").alias("last"))
+    file_plans = {t: build_plan(usable.where(F.col("header").isNotNull()).select("provider", "file", "table", "header"), declared, registry.tables[t])
+                  .join(ends, ["provider", "file"]) for t in tables}
+    columns = ["provider", "file", "crc", "table", "width", "n_matched", "offset", "last"]
+    info = [p.where(F.col("n_matched") > 0).select(*columns) for p in file_plans.values()]
+    info = _kept(reduce(DataFrame.unionByName, info) if info else spark.createDataFrame([], _INFO_SCHEMA), f"{own}/info")
+    widths = {r["table"]: r["width"] for r in info.groupBy("table").agg(F.max("width").alias("width")).collect()}  # one row per table
     _mark("headers")
 
-    grants = _grants(spark, staged, plan_info, last_lines, max_rows, f"{stage_path}_blocks")
-    grants_df = spark.createDataFrame(
-        grants, "provider string, file string, table string, offset long, upto long, status int, taken long")
+    grants = _kept(_grants(records, info, max_rows, f"{own}/blocks"), f"{own}/grants")
     _mark("budget")
 
     # Parse, project, type and upsert, one pass per logical table, several at
     # a time; each table's data and progress become current in one commit.
-    manifest_rows = read_manifest(spark, root).collect()
+    manifest_rows = read_manifest(spark, root).collect()  # one row per bucket
     failed: dict[str, str] = {}
-    loaded: dict[tuple, int] = {}
+    counted: list[DataFrame] = []
     # Files without a matching column, and files without even a header
     # line, are completed no-ops.
-    matched = {(r["provider"], r["file"]) for r in plan_info if r["n_matched"] > 0}
-    noop_rows = [(r["provider"], r["file"], r["table"], int(r["offset"])) for r in usable_rows
-                 if (r["provider"], r["file"]) not in matched]
+    noop = usable.join(info, ["provider", "file"], "left_anti").select("provider", "file", "table", F.col("offset").alias("last_line"))
 
     def closes(granted: DataFrame) -> DataFrame:
         ends = control.rollback_points(granted.select(
@@ -339,130 +359,133 @@ def import_landing(spark: SparkSession, landing: str, root: str,
 
     with ThreadPoolExecutor(TABLE_THREADS) as pool:
         jobs = {
-            pool.submit(_load_table, spark, root, registry, t, staged, stage_path, run_id, file_plans[t],
-                        grants_df, widths, manifest_rows, result.timings, keyless): t
-            for t in tables if any(i["table"] == t and i["n_matched"] > 0 for i in plan_info)
+            pool.submit(_load_table, spark, root, registry, t, records, stage_path, run_id, file_plans[t],
+                        grants.where(F.col("table") == t), widths[t], manifest_rows, result.timings, own, keyless): t
+            for t in sorted(widths)
         }
         for job in as_completed(jobs):
             t = jobs[job]
             try:
                 providers_of, updates, counts = job.result()
                 manifest_rows, manifest = changed_manifest(spark, manifest_rows, t, providers_of, updates)
-                closed = control.close_progress(progress, closes(grants_df.where(F.col("table") == t)))
+                closed = control.close_progress(progress, closes(grants.where(F.col("table") == t)))
                 write_tables({MANIFEST: compact(manifest), PROGRESS: compact(closed)}, root)
                 progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
-                loaded.update(counts)
+                counted.append(counts)
             except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
                 failed[t] = f"{type(exc).__name__}: {exc}"
             _mark(f"table:{t}")
 
-    result.errors, result.file_errors = failed, file_errors | unread_errors
-    result.files = [
-        {"provider": g[0], "file": g[1], "table": g[2],
-         "last_line": g[3] if g[2] in failed else g[4],
-         "status": control.STATUS_OPEN if g[2] in failed else g[5],
-         "rows": loaded.get((g[0], g[1]), 0)}
-        for g in grants
-    ] + [
-        {"provider": p, "file": f, "table": t, "last_line": o, "status": control.STATUS_DONE, "rows": 0}
-        for p, f, t, o in noop_rows
-    ] + [
-        {"provider": r["provider"], "file": r["file"], "table": r["table"], "last_line": int(r["offset"]),
-         "status": control.STATUS_OPEN, "rows": 0}
-        for r in plan_rows if (r["provider"], r["file"]) in file_errors
-    ] + unread_files
+    result.errors = failed
+    loaded = reduce(DataFrame.unionByName, counted) if counted else spark.createDataFrame([], "provider string, file string, rows long")
+    bad = spark.createDataFrame(sorted(failed.items()), "table string, table_error string")
+    undone = F.col("table_error").isNotNull()
+    granted = grants.join(loaded, ["provider", "file"], "left").join(bad, "table", "left").select(
+        "provider", "file", "table", F.when(undone, F.col("offset")).otherwise(F.col("upto")).alias("last_line"),
+        F.when(undone, F.lit(control.STATUS_OPEN)).otherwise(F.col("status")).alias("status"),
+        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.lit(None).cast("string").alias("error"), "table_error")
+    unusable = opened.where(F.col("error").isNotNull()).select("provider", "file", "table", F.col("offset").alias("last_line"), "error")
+    result.outcomes = _kept(
+        granted.unionByName(_outcome(noop.withColumn("error", F.lit(None)), F.col("table"), F.lit(control.STATUS_DONE)))
+        .unionByName(_outcome(unusable, F.col("table"), F.lit(control.STATUS_OPEN))).unionByName(lost), f"{own}/outcomes")
     # Versions last: a crash before this line makes the next run redo the
     # import instead of skipping it.
-    done = spark.createDataFrame(noop_rows, "Provider string, FileName string, table string, LastProcessedLine long").select(
-        "Provider", "FileName", "LastProcessedLine", F.lit(control.STATUS_DONE).alias("Status"))
-    log = spark.createDataFrame(
-        [(run_id, f["provider"], f["file"], f["rows"], f["last_line"], result.error_of(f)) for f in result.files],
-        "run string, provider string, file string, rows long, last_line long, error string",
-    ).withColumn("ended_at", F.current_timestamp())
+    done = noop.select(F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
+                       F.col("last_line").alias("LastProcessedLine"), F.lit(control.STATUS_DONE).alias("Status"))
+    log = result.outcomes.select(F.lit(run_id).alias("run"), "provider", "file", "rows", "last_line",
+                                 F.coalesce("error", "table_error").alias("error"), F.current_timestamp().alias("ended_at"))
     write_tables({
         PROGRESS: compact(control.close_progress(progress, done)),
         VERSIONS: compact(control.set_versions(versions, changed)),
+        FAILURES: compact(_ledger(ledger, ran, result.outcomes)),
         RUN_LOG: compact(read_table(spark, root, RUN_LOG, RUN_LOG_SCHEMA).unionByName(log)),
     }, root)
     _mark("control")
-    if result.errors or result.file_errors:
+    if result.failed():
         raise ImportFailed(result)
     return result
 
 
+def _outcome(df: DataFrame, table: Column, status: Column) -> DataFrame:
+    """Rows of ``_OUTCOME`` that loaded nothing: (provider, file, last_line, error)."""
+    return df.select(
+        "provider", "file", table.cast("string").alias("table"), F.col("last_line").cast("long").alias("last_line"),
+        status.cast("int").alias("status"), F.lit(0).cast("long").alias("rows"), F.col("error").cast("string").alias("error"),
+        F.lit(None).cast("string").alias("table_error"))
+
+
+def _ledger(ledger: DataFrame, ran: DataFrame, outcomes: DataFrame) -> DataFrame:
+    what = F.coalesce("error", "table_error")
+    return control.record_failures(ledger, ran, outcomes.where(what.isNotNull()).select("provider", F.col("file").alias("item"), what.alias("error")))
+
+
 def compact(df: DataFrame) -> DataFrame:
     """A control table in as few files as its size asks for."""
     return df.hint("rebalance")
 
 
-def _grants(spark: SparkSession, staged: DataFrame, plan_info: list[dict], last_lines: dict,
-            max_rows: int | None, blocks_path: str) -> list[tuple]:
-    """How far each file may go: (provider, file, table, offset, upto, status,
-    rows).  An upper bound comes from the record numbers alone; only providers
-    whose bound exceeds the budget need their valid rows counted."""
-    files = [r for r in plan_info if r["n_matched"] > 0]
-    budget = max_rows if max_rows is not None else (1 << 62)
-    last = {(r["provider"], r["file"]): max(last_lines[r["provider"], r["file"]], r["offset"]) for r in files}
-    bound: dict[str, int] = {}
-    for r in files:
-        bound[r["provider"]] = bound.get(r["provider"], 0) + last[r["provider"], r["file"]] - r["offset"]
-    exact = sorted(p for p, n in bound.items() if n > budget)
-    rows = {k: last[k] - r["offset"] for r in files for k in [(r["provider"], r["file"])]}
-    counted = blocks = None
-    if exact:
-        info = spark.createDataFrame([tuple(r[k] for k in _INFO_COLS) for r in files if r["provider"] in exact], _INFO_SCHEMA)
-        counted = staged.join(info, ["provider", "file", "table"]).where(
-            (F.col("line_no") > F.col("offset")) & ~F.col("bad_utf8") & (field_count("line") == F.col("width"))
-        ).select("provider", "file", "line_no", F.floor(F.col("line_no") / COUNT_BLOCK).alias("block"))
-        counted.groupBy("provider", "file", "block").agg(F.count(F.lit(1)).alias("n")).write.parquet(blocks_path)
-        blocks = spark.read.parquet(blocks_path)
-        rows |= {k: 0 for k in rows if k[0] in exact}
-        rows |= {(r["provider"], r["file"]): r["n"] for r in blocks.groupBy("provider", "file").agg(F.sum("n").alias("n")).collect()}
-    offered = spark.createDataFrame([(p, f, n) for (p, f), n in rows.items()], "provider string, file string, rows long")
-    quotas = {(r["provider"], r["file"]): r for r in file_quotas(offered, budget).collect()}  # one row per file
-    partial = [(*k, r["quota"]) for k, r in quotas.items() if not r["file_done"] and r["quota"] > 0]
-    cut = {}
-    if partial:  # at most one file a provider: the line of its last granted row
-        quota = spark.createDataFrame(partial, "provider string, file string, quota long")
-        before = Window.partitionBy("provider", "file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-        at = (blocks.join(quota, ["provider", "file"])
-              .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-              .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
-              .select("provider", "file", "block", (F.col("quota") - F.col("before")).alias("nth")))
-        nth = F.row_number().over(Window.partitionBy("provider", "file").orderBy("line_no"))
-        found = counted.join(at, ["provider", "file", "block"]).withColumn("k", nth).where(F.col("k") == F.col("nth"))
-        cut = {(r["provider"], r["file"]): r["line_no"] for r in found.select("provider", "file", "line_no").collect()}
-    out = []
-    for r in files:
-        k = (r["provider"], r["file"])
-        q = quotas[k]
-        if q["file_done"]:
-            upto, status = last[k], control.STATUS_DONE
-        elif q["quota"] > 0:
-            upto, status = cut[k], control.STATUS_OPEN
-        else:
-            upto, status = r["offset"], control.STATUS_OPEN
-        out.append((*k, r["table"], int(r["offset"]), int(upto), status, int(q["quota"])))
-    return out
-
-
-def staged_records(spark: SparkSession, paths: list[str], plan_df: DataFrame, plan_rows) -> DataFrame:
-    """The staged records of the planned files.
+def _grants(records: DataFrame, info: DataFrame, max_rows: int | None, blocks_path: str) -> DataFrame:
+    """How far each file may go: provider, file, table, offset, upto, status.
+    An upper bound comes from the record numbers alone; only providers whose
+    bound exceeds the budget have their valid rows counted, in blocks of lines.
+    Quotas and cut lines are joins from end to end."""
+    files = info.withColumn("bound", F.col("last") - F.col("offset"))
+    out = ["provider", "file", "table", "offset"]
+    whole = files.select(*out, F.col("last").alias("upto"), F.lit(control.STATUS_DONE).alias("status"))
+    if max_rows is None:
+        return whole
+    over = files.groupBy("provider").agg(F.sum("bound").alias("b")).where(F.col("b") > max_rows).select("provider")
+    if over.isEmpty():
+        return whole
+    key = ["provider", "file"]
+    exact = files.join(over, "provider", "left_semi")
+    fields = F.coalesce("n_fields", field_count("line"))
+    counted = records.join(exact.select(*key, "crc", "offset", "width"), [*key, "crc"]).where(
+        (F.col("line_no") > F.col("offset")) & ~F.col("bad_utf8") & (fields == F.col("width"))
+    ).select(*key, "line_no", F.floor(F.col("line_no") / COUNT_BLOCK).alias("block"))
+    blocks = _kept(counted.groupBy(*key, "block").agg(F.count(F.lit(1)).alias("n")), blocks_path)
+    valid = blocks.groupBy(*key).agg(F.sum("n").alias("rows"))
+    quotas = file_quotas(exact.join(valid, key, "left").select(*out, "last", F.coalesce("rows", F.lit(0)).alias("rows")), max_rows)
+    # At most one file a provider is cut inside: the line of its last granted row.
+    partial = quotas.where(~F.col("file_done") & (F.col("quota") > 0)).select(*key, "quota")
+    before = Window.partitionBy(*key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    at = (blocks.join(partial, key)
+          .withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+          .where((F.col("before") < F.col("quota")) & (F.col("quota") <= F.col("before") + F.col("n")))
+          .select(*key, "block", (F.col("quota") - F.col("before")).alias("nth")))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy("line_no"))
+    cut = counted.join(at, [*key, "block"]).withColumn("k", nth).where(F.col("k") == F.col("nth")).select(*key, F.col("line_no").alias("cut"))
+    capped = quotas.join(cut, key, "left").select(
+        *out, F.when(F.col("file_done"), F.col("last")).otherwise(F.coalesce("cut", "offset")).alias("upto"),
+        F.when(F.col("file_done"), F.lit(control.STATUS_DONE)).otherwise(F.lit(control.STATUS_OPEN)).alias("status"))
+    return whole.join(over, "provider", "left_anti").unionByName(capped)
+
+
+STAGED_RECORD = T.StructType([
+    *[f for f in LINE_SCHEMA.fields if f.name != "version"],
+    T.StructField("crc", T.StringType()), T.StructField("table", T.StringType())])
+
+
+def staged_scan(spark: SparkSession, paths: list[str], least: int) -> DataFrame:
+    """The staged records of some runs' folders.
 
     Records at or before the least offset of the run are not read: records are
     stored in file order, so Parquet skips them by row-group statistics.  Each
     file's own offset is applied where its rows are taken.
     """
-    staged = spark.read.parquet(*paths)
-    least = min((int(r["offset"]) for r in plan_rows), default=0)
-    if least > 0:
-        staged = staged.where((F.col("line_no") <= 0) | (F.col("line_no") > least))
+    staged = spark.read.schema(STAGED_RECORD).parquet(*paths)
+    return staged.where((F.col("line_no") <= 0) | (F.col("line_no") > least)) if least > 0 else staged
+
+
+def staged_records(spark: SparkSession, paths: list[str], plan_df: DataFrame, plan_rows) -> DataFrame:
+    """The staged records of the planned files (``plan_rows``: their offsets)."""
+    staged = staged_scan(spark, paths, min((int(r["offset"]) for r in plan_rows), default=0))
     return staged.join(
         plan_df.select("provider", "file", F.col("raw_crc").alias("crc")), ["provider", "file", "crc"], "left_semi")
 
 
-def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan, grants_df,
-                widths, manifest_rows, timings, keyless: str = "append") -> tuple[list[str], list[dict], dict]:
+def _load_table(spark, root, registry, t, records, stage_path, run_id, file_plan, grants, width, manifest_rows,
+                timings, own: str, keyless: str = "append") -> tuple[list[str], list[dict], DataFrame]:
     """Parse, type and upsert the granted rows of one logical table; returns
     the providers changed, their manifest rows and the rows loaded per file."""
     clock = [time.perf_counter()]
@@ -473,37 +496,33 @@ def _load_table(spark, root, registry, t, staged, stage_path, run_id, file_plan,
         clock[0] = now
 
     lt = registry.tables[t]
-    fp = file_plan.join(grants_df.where(F.col("table") == t).select("provider", "file", "upto"), ["provider", "file"])
-    bounds = fp.select("provider", "file", "upto", F.col("offset").alias("_from"))
-    records = staged.where((F.col("table") == t) & (F.col("line_no") > 0)).join(bounds, ["provider", "file"]).where(
-        (F.col("line_no") > F.col("_from")) & (F.col("line_no") <= F.col("upto"))).drop("_from", "upto")
-    taken = parse_lines(records, fp, lt, widths.get(t, 1)).where("valid")
+    fp = file_plan.join(grants.select("provider", "file", "upto"), ["provider", "file"])
+    # One join selects the records and brings their header positions.
+    taken = parse_lines(records.where(F.col("table") == t), fp, lt, width, bounded=True).where("valid")
     # Typed rows are written once to the staging folder; the upsert's lineage
     # starts there.
     typed_path = f"{stage_path}_typed/table={t}"
     type_columns(taken, lt).write.parquet(typed_path)
     typed = spark.read.parquet(typed_path)
     step("parse_type_write")
-    per_file = typed.groupBy("provider", "file").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.size("_rejects") > 0).alias("rejected")).collect()  # one row per file
-    counts = {(r["provider"], r["file"]): r["n"] for r in per_file}
-    if any(r["rejected"] for r in per_file):
+    counts = _kept(typed.groupBy("provider", "file").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.size("_rejects") > 0).alias("rejected")), f"{own}/counts_{t}")
+    per_provider = counts.groupBy("provider").agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected")).collect()  # one row per provider
+    if any(r["rejected"] for r in per_provider):
         typed.where(F.size("_rejects") > 0).select(
             "provider", F.lit(t).alias("table"), "file", "line_no", F.explode("_rejects").alias("r"),
         ).select("provider", "table", "file", "line_no", "r.column", "r.text").write.parquet(
             f"{root.rstrip('/')}/rejects/run={run_id}/part={t}")
+    counts = counts.drop("rejected")
     step("counts_rejects")
-    new_rows: dict[str, int] = {}
-    for (p, _), n in counts.items():
-        new_rows[p] = new_rows.get(p, 0) + n
+    new_rows = {r["provider"]: r["rows"] for r in per_provider}
     if not new_rows:
         return [], [], counts
     new = typed.withColumn("_source_file", F.col("file")).select(*lt.spark_schema().names, "file", "line_no")
     loose = [p for p in registry.keyless_providers(t) if p in new_rows] if lt.key else sorted(new_rows)
     replace = None
-    files = sorted((p, f) for p, f in counts if p in loose)
-    if keyless == "replace_file" and files:
-        replace = spark.createDataFrame(files, "provider string, _source_file string")
+    if keyless == "replace_file" and loose:
+        replace = counts.where(F.col("provider").isin(loose)).select("provider", F.col("file").alias("_source_file"))
     updates = apply_upserts(spark, root, t, lt.spark_schema(), new, new_rows, list(lt.key),
                             ["file", "line_no"], manifest_rows, keyless=loose, replace_files=replace)
     step("upsert_write")
@@ -517,7 +536,8 @@ class ImportFailed(RuntimeError):
 
     def __init__(self, result: "ImportResult"):
         what = [f"{t}: {e}" for t, e in sorted(result.errors.items())]
-        what += [f"{p}/{f}: {e}" for (p, f), e in sorted(result.file_errors.items())]
+        own = result.file_table().where(F.col("error").isNotNull()).orderBy("provider", "file")
+        what += [f"{r['provider']}/{r['file']}: {r['error']}" for r in own.limit(SHOWN_ERRORS).collect()]
         super().__init__("import failed for " + "; ".join(what))
         self.result = result
 

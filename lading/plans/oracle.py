@@ -277,11 +277,21 @@ SELECT provider, tbl AS "table",
             THEN (ht <> 'customer' AND cols = dcols) END AS importer_exact
 FROM j CROSS JOIN (VALUES ('tpch0'), ('tpch1')) p(provider)""",
     "entry_crc_check": """
-SELECT 'nation.txt' AS file, count(*) AS records, count(*) > 0 AS crc_matches FROM nation
-UNION ALL SELECT 'region.txt', count(*), count(*) > 0 FROM region""",
+SELECT 'li' || (l_orderkey % 4) AS provider, 'lineitem.txt' AS file, count(*) AS records,
+       CAST(sum(strlen(concat_ws(',', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_returnflag, l_linestatus)) + 1)
+            + strlen('l_orderkey,l_partkey,l_suppkey,l_linenumber,l_returnflag,l_linestatus') + 1 AS BIGINT) AS bytes,
+       count(*) > 0 AS crc_matches
+FROM lineitem GROUP BY 1""",
     "import_isolates_failures": """
-SELECT n_nationkey, n_name AS name, 0 AS status FROM nation
-UNION ALL SELECT NULL, 'region.txt', 1""",
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus,
+       'ord' || (o_orderkey % 4) AS provider, 0 AS status
+FROM orders WHERE o_orderkey % 4 <> 1
+UNION ALL SELECT NULL, NULL, 'orders.txt', 'ord1', 1""",
+    "stream_isolates_failures": """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, CAST(o_custkey AS BIGINT) AS o_custkey, o_orderstatus,
+       'ord' || (o_orderkey % 4) AS provider, CAST(0 AS BIGINT) AS attempts
+FROM orders WHERE o_orderkey % 4 <> 3
+UNION ALL SELECT NULL, NULL, 'orders.txt', 'ord3', CAST(2 AS BIGINT)""",
     "csv_quote_rules": """
 SELECT o_orderkey,
        CASE o_orderkey % 4

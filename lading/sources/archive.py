@@ -30,6 +30,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +71,8 @@ LINE_SCHEMA = T.StructType(
         T.StructField("bad_utf8", T.BooleanType()),
         T.StructField("header", T.ArrayType(T.StringType())),
         T.StructField("error", T.StringType()),
+        T.StructField("n_fields", T.IntegerType()),
+        T.StructField("odd", T.BooleanType()),
     ]
 )
 #: ``line_no`` of the row that reports an entry's failure, and of the row that
@@ -223,6 +226,23 @@ def _decode(body, recs) -> tuple[list[str], list[bool] | None]:
         return texts, bad
 
 
+def arities(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Fields of each record, and whether it is odd: text after a closing
+    quote, a quote left open, or a line end inside quotes.  Whole fields in
+    quotes are replaced by a mark; what is left tells both."""
+    quoted = np.asarray(pc.match_substring(texts, '"'))
+    odd = np.zeros(len(texts), bool)
+    marked = texts
+    if quoted.any():
+        marked = pc.replace_substring_regex(texts, r'(^|,)"[^"]*(?:""[^"]*)*"', "\\1\x00")
+        odd = quoted & np.asarray(pc.match_substring_regex(marked, '\x00[^,]|(?:^|,)"|[\r\n]'))
+        odd |= quoted & np.asarray(pc.match_substring_regex(texts, "[\r\n]"))
+    fields = np.asarray(pc.count_substring(marked, ",")).astype(np.int32) + 1
+    for k in np.flatnonzero(odd).tolist():
+        fields[k] = len(split_record(texts[k].as_py()))
+    return fields, odd
+
+
 def _entry_batches(stream, provider, version, file, chunk: int = CHUNK_BYTES):
     """Arrow batches of one entry's records, numbered from 0 (the header)."""
     schema = _arrow(LINE_SCHEMA)
@@ -242,16 +262,20 @@ def _entry_batches(stream, provider, version, file, chunk: int = CHUNK_BYTES):
                 first_bad = flags[0] if flags is not None else False
                 hdr = [] if first_bad else split_record(part[0])
                 headers = pa.array([hdr] + [None] * (n - 1), pa.list_(pa.string()))
+            lines = pa.array(part, pa.string())
+            fields, odd = arities(lines)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([provider] * n, pa.string()),
-                    pa.array([version] * n, pa.string()),
-                    pa.array([file] * n, pa.string()),
+                    _same(provider, n),
+                    _same(version, n),
+                    _same(file, n),
                     pa.array(np.arange(next_no, next_no + n, dtype=np.int64)),
-                    pa.array(part, pa.string()),
+                    lines,
                     pa.array(flags if flags is not None else np.zeros(n, dtype=bool), pa.bool_()),
                     headers,
                     pa.nulls(n, pa.string()),
+                    pa.array(fields, pa.int32()),
+                    pa.array(odd),
                 ],
                 schema=schema,
             )
@@ -259,6 +283,10 @@ def _entry_batches(stream, provider, version, file, chunk: int = CHUNK_BYTES):
     yield _outcome_batch(provider, version, file, END_LINE, str(max(next_no - 1, 0)), None)
 
 
+def _same(value: str | None, n: int) -> pa.Array:
+    return pa.nulls(n, pa.string()) if value is None else pa.repeat(pa.scalar(value, pa.string()), n)
+
+
 def split_record(record: str) -> list[str]:
     """Fields of one record (the rules above)."""
     out = []
@@ -280,17 +308,21 @@ def _outcome_batch(provider, version, file, line_no: int, line: str | None, erro
 
 
 def _expand_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns after the first four are carried to every record."""
     for b in batches:
-        cols = b.to_pydict()
-        for provider, version, archive, file in zip(
-            cols["provider"], cols["version"], cols["archive"], cols["file"]
-        ):
+        carried = b.schema.names[4:]
+        for provider, version, archive, file, *values in zip(*[c.to_pylist() for c in b.columns]):
             try:
                 # ZipExtFile checks the member's CRC-32 when it reaches its end.
                 with open_input(archive) as fh, zipfile.ZipFile(fh).open(file) as stream:
-                    yield from _entry_batches(stream, provider, version, file)
+                    for out in _entry_batches(stream, provider, version, file):
+                        yield _with(out, carried, values)
             except _READ_ERRORS as exc:
-                yield _outcome_batch(provider, version, file, ERROR_LINE, None, f"{type(exc).__name__}: {exc}")
+                yield _with(_outcome_batch(provider, version, file, ERROR_LINE, None, f"{type(exc).__name__}: {exc}"), carried, values)
+
+
+def _with(batch: pa.RecordBatch, names: list[str], values: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, *[_same(v, batch.num_rows) for v in values]], names=[*batch.schema.names, *names])
 
 
 def _bins(sizes: list[int], n: int) -> list[int]:
@@ -304,29 +336,51 @@ def _bins(sizes: list[int], n: int) -> list[int]:
     return out
 
 
-def expand_entries(wanted: DataFrame) -> DataFrame:
+#: An entry of at least this part of a task's fair share is dealt by size.
+LARGE_SHARE = 0.25
+
+
+def _dealt(wanted: DataFrame, names: list[str]) -> tuple[DataFrame, int]:
+    """``wanted`` with the task (``bin``) of each entry, and their number.
+
+    Large entries are dealt by size, the largest first; there are fewer than
+    tasks / ``LARGE_SHARE`` of them, however many entries there are.  The
+    others are dealt by a hash: each is a small part of a task's share."""
+    spark = wanted.sparkSession
+    total = wanted.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes")).first()
+    n = max(1, min(total["n"], spark.sparkContext.defaultParallelism * 8))
+    least = max(1, int((total["bytes"] or 0) * LARGE_SHARE / n))
+    large = wanted.where(F.col("size") >= least).select("provider", "version", "archive", "file", "size").orderBy("provider", "version", "archive", "file").collect()
+    bins = _bins([r["size"] for r in large], n)
+    dealt = spark.createDataFrame([(*r[:4], k) for r, k in zip(large, bins)], ", ".join(f"{c} string" for c in names[:4]) + ", _bin int")
+    key = [F.coalesce(c, F.lit("")) for c in names[:4]]
+    entry = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in names[:4]]
+    marked = wanted.withColumn("_key", F.struct(*key)).join(
+        F.broadcast(dealt.select(F.struct(*entry).alias("_key"), "_bin")), "_key", "left")  # bounded by the number of tasks
+    return marked.select(*names, F.coalesce("_bin", F.pmod(F.xxhash64(*key), F.lit(n)).cast("int")).alias("bin")), n
+
+
+def expand_entries(wanted: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """Records of the wanted entries.
 
     ``wanted``: ``(provider, version, archive, file[, size])`` — one row per
-    entry to expand, a plan-sized table.  Entries are dealt to tasks by size,
-    the largest first; there are as many tasks as entries, up to a few waves of
-    the cluster's cores.  Output follows ``LINE_SCHEMA``: ``line_no`` 0
-    is the header record (with ``header`` parsed), data records follow from
-    1; blank lines are skipped; ``bad_utf8`` marks records that are not UTF-8.
+    entry to expand; string columns named in ``carry`` come with every record.
+    Entries are dealt to tasks by size, the largest first; there are as many
+    tasks as entries, up to a few waves of the cluster's cores.  Output follows
+    ``LINE_SCHEMA``: ``line_no`` 0 is the header record (with ``header``
+    parsed), data records follow from 1; blank lines are skipped; ``bad_utf8``
+    marks records that are not UTF-8; ``n_fields`` and ``odd`` say how many
+    fields a record has and whether it needs the full splitting rules.
     Each entry has one row more: ``END_LINE`` with the number of its last
     record, or ``ERROR_LINE`` with an ``error`` if it could not be read to the
     end.
     """
-    spark = wanted.sparkSession
-    ship_package(spark)
-    names = ["provider", "version", "archive", "file"]
+    ship_package(wanted.sparkSession)
+    names = ["provider", "version", "archive", "file", *carry]
     size = F.coalesce(F.col("size"), F.lit(0)) if "size" in wanted.columns else F.lit(0)
-    rows = wanted.select(*names, size.cast("long").alias("size")).collect()  # one row per entry
-    cap = max(1, spark.sparkContext.defaultParallelism * 8)
-    n = max(1, min(len(rows), cap))
-    dealt = [(*[r[c] for c in names], k) for r, k in zip(rows, _bins([r["size"] for r in rows], n))]
-    w = spark.createDataFrame(dealt, ", ".join(f"{c} string" for c in names) + ", bin int")
-    return w.repartitionById(n, F.col("bin")).select(*names).mapInArrow(_expand_batches, LINE_SCHEMA)
+    rows, n = _dealt(wanted.select(*names, size.cast("long").alias("size")), names)
+    schema = T.StructType([*LINE_SCHEMA.fields, *[T.StructField(c, T.StringType()) for c in carry]])
+    return rows.repartitionById(n, F.col("bin")).select(*names).mapInArrow(_expand_batches, schema)
 
 
 HEADER_SCHEMA = T.StructType(
@@ -365,7 +419,18 @@ def entry_headers(wanted: DataFrame) -> DataFrame:
 
 # --- landing tables as feeds ---------------------------------------------------
 
-def _zip_writer(landing: str, version: str, entry: str, header: str, prefix: str):
+def _spoil(archive: str) -> None:
+    """Overwrite the first bytes of the archive's one member (after its local
+    header), as a storage fault would."""
+    with open_input(archive) as fh:
+        data = bytearray(fh.read())
+    at = 30 + int.from_bytes(data[26:28], "little") + int.from_bytes(data[28:30], "little")
+    data[at: at + 4] = b"\xff" * 4
+    with open_output(archive) as out:
+        out.write(bytes(data))
+
+
+def _zip_writer(landing: str, version: str, entry: str, header: str, prefix: str, damaged: tuple[int, ...]):
     from pyspark import TaskContext
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,6 +460,8 @@ def _zip_writer(landing: str, version: str, entry: str, header: str, prefix: str
             member.close()
             zf.close()
             out.close()
+            if pid in damaged:
+                _spoil(tmp)
             move(tmp, path)
             yield pa.RecordBatch.from_pydict(
                 {"provider": [provider], "archive": [path], "rows": [rows]},
@@ -405,14 +472,15 @@ def _zip_writer(landing: str, version: str, entry: str, header: str, prefix: str
 
 
 def write_archives(lines: DataFrame, landing: str, version: str, entry: str,
-                   header: str, provider_prefix: str) -> DataFrame:
+                   header: str, provider_prefix: str, damaged: tuple[int, ...] = ()) -> DataFrame:
     """Write ``lines`` (one string column, CSV records) as feed archives, one
     per Spark partition: provider ``<provider_prefix><partition>``, entry
     ``<entry>.txt`` with ``header`` first.  Returns ``(provider, archive,
-    rows)`` once the write action runs; call ``.collect()`` or ``.count()``
+    rows)`` once the write action runs; the archives of the ``damaged``
+    partitions get a broken member (to try out failures); call ``.collect()`` or ``.count()``
     on it — the result has one row per partition."""
     ship_package(lines.sparkSession)
     return lines.mapInArrow(
-        _zip_writer(landing, version, entry, header, provider_prefix),
+        _zip_writer(landing, version, entry, header, provider_prefix, damaged),
         "provider string, archive string, rows long",
     )

@@ -99,3 +99,28 @@ def test_expander_records_round_trip(rows, eol):
     recs = [r.decode("utf-8") for r in _records(data, chunk=7) if r]
     parsed = [next(csv.reader([r])) for r in recs]
     assert parsed == [r for r in rows if render(r) != ""]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet='a,"\r\n\x00é', max_size=12), min_size=1, max_size=8))
+def test_the_scanners_arity_is_the_number_of_fields(records):
+    import pyarrow as pa
+
+    from lading.sources.archive import arities, split_record
+
+    fields, odd = arities(pa.array(records))
+    assert fields.tolist() == [len(split_record(r)) for r in records]
+    for r, o in zip(records, odd.tolist()):
+        if not o and '"' in r:  # a field is then plain, or one quoted text
+            assert ",".join('"' + f.replace('"', '""') + '"' if q else f for f, q in _fields(r)) == r
+
+
+def _fields(record):
+    from lading.sources.archive import split_record
+
+    out, at = [], 0
+    for f in split_record(record):
+        quoted = record[at:at + 1] == '"'
+        out.append((f, quoted))
+        at += len('"' + f.replace('"', '""') + '"' if quoted else f) + 1
+    return out
