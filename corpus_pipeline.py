@@ -7,8 +7,9 @@ stage as Parquet into the shared folder and rereads it.
 1. language: drops documents without a letter or without a likely language
    (posterior below ``LEAST_SCORE``) and fills in missing labels.
 2. near_duplicates: word 5-grams, Jaccard similarity 0.8 or more; of each group
-   the document with the smallest id stays.  Rows without an id stay; of rows
-   that repeat an id one stays.
+   one document stays.  Rows are told apart by id and text, so rows without an
+   id are compared like all others, different texts under one id are different
+   documents, and of rows equal in both one stays.
 3. decontamination: drops documents with a twentieth or more of their words in
    verbatim benchmark passages.
 4. secrets: replaces every secret in the texts; ``n_chars`` follows.
@@ -43,11 +44,13 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay = ngram_join(docs).where("doc_id = component_id").select("doc_id").distinct()
-    place = fresh(docs, "place")
-    one = docs.join(stay, "doc_id", "left_semi").withColumn(
-        place, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), "text")))
-    return one.where(F.col(place) == 1).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    key, place, text_key = (fresh(docs, c) for c in ("row_key", "place", "text_key"))
+    # Nulls are told apart from what hashes alike.
+    keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    stay = ngram_join(keyed, id_col=key).where(F.col(key) == F.col("component_id")).select(key).distinct()
+    same = Window.partitionBy(key, "doc_id", text_key).orderBy(F.lit(0))
+    kept = keyed.join(stay, key, "left_semi").withColumn(text_key, F.xxhash64(F.lit(2), "text"))
+    return kept.withColumn(place, F.row_number().over(same)).where(F.col(place) == 1).select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,8 +76,8 @@ STAGES = [
     ("packing", packing),
 ]
 
-#: SQL cannot express the language model and the packing; tests compare the
-#: stages with brute force.
+#: SQL cannot express the language model and the packing; tests compare near
+#: duplicates and token counts with brute force.
 ORACLE_SQL = None
 
 
