@@ -3,7 +3,10 @@ import re
 import corpus_pipeline as P
 from pyspark.sql import functions as F
 
+from tokenizers import Tokenizer
+
 from lading.llm.graph import written
+from lading.llm.token_counts import vocabulary_path
 from tests_llm_prose import SF_SMALL, prose
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -25,7 +28,8 @@ def test_stages_keep_the_columns_and_take_effect(spark):
     assert docs.where(F.col("n_chars") != F.length("text")).isEmpty()
     assert not any(re.search(r"AKIA[A-Z0-9]{12}|[0-9a-f]{32}", r.text) for r in docs.collect())
     packed = P.packing(spark, docs, SF_SMALL)
-    need = docs.agg(F.sum(F.ceil(F.octet_length("text") / 4))).first()[0]
+    tok = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    need = sum(len(tok.encode(r.text or "", add_special_tokens=False)) for r in docs.select("text").collect())
     assert packed.agg(F.sum("n_tokens")).first()[0] == need
 
 
@@ -44,7 +48,21 @@ def test_one_document_of_each_group_stays(spark):
     text = prose(1, 60)
     rows = [(5, text), (3, text), (3, text), (9, text + " tail"), (7, prose(2, 60)), (None, text), (8, None), (10, "")]
     got = P.near_duplicates(spark, make(spark, rows), SF_SMALL).collect()
-    assert sorted(str(r.doc_id) for r in got) == ["10", "3", "7", "8", "None"]
+    group = [r for r in got if (r.text or "").startswith(text)]
+    assert len(group) == 1 and sorted(str(r.doc_id) for r in got if r not in group) == ["10", "7", "8"]
+
+
+def test_ids_do_not_stand_for_texts(spark):
+    """Different texts under one id both stay; copies without an id do not."""
+    a, b, c = prose(3, 80), prose(4, 80), prose(5, 80)
+    rows = [(1, a), (1, b), (None, a), (None, a), (None, c), (2, None), (2, None), (2, "")]
+    docs = make(spark, rows).withColumns({n: F.lit("x") for n in ("row_key", "place", "component_id", "text_key")})
+    got = P.near_duplicates(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns
+    kept = got.collect()
+    assert sorted(r.text for r in kept if r.text) == sorted([a, b, c])
+    assert sorted((r.doc_id, r.text) for r in kept if not r.text and r.text is not None) == [(2, "")]
+    assert sum(r.text is None for r in kept) == 1
 
 
 def test_secrets_are_replaced(spark):
