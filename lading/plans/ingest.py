@@ -36,6 +36,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
@@ -46,7 +47,7 @@ from pyspark.sql import types as T
 
 from lading.functions.names import entry_table_name, is_feed_entry
 from lading.operators import control
-from lading.operators.lines import file_quotas
+from lading.operators.lines import batch_number, file_quotas
 from lading.operators.parse import (
     build_plan,
     declared_columns,
@@ -56,7 +57,7 @@ from lading.operators.parse import (
     type_columns,
 )
 from lading.operators.upsert import upsert
-from lading.registry import CONTROL_TABLES, DEFAULT, Registry, registry_df
+from lading.registry import CONTROL_TABLES, DEFAULT, LogicalTable, Registry, registry_df
 from lading.sinks.feed_tables import (
     MANIFEST,
     apply_upserts,
@@ -71,6 +72,8 @@ from lading.sources.archive import END_LINE, ERROR_LINE, LINE_SCHEMA, expand_ent
 MAX_ROWS_PER_RUN = 100_000
 # Lines per block when a capped file's valid rows are counted.
 COUNT_BLOCK = 4096
+# Lines whose outcome is common: a batch loads or fails as a whole.
+BATCH_ROWS = 500
 # Failed files named in an error message; all of them are in the ledger.
 SHOWN_ERRORS = 20
 # Tables loaded at the same time.
@@ -173,14 +176,18 @@ def _newest_versions(archives: DataFrame) -> DataFrame:
 
 def import_landing(spark: SparkSession, landing: str, root: str,
                    registry: Registry = DEFAULT, max_rows: int | None = MAX_ROWS_PER_RUN,
-                   providers: list[str] | None = None, keyless: str = "append") -> ImportResult:
+                   providers: list[str] | None = None, keyless: str = "append",
+                   refuse: Callable[[LogicalTable], Column | None] | None = None, batch_rows: int = BATCH_ROWS) -> ImportResult:
     """Import the newest feed version of every provider below ``landing``
     into the tables under ``root``.  ``max_rows`` caps the valid rows per
     provider and run (``None``: no cap); the next run continues where this
     one stopped.  ``providers``: restrict to these (e.g. the active ones of
     the catalogue).  ``keyless``: ``append`` (a re-imported file of a keyless
     table adds its rows again) or ``replace_file`` (its earlier rows are
-    replaced)."""
+    replaced).  ``refuse`` gives, per table, a condition on its typed columns
+    for rows the store does not take: a batch of ``batch_rows`` lines with such a
+    row fails as a whole, the file's lines before its earliest failed batch are
+    loaded, and the file stays open there."""
     if keyless not in ("append", "replace_file"):
         raise ValueError(f"keyless must be 'append' or 'replace_file', not {keyless!r}")
     result = ImportResult(spark, root, registry)
@@ -343,15 +350,17 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     manifest_rows = read_manifest(spark, root).collect()  # one row per bucket
     failed: dict[str, str] = {}
     counted: list[DataFrame] = []
+    refused: list[DataFrame] = []
     # Files without a matching column, and files without even a header
     # line, are completed no-ops.
     noop = usable.join(info, ["provider", "file"], "left_anti").select("provider", "file", "table", F.col("offset").alias("last_line"))
 
-    def closes(granted: DataFrame) -> DataFrame:
-        ends = control.rollback_points(granted.select(
-            F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
-            F.col("upto").alias("last_line"), (F.col("upto") - F.col("offset")).alias("size"),
-            F.lit(False).alias("failed")), control.PROGRESS_KEY)
+    def closes(granted: DataFrame, broken: DataFrame | None) -> DataFrame:
+        """Where a table's files end: their last granted line, or the start of
+        their earliest failed batch."""
+        batches = granted.select("provider", "file", F.col("upto").alias("last_line"), (F.col("upto") - F.col("offset")).alias("size"), F.lit(False).alias("failed"))
+        ends = control.rollback_points((batches if broken is None else batches.unionByName(broken)).withColumnsRenamed(
+            {"provider": "Provider", "file": "FileName"}), control.PROGRESS_KEY)
         capped = granted.where(F.col("status") == control.STATUS_OPEN).select(
             F.col("provider").alias("Provider"), F.col("file").alias("FileName"), F.lit(control.STATUS_OPEN).alias("_open"))
         return ends.join(capped, control.PROGRESS_KEY, "left").withColumn(
@@ -360,18 +369,20 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     with ThreadPoolExecutor(TABLE_THREADS) as pool:
         jobs = {
             pool.submit(_load_table, spark, root, registry, t, records, stage_path, run_id, file_plans[t],
-                        grants.where(F.col("table") == t), widths[t], manifest_rows, result.timings, own, keyless): t
+                        grants.where(F.col("table") == t), widths[t], manifest_rows, result.timings, own, keyless,
+                        refuse(registry.tables[t]) if refuse else None, batch_rows): t
             for t in sorted(widths)
         }
         for job in as_completed(jobs):
             t = jobs[job]
             try:
-                providers_of, updates, counts = job.result()
+                providers_of, updates, counts, broken = job.result()
                 manifest_rows, manifest = changed_manifest(spark, manifest_rows, t, providers_of, updates)
-                closed = control.close_progress(progress, closes(grants.where(F.col("table") == t)))
+                closed = control.close_progress(progress, closes(grants.where(F.col("table") == t), broken))
                 write_tables({MANIFEST: compact(manifest), PROGRESS: compact(closed)}, root)
                 progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
                 counted.append(counts)
+                refused += [broken] if broken is not None else []
             except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
                 failed[t] = f"{type(exc).__name__}: {exc}"
             _mark(f"table:{t}")
@@ -379,11 +390,15 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     result.errors = failed
     loaded = reduce(DataFrame.unionByName, counted) if counted else spark.createDataFrame([], "provider string, file string, rows long")
     bad = spark.createDataFrame(sorted(failed.items()), "table string, table_error string")
-    undone = F.col("table_error").isNotNull()
-    granted = grants.join(loaded, ["provider", "file"], "left").join(bad, "table", "left").select(
-        "provider", "file", "table", F.when(undone, F.col("offset")).otherwise(F.col("upto")).alias("last_line"),
-        F.when(undone, F.lit(control.STATUS_OPEN)).otherwise(F.col("status")).alias("status"),
-        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"), F.lit(None).cast("string").alias("error"), "table_error")
+    cuts = spark.createDataFrame([], "provider string, file string, cut long")
+    if refused:
+        cuts = control.rollback_points(reduce(DataFrame.unionByName, refused), ["provider", "file"]).select("provider", "file", F.col("LastProcessedLine").alias("cut"))
+    undone, cut = F.col("table_error").isNotNull(), F.col("cut")
+    granted = grants.join(loaded, ["provider", "file"], "left").join(cuts, ["provider", "file"], "left").join(bad, "table", "left").select(
+        "provider", "file", "table", F.when(undone, F.col("offset")).otherwise(F.coalesce(cut, "upto")).alias("last_line"),
+        F.when(undone | cut.isNotNull(), F.lit(control.STATUS_OPEN)).otherwise(F.col("status")).alias("status"),
+        F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
+        F.when(cut.isNotNull() & ~undone, F.concat(F.lit("the batch after line "), cut.cast("string"), F.lit(" was refused"))).alias("error"), "table_error")
     unusable = opened.where(F.col("error").isNotNull()).select("provider", "file", "table", F.col("offset").alias("last_line"), "error")
     result.outcomes = _kept(
         granted.unionByName(_outcome(noop.withColumn("error", F.lit(None)), F.col("table"), F.lit(control.STATUS_DONE)))
@@ -485,9 +500,11 @@ def staged_records(spark: SparkSession, paths: list[str], plan_df: DataFrame, pl
 
 
 def _load_table(spark, root, registry, t, records, stage_path, run_id, file_plan, grants, width, manifest_rows,
-                timings, own: str, keyless: str = "append") -> tuple[list[str], list[dict], DataFrame]:
+                timings, own: str, keyless: str = "append", refuse: Column | None = None,
+                batch_rows: int = BATCH_ROWS) -> tuple[list[str], list[dict], DataFrame, DataFrame | None]:
     """Parse, type and upsert the granted rows of one logical table; returns
-    the providers changed, their manifest rows and the rows loaded per file."""
+    the providers changed, their manifest rows, the rows loaded per file and the
+    batches that failed (None without any)."""
     clock = [time.perf_counter()]
 
     def step(name: str) -> None:
@@ -502,9 +519,11 @@ def _load_table(spark, root, registry, t, records, stage_path, run_id, file_plan
     # Typed rows are written once to the staging folder; the upsert's lineage
     # starts there.
     typed_path = f"{stage_path}_typed/table={t}"
-    type_columns(taken, lt).write.parquet(typed_path)
+    typed = type_columns(taken, lt)
+    typed.withColumn("_refused", F.lit(False) if refuse is None else F.coalesce(refuse, F.lit(False))).write.parquet(typed_path)
     typed = spark.read.parquet(typed_path)
     step("parse_type_write")
+    typed, broken = _whole_batches(typed, fp, f"{own}/refused_{t}", batch_rows) if refuse is not None else (typed, None)
     counts = _kept(typed.groupBy("provider", "file").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.size("_rejects") > 0).alias("rejected")), f"{own}/counts_{t}")
     per_provider = counts.groupBy("provider").agg(F.sum("rows").alias("rows"), F.sum("rejected").alias("rejected")).collect()  # one row per provider
@@ -517,7 +536,7 @@ def _load_table(spark, root, registry, t, records, stage_path, run_id, file_plan
     step("counts_rejects")
     new_rows = {r["provider"]: r["rows"] for r in per_provider}
     if not new_rows:
-        return [], [], counts
+        return [], [], counts, broken
     new = typed.withColumn("_source_file", F.col("file")).select(*lt.spark_schema().names, "file", "line_no")
     loose = [p for p in registry.keyless_providers(t) if p in new_rows] if lt.key else sorted(new_rows)
     replace = None
@@ -526,7 +545,21 @@ def _load_table(spark, root, registry, t, records, stage_path, run_id, file_plan
     updates = apply_upserts(spark, root, t, lt.spark_schema(), new, new_rows, list(lt.key),
                             ["file", "line_no"], manifest_rows, keyless=loose, replace_files=replace)
     step("upsert_write")
-    return sorted(new_rows), updates, counts
+    return sorted(new_rows), updates, counts, broken
+
+
+def _whole_batches(typed: DataFrame, plan: DataFrame, path: str, batch_rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """The rows before each file's earliest failed batch, and the failed
+    batches: provider, file, last_line, size, failed."""
+    if typed.where("_refused").isEmpty():
+        return typed, None
+    begin, key = F.col("_b") * batch_rows, ["provider", "file"]
+    failed = typed.where("_refused").select(*key, batch_number("line_no", batch_rows).alias("_b")).distinct().join(plan.select(*key, "offset", "upto"), key)
+    last = F.least(begin + batch_rows, F.col("upto"))
+    failed = _kept(failed.select(*key, last.alias("last_line"), (last - F.greatest(begin, F.col("offset"))).alias("size"), F.lit(True).alias("failed")), path)
+    cuts = control.rollback_points(failed, key).select(*key, F.col("LastProcessedLine").alias("_cut"))
+    kept = typed.join(cuts, key, "left").where(F.col("_cut").isNull() | (F.col("line_no") <= F.col("_cut"))).drop("_cut")
+    return kept, failed
 
 
 class ImportFailed(RuntimeError):

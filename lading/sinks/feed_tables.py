@@ -11,6 +11,9 @@ The manifest names, per table, provider and bucket, the version that holds it
 (several for ``LOOSE``).  It is committed together with the progress rows, so
 readers see the state before the run or after it.
 
+A touched bucket whose incoming rows all equal the stored ones keeps its files:
+a release that repeats last week's rows rewrites only buckets with a difference.
+
 The number of buckets follows the provider's rows (``BUCKET_ROWS`` each, a
 power of two); when a provider has outgrown it fourfold, the run that finds
 out rewrites the provider once with more.
@@ -24,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lading.operators.upsert import complete_key, upsert
+from lading.operators.upsert import complete_key, last_wins, upsert
 from lading.sinks.snapshots import next_version, read_table
 
 MANIFEST = "control/manifest"
@@ -126,9 +129,19 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
         touched = {(p, 0) for p in providers}
     else:
         touched = {(r["provider"], r["_b"]) for r in new_b.select("provider", "_b").distinct().collect()}
+    keyed_new = new_b.where(F.col("_b") != LOOSE)
+    stored = [r for r in own if r["bucket"] != LOOSE and r["provider"] not in regrown and (r["provider"], r["bucket"]) in touched]
+    if stored and merge is upsert and key:
+        changed = _changed_buckets(_read(spark, root, table, schema, stored, base), placed(
+            last_wins(keyed_new.drop("_b"), ["provider", *key], order_cols).select(*cols)), ["provider", *key], cols)
+        quiet = {(r["provider"], r["bucket"]) for r in stored} - changed
+        if quiet:
+            touched -= quiet
+            left = spark.createDataFrame(sorted(quiet), "provider string, _b int")  # one row per bucket
+            keyed_new = keyed_new.join(left, ["provider", "_b"], "left_anti")
+    keyed_new = keyed_new.drop("_b")
     rewrite = [r for r in own if r["bucket"] != LOOSE and (r["provider"] in regrown or (r["provider"], r["bucket"]) in touched)]
     replaced = [r for r in own if replace_files is not None and r["bucket"] == LOOSE]
-    keyed_new = new_b.where(F.col("_b") != LOOSE).drop("_b")
     # The provider is part of every key: providers never conflict.
     merged = merge(_read(spark, root, table, schema, rewrite, base), keyed_new, ["provider", *key],
                    order_cols=order_cols, keep_cols=cols) if key else keyed_new.select(*cols)
@@ -142,7 +155,11 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
     folder = F.substring(F.md5(F.encode("provider", "utf-8")), 1, 16)
     # REBALANCE gathers each bucket's rows into few files and lets AQE split large buckets.
     out.withColumn("_p", folder).hint("rebalance", "_p", "_b").write.partitionBy("_p", "_b").parquet(path)
-    written = spark.read.parquet(path).groupBy("provider", "_b").agg(F.count(F.lit(1)).alias("rows")).collect()
+    # Rows per bucket from the files' footers: no column is read.
+    named = {_folder(p): p for p in providers}
+    rows_of = (spark.read.schema(T.StructType([*schema.fields, T.StructField("_p", T.StringType()), T.StructField("_b", T.IntegerType())]))
+               .parquet(path).groupBy("_p", "_b").agg(F.count(F.lit(1)).alias("rows")).collect())  # one row per bucket
+    written = [{"provider": named[r["_p"]], "_b": r["_b"], "rows": r["rows"]} for r in rows_of]
     gone = {(r["provider"], r["bucket"], r["version"]) for r in [*rewrite, *replaced]}
     keep = [r.asDict() if hasattr(r, "asDict") else r for r in own]
     keep = [r | {"buckets": buckets[r["provider"]]} for r in keep if (r["provider"], r["bucket"], r["version"]) not in gone]
@@ -153,6 +170,20 @@ def apply_upserts(spark: SparkSession, root: str, table: str, schema: T.StructTy
     ]
 
 
+def _changed_buckets(old: DataFrame, new: DataFrame, key: list[str], cols: list[str]) -> set[tuple[str, int]]:
+    """Buckets in which some incoming row (``new``, one per key, with its
+    bucket ``_b``) is not stored as it is.  Rows are compared by two 64-bit
+    hashes of all columns, so only keys and hashes are shuffled."""
+
+    def hashed(df: DataFrame, *more: str) -> DataFrame:
+        # A null hashes like nothing: which columns are null is part of the row.
+        nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
+        return df.select(*key, *more, F.xxhash64(nulls, *cols).alias("_h1"), F.xxhash64(F.lit(7), nulls, *cols).alias("_h2"))
+
+    fresh = hashed(new, "_b").join(hashed(old), [*key, "_h1", "_h2"], "left_anti")
+    return {(r["provider"], r["_b"]) for r in fresh.select("provider", "_b").distinct().collect()}  # one row per bucket
+
+
 def changed_manifest(spark: SparkSession, manifest_rows, table: str, providers, updates: list[dict]):
     """The manifest with the rows of a table's providers replaced: as rows,
     and as the table to commit."""

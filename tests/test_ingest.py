@@ -497,3 +497,52 @@ def test_vacuum_keeps_what_commits_name(spark, workdir):
     vacuum(workdir, keep=2)
     assert _versions(workdir, "t") == [3, 4]
     assert read_table(spark, workdir, "t", df.schema).count() == 0
+
+
+def test_a_repeated_feed_rewrites_only_buckets_with_a_difference(spark, land, workdir, monkeypatch):
+    import lading.sinks.feed_tables as feed_tables
+    from lading.sinks.feed_tables import read_manifest
+
+    monkeypatch.setattr(feed_tables, "BUCKET_ROWS", 10)
+    line = "S{0},n{0},{1},\n".format
+    body = STOPS_HDR + "\n" + "".join(line(i, i % 9) for i in range(100))
+    landing = land("ktmb", "e1", {"stops.txt": body})
+    run(spark, landing, workdir)
+    before = {r["bucket"]: (r["version"], r["rows"]) for r in read_manifest(spark, f"{workdir}/wh").collect()}
+    assert len(before) > 10 and sum(n for _, n in before.values()) == 100
+    land("ktmb", "e2", {"stops.txt": body.replace(line(42, 42 % 9), line(42, 3))})  # the whole feed, one row changed
+    run(spark, landing, workdir)
+    after = {r["bucket"]: (r["version"], r["rows"]) for r in read_manifest(spark, f"{workdir}/wh").collect()}
+    assert sum(before[b] != after[b] for b in before) == 1
+    land("ktmb", "e3", {"stops.txt": body.replace(line(42, 42 % 9), line(42, 3)) + "short\n"})  # the same rows, another CRC
+    res = run(spark, landing, workdir)
+    assert {r["bucket"]: (r["version"], r["rows"]) for r in read_manifest(spark, f"{workdir}/wh").collect()} == after
+    got = {r["stop_id"]: r["stop_lat"] for r in res.table("stops").collect()}
+    assert len(got) == 100 and got["S42"] == 3.0 and got["S41"] == 5.0
+    assert [r["Status"] for r in res.progress().collect()] == [0]
+
+
+def test_a_failing_batch_in_mid_file_resumes_there(spark, land, workdir):
+    """The lines before the earliest failed batch load; the file stays open at
+    its start, and nothing is loaded twice, keyless tables included."""
+    from pyspark.sql import functions as F
+
+    from lading.plans.ingest import ImportFailed
+    from lading.registry import build_registry
+
+    reg = build_registry("t: k integer, v text | k\nu: w text | w", "[p]\nt: k v\nu (keyless): w")
+    lines = [f"{i},x{i}" for i in range(1, 101)]
+    lines[63] = "64,poison"
+    lines[91] = "92,poison"
+    landing = land("p", "e1", {"t.txt": "k,v\n" + "\n".join(lines) + "\n", "u.txt": "w\n" + "\n".join(["a"] * 30 + ["poison"] + ["b"] * 9) + "\n"})
+    with pytest.raises(ImportFailed, match="after line 60 was refused") as err:
+        run(spark, landing, workdir, registry=reg, batch_rows=10, refuse=lambda t: F.col(t.column_names[-1]) == "poison")
+    res = err.value.result
+    assert {(r["FileName"], r["Status"], r["LastProcessedLine"]) for r in res.progress().collect()} == {("t.txt", 1, 60), ("u.txt", 1, 30)}
+    assert res.table("t").count() == 60 and res.table("u").count() == 30
+    assert {f["file"]: (f["rows"], f["last_line"], f["status"]) for f in res.files} == {"t.txt": (60, 60, 1), "u.txt": (30, 30, 1)}
+    assert {(r["item"], r["attempts"]) for r in res.failures().collect()} == {("t.txt", 1), ("u.txt", 1)}
+    done = run(spark, landing, workdir, registry=reg)  # the store takes them now
+    assert done.rows_imported() == 50 and done.reused == 2
+    assert done.table("t").count() == 100 and done.table("u").count() == 40
+    assert all(r["Status"] == 0 for r in done.progress().collect()) and done.failures().count() == 0
