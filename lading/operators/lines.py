@@ -10,9 +10,15 @@ partitions — and the offsets are joined back.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Splits whose offsets may be broadcast (some 100 bytes each); beyond it the
+#: offsets are joined by a shuffle.
+BROADCAST_SPLITS = 200_000
+
 _LOW33 = (1 << 33) - 1  # monotonically_increasing_id: record number in its partition
 
 
@@ -71,8 +77,13 @@ def number_in_storage_order(rows: DataFrame, group_cols: list[str],
     ``_metadata.file_block_start``); a group's rows must be stored in order
     across its files and splits ordered by (path, block start).  A task reads
     one split in order, so only per-split counts are shuffled: a window runs
-    over one row per (group, split).
+    over one row per (group, split).  The counts are written once; up to
+    ``BROADCAST_SPLITS`` of them reach the scan stage as a lookup, so that the rows
+    themselves are not exchanged.
     """
+    from lading.session import scratch_path
+
+    spark = rows.sparkSession
     # Part files are ordered by the number in their name (part-100000 comes
     # after part-99999), other files by name.
     rows = rows.withColumn("_part", F.expr(r"try_cast(regexp_extract(_path, 'part-([0-9]+)[^/]*$', 1) as bigint)"))
@@ -83,11 +94,22 @@ def number_in_storage_order(rows: DataFrame, group_cols: list[str],
     counts = local.groupBy(*group_cols, *split_cols, "_pid").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_rec").alias("_first")
     )
-    offs = _offsets(counts, group_cols, split_cols, "_off")
+    # The counts come from a scan cut in the same splits as the rows' own.
+    path = scratch_path(spark, "split-offsets")
+    offs = _offsets(counts, group_cols, split_cols, "_off").drop("_n", "_part")
+    offs.write.parquet(path)
+    offs = spark.read.schema(offs.schema).parquet(path)
+    if offs.count() <= BROADCAST_SPLITS:
+        offs = F.broadcast(offs)
+    keys = [*group_cols, "_path", "_block", "_pid"]
+    offs = offs.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    met = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys))
+    # A split cut otherwise than when it was counted has no offset: an error, not a lost row.
+    off = F.coalesce("_off", F.raise_error(F.lit("the splits changed between counting and numbering")).cast("long"))
     return (
-        local.join(offs.drop("_n", "_part"), [*group_cols, "_path", "_block", "_pid"], "inner")
-        .withColumn(out, F.col("_off") + F.col("_rec") - F.col("_first") + 1)
-        .drop("_pid", "_rec", "_off", "_first", "_part")
+        local.join(offs, met, "left")
+        .withColumn(out, off + F.col("_rec") - F.col("_first") + 1)
+        .drop("_pid", "_rec", "_off", "_first", "_part", *[f"_of_{k}" for k in keys])
     )
 
 

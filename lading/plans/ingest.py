@@ -65,7 +65,7 @@ from lading.sinks.feed_tables import (
     read_feed_table,
     read_manifest,
 )
-from lading.sinks.snapshots import read_table, write_table, write_tables
+from lading.sinks.snapshots import Parted, read_table, write_table, write_tables
 from lading.session import scratch_path
 from lading.sources.archive import END_LINE, ERROR_LINE, LINE_SCHEMA, expand_entries, list_entries, read_archives
 
@@ -217,6 +217,10 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         return result
 
     own = scratch_path(spark, f"import-{run_id}")  # tables of this run
+    # Progress is kept in parts by provider: only those of this run's providers
+    # are read from here on, and written.
+    running = sorted(r["provider"] for r in gate_rows if r["action"] != "skip")
+    progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA, running)
     current = archives_all.join(todo.withColumnRenamed("remote_version", "version"), ["provider", "version"])
     declared = declared_columns(registry_df(spark, registry))
     # The listing reads only central directories; it is kept for the plan
@@ -283,14 +287,13 @@ def import_landing(spark: SparkSession, landing: str, root: str,
         F.col("provider").alias("Provider"), F.col("file").alias("FileName"),
         F.col("crc").alias("CRC"), F.col("offset").alias("LastProcessedLine")))
     if not n_plan:
-        write_tables({PROGRESS: compact(progress), VERSIONS: compact(control.set_versions(versions, changed)),
+        write_tables({PROGRESS: _progress_of(progress, running), VERSIONS: compact(control.set_versions(versions, changed)),
                       FAILURES: compact(_ledger(ledger, ran, lost))}, root)
         result.outcomes = lost
         if blocked:
             raise ImportFailed(result)
         return result
-    write_table(compact(progress), root, PROGRESS)
-    progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
+    write_tables({PROGRESS: _progress_of(progress, running)}, root)
     _mark("open")
 
     # Staged records: entries staged by an earlier run with the same CRC
@@ -339,7 +342,8 @@ def import_landing(spark: SparkSession, landing: str, root: str,
     columns = ["provider", "file", "crc", "table", "width", "n_matched", "offset", "last"]
     info = [p.where(F.col("n_matched") > 0).select(*columns) for p in file_plans.values()]
     info = _kept(reduce(DataFrame.unionByName, info) if info else spark.createDataFrame([], _INFO_SCHEMA), f"{own}/info")
-    widths = {r["table"]: r["width"] for r in info.groupBy("table").agg(F.max("width").alias("width")).collect()}  # one row per table
+    by_table = info.groupBy("table").agg(F.max("width").alias("width"), F.collect_set("provider").alias("providers")).collect()  # one row per table
+    widths, table_providers = {r["table"]: r["width"] for r in by_table}, {r["table"]: r["providers"] for r in by_table}
     _mark("headers")
 
     grants = _kept(_grants(records, info, max_rows, f"{own}/blocks"), f"{own}/grants")
@@ -378,9 +382,9 @@ def import_landing(spark: SparkSession, landing: str, root: str,
             try:
                 providers_of, updates, counts, broken = job.result()
                 manifest_rows, manifest = changed_manifest(spark, manifest_rows, t, providers_of, updates)
+                progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA, table_providers[t])
                 closed = control.close_progress(progress, closes(grants.where(F.col("table") == t), broken))
-                write_tables({MANIFEST: compact(manifest), PROGRESS: compact(closed)}, root)
-                progress = read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA)
+                write_tables({MANIFEST: compact(manifest), PROGRESS: _progress_of(closed, table_providers[t])}, root)
                 counted.append(counts)
                 refused += [broken] if broken is not None else []
             except Exception as exc:  # noqa: BLE001 - one table's failure must not stop the others
@@ -409,8 +413,9 @@ def import_landing(spark: SparkSession, landing: str, root: str,
                        F.col("last_line").alias("LastProcessedLine"), F.lit(control.STATUS_DONE).alias("Status"))
     log = result.outcomes.select(F.lit(run_id).alias("run"), "provider", "file", "rows", "last_line",
                                  F.coalesce("error", "table_error").alias("error"), F.current_timestamp().alias("ended_at"))
+    idle = [r["Provider"] for r in done.select("Provider").distinct().collect()]  # one row per provider
     write_tables({
-        PROGRESS: compact(control.close_progress(progress, done)),
+        PROGRESS: _progress_of(control.close_progress(read_table(spark, root, PROGRESS, control.PROGRESS_SCHEMA, idle), done), idle),
         VERSIONS: compact(control.set_versions(versions, changed)),
         FAILURES: compact(_ledger(ledger, ran, result.outcomes)),
         RUN_LOG: compact(read_table(spark, root, RUN_LOG, RUN_LOG_SCHEMA).unionByName(log)),
@@ -434,6 +439,11 @@ def _ledger(ledger: DataFrame, ran: DataFrame, outcomes: DataFrame) -> DataFrame
     return control.record_failures(ledger, ran, outcomes.where(what.isNotNull()).select("provider", F.col("file").alias("item"), what.alias("error")))
 
 
+def _progress_of(progress: DataFrame, providers: list[str]) -> Parted:
+    """Progress to be written: the parts of these providers."""
+    return Parted(progress, "Provider", providers)
+
+
 def compact(df: DataFrame) -> DataFrame:
     """A control table in as few files as its size asks for."""
     return df.hint("rebalance")

@@ -30,12 +30,13 @@ def provider_status(progress: DataFrame, provider: str, drop: list[str] | None =
 
 
 def status(spark, root: str, provider: str, known: list[str] | None = None) -> DataFrame:
-    """Status of one provider from the control tables under ``root``.
+    """Status of one provider from the control tables under ``root``; only the
+    provider's part of the progress table is read.
     ``known``: providers of the catalogue; an unknown one raises."""
     from lading.operators.control import PROGRESS_SCHEMA
     from lading.sinks.snapshots import read_table
 
     if known is not None and provider not in known:
         raise UnknownProvider(f"Provider '{provider}' not found")
-    progress = read_table(spark, root, "control/import_progress", PROGRESS_SCHEMA)
+    progress = read_table(spark, root, "control/import_progress", PROGRESS_SCHEMA, [provider])
     return provider_status(progress, provider)

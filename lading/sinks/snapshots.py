@@ -8,20 +8,31 @@ is written aside and moved into place.  A job never overwrites a folder, and a
 folder left half-written by a killed job is passed over: the next version is
 numbered past all folders that exist.  One writer at a time per root.
 
+A table may be kept in parts by the hash of a key column (:class:`Parted`): a write
+then replaces only the parts of the keys it names, and the commit names a
+version per part (``<name>/_p=<part>``), stored in ``v=<n>/_p=<part>/``.
+
 Old versions stay until :func:`vacuum` removes them.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
+from collections.abc import Iterable
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lading.sources.fs import exists, list_dirs, list_files, move, open_input, open_output, remove_dir
 
 _COMMITS = "_commits"
+#: Parts of a parted table.
+PARTS = 64
+_PART = "/_p="
 
 
 def _numbered(root: str, name: str) -> list[int]:
@@ -59,24 +70,85 @@ def current_path(root: str, name: str) -> str | None:
     return f"{root.rstrip('/')}/{name}/v={v:08d}" if v else None
 
 
-def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
-    p = current_path(root, name)
-    if p is None:
+@dataclass
+class Parted:
+    """A table kept in parts by the hash of ``key_col``.  ``keys``: those whose
+    rows may have changed.  Their parts are replaced by the rows of ``rows`` that
+    fall into them (all rows of these parts must be among them); the other parts
+    stay as they are and need not be given."""
+
+    rows: DataFrame
+    key_col: str
+    keys: Iterable[str | None]
+
+
+def part_of(key: str | None) -> int:
+    """Part of a key; a null key counts as the empty text."""
+    return int(hashlib.md5((key or "").encode("utf-8")).hexdigest()[:8], 16) % PARTS
+
+
+def _part_column(key_col: str) -> Column:
+    digest = F.md5(F.encode(F.coalesce(F.col(key_col), F.lit("")), "utf-8"))
+    return (F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % PARTS).cast("int")
+
+
+def _parts(commit: dict[str, int], name: str) -> dict[int, int]:
+    """Version of each part of a parted table."""
+    return {int(k[len(name) + len(_PART):]): v for k, v in commit.items() if k.startswith(name + _PART)}
+
+
+def read_table(spark: SparkSession, root: str, name: str, schema: T.StructType,
+               keys: Iterable[str | None] | None = None) -> DataFrame:
+    """The current rows of a table.  ``keys``: of a parted table only the parts
+    that hold these keys are listed and read (they may hold other keys too)."""
+    return read_committed(spark, root, name, schema, _committed(root), keys)
+
+
+def read_committed(spark: SparkSession, root: str, name: str, schema: T.StructType, commit: dict[str, int],
+                   keys: Iterable[str | None] | None = None) -> DataFrame:
+    """The rows of a table as a commit names them."""
+    base = f"{root.rstrip('/')}/{name}"
+    wanted = None if keys is None else {part_of(k) for k in keys}
+    parts = {p: v for p, v in _parts(commit, name).items() if wanted is None or p in wanted}
+    out = []
+    if name in commit:
+        out.append(spark.read.schema(schema).parquet(f"{base}/v={commit[name]:08d}"))
+    if parts:
+        rows = (spark.read.schema(T.StructType([*schema.fields, T.StructField("_p", T.IntegerType())])).option("basePath", base)
+                .parquet(*[f"{base}/v={v:08d}{_PART}{p}" for p, v in sorted(parts.items())]))
+        if wanted is not None:
+            rows = rows.where(F.col("_p").isin(sorted(wanted)))
+        out.append(rows.select(*schema.names))
+    if not out:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(p)
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
 
 
-def write_tables(tables: dict[str, DataFrame], root: str) -> None:
-    """Write new versions of several tables and commit them together."""
-    versions = {}
+def write_tables(tables: dict[str, DataFrame | Parted], root: str) -> None:
+    """Write new versions of several tables and commit them together.  A table
+    that was written whole before is parted by its first write as
+    :class:`Parted`, which must give all its rows."""
+    commit = _committed(root)
     for name, df in tables.items():
-        versions[name] = next_version(root, name)
-        df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/{name}/v={versions[name]:08d}")
+        version = next_version(root, name)
+        path = f"{root.rstrip('/')}/{name}/v={version:08d}"
+        if not isinstance(df, Parted):
+            df.write.mode("errorifexists").parquet(path)
+            commit[name] = version
+            continue
+        touched = set(range(PARTS)) if name in commit else {part_of(k) for k in df.keys}
+        if not touched:
+            continue
+        rows = df.rows.withColumn("_p", _part_column(df.key_col)).where(F.col("_p").isin(sorted(touched)))
+        rows.hint("rebalance", "_p").write.mode("errorifexists").partitionBy("_p").parquet(path)
+        written = {int(d[3:]) for d in list_dirs(path) if d.startswith("_p=")}
+        commit = {k: v for k, v in commit.items() if k != name and not (k.startswith(name + _PART) and int(k.rsplit("=", 1)[1]) in touched)}
+        commit |= {f"{name}{_PART}{p}": version for p in written}
     have = _commit_numbers(root)
     path = f"{root.rstrip('/')}/{_COMMITS}/c={(have[-1] if have else 0) + 1:08d}"
     aside = f"{root.rstrip('/')}/{_COMMITS}/writing-{uuid.uuid4().hex}"
     with open_output(aside) as out:
-        out.write(json.dumps(_committed(root) | versions, sort_keys=True).encode("utf-8"))
+        out.write(json.dumps(commit, sort_keys=True).encode("utf-8"))
     move(aside, path)
 
 
@@ -86,17 +158,25 @@ def write_table(df: DataFrame, root: str, name: str) -> str:
     return current_path(root, name)
 
 
+def kept_commits(root: str, keep: int = 2) -> list[dict[str, int]]:
+    """What the newest ``keep`` commits name, oldest first."""
+    return [_committed(root, n) for n in _commit_numbers(root)[-max(1, keep):]]
+
+
 def vacuum(root: str, keep: int = 2) -> list[str]:
-    """Remove version folders that none of the newest ``keep`` commits names.
-    Returns the folders removed.  No other job may write meanwhile."""
-    numbers = _commit_numbers(root)[-max(1, keep):]
-    named = [_committed(root, n) for n in numbers]
+    """Remove version folders (of parted tables: parts of them) that none of the
+    newest ``keep`` commits names.  Returns the folders removed.  No other job
+    may write meanwhile."""
+    named = {(k, v) for c in kept_commits(root, keep) for k, v in c.items()}
     removed = []
-    for name in sorted({k for c in named for k in c}):
-        wanted = {c.get(name) for c in named}
+    for name in sorted({k.split(_PART)[0] for k, _ in named}):
         for n in _numbered(root, name):
-            if n not in wanted:
-                path = f"{root.rstrip('/')}/{name}/v={n:08d}"
-                remove_dir(path)
-                removed.append(path)
+            path = f"{root.rstrip('/')}/{name}/v={n:08d}"
+            parts = [p for p in list_dirs(path) if p.startswith("_p=")]
+            held = [p for p in parts if (f"{name}/{p}", n) in named]
+            if (name, n) in named or (parts and len(held) == len(parts)):
+                continue
+            for gone in [f"{path}/{p}" for p in parts if p not in held] if held else [path]:
+                remove_dir(gone)
+                removed.append(gone)
     return removed

@@ -64,6 +64,22 @@ def test_number_text_lines_many_splits(spark, workdir):
     assert got == [(i, i + 1) for i in range(30000)]
 
 
+def test_text_lines_are_numbered_in_the_scan_stage(spark, workdir, monkeypatch):
+    import lading.operators.lines as lines
+
+    path = f"{workdir}/text"
+    spark.range(0, 3000, numPartitions=4).select(F.format_string("%08d", "id").alias("value")).write.text(path)
+    text = read_text_lines(spark, path, group_col=F.when(F.col("value") >= "00001000", F.lit("rest")))  # a null group
+    numbered = number_text_lines(text, "file")
+    want = [(i, i + 1 if i < 1000 else i - 999) for i in range(3000)]
+    assert sorted((int(r["value"]), r["line_no"]) for r in numbered.collect()) == want
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    # beyond the bound the offsets are joined by a shuffle, with the same result
+    monkeypatch.setattr(lines, "BROADCAST_SPLITS", 0)
+    assert sorted((int(r["value"]), r["line_no"]) for r in number_text_lines(text, "file").collect()) == want
+
+
 def test_resume_states_and_versions(spark):
     entries = spark.createDataFrame(
         [("p", f, "c1") for f in ["none", "crc", "done", "open", "null"]], "provider string, file string, crc string"
