@@ -3,9 +3,12 @@
 Documents are read in shards (slices of an Arrow batch).  For each shard a
 task builds a suffix array of the word positions that can begin a match, each
 suffix compared on its first ``WINDOW`` words, and binary-searches every
-benchmark suffix in it.  The range found gives all verbatim occurrences and
-their places; runs along a diagonal give the longest match.  A window longer
-than ``WINDOW`` words is a run of windows, so no depth is lost.
+benchmark suffix in it, equal ones once.  The range found gives all verbatim
+occurrences and their places; runs along a diagonal give the longest match.  A
+window longer than ``WINDOW`` words is a run of windows, so no depth is lost.  Of
+the pairs (place in the text, place in an item) only those that begin or end a run
+are kept, and they are looked at ``PAIRS`` at a time, so a text that repeats
+itself against an item that does needs no more memory than others.
 
 The benchmark is the stated query set.  It travels to the tasks in blocks of
 at most ``BLOCK_BYTES`` of text, one broadcast a block; results of later blocks
@@ -35,6 +38,8 @@ from lading.session import ship_package
 WINDOW = 13
 #: Benchmark text in one broadcast block.
 BLOCK_BYTES = 8 << 20
+#: Pairs of places looked at together.
+PAIRS = 1 << 20
 
 
 def _word_bytes() -> np.ndarray:
@@ -77,10 +82,20 @@ class Queries:
         self.at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)  # word place in the item
         start = first[:-1][owner] + self.at
         self.width = width[owner]
+        self.source = owner  # row of the benchmark: repeated ids stay apart
         self.item = np.array([place[name] for name, _ in items], np.int64)[owner] if len(items) else np.zeros(0, np.int64)
-        self.low = _keys(ids, start, self.width)
-        high = np.frombuffer(self.low.tobytes().ljust(self.low.nbytes, b"\0"), np.uint8).reshape(len(start), 4 * WINDOW).copy() if len(start) else np.zeros((0, 4 * WINDOW), np.uint8)
-        high[np.arange(4 * WINDOW) >= 4 * self.width[:, None]] = 255
+        #: A run of windows begins at an item's first, ends at its last.
+        self.first, self.last = self.at == 0, self.at == np.repeat(n, n) - 1
+        self.before = np.append(ids, 0)[start - 1] if len(start) else start
+        self.after = np.append(ids, 0)[np.minimum(start + self.width, len(ids))] if len(start) else start
+        # Equal windows are searched once: group g is windows[of[g]:of[g + 1]].
+        low = _keys(ids, start, self.width)
+        self.windows = np.argsort(low, kind="stable")
+        self.low, begin = np.unique(low[self.windows], return_index=True)
+        self.of = np.append(begin, len(low))
+        self.group_width = self.width[self.windows[begin]] if len(low) else np.zeros(0, np.int64)
+        high = np.frombuffer(self.low.tobytes().ljust(self.low.nbytes, b"\0"), np.uint8).reshape(len(self.low), 4 * WINDOW).copy() if len(start) else np.zeros((0, 4 * WINDOW), np.uint8)
+        high[np.arange(4 * WINDOW) >= 4 * self.group_width[:, None]] = 255
         self.high = high.view(f"S{4 * WINDOW}").ravel()
         #: Shortest window that begins with a word; a training suffix with a
         #: shorter run of benchmark words cannot match.
@@ -113,12 +128,12 @@ def suffix_array(ids: np.ndarray, first: np.ndarray, need: np.ndarray) -> tuple[
 
 
 def search_shard(data: np.ndarray, offsets: np.ndarray, q: Queries) -> tuple[np.ndarray, ...]:
-    """All occurrences of q's windows in a shard: word positions, query
-    indices, and the shard's first-word index per text."""
+    """All occurrences of q's distinct windows in a shard: word positions, window
+    groups, the shard's first-word index per text, and its word ids."""
     hashes, first = _words(data, offsets)
     if len(hashes) == 0 or len(q.low) == 0:
         empty = np.zeros(0, np.int64)
-        return empty, empty, first
+        return empty, empty, first, empty
     found = np.searchsorted(q.vocabulary, hashes)
     found[found == len(q.vocabulary)] = 0
     ids = np.where(q.vocabulary[found] == hashes, found + 1, 0)
@@ -127,45 +142,74 @@ def search_shard(data: np.ndarray, offsets: np.ndarray, q: Queries) -> tuple[np.
     n = hi - lo
     which = np.repeat(np.arange(len(n)), n)
     rank = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
-    return sa[rank], which, first
+    return sa[rank], which, first, ids
+
+
+def _run_ends(at: np.ndarray, which: np.ndarray, first: np.ndarray, ids: np.ndarray, q: Queries) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Pairs (word position, query window) that begin, and that end, a run of
+    windows along a diagonal: the words before (after) differ, or one side ends."""
+    texts_begin = np.zeros(len(ids) + 1, bool)
+    texts_begin[first] = True
+    padded = np.append(ids, 0)
+    size = np.diff(q.of)[which]
+    cum = np.concatenate([[0], np.cumsum(size)])
+    begins: list[list[np.ndarray]] = [[], []]
+    ends: list[list[np.ndarray]] = [[], []]
+    for k in range(0, int(cum[-1]), PAIRS):
+        pair = np.arange(k, min(k + PAIRS, int(cum[-1])))
+        occurrence = np.searchsorted(cum, pair, "right") - 1
+        window = q.windows[q.of[which[occurrence]] + pair - cum[occurrence]]
+        place = at[occurrence]
+        stop = place + q.width[window]
+        opens = q.first[window] | texts_begin[place] | (padded[place - 1] != q.before[window])
+        closes = q.last[window] | texts_begin[stop] | (padded[stop] != q.after[window])
+        for out, mask in ((begins, opens), (ends, closes)):
+            out[0].append(place[mask])
+            out[1].append(window[mask])
+    return [np.concatenate(x) for x in begins], [np.concatenate(x) for x in ends]
 
 
 def _rows(data: np.ndarray, offsets: np.ndarray, q: Queries) -> list[dict]:
     """Per text: n_words, hit runs, items and the longest match."""
-    at, which, first = search_shard(data, offsets, q)
+    at, which, first, ids = search_shard(data, offsets, q)
     texts = len(offsets) - 1
     rows = [{"n_words": int(n), "hits": [], "items": [], "longest": None} for n in np.diff(first)]
     if len(at) == 0:
         return rows
-    doc = np.searchsorted(first, at, "right") - 1
-    width = q.width[which]
-    # covered words, as maximal runs
+    # covered words, as maximal runs inside a text
     mark = np.zeros(first[-1] + 1, np.int64)
     np.add.at(mark, at, 1)
-    np.add.at(mark, at + width, -1)
-    hit = np.concatenate([[False], np.cumsum(mark)[:-1] > 0])
-    edge = np.flatnonzero(hit[1:] & (~hit[:-1] | np.isin(np.arange(len(hit) - 1), first)))
-    for s in edge.tolist():
-        d = int(np.searchsorted(first, s, "right")) - 1
-        e = s
-        while e < first[d + 1] and hit[e + 1]:
-            e += 1
-        rows[d]["hits"].append({"start": int(s - first[d]), "end": int(e - first[d])})
-    pair = np.unique(doc * len(q.names) + q.item[which])
+    np.add.at(mark, at + q.group_width[which], -1)
+    hit = np.concatenate([[False], np.cumsum(mark)[:-1] > 0, [False]])
+    cut = np.zeros(first[-1] + 1, bool)
+    cut[first] = True
+    starts = np.flatnonzero(hit[1:-1] & (~hit[:-2] | cut[:-1]))
+    stops = np.flatnonzero(hit[1:-1] & (~hit[2:] | cut[1:])) + 1
+    owner = np.searchsorted(first, starts, "right") - 1
+    for d, s, e in zip(owner.tolist(), (starts - first[owner]).tolist(), (stops - first[owner]).tolist(), strict=True):
+        rows[d]["hits"].append({"start": s, "end": e})
+    # items: each distinct window of a text brings all items that hold it
+    doc = np.searchsorted(first, at, "right") - 1
+    met = np.unique(doc * len(q.low) + which)
+    group = met % len(q.low)
+    size = q.of[group + 1] - q.of[group]
+    window = q.windows[np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(q.of[group], size)]
+    pair = np.unique(np.repeat(met // len(q.low), size) * len(q.names) + q.item[window])
     for p in pair.tolist():
         rows[p // len(q.names)]["items"].append(q.names[p % len(q.names)])
-    # longest verbatim match: consecutive windows on one diagonal
-    item, place = q.item[which], q.at[which]
-    order = np.lexsort((at, at - place, item, doc))
-    a, w = at[order], width[order]
-    joined = np.zeros(len(a), bool)
-    joined[1:] = (doc[order][1:] == doc[order][:-1]) & (item[order][1:] == item[order][:-1]) & ((a - place[order])[1:] == (a - place[order])[:-1]) & (a[1:] == a[:-1] + 1)
-    begin = np.flatnonzero(~joined)
-    stop = np.append(begin[1:], len(a)) - 1
-    length = a[stop] + w[stop] - a[begin]
-    for k in np.lexsort((a[begin], -length)).tolist()[::-1]:  # the longest, then the earliest, is written last
-        d = int(doc[order][begin[k]])
-        rows[d]["longest"] = {"words": int(length[k]), "start": int(a[begin[k]] - first[d]), "item": q.names[int(item[order][begin[k]])], "item_start": int(place[order][begin[k]])}
+    # longest verbatim match: on a diagonal, beginnings and ends of runs alternate
+    (a, wa), (b, wb) = _run_ends(at, which, first, ids, q)
+    text = np.searchsorted(first, a, "right") - 1
+    diagonal = a - q.at[wa]
+    order = np.lexsort((a, diagonal, q.source[wa], q.item[wa], text))
+    finish = np.lexsort((b, b - q.at[wb], q.source[wb], q.item[wb], np.searchsorted(first, b, "right") - 1))
+    a, wa, text, diagonal = a[order], wa[order], text[order], diagonal[order]
+    length = b[finish] + q.width[wb[finish]] - a
+    best = np.lexsort((diagonal, q.item[wa], a, -length, text))  # a text's longest first, of equals the earliest
+    best = best[np.concatenate([[True], np.diff(text[best]) > 0])]
+    for k in best.tolist():
+        d, w = int(text[k]), int(wa[k])
+        rows[d]["longest"] = {"words": int(length[k]), "start": int(a[k] - first[d]), "item": q.names[int(q.item[w])], "item_start": int(q.at[w])}
     return rows
 
 

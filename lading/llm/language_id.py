@@ -45,6 +45,8 @@ SLICE_BYTES = 6 << 20
 BLOCK_SUMS = 100_000
 #: Longer letter runs (scripts without spaces) are scored in parts of this size.
 RUN_LETTERS = 250
+#: Letters of one part of a letter run in the fit.
+FIT_LETTERS = 40
 #: Evidence weight: log-likelihood ratios are scaled to this many letters.
 TEMPER = 40.0
 _FLOOR = 1e-9
@@ -268,9 +270,10 @@ def fit(docs: DataFrame, learn: Column, *, id_col: str = "doc_id", text_col: str
     priors = [float(np.log((sizes[k] + 1) / (whole + len(languages)))) for k in languages]
     share = F.element_at(F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, sample_rows / sizes[k])))]), F.col("lang"))
     drawn = labelled.where(F.pmod("draw", F.lit(1 << 30)) < share * float(1 << 30))
-    # A word longer than 40 letters says little about pieces; its first letters do.
-    words = (drawn.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}]+")).alias("word"))
-             .where("word <> ''").groupBy("lang", F.substring("word", 1, 40).alias("word")).agg(F.count(F.lit(1)).alias("n")))
+    # Letter runs are counted whole, longer ones in successive parts (a run without
+    # spaces may be a sentence); piece boundaries at the cuts are few.
+    runs = F.regexp_extract_all(F.lower("text"), F.lit(rf"[\p{{L}}\p{{M}}]{{1,{FIT_LETTERS}}}"), F.lit(0))
+    words = (drawn.select("lang", F.explode(runs).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     words = words.checkpoint()
     place = {k: i for i, k in enumerate(languages)}
     size = len(_pieces(vocabulary).texts)

@@ -128,7 +128,10 @@ def scan(docs: DataFrame, *, text_col: str = "text", spans_col: str = "secret_sp
     keys = {k1: F.xxhash64(text), k2: F.xxhash64(F.lit(5), text)}
     some = docs.where(has)
     kinds = base_spans(text) | {"part": find(text, _PART, "part"), "endpoint": find(text, _ENDPOINT, "endpoint")}
-    parts = (some.select(keys[k1].alias("k1"), keys[k2].alias("k2"), F.concat(*kinds.values()).alias("spans"))
+    # Spark turns explode into a filter beside the one on the text and evaluates what
+    # repeats in it first: only a condition keeps the searches to the rows that have one.
+    found = F.when(has, F.concat(*kinds.values())).otherwise(F.expr(_NONE))
+    parts = (some.select(keys[k1].alias("k1"), keys[k2].alias("k2"), found.alias("spans"))
              .select("k1", "k2", F.explode("spans").alias("span")).distinct())
     parts = written(parts, "secret-parts")  # read by each side of the joins
     added = (_linked(parts, scope).groupBy("k1", "k2").agg(F.collect_list("span").alias(extra))

@@ -66,3 +66,58 @@ def test_empty_tables(spark, documents):
     none = spark.createDataFrame([], "item_id long, text string")
     assert D.find_contamination(documents([]), none).collect() == []
     assert [r.contaminated for r in D.find_contamination(documents(DOCS[:1]), none).collect()] == [False]
+
+
+def longest_brute(text, items):
+    """Words, start, item and item start of the longest verbatim match that holds a window."""
+    words = WORD.findall(text.translate(LOW))
+    best = None
+    for name, item in items:
+        own = WORD.findall(item.translate(LOW))
+        need = min(len(own), D.WINDOW)
+        for i in range(len(words)):
+            for j in range(len(own)):
+                n = 0
+                while i + n < len(words) and j + n < len(own) and words[i + n] == own[j + n]:
+                    n += 1
+                if need and n >= need and (best is None or (n, -i) > (best[0], -best[1])):
+                    best = (n, i)
+    return best
+
+
+@pytest.mark.parametrize("pairs", [1, 7, 1 << 20])
+def test_repetitive_texts_match_brute_force(spark, monkeypatch, pairs):
+    monkeypatch.setattr(D, "PAIRS", pairs)
+    items = [("same", "go " * 30), ("two", "go up " * 12), ("short", "up go"), ("short", "go go go"), ("", "end " + "go " * 14 + "end")]
+    texts = ["go " * 50, "up go " * 20, "go " * 14 + "stop " + "go " * 17, "end " + "go " * 14 + "end", "up", "GO go GO", "", "x " * 20, "go " * 12 + "end"]
+    q = D.Queries(items)
+    data, offsets = D._concat(texts)
+    rows = D._rows(data, offsets, q)
+    for text, row in zip(texts, rows, strict=True):
+        words = WORD.findall(text.translate(LOW))
+        hit, found = [False] * len(words), set()
+        for name, item in items:
+            own = WORD.findall(item.translate(LOW))
+            width = min(len(own), D.WINDOW)
+            windows = {tuple(own[k: k + width]) for k in range(len(own) - width + 1)}
+            for k in range(len(words) - width + 1):
+                if tuple(words[k: k + width]) in windows:
+                    found.add(name)
+                    hit[k: k + width] = [True] * width
+        got = [False] * len(words)
+        for h in row["hits"]:
+            assert not any(got[max(0, h["start"] - 1): h["end"] + 1])  # maximal runs
+            got[h["start"]: h["end"]] = [True] * (h["end"] - h["start"])
+        assert (got, set(row["items"])) == (hit, found)
+        longest = row["longest"] and (row["longest"]["words"], row["longest"]["start"])
+        assert longest == longest_brute(text, items)
+
+
+def test_a_long_text_of_one_word_is_searched_in_linear_time():
+    import time
+
+    data, offsets = D._concat(["word " * 200_000, "word"])
+    begin = time.perf_counter()
+    rows = D._rows(data, offsets, D.Queries([("i", "word " * 120)]))
+    assert time.perf_counter() - begin < 10
+    assert rows[0]["hits"] == [{"start": 0, "end": 200_000}] and rows[0]["longest"]["words"] == 120 and rows[1]["hits"] == []

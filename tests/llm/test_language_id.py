@@ -68,3 +68,11 @@ def test_held_out_accuracy(spark):
     got = L.identify(docs, L.fit(docs, ~L.held_out())).where(L.held_out() & F.col("lang").isNotNull())
     right, n = got.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int")), F.count(F.lit(1))).first()
     assert n > 20 and right >= 0.98
+
+
+def test_a_long_letter_run_is_learned_to_its_end(spark):
+    rows = [(k, "q" * 40 + ("zebra" if k % 2 else "monkey") * 30, "za" if k % 2 else "mo") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = L.fit(docs, F.lit(True))
+    asked = spark.createDataFrame([(1, "zebra zebra"), (2, "monkey monkey")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["lang_pred"]) for r in L.identify(asked, model).collect()) == [(1, "za"), (2, "mo")]

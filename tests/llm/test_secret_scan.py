@@ -79,3 +79,9 @@ def test_running_sums(spark):
     for n in (0, 1, 2, 3, 10, 101):
         got = spark.range(1).select(S.running(F.sequence(F.lit(1), F.lit(max(n, 1)))).alias("s")).first()[0]
         assert got == [k * (k + 1) // 2 for k in range(max(n, 1))]
+
+
+def test_searches_run_only_where_an_access_id_is(spark):
+    docs = spark.createDataFrame([(1, "x" * 30), (2, "AKIA" + "A" * 16)], "doc_id long, text string")
+    found = {r["doc_id"]: r["secret_spans"] for r in S.scan(docs).collect()}
+    assert found[1] == [] and [s["kind"] for s in found[2]] == ["access"]
