@@ -2,14 +2,20 @@
 
 1. Every text becomes the sorted array of its distinct n-gram hashes (64 bit).
    Documents with equal sets are one class from here on.
-2. Classes that share a MinHash band fall into one cluster.  With ``ROWS`` rows a
+2. Classes that share a MinHash band meet in its bucket.  With ``ROWS`` rows a
    band there are as many bands as a pair at the threshold needs to share one
-   but for a chance of ``MISS`` (less above it); clusters only say where to
-   compare.
+   but for a chance of ``MISS`` (less above it).  There they compare bitmap
+   signatures, one bit of each minimum: bits agree with chance (1 + J) / 2, and a
+   pair whose agreeing bits a linked pair would fall short of with a chance of
+   ``MISS`` at most (Chernoff's bound) is let go.  So pages of one template, which
+   share bands by chance, are not chained to each other.  Pairs that remain
+   connect clusters; clusters only say where to compare.  Buckets of more than
+   ``BUCKET_TILE`` classes are dealt to pairs of tiles.
 3. A cluster is cut into tiles by set size: two sets can only link if the
    smaller has the threshold's share of the larger's elements, so a tile meets tiles of
-   its own and of the next size band.  A large band is split into tiles of
-   ``TILE`` classes; every pair of tiles is a task group of its own.
+   its own and of the next size band.  A size band is split into tiles of at most
+   ``TILE`` classes and about ``TILE_BYTES`` of sets; every pair of tiles is a task
+   group of its own.
 4. In a pair of tiles, hashed parity bitmaps are compared first: elements in
    one set only flip bits, so the Hamming distance is at most the symmetric
    difference and bounds the overlap from above.  Pairs that pass are
@@ -43,7 +49,9 @@ N = 5
 PERCENT = 80
 #: MinHash rows a band, and the chance that a pair at the threshold shares no band.
 ROWS, MISS = 6, 1e-9
-TILE = 128
+TILE = 512
+TILE_BYTES = 16 << 20
+BUCKET_TILE = 4096
 #: Parity bitmaps have as many bits as the largest set of a tile pair, within these.
 BITS = (256, 1 << 16)
 
@@ -82,8 +90,9 @@ def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 31, count, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, count, dtype=np.uint32)
 
 
-def band_keys(values: np.ndarray, rows: int, bands: int, functions: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """MinHash band keys of a set (one 64-bit key a band)."""
+def band_keys(values: np.ndarray, rows: int, bands: int, functions: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, bytes]:
+    """MinHash band keys of a set (one 64-bit key a band) and its signature (one
+    bit a minimum, in whole 64-bit words)."""
     mult, add = functions
     low = np.full(len(mult), 0xFFFFFFFF, np.uint32)
     short = (values >> _U(32)).astype(np.uint32)
@@ -92,32 +101,143 @@ def band_keys(values: np.ndarray, rows: int, bands: int, functions: tuple[np.nda
     key = np.arange(bands).astype(_U) * _U(0xA24BAED4963EE407)
     for k in range(rows):
         key = B.mix64(key + low.reshape(bands, rows)[:, k].astype(_U))
-    return key
+    bits = np.zeros(-(-len(low) // 64) * 64, bool)
+    bits[: len(low)] = low * np.uint32(0x9E3779B1) >> np.uint32(31)
+    return key, np.packbits(bits).tobytes()
+
+
+def most_apart(count: int, percent: int, miss: float) -> int:
+    """Signature bits out of ``count`` that may differ in a pair at the
+    threshold, but for a chance of at most ``miss``."""
+    p = (1 + percent / 100) / 2
+
+    def bound(agree: int) -> float:  # chance that no more bits than these agree
+        q = agree / count
+        return math.exp(-count * ((q * math.log(q / p) if q else 0.0) + (1 - q) * math.log((1 - q) / (1 - p))))
+
+    least = 0
+    while least + 1 < p * count and bound(least) <= miss:
+        least += 1
+    return count - least
 
 
 def set_tables(docs: DataFrame, id_col: str, text_col: str, n: int, rows: int, bands: int) -> DataFrame:
-    """Per row: id, n_shingles, a 128-bit key of the set, band keys."""
+    """Per row: id, n_shingles, a 128-bit key of the set, band keys, signature."""
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         functions = _functions(rows * bands)
         for b in batches:
             for i, j, data, offsets in B.byte_slices(b.column(1)):
-                size, one, two, keys = [], [], [], []
+                size, one, two, keys, signs = [], [], [], [], []
                 for v in ngram_sets(data, offsets, n):
                     size.append(len(v))
                     one.append(int(B.mix64(v).sum(dtype=_U)))
                     two.append(int(B.mix64(v ^ _U(0x5851F42D4C957F2D)).sum(dtype=_U)))
-                    keys.append(band_keys(v, rows, bands, functions).view(np.int64) if len(v) else np.zeros(0, np.int64))
+                    key, sign = band_keys(v, rows, bands, functions) if len(v) else (np.zeros(0, _U), b"")
+                    keys.append(key.view(np.int64))
+                    signs.append(sign)
                 B.release(len(data))
                 ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
                 yield pa.RecordBatch.from_arrays([
                     b.column(0).slice(i, j - i), pa.array(size, pa.int64()),
                     pa.array(np.array(one, _U).view(np.int64)), pa.array(np.array(two, _U).view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys)))],
-                    names=["id", "n", "k1", "k2", "bands"])
-
-    return source.mapInArrow(describe, "id long, n long, k1 long, k2 long, bands array<long>")
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys))),
+                    pa.array(signs, pa.binary())],
+                    names=["id", "n", "k1", "k2", "bands", "sign"])
+
+    return source.mapInArrow(describe, "id long, n long, k1 long, k2 long, bands array<long>, sign binary")
+
+
+# --- buckets -----------------------------------------------------------------
+
+def bucket_links(ends: np.ndarray, side: np.ndarray, size: np.ndarray, signs: np.ndarray, percent: int, apart: int) -> np.ndarray:
+    """Rows lie bucket by bucket; ``ends`` is the end of each row's bucket,
+    ``side`` -1 in a bucket that is one tile.  Joins rows whose signatures are
+    near; pairs already joined are not compared.  Returns a label per row: the
+    first row it is joined with."""
+    label = np.arange(len(ends))
+    rows, step = label.copy(), 0
+    while True:
+        step += 1
+        rows = rows[rows + step < ends[rows]]
+        if len(rows) == 0:
+            return label
+        i = rows[(label[rows] != label[rows + step]) & ((side[rows] < 0) | (side[rows] != side[rows + step]))]
+        j = i + step
+        less, more = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+        fits = 100 * less >= percent * more
+        i, j = i[fits], j[fits]
+        near = np.bitwise_count(signs[i] ^ signs[j]).sum(axis=1, dtype=np.int64) <= apart
+        if near.any():
+            root: dict[int, int] = {}
+
+            def top(x: int) -> int:
+                while x in root:
+                    x = root[x]
+                return x
+
+            for a, b in zip(label[i[near]].tolist(), label[j[near]].tolist(), strict=True):
+                a, b = top(a), top(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+            to = np.arange(len(label))
+            for x in root:
+                to[x] = top(x)
+            label = to[label]
+
+
+def _walk_buckets(batches: Iterator[pa.RecordBatch], percent: int, apart: int) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by (key, lt, rt).  The last bucket of a batch waits for the
+    next one; a bucket has at most two tiles of rows."""
+    carry: pa.Table | None = None
+
+    def joined(t: pa.Table) -> pa.RecordBatch:
+        rep, size, signs = t["rep"].to_numpy(), t["n"].to_numpy(), np.frombuffer(b"".join(t["sign"].to_pylist()), _U).reshape(len(t), -1)
+        place = np.stack([t[c].to_numpy() for c in ("key", "lt", "rt")])
+        cuts = np.flatnonzero(np.append((place[:, 1:] != place[:, :-1]).any(axis=0), True)) + 1
+        ends = np.repeat(cuts, np.diff(cuts, prepend=0))
+        label = bucket_links(ends, t["side"].to_numpy(), size, signs, percent, apart)
+        least = np.full(len(rep), np.iinfo(np.int64).max)
+        np.minimum.at(least, label, rep)
+        a, b = rep, least[label]
+        pairs = np.unique(np.stack([a, b])[:, a != b], axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        if carry is not None:
+            t = pa.concat_tables([carry, t])
+        if len(t) == 0:
+            continue
+        last = len(t) - 1
+        whole = np.ones(len(t), bool)
+        for c in ("key", "lt", "rt"):
+            v = t[c].to_numpy()
+            whole &= v == v[last]
+        start = last + 1 - int(np.argmin(whole[::-1])) if not whole.all() else 0
+        carry = t.slice(start).combine_chunks()
+        if start:
+            yield joined(t.slice(0, start))
+    if carry is not None and len(carry):
+        yield joined(carry)
+
+
+def _near_in_buckets(classes: DataFrame, percent: int, apart: int, tile: int) -> DataFrame:
+    """Pairs (a, b) that connect classes near by signature within a bucket."""
+    rows = classes.select("rep", F.explode("bands").alias("key"))
+    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    mine = rows.join(shared, "key").select("rep", "key", F.ceil(F.col("m") / tile).cast("long").alias("tiles"))
+    own = F.pmod(F.xxhash64("rep"), F.col("tiles"))
+    meets = F.when(F.col("tiles") == 1, F.array(F.struct(own.alias("lt"), own.alias("rt"), F.lit(-1).alias("side")))).otherwise(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1), lambda t: F.struct(
+            F.least(own, t).alias("lt"), F.greatest(own, t).alias("rt"),
+            F.when(own == t, -1).otherwise((own > t).cast("int")).alias("side"))))
+    dealt = (mine.join(classes.select("rep", "n", "sign"), "rep")
+             .select("rep", "key", "n", "sign", F.explode(meets).alias("meet")).select("rep", "key", "n", "sign", "meet.*"))
+    # Rows of a tile that meets itself say -1; of two tiles, 0 and 1.
+    return (dealt.repartition("key", "lt", "rt").sortWithinPartitions("key", "lt", "rt")
+            .mapInArrow(lambda batches: _walk_buckets(batches, percent, apart), "a long, b long").distinct())
 
 
 # --- tiles -------------------------------------------------------------------
@@ -128,9 +248,10 @@ def _tile_keys(members: DataFrame, percent: int, tile: int) -> DataFrame:
     tile, side)."""
     width = math.log(1 / (percent / 100 - 0.001))  # a little wide: rounding never parts a pair
     rows = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / width))
-    sizes = rows.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m"))
-    whole = sizes.groupBy("cluster").agg(F.sum("m").alias("all"), F.map_from_entries(F.collect_list(F.struct(
-        "band", F.ceil(F.col("m") / tile).cast("long").alias("tiles")))).alias("tiles"))
+    sizes = rows.groupBy("cluster", "band").agg(F.count(F.lit(1)).alias("m"), (F.sum("n") * 8).alias("bytes"))
+    need = F.ceil(F.greatest(F.col("m") / tile, F.col("bytes") / TILE_BYTES)).cast("long")
+    whole = sizes.groupBy("cluster").agg(F.sum("m").alias("all"), F.sum("bytes").alias("bytes"), F.map_from_entries(F.collect_list(F.struct(
+        "band", need.alias("tiles")))).alias("tiles"))
     rows = rows.join(whole, "cluster")
 
     def tiles(band: Column) -> Column:
@@ -146,7 +267,7 @@ def _tile_keys(members: DataFrame, percent: int, tile: int) -> DataFrame:
         return F.when(count > 0, F.sequence(F.lit(0).cast("long"), count - 1)).otherwise(F.expr("cast(array() as array<bigint>)"))
 
     zero = F.lit(0).cast("long")
-    keys = F.when(F.col("all") <= tile, F.array(pairs(zero, zero, zero, zero, F.lit(0)))).otherwise(F.concat(
+    keys = F.when((F.col("all") <= tile) & (F.col("bytes") <= TILE_BYTES), F.array(pairs(zero, zero, zero, zero, F.lit(0)))).otherwise(F.concat(
         F.transform(upto(tiles(band)), lambda t: pairs(band, F.least(own, t), band, F.greatest(own, t), (own > t).cast("int"))),
         F.transform(upto(tiles(band + 1)), lambda t: pairs(band, own, band + 1, t, F.lit(0))),
         F.transform(upto(tiles(band - 1)), lambda t: pairs(band - 1, t, band, own, F.lit(1)))))
@@ -216,7 +337,7 @@ def _link_tiles(table: pa.Table, percent: int) -> pa.Table:
 # --- the join ----------------------------------------------------------------
 
 def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
-               rows: int = ROWS, miss: float = MISS, tile: int = TILE) -> DataFrame:
+               rows: int = ROWS, miss: float = MISS, tile: int = TILE, bucket_tile: int = BUCKET_TILE) -> DataFrame:
     """One row per input row: the id, n_shingles, n_links (other rows linked
     directly), component_id (smallest id reachable by links, itself
     included)."""
@@ -226,12 +347,9 @@ def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     sets = written(set_tables(docs, id_col, text_col, n, rows, bands), "ngram-sets")
     linked = sets.where("id is not null and n > 0")
     classes = written(linked.groupBy("k1", "k2").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("n").alias("n"), F.first("bands").alias("bands")), "ngram-classes")
-
-    # clusters of classes that share a band
-    band_rows = classes.select("rep", F.explode("bands").alias("key"))
-    shared = band_rows.groupBy("key").agg(F.min("rep").alias("b"), F.max("rep").alias("top")).where("top > b").select("key", "b")
-    clusters = written(components(band_rows.join(shared, "key").where("rep <> b").select(F.col("rep").alias("a"), "b").distinct()), "ngram-clusters")
+        F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sign").alias("sign")), "ngram-classes")
+    apart = most_apart(rows * bands, percent, miss)
+    clusters = written(components(_near_in_buckets(classes, percent, apart, bucket_tile)), "ngram-clusters")
     members = clusters.join(classes.select("rep", "weight", "n"), clusters["node"] == classes["rep"]).select("rep", F.col("component").alias("cluster"), "weight", "n")
     keyed = written(_tile_keys(members, percent, tile), "ngram-tiles")
 
