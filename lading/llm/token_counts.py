@@ -4,8 +4,16 @@ Encoding runs in an Arrow function that returns lengths only.  Each Arrow
 batch is cut into slices of about equal bytes (not rows), so one slice of long
 texts costs what one slice of short texts does.  Texts are split at white
 space, which the vocabulary's pre-tokenizer never crosses, so the sum over the
-parts is the count of the whole text and a long text never reaches the encoder
-in one piece.  Equal parts within a slice are encoded once.
+parts is the count of the whole text.  Equal parts within a slice are encoded
+once, and each call of the encoder gets a bounded number of characters.
+
+A part of more than ``LONG_CHARS`` characters (text without white space) is cut
+further, at places that change no token: where the pre-tokenizer ends a word
+(between letters, digits and other signs), and inside a run of letters between
+two bytes that no merge of the vocabulary joins; pieces that end there are
+encoded without the mark of a word's end.  Characters that normalisation may
+join or rewrite are never beside a cut.  A run of letters in which every pair of
+neighbours occurs in a merge goes to the encoder whole.
 
 Nulls and empty texts count 0 tokens and 0 bytes.  Extra input columns are
 ignored; repeated rows give repeated results; an empty table gives no rows.
@@ -13,6 +21,7 @@ ignored; repeated rows give repeated results; an empty table gives no rows.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,8 +36,13 @@ SLICE_BYTES = 16 << 20
 MEMO_ENTRIES = 400_000
 #: Longer parts are not kept in the memo.
 MEMO_CHARS = 40
-#: Parts given to the encoder in one call.
+#: Parts, and their characters, given to the encoder in one call.
 ENCODE_PARTS = 20_000
+ENCODE_CHARS = 1 << 19
+#: Longer parts are cut further.
+LONG_CHARS = 1 << 15
+#: The pre-tokenizer whose word ends are known here (fixed value).
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 _TOKENIZERS: dict[str, object] = {}
 _MEMO: dict[str, dict[str, int]] = {}
@@ -52,6 +66,107 @@ def _tokenizer(vocabulary: str):
     return _TOKENIZERS[vocabulary]
 
 
+class Cuts:
+    """Places where a long text without white space can be cut."""
+
+    def __init__(self, vocabulary: str):
+        import json
+
+        from tokenizers import Tokenizer
+
+        with open(vocabulary_path(vocabulary), encoding="utf-8") as f:
+            spec = json.load(f)
+        steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
+        model = spec["model"]
+        self.known = steps[0].get("pattern") == {"Regex": WORDS} and model["type"] == "BPE"
+        if not self.known:
+            return
+        suffix = model["end_of_word_suffix"] or ""
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.joined = {(a[-1], b.removesuffix(suffix)[0]) for a, b in pairs}
+        self.tokenizer = Tokenizer.from_str(json.dumps({**spec, "model": {**model, "end_of_word_suffix": None}}))
+        # The vocabulary writes a byte as itself if printable, else from U+0100 on.
+        shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [b for b in range(256) if b not in shown]
+        self.sign = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+        # Second characters of canonical compositions.
+        forms = (unicodedata.decomposition(chr(c)).split() for c in range(0x110000))
+        self.seconds = {chr(int(f[1], 16)) for f in forms if len(f) == 2 and f[0][0] != "<"}
+        self.seconds.update(map(chr, range(0x1160, 0x1200)))  # vowels and finals of Hangul
+        self._kinds: dict[str, str] = {}
+
+    def kind(self, c: str) -> str:
+        """L, N or S (other signs); empty for what normalisation may change or
+        Unicode versions see differently."""
+        got = self._kinds.get(c)
+        if got is None:
+            low, cat = c.lower(), unicodedata.category(c)
+            plain = (cat == unicodedata.ucd_3_2_0.category(c) and cat[0] in "LNPS" and len(low) == 1
+                     and unicodedata.category(low)[0] == cat[0] and not unicodedata.combining(c)
+                     and c not in self.seconds and low not in self.seconds
+                     and unicodedata.normalize("NFC", c) == c and unicodedata.normalize("NFC", low) == low)
+            got = self._kinds[c] = ("" if not plain else cat[0] if cat[0] in "LN" else "S")
+        return got
+
+    def word_end(self, a: str, b: str) -> bool:
+        """Whether a word ends between these two characters."""
+        if a in "'|" or b == "|":  # contractions; special strings
+            return False
+        ka, kb = self.kind(a), self.kind(b)
+        return bool(ka and kb) and (ka != kb or ka == "N")
+
+    def apart(self, a: str, b: str) -> bool:
+        """Whether these neighbouring letters never meet in a token."""
+        return (self.kind(a) == self.kind(b) == "L"
+                and (self.sign[a.lower().encode()[-1]], self.sign[b.lower().encode()[0]]) not in self.joined)
+
+    def pieces(self, text: str) -> Iterator[tuple[str, bool]]:
+        """The text in pieces, and whether a piece ends at the end of a word."""
+        at, reach = 0, LONG_CHARS
+        while len(text) - at > reach:
+            for k in range(at + reach, at + reach - LONG_CHARS, -1):
+                if self.word_end(text[k - 1], text[k]):
+                    yield text[at:k], True
+                    at, reach = k, LONG_CHARS
+                    break
+            else:
+                inner = text[at: at + reach]
+                k = 0
+                if all(self.kind(c) == "L" for c in set(inner)):
+                    k = next((k for k in range(at + reach, at + reach - LONG_CHARS, -1) if self.apart(text[k - 1], text[k])), 0)
+                if k:
+                    yield text[at:k], False
+                    at, reach = k, LONG_CHARS
+                else:
+                    reach += LONG_CHARS
+        yield text[at:], True
+
+
+_CUTS: dict[str, Cuts] = {}
+
+
+def _count_long(part: str, vocabulary: str) -> int:
+    if vocabulary not in _CUTS:
+        _CUTS[vocabulary] = Cuts(vocabulary)
+    cuts, tok = _CUTS[vocabulary], _tokenizer(vocabulary)
+    if not cuts.known:
+        return len(tok.encode(part, add_special_tokens=False))
+    return sum(len((tok if whole else cuts.tokenizer).encode(p, add_special_tokens=False)) for p, whole in cuts.pieces(part))
+
+
+def _calls(parts: list[str], some: list[int]) -> Iterator[list[int]]:
+    """The parts numbered ``some`` in calls of bounded size."""
+    call, chars = [], 0
+    for i in some:
+        if call and (len(call) == ENCODE_PARTS or chars + len(parts[i]) > ENCODE_CHARS):
+            yield call
+            call, chars = [], 0
+        call.append(i)
+        chars += len(parts[i])
+    if call:
+        yield call
+
+
 def _count_parts(parts: list[str], vocabulary: str) -> list[int]:
     """Tokens of each part, through the worker's memo."""
     memo = _MEMO.setdefault(vocabulary, {})
@@ -60,8 +175,10 @@ def _count_parts(parts: list[str], vocabulary: str) -> list[int]:
     if not missing:
         return counts
     tok = _tokenizer(vocabulary)
-    for k in range(0, len(missing), ENCODE_PARTS):
-        some = missing[k: k + ENCODE_PARTS]
+    for i in missing:
+        if len(parts[i]) > LONG_CHARS:
+            counts[i] = _count_long(parts[i], vocabulary)
+    for some in _calls(parts, [i for i in missing if counts[i] < 0]):
         for i, enc in zip(some, tok.encode_batch_fast([parts[i] for i in some], add_special_tokens=False), strict=True):
             counts[i] = len(enc)
     if len(memo) + len(missing) > MEMO_ENTRIES:
