@@ -27,6 +27,17 @@ CASES = {
     "a <svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><g><text x=1>North</text><text>South</text></g></svg> b": "a North South b",
     "<svg><defs/><title/><path d='M0 0'/><text>L</text><g display=none><g></g><text>no</text></g></svg><p>after": "L\n\nafter",
     "<svg><foreignObject><div>in</div></foreignObject></svg><svg/>out": "in\nout",
+    "<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e</table>": "a  b  c\n   d  e",
+    "<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d<td>e</table>": "a  b\n   c\n   d  e",
+    "<table><tr><td colspan=2>wide<td>x<tr><td>1<td>2<td>3</table>": "wide     x\n1     2  3",
+    "<table><tr><td colspan=2 rowspan=2>a<td>b<tr><td>c<tr><td>d<td>e<td>f</table>": "a     b\n      c\nd  e  f",
+    "<div style='visibility:hidden'>no<span style='visibility:visible'>yes</span>no<p>no</div>on": "yes\n\non",
+    "<pre style='visibility:hidden'>no<b style='visibility:visible'>yes</b></pre>": "yes",
+    "<table style='visibility:hidden'><tr><td>no<tr style='visibility:visible'><td>yes</table>": "yes",
+    "<ul style='visibility:collapse'><li>no<li style='visibility:visible'>yes</ul>": "- yes",
+    "<details>no<summary>title</summary><p>no</details><details open><summary>t</summary>body</details>": "title\nt\nbody",
+    "<dialog>no<p>no</dialog><dialog open>yes</dialog>": "yes",
+    "<div>" * 210 + "<div hidden>no</div><ul><li>a<li>b</ul><table><td>1<td>2</table>": "- a\n- b\n\n1  2",
     "": "",
 }
 
@@ -40,7 +51,12 @@ def test_hard_pages_stay_fast_and_whole():
     began = time.process_time()
     deep = page_text("<div>" * 50_000 + "deep" + "</div>" * 50_000 + "tail")
     assert deep.split() == ["deep", "tail"]
+    hidden = page_text("<div>" * 30_000 + "<p hidden>no</p><b style='display:none'>no</b>yes" + "<blockquote>" * 3_000 + "end")
+    assert hidden.split() == ["yes", "end"]
     assert page_text("<table><tr><td>x" * 2_000).count("x") == 2_000
+    assert page_text("<table>" + "<tr><td colspan=1000 rowspan=60000>x" * 3_000).count("x") == 3_000
+    wide = page_text("<table>" + "<tr><td>a<td>b" * 2_000 + "<tr><td>" + "w" * 100_000 + "<td>c</table>")
+    assert len(wide) < 1_000_000 and wide.endswith("w  c")
     assert page_text("<span hidden>a</span>b" * 20_000).replace("\n", "").replace(" ", "") == "b" * 20_000
     for page in ("<!--" * 100_000, '<a "' * 100_000, "<td>x" * 50_000, "</p>" * 100_000):
         page_text(page)
