@@ -3,10 +3,12 @@
 Tokens are lower-cased letter runs.  A token's score is the log-odds of its
 strongest unit (the word itself or one of its first ``PREFIXES`` letters)
 between toxic and clean documents, with a Dirichlet prior in proportion to the
-unit's share of all documents (Monroe, Colaresi, Quinn 2008); units whose
-log-odds are fewer than ``LEAST_Z`` standard errors from zero, and all unknown
-tokens, score ``-DRIFT``.  Units are hashed into ``1 << BITS`` places, so the
-score table has a fixed size whatever the vocabulary.
+unit's share of all documents (Monroe, Colaresi, Quinn 2008), less ``DRIFT``:
+units only slightly commoner in toxic documents, of which a large sample has
+thousands, count against a passage like unknown tokens, which score ``-DRIFT``.
+So do units whose likelihood ratio (Dunning 1993) chance alone would reach in
+one of all places (at least ``LEAST_Z`` standard errors).  Units are hashed into
+``1 << BITS`` places, so the score table has a fixed size whatever the vocabulary.
 
 A text's tokens are scanned once, and all maximal scoring segments are found in
 linear time (Ruzzo, Tompa 1999).  A segment's score S in a text of n tokens is
@@ -242,12 +244,21 @@ def _learned(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str, tex
 
 
 def _log_odds(counts: DataFrame, n_clean: int, n_toxic: int, prior: float, least_z: float) -> DataFrame:
-    """Places whose log-odds are far enough from zero, from the documents of
-    each class that hold them: place, delta."""
-    alpha = (F.col("clean") + F.col("toxic")) * (prior / (n_clean + n_toxic))
+    """Places that the classes hold unlike each other, with their log-odds, from
+    the documents of each class that hold them: place, delta.  Of as many places
+    as there are, chance takes about one beyond the root of 2 ln(places)."""
+    both = n_clean + n_toxic
+    total = F.col("clean") + F.col("toxic")
+    alpha = total * (prior / both)
     odds = [F.log((F.col(c) + alpha) / F.greatest(n + prior - F.col(c) - alpha, alpha)) for c, n in (("toxic", n_toxic), ("clean", n_clean))]
-    spread = F.sqrt(1 / (F.col("toxic") + alpha) + 1 / (F.col("clean") + alpha))
-    return counts.select("place", (odds[0] - odds[1]).alias("delta"), spread.alias("spread")).where(F.abs("delta") >= least_z * F.col("spread")).select("place", "delta")
+
+    def term(seen: Column, expected: Column) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+
+    ratio = 2 * sum(term(seen, row * (n / both)) for c, n in (("clean", n_clean), ("toxic", n_toxic))
+                    for seen, row in ((F.col(c), total), (n - F.col(c), both - total)))
+    least = max(least_z**2, 2 * math.log(1 << BITS))
+    return counts.select("place", (odds[0] - odds[1]).alias("delta"), ratio.alias("ratio")).where(F.col("ratio") >= least).select("place", "delta")
 
 
 def _scale(values: np.ndarray, weights: np.ndarray) -> float:
@@ -303,7 +314,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, *, id_col: str = "doc
     counts = (rows.mapInArrow(_count_units, "place long, clean long, toxic long")
               .groupBy("place").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")))
     scored = _log_odds(counts, found[0], found[1], prior, least_z).toPandas()
-    table[scored["place"].to_numpy()] = scored["delta"].to_numpy()
+    table[scored["place"].to_numpy()] = scored["delta"].to_numpy() - drift
     model = Model(table, rate, drift)
 
     # Token scores of clean rows, and each row's tokens and best segment.

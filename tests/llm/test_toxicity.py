@@ -61,6 +61,19 @@ def test_learns_and_finds_the_passage(spark):
             assert sum(w in BAD for w in words) == 4 and len(words) <= 6
 
 
+def test_words_a_little_commoner_in_toxic_texts_are_no_evidence(spark):
+    rng = random.Random(8)
+    docs, labels = [], []
+    for i in range(2000):
+        bad = i % 4 == 0
+        text = [w for w, share in (("topic", 0.4 + 0.2 * bad), ("other", 0.5), (BAD[0], 0.9 * bad)) if rng.random() < share]
+        docs.append((i, " ".join(text), "x", "x", "x"))
+        labels.append((i, int(bad)))
+    model = T.fit(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    score = model.token_scores(T.Tokens(np.frombuffer(b"topic other zounds", np.uint8), np.array([0, 18])))
+    assert score[0] < 0 and score[1] == -model.drift and score[2] > 3
+
+
 @pytest.mark.parametrize("rows", [[], [(1, 1), (2, 1)], [(1, None)], [(1, 0), (1, 1)]])
 def test_few_labels(spark, rows):
     table = spark.createDataFrame([(1, "a b c", "x", "x", "x"), (2, "", "x", "x", "x"), (3, None, "x", "x", "x")], DOCS)
