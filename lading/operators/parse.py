@@ -46,6 +46,11 @@ _ONE_FIELD = r',("[^"]*+(?:""[^"]*+)*+(?:"[^,]*+|\z)|[^,]*+)'
 _QUOTED_VALUE = r'(?s)\A"((?:[^"]|"")*+)"?(.*)\z'
 
 
+#: Keys over which the records of one file are spread where the plan is joined
+#: by key: one file may hold most of the records.
+SALTS = 64
+
+
 def field_count(line) -> Column:
     """Number of CSV fields in one record."""
     ln = F.col(line) if isinstance(line, str) else line
@@ -127,8 +132,8 @@ def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_widt
     for its provider) is NULL; a present but empty cell is ``''``.
     ``max_width`` is the widest header among the plan's files; it only sizes
     the parse schema.  The plan has one row per file; its join is left to the
-    optimizer, which knows its size, unless the caller has checked it and asks
-    to ``broadcast_plan``.  ``bounded``: the plan also names the entry's ``crc``
+    optimizer, with each file's records spread over ``SALTS`` keys, unless the
+    caller knows the plan's size and asks to ``broadcast_plan``.  ``bounded``: the plan also names the entry's ``crc``
     and the lines to take (after ``offset``, up to ``upto``), so that one join
     selects and parses.
 
@@ -142,7 +147,14 @@ def parse_lines(lines: DataFrame, plan: DataFrame, table: LogicalTable, max_widt
     plan_cols = [*keys, "width"] + [idx_col(c) for c in table.column_names]
     src = lines if "bad_utf8" in lines.columns else lines.withColumn("bad_utf8", F.lit(False))
     p = plan.where(F.col("n_matched") > 0).select(*plan_cols, *([F.col("offset").alias("_from"), "upto"] if bounded else []))
-    rows = src.where(F.col("line_no") > 0).join(F.broadcast(p) if broadcast_plan else p, keys, "inner")
+    src = src.where(F.col("line_no") > 0)
+    if broadcast_plan:
+        p = F.broadcast(p)
+    else:
+        src = src.withColumn("_salt", F.pmod("line_no", F.lit(SALTS)).cast("int"))
+        p = p.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        keys = [*keys, "_salt"]
+    rows = src.join(p, keys, "inner")
     if bounded:
         rows = rows.where((F.col("line_no") > F.col("_from")) & (F.col("line_no") <= F.col("upto")))
     idx = [idx_col(c) for c in table.column_names]

@@ -300,7 +300,7 @@ def csv_quote_rules(spark, sf_dir):
                      F.concat_ws(",", _s("o_orderkey"), a, _s("o_custkey")).alias("line"))
     plan = build_plan(_headers(spark, [("tpch", "q.txt", "q", ["k", "a", "b"])]),
                       declared_columns(registry_df(spark, QUOTE_T)), QUOTE_T.tables["q"])
-    out = drop_malformed(parse_lines(lines, plan, QUOTE_T.tables["q"], 3))
+    out = drop_malformed(parse_lines(lines, plan, QUOTE_T.tables["q"], 3, broadcast_plan=True))  # one file
     return out.select(F.col("k").cast("bigint").alias("o_orderkey"), "a", F.col("b").cast("bigint").alias("o_custkey"))
 
 
@@ -319,7 +319,7 @@ def csv_empty_is_string(spark, sf_dir):
     headers = _headers(spark, [("tpch", "customer.txt", "customer",
                                 ["c_custkey", "c_name", "c_mktsegment", "c_nationkey"])])
     plan = build_plan(headers, declared_columns(registry_df(spark, CUSTOMER_REG)), CUSTOMER_T)
-    parsed = drop_malformed(parse_lines(lines, plan, CUSTOMER_T, 4))
+    parsed = drop_malformed(parse_lines(lines, plan, CUSTOMER_T, 4, broadcast_plan=True))  # one file
     return type_columns(parsed, CUSTOMER_T).select("c_custkey", "c_mktsegment")
 
 

@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from lading.functions.json_rows import json_rows
 from lading.operators.parse import build_plan, declared_columns, parse_lines
 from lading.operators.upsert import last_wins, upsert
-from lading.registry import DEFAULT, registry_df
+from lading.registry import DEFAULT, build_registry, registry_df
 
 
 def executed(df) -> str:
@@ -28,6 +29,34 @@ def test_parse_runs_from_csv_once_with_broadcast_plan(spark):
     assert "BroadcastHashJoin" in p and "BroadcastNestedLoopJoin" not in p
 
 
+def test_records_of_one_file_are_joined_in_many_tasks(spark):
+    lines = spark.range(1, 5000).select(F.lit("p").alias("provider"), F.lit("f").alias("file"), F.col("id").alias("line_no"),
+                                        F.concat(F.col("id").cast("string"), F.lit(",x")).alias("line"))
+    reg = build_registry("t: a integer, b text | a", "[p]\nt: a b")
+    headers = spark.createDataFrame([("p", "f", "t", ["a", "b"])], "provider string, file string, table string, header array<string>")
+    plan = build_plan(headers, declared_columns(registry_df(spark, reg)), reg.tables["t"])
+    own = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k) for k in own}
+    try:
+        for k, v in own.items():
+            spark.conf.set(k, v)
+        got = parse_lines(lines, plan, reg.tables["t"], 2)
+        sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 4999 and len(sizes) > 1 and max(sizes) < 2500
+
+
+def test_json_objects_are_parsed_once_for_all_fields(spark):
+    df = spark.createDataFrame([(1, '[{"a": "1", "b": "x"}, {"b": null, "a": 2}, {}]'), (2, "[]"), (3, "[oops"), (4, None)], "n int, payload string")
+    out = json_rows(df, "payload", {"a": "bigint", "b": "string"})
+    assert out.dtypes == [("n", "int"), ("a", "bigint"), ("b", "string")]
+    assert sorted(map(tuple, out.collect()), key=str) == [(1, 1, "x"), (1, 2, None), (1, None, None)]
+    p = executed(out)
+    assert "get_json_object" not in p and p.count("Generate json_tuple") == 1
+
+
 def test_reduce_aggregates_before_the_shuffle(spark):
     df = spark.range(0, 5000).select((F.col("id") % 7).alias("k"), F.col("id").alias("line_no"), F.lit("x").alias("v"))
     p = executed(last_wins(df, ["k"], ["line_no"]))
