@@ -16,7 +16,8 @@ stage as Parquet into the shared folder and rereads it.
 5. packing: assigns all that is left to sequences of several lengths, measured
    in tokens of a public vocabulary.
 
-Null texts have no language and go in stage 1.  An empty table gives an empty
+Stages whose texts pass Python workers bound what a worker gets at once, in
+the session's settings.  Null texts have no language and go in stage 1.  An empty table gives an empty
 result.
 """
 
@@ -32,11 +33,13 @@ from lading.llm.language_id import UND, fit, identify
 from lading.llm.ngram_join import ngram_join
 from lading.llm.packing import pack_by_tokens
 from lading.llm.secret_scan import redact, scan
+from lading.session import bound_batches
 
 LEAST_SCORE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     pred, score = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     found = identify(docs, fit(docs, F.lit(True)), pred_col=pred, score_col=score)
     kept = found.where((F.col(pred) != UND) & (F.col(score) >= LEAST_SCORE))
@@ -44,6 +47,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     key, place, text_key = (fresh(docs, c) for c in ("row_key", "place", "text_key"))
     # Nulls are told apart from what hashes alike.
     keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
@@ -54,6 +58,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -65,6 +70,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return pack_by_tokens(docs)
 
 

@@ -56,6 +56,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by ``BATCH_BYTES``.  Ten thousand whole texts in one
+    batch take much of an executor's memory outside the heap: in the JVM, in
+    the worker, and on the way back."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -75,3 +75,17 @@ def test_empty_table(spark):
     for _, stage in P.STAGES:
         docs = stage(spark, docs, SF_SMALL)
     assert docs.collect() == []
+
+
+def test_stages_bound_what_a_python_worker_gets_at_once(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    docs = make(spark, [(i, prose(i, 20)) for i in range(20)])
+    old = spark.conf.get(key)
+    try:
+        for name, stage in P.STAGES:
+            if name != "secrets":  # no Python worker
+                spark.conf.set(key, str(64 << 20))
+                stage(spark, docs, SF_SMALL)
+                assert int(spark.conf.get(key)) <= 4 << 20, name
+    finally:
+        spark.conf.set(key, old)
