@@ -30,6 +30,7 @@ from lading.llm.columns import fresh
 from lading.llm.decontaminate import decontaminate
 from lading.llm.graph import written
 from lading.llm.language_id import UND, fit, identify
+from lading.llm.narrow import may_match
 from lading.llm.ngram_join import ngram_join
 from lading.llm.packing import pack_by_tokens
 from lading.llm.secret_scan import redact, scan
@@ -48,13 +49,19 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bound_batches(spark)
-    key, place, text_key = (fresh(docs, c) for c in ("row_key", "place", "text_key"))
+    key, place, text_key, stays, alike, may = (fresh(docs, c) for c in ("row_key", "place", "text_key", "stays", "alike", "may"))
     # Nulls are told apart from what hashes alike.
     keyed = docs.withColumn(key, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
-    stay = ngram_join(keyed, id_col=key).where(F.col(key) == F.col("component_id")).select(key).distinct()
+    fates = ngram_join(keyed, id_col=key).groupBy(key).agg(
+        F.bool_or(F.col(key) == F.col("component_id")).alias(stays), F.count(F.lit(1)).alias(alike))
+    # All other keys are of one row that stays.
+    doubtful = written(fates.where(~F.col(stays) | (F.col(alike) > 1)).select(key, stays), "near-doubtful")
+    marked = may_match(keyed, key, doubtful, may)
     same = Window.partitionBy(key, "doc_id", text_key).orderBy(F.lit(0))
-    kept = keyed.join(stay, key, "left_semi").withColumn(text_key, F.xxhash64(F.lit(2), "text"))
-    return kept.withColumn(place, F.row_number().over(same)).where(F.col(place) == 1).select(docs.columns)
+    kept = (marked.where(may).join(doubtful.where(~F.col(stays)).select(key), key, "left_anti").withColumn(text_key, F.xxhash64(F.lit(2), "text"))
+            .withColumn(place, F.row_number().over(same)).where(F.col(place) == 1))
+    # Whole rows go through a shuffle only where that must be looked at.
+    return marked.where(~F.col(may)).select(docs.columns).unionByName(kept.select(docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

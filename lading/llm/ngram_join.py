@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 
 from lading.llm import bytetext as B
 from lading.llm.graph import components, written
+from lading.llm.narrow import may_match
 from lading.session import ship_package
 
 N = 5
@@ -336,6 +337,13 @@ def _link_tiles(table: pa.Table, percent: int) -> pa.Table:
 
 # --- the join ----------------------------------------------------------------
 
+def _texts_near(docs: DataFrame, id_col: str, text_col: str, members: DataFrame) -> DataFrame:
+    """Texts (rep, text) of all ``members`` and few others: what has no near
+    text does not go through the shuffle."""
+    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text")).where("rep is not null")
+    return may_match(texts, "rep", members, "may").where("may").drop("may")
+
+
 def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", n: int = N, percent: int = PERCENT,
                rows: int = ROWS, miss: float = MISS, tile: int = TILE, bucket_tile: int = BUCKET_TILE) -> DataFrame:
     """One row per input row: the id, n_shingles, n_links (other rows linked
@@ -354,8 +362,7 @@ def ngram_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     keyed = written(_tile_keys(members, percent, tile), "ngram-tiles")
 
     # the sets of those classes again, from their texts
-    texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text")).where("rep is not null")
-    tiled = keyed.join(texts, "rep").select("rep", "weight", "keys", "text")
+    tiled = keyed.join(_texts_near(docs, id_col, text_col, keyed), "rep").select("rep", "weight", "keys", "text")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

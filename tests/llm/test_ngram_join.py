@@ -128,6 +128,12 @@ def test_pages_of_one_template_are_not_chained(spark):
     assert N._near_in_buckets(sets, 80, N.most_apart(N.ROWS * bands, 80, N.MISS), 4096).count() == 0
 
 
+def test_only_texts_that_may_link_meet_the_tiles(spark, documents):
+    docs = documents([(k, prose(k, 40)) for k in range(200)])
+    near_by = N._texts_near(docs, "doc_id", "text", docs.where("doc_id < 9").selectExpr("doc_id as rep")).collect()
+    assert {r.rep for r in near_by} >= set(range(9)) and len(near_by) < 12
+
+
 def test_signature_bound():
     """No more bits may differ than a linked pair's, with a margin on both sides."""
     from math import comb

@@ -65,6 +65,16 @@ def test_ids_do_not_stand_for_texts(spark):
     assert sum(r.text is None for r in kept) == 1
 
 
+def test_rows_without_a_copy_are_not_moved(spark):
+    """Whole rows go through a shuffle only where some of their kind may go."""
+    texts = [prose(100 + k, 60) for k in range(40)]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(100, texts[0]), (101, texts[1] + " tail")]
+    docs = written(make(spark, rows).repartition(4), "docs").withColumn("source", F.input_file_name())
+    got = P.near_duplicates(spark, docs, SF_SMALL).select("doc_id", "source", F.spark_partition_id().alias("part")).collect()
+    files = {r.part: r.source for r in docs.select("source", F.spark_partition_id().alias("part")).distinct().collect()}
+    assert len(got) == 40 and all(files.get(r.part) == r.source for r in got if 2 <= r.doc_id < 100)
+
+
 def test_secrets_are_replaced(spark):
     got = P.secrets(spark, make(spark, [(1, "a password=abcdefgh1 b"), (2, "clean"), (3, None)]), SF_SMALL).collect()
     assert {(r.doc_id, r.text, r.n_chars) for r in got} == {(1, "a [SECRET] b", 12), (2, "clean", 5), (3, None, 0)}
