@@ -9,6 +9,7 @@ aggregate puts them together.
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -32,6 +33,7 @@ def _times(matrix: list[int], vector: int) -> int:
     return out
 
 
+@functools.cache
 def zero_byte_matrices() -> list[list[int]]:
     """For each bit k of a length, the matrix (its 32 columns) that moves a
     CRC by 2 ** k zero bytes: squares of the matrix of one zero bit."""
@@ -44,6 +46,14 @@ def zero_byte_matrices() -> list[list[int]]:
     return out
 
 
+def joined_crc32(crc: int, following: int, size: int) -> int:
+    """The CRC-32 of a text and the ``size`` bytes after it, from both CRCs."""
+    for k, matrix in enumerate(zero_byte_matrices()):
+        if size >> k & 1:
+            crc = _times(matrix, crc)
+    return crc ^ following
+
+
 def crc32_shift(crc: str, after: str) -> Column:
     """The CRC-32 (long column ``crc``) moved by ``after`` zero bytes."""
     table = ", ".join(f"array({', '.join(f'{c}L' for c in m)})" for m in zero_byte_matrices())

@@ -33,7 +33,7 @@ from lading.operators.parse import (
 from lading.operators.upsert import last_wins, upsert
 from lading.registry import LogicalTable, build_registry, registry_df
 from lading.session import scratch_path
-from lading.sources.archive import expand_entries, list_entries, read_archives, write_archives
+from lading.sources.archive import expand_entries, list_entries, read_archives, write_archives, write_archives_in_pieces
 from lading.sources.catalogue import active_providers
 
 LI_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -140,6 +140,11 @@ def entry_crc32(spark, sf_dir):
     return d.select("doc_id", crc32_hex(F.col("text")).alias("crc"))
 
 
+def _dealt_to(key: str, archives: int) -> Column:
+    """The archive of a row; rows without a key are in the first."""
+    return F.coalesce(F.pmod(key, F.lit(archives)), F.lit(0)).cast("int").alias("archive")
+
+
 CRC_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"]
 CRC_ARCHIVES = 4
 
@@ -149,9 +154,8 @@ def entry_crc_check(spark, sf_dir):
     staged records wherever they lie, against the one its archive states."""
     landing = scratch_path(spark, "landing")
     li = table(spark, sf_dir, "lineitem")
-    own = li.select((F.col("l_orderkey") % CRC_ARCHIVES).cast("int").alias("k"), _csv(*CRC_COLS).alias("line"))
-    write_archives(own.repartitionById(CRC_ARCHIVES, F.col("k")).select("line"), landing, "v1", "lineitem",
-                   ",".join(CRC_COLS), "li").collect()  # one row per archive
+    write_archives_in_pieces(li.select(_dealt_to("l_orderkey", CRC_ARCHIVES), _csv(*CRC_COLS).alias("line")), landing, "v1", "lineitem",
+                             ",".join(CRC_COLS), "li")
     entries = list_entries(read_archives(spark, landing))
     staged = scratch_path(spark, "staged")
     expand_entries(entries).where(F.col("line_no") >= 0).write.parquet(staged)
@@ -168,11 +172,10 @@ ORDER_FEEDS = 4
 def _order_feeds(spark, sf_dir, landing: str, damaged: tuple[int, ...] = (), only: tuple[int, ...] | None = None) -> None:
     """``orders`` landed as feeds ``ord0`` … by o_orderkey; the tasks that write
     the ``damaged`` ones spoil their member."""
-    o = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % ORDER_FEEDS).cast("int").alias("k"), _csv(*ORDER_COLS).alias("line"))
+    o = table(spark, sf_dir, "orders").select(_dealt_to("o_orderkey", ORDER_FEEDS), _csv(*ORDER_COLS).alias("line"))
     if only is not None:
-        o = o.where(F.col("k").isin(*only))
-    write_archives(o.repartitionById(ORDER_FEEDS, F.col("k")).select("line"), landing, "v1", "orders",
-                   ",".join(ORDER_COLS), "ord", damaged=damaged).collect()  # one row per archive
+        o = o.where(F.col("archive").isin(*only))
+    write_archives_in_pieces(o, landing, "v1", "orders", ",".join(ORDER_COLS), "ord", damaged=damaged)
 
 
 def _order_registry():
@@ -663,10 +666,8 @@ def schema_drift_report(spark, sf_dir):
         df = table(spark, sf_dir, name)
         cols = df.columns
         header = ["\ufeff C_CustKey ", *cols[1:]] if name == "customer" else cols
-        keyed = df.select(F.pmod(F.col(cols[0]), F.lit(2)).alias("half"), _csv(*cols).alias("line"))
-        # One archive per half: the half is the partition.
-        write_archives(keyed.repartitionById(2, F.col("half").cast("int")).select("line"), landing, "v1", name,
-                       ",".join(header), "tpch").collect()
+        write_archives_in_pieces(df.select(_dealt_to(cols[0], 2), _csv(*cols).alias("line")), landing, "v1", name,
+                                 ",".join(header), "tpch")
     declared = spark.createDataFrame(
         [(p, t, c) for p in ("tpch0", "tpch1") for _, t, c in DRIFT_DECLARED],
         "provider string, table string, declared array<string>")

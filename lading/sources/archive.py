@@ -18,12 +18,15 @@ release lands in a new folder, never over an old one.
   CRC-32, storage fault) ends with one error row; its siblings go on.
 * :func:`write_archives` — the reverse, used to land tables as feeds: each
   Spark partition writes its own archive.
+* :func:`write_archives_in_pieces` — the same for large members: every task
+  deflates what it has of each archive, and the pieces are put together.
 """
 
 from __future__ import annotations
 
 import heapq
 import re
+import time
 import zipfile
 import zlib
 from typing import Iterator
@@ -35,8 +38,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lading.session import ship_package
-from lading.sources.fs import move, open_input, open_output
+from lading.functions.crc import joined_crc32
+from lading.session import scratch_path, ship_package
+from lading.sources.fs import exists, move, open_input, open_output, remove_dir
 
 ARCHIVE_SCHEMA = T.StructType(
     [
@@ -484,3 +488,102 @@ def write_archives(lines: DataFrame, landing: str, version: str, entry: str,
         _zip_writer(landing, version, entry, header, provider_prefix, damaged),
         "provider string, archive string, rows long",
     )
+
+
+PIECE_SCHEMA = "provider string, at int, path string, crc long, bytes long, packed long, rows long"
+
+
+def _piece_writer(folder: str, prefix: str):
+    """Writes one file per archive that a task has lines of: a deflate stream
+    without its last block, so that files joined in any order are one stream."""
+    from pyspark import TaskContext
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ctx = TaskContext.get()
+        files: dict[int, tuple] = {}
+        state: dict[int, list[int]] = {}  # crc, bytes, packed, rows
+        for b in batches:
+            archive = b.column(0).to_numpy()
+            for k in np.unique(archive).tolist():
+                lines = b.column(1).filter(pa.array(archive == k)).to_pylist()
+                text = ("\n".join(lines) + "\n").encode("utf-8")
+                if k not in files:
+                    path = f"{folder}/{prefix}{k}/{ctx.partitionId()}-{ctx.taskAttemptId()}"
+                    files[k] = path, open_output(path), zlib.compressobj(wbits=-zlib.MAX_WBITS)
+                    state[k] = [0, 0, 0, 0]
+                _, out, deflate = files[k]
+                packed = deflate.compress(text)
+                out.write(packed)
+                crc, size, all_packed, rows = state[k]
+                state[k] = [zlib.crc32(text, crc), size + len(text), all_packed + len(packed), rows + len(lines)]
+        for k, (path, out, deflate) in files.items():
+            packed = deflate.flush(zlib.Z_FULL_FLUSH)
+            out.write(packed)
+            out.close()
+            crc, size, all_packed, rows = state[k]
+            yield pa.RecordBatch.from_pydict({
+                "provider": [f"{prefix}{k}"], "at": pa.array([ctx.partitionId()], pa.int32()), "path": [path], "crc": [crc], "bytes": [size],
+                "packed": [all_packed + len(packed)], "rows": [rows]})
+
+    return write
+
+
+def _assembler(landing: str, version: str, entry: str, header: str, damaged: tuple[str, ...]):
+    """Puts the pieces of one archive together.  Only deflated bytes are copied,
+    a chunk at a time; sizes and CRC-32 follow from those of the pieces."""
+    from pyspark import TaskContext
+
+    def assemble(pieces: pa.Table) -> pa.Table:
+        ctx = TaskContext.get()
+        rows = sorted(pieces.to_pylist(), key=lambda r: r["at"])
+        provider = rows[0]["provider"]
+        path = f"{landing.rstrip('/')}/provider={provider}/version={version}/{entry}.zip"
+        tmp = f"{path}.attempt-{ctx.attemptNumber()}-{ctx.taskAttemptId()}"
+        head = header.encode("utf-8") + b"\n"
+        deflate = zlib.compressobj(wbits=-zlib.MAX_WBITS)
+        first = deflate.compress(head) + deflate.flush(zlib.Z_FULL_FLUSH)
+        last = zlib.compressobj(wbits=-zlib.MAX_WBITS).flush()
+        info = zipfile.ZipInfo(f"{entry}.txt", time.localtime()[:6])
+        info.compress_type, info.header_offset = zipfile.ZIP_DEFLATED, 0
+        info.CRC, info.file_size = zlib.crc32(head), len(head)
+        for r in rows:
+            info.CRC = joined_crc32(info.CRC, r["crc"], r["bytes"])
+            info.file_size += r["bytes"]
+        info.compress_size = len(first) + sum(r["packed"] for r in rows) + len(last)
+        with open_output(tmp) as out, zipfile.ZipFile(out, "w") as zf:
+            zf.fp.write(info.FileHeader(zip64=True))
+            zf.fp.write(first)
+            for r in rows:
+                with open_input(r["path"]) as piece:
+                    while chunk := piece.read(CHUNK_BYTES):
+                        zf.fp.write(chunk)
+            zf.fp.write(last)
+            zf.start_dir = zf.fp.tell()  # the directory follows the member
+            zf.filelist.append(info)
+            zf.NameToInfo[info.filename] = info
+        if provider in damaged:
+            _spoil(tmp)
+        move(tmp, path)
+        return pa.table({"provider": [provider], "archive": [path], "rows": [sum(r["rows"] for r in rows)]})
+
+    return assemble
+
+
+def write_archives_in_pieces(lines: DataFrame, landing: str, version: str, entry: str,
+                             header: str, provider_prefix: str, damaged: tuple[int, ...] = ()) -> None:
+    """Write ``lines`` (``archive`` int, ``line`` string: CSV records) as one feed
+    archive per number: provider ``<provider_prefix><archive>``, entry
+    ``<entry>.txt`` with ``header`` first.  No line is shuffled: each task
+    deflates its own lines into a piece per archive, so a member may be larger
+    than what one task should read.  Lines lie in the order of the tasks'
+    partitions.  For few archives: a task holds a file open for each.  The
+    ``damaged`` archives get a broken member."""
+    spark = lines.sparkSession
+    ship_package(spark)
+    folder = scratch_path(spark, "pieces")
+    pieces = lines.select("archive", "line").mapInArrow(_piece_writer(folder, provider_prefix), PIECE_SCHEMA)
+    pieces.groupBy("provider").applyInArrow(
+        _assembler(landing, version, entry, header, tuple(f"{provider_prefix}{k}" for k in damaged)),
+        "provider string, archive string, rows long").collect()  # one row per archive
+    if exists(folder):
+        remove_dir(folder)
